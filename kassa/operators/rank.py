@@ -33,11 +33,13 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 def global_order(df: DataFrame, order: Sequence[Column], rank_col: str = "_rank",
                  running: dict[str, Column] | None = None,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, total_col: str | None = None) -> DataFrame:
     """Add a 1-based ``rank_col`` following ``order`` (must be a total order).
 
     ``running`` maps output names to value columns whose running sum (in that
-    order, current row included) is added as well.
+    order, current row included) is added as well. ``total_col`` names an
+    optional column holding the total row count (read off the per-partition
+    counts, so no second pass over the data).
     """
     checkpoint_dir(df.sparkSession)
     running = dict(running or {})
@@ -57,6 +59,7 @@ def global_order(df: DataFrame, order: Sequence[Column], rank_col: str = "_rank"
     offsets = stats.select(
         "_pid",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+        F.sum("_cnt").over(Window.partitionBy()).alias("_total"),
         *[F.coalesce(F.sum(f"_s_{k}").over(before), F.lit(0.0)).alias(f"_o_{k}") for k in running])
     # one row per partition: bounded by the partition count, safe to broadcast
     out = staged.join(F.broadcast(offsets), "_pid")
@@ -65,7 +68,9 @@ def global_order(df: DataFrame, order: Sequence[Column], rank_col: str = "_rank"
         within = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
         for k in running:
             out = out.withColumn(k, F.col(f"_o_{k}") + F.sum(f"_v_{k}").over(within))
-    drop = ["_pid", "_pos", "_mid", "_off"] + [f"_o_{k}" for k in running] + [f"_v_{k}" for k in running]
+    if total_col:
+        out = out.withColumn(total_col, F.col("_total").cast("long"))
+    drop = ["_pid", "_pos", "_mid", "_off", "_total"] + [f"_o_{k}" for k in running] + [f"_v_{k}" for k in running]
     return out.drop(*drop)
 
 
@@ -80,16 +85,16 @@ def quantile_rank_score(df: DataFrame, value: str, key: str, out: str,
     ``reverse`` ranks descending and then flips (score -> desired+1-score).
     """
     k = F.lit(desired_bins).cast("long")
-    n = df.agg(F.count(F.lit(1)).cast("long")).scalar()
+    n = F.col("_n")
     val = F.col(value).desc() if reverse else F.col(value).asc()
-    ranked = global_order(df, [val, F.col(key).asc()], rank_col="_r")
+    ranked = global_order(df, [val, F.col(key).asc()], rank_col="_r", total_col="_n")
     q = F.least(k, n)
     raw = F.greatest(F.lit(1).cast("long"), ceil_div((F.col("_r") - 1) * q, n - 1))
     stretched = F.when(q < k, ceil_div(raw * k, q)).otherwise(raw)
     score = F.when(n <= 1, F.lit(desired_bins // 2 + 1).cast("long")).otherwise(stretched)
     if reverse:
         score = F.when(n <= 1, score).otherwise(k + 1 - score)
-    return ranked.withColumn(out, score.cast("int")).drop("_r")
+    return ranked.withColumn(out, score.cast("int")).drop("_r", "_n")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
@@ -97,28 +102,30 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     """One-row frame of exact linear-interpolated quantiles (numpy 'linear').
 
     Distributed: global order on ``value`` (nulls removed), then only the
-    2 * len(probs) neighbouring order statistics are picked and combined;
-    no single task holds all distinct values.
+    2 * len(probs) neighbouring order statistics are kept and combined;
+    no task holds all distinct values (Spark's exact ``percentile`` would
+    merge a value->count map of the whole column in one task).
     """
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     vals = df.select(F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    ranked = global_order(vals, [F.col("_x").asc()], rank_col="_r")
-    n = vals.agg(F.count(F.lit(1)).cast("long")).scalar()
-    rank_set = None
-    for p in probs:
-        h = (n - 1).cast("double") * F.lit(float(p))
-        lo = F.floor(h).cast("long")
-        cond = (F.col("_r") == lo + 1) | (F.col("_r") == F.least(lo + 1, n - 1) + 1)
-        rank_set = cond if rank_set is None else (rank_set | cond)
-    picked = ranked.where(rank_set)
-    aggs = []
-    for p, name in zip(probs, names):
+    ranked = global_order(vals, [F.col("_x").asc()], rank_col="_r", total_col="_n")
+    n = F.col("_n")
+    per_row, keep = {}, None
+    for i, p in enumerate(probs):
         h = (n - 1).cast("double") * F.lit(float(p))
         lo = F.floor(h).cast("long")
         hi = F.least(lo + 1, n - 1)
-        g = h - lo.cast("double")
-        a = F.max(F.when(F.col("_r") == lo + 1, F.col("_x")))
-        b = F.max(F.when(F.col("_r") == hi + 1, F.col("_x")))
-        lerp = F.when(g >= 0.5, b - (b - a) * (F.lit(1.0) - g)).otherwise(a + (b - a) * g)
-        aggs.append(lerp.alias(name))
-    return picked.agg(*aggs)
+        per_row[f"_a{i}"] = F.when(F.col("_r") == lo + 1, F.col("_x"))
+        per_row[f"_b{i}"] = F.when(F.col("_r") == hi + 1, F.col("_x"))
+        per_row[f"_g{i}"] = h - lo.cast("double")
+        cond = (F.col("_r") == lo + 1) | (F.col("_r") == hi + 1)
+        keep = cond if keep is None else (keep | cond)
+    picked = ranked.where(keep).withColumns(per_row)
+    agg = picked.agg(*[F.max(f"_a{i}").alias(f"_a{i}") for i in range(len(probs))],
+                     *[F.max(f"_b{i}").alias(f"_b{i}") for i in range(len(probs))],
+                     *[F.first(f"_g{i}").alias(f"_g{i}") for i in range(len(probs))])
+    out = []
+    for i, name in enumerate(names):
+        a, b, g = F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_g{i}")
+        out.append(F.when(g >= 0.5, b - (b - a) * (F.lit(1.0) - g)).otherwise(a + (b - a) * g).alias(name))
+    return agg.select(*out)

@@ -51,3 +51,312 @@ def register_raw(name: str):
 def _curated(df: DataFrame) -> DataFrame:
     """The whole curated table (cleaning, joins, masking, hashing, typing)."""
     return df
+
+
+# ------------------------------------------------------------------ imports
+from pyspark.sql import functions as F  # noqa: E402
+
+from kassa.operators import customers as C  # noqa: E402
+from kassa.operators import kpi as K  # noqa: E402
+from kassa.operators import promo as P  # noqa: E402
+from kassa.operators import quality as Q  # noqa: E402
+from kassa.operators import stats as S  # noqa: E402
+from kassa.operators import stores as ST  # noqa: E402
+from kassa.operators.filters import FilterSpec, apply_filters, facet_values, non_negative_quantity  # noqa: E402
+from kassa.sources import testdata as TD  # noqa: E402
+from kassa.sources.sample import sample_transactions  # noqa: E402
+
+dash = non_negative_quantity  # the dashboard's F1 filter runs before every tab
+
+
+# ------------------------------------------------------------------ sales KPIs
+@register("monthly_kpi_summary")
+def _q_monthly(df):
+    """G2 monthly KPIs."""
+    return K.monthly_kpi_summary(df)
+
+
+@register("highlights")
+def _q_highlights(df):
+    """G1 headline KPIs (dashboard)."""
+    return K.compute_highlights(dash(df))
+
+
+@register("monthly_sales_series")
+def _q_mss(df):
+    return K.monthly_sales_series(dash(df))
+
+
+@register("daily_units")
+def _q_daily(df):
+    return K.daily_units(dash(df))
+
+
+@register("category_revenue_share")
+def _q_cat_share(df):
+    return K.category_revenue_share(df, top_n=10)
+
+
+@register("category_pareto")
+def _q_cat_pareto(df):
+    return K.category_pareto(df)
+
+
+@register("sku_top50")
+def _q_sku(df):
+    return K.sku_top50(df, 50)
+
+
+@register("units_by_location")
+def _q_units_loc(df):
+    return K.units_by_location(dash(df))
+
+
+@register("avg_transaction_value_by_location")
+def _q_atv_loc(df):
+    return K.avg_transaction_value_by_location(dash(df))
+
+
+@register("avg_transaction_value")
+def _q_atv(df):
+    return K.avg_transaction_value(dash(df))
+
+
+# ------------------------------------------------------------------ promotions
+@register("promotion_summary")
+def _q_promo_sum(df):
+    return P.promotion_summary(df)
+
+
+@register("promo_overall")
+def _q_promo_overall(df):
+    return P.promo_overall(df)
+
+
+@register("promo_effect_category")
+def _q_pe_cat(df):
+    return P.promo_effect(df, ["category"])
+
+
+@register("promo_effect_store")
+def _q_pe_store(df):
+    return P.promo_effect(df, ["store_province", "store_name"])
+
+
+@register("promo_effect_label")
+def _q_pe_label(df):
+    return P.promo_effect(df, ["promo_label"])
+
+
+@register("promo_hotspots")
+def _q_hot(df):
+    return P.promo_hotspots(df, 30)
+
+
+@register("top_promotions")
+def _q_top_promo(df):
+    return P.top_promotions(dash(df), 10)
+
+
+@register("promo_share_long")
+def _q_share_long(df):
+    return P.promo_share_long(dash(df))
+
+
+# ------------------------------------------------------------------ stores
+@register("store_profitability")
+def _q_store_prof(df):
+    return ST.store_profitability(df)
+
+
+@register("store_deep_dive")
+def _q_store_dd(df):
+    return ST.store_deep_dive(df)
+
+
+@register("city_performance")
+def _q_city_perf(df):
+    return ST.city_performance(df)
+
+
+@register("city_category_top5")
+def _q_city_cat(df):
+    return ST.city_category_mix(df, 5)
+
+
+# ------------------------------------------------------------------ customers
+@register("customer_city_value")
+def _q_ccv(df):
+    return C.customer_city_value(dash(df))
+
+
+@register("top_customers")
+def _q_top_cust(df):
+    return C.top_customers(dash(df), 10)
+
+
+@register("cohort_retention")
+def _q_cohort(df):
+    return C.cohort_retention(df)
+
+
+@register("cohort_retention_matrix")
+def _q_cohort_matrix(df):
+    return C.cohort_retention_matrix(df)
+
+
+@register("cohort_sizes")
+def _q_cohort_sizes(df):
+    return C.cohort_sizes(df)
+
+
+@register("retention_curve")
+def _q_ret_curve(df):
+    return C.retention_curve(df, 6)
+
+
+@register("rfm_dashboard")
+def _q_rfm_dash(df):
+    return C.rfm_dashboard(dash(df))
+
+
+@register("rfm_segments")
+def _q_rfm_seg(df):
+    return C.rfm_segments(dash(df))
+
+
+@register("rfm_score_distribution")
+def _q_rfm_dist(df):
+    return C.rfm_score_distribution(dash(df))
+
+
+@register("rfm_by_location")
+def _q_rfm_loc(df):
+    return C.rfm_by_location(dash(df))
+
+
+@register("rfm_report")
+def _q_rfm_report(df):
+    return C.rfm_report(df)
+
+
+@register("rfm_report_segments")
+def _q_rfm_report_seg(df):
+    return C.rfm_report_segments(df)
+
+
+@register("rfm_segment_category")
+def _q_rfm_seg_cat(df):
+    return C.rfm_segment_category(df)
+
+
+@register("recency_buckets")
+def _q_recency(df):
+    return C.recency_buckets(df)
+
+
+# ------------------------------------------------------------------ statistics
+@register("transaction_rollup")
+def _q_rollup(df):
+    return S.transaction_rollup(df)
+
+
+@register("promo_regression")
+def _q_ols(df):
+    """ST1 coefficients, errors and t (p-values in promo_regression_pvalues)."""
+    return S.promo_regression(df, with_p=False)
+
+
+@register("promo_regression_pvalues")
+def _q_ols_p(df):
+    return S.promo_regression(df, with_p=True)
+
+
+@register("ab_test_promo")
+def _q_ab(df):
+    return S.ab_test_promo(df, with_p=False)
+
+
+@register("ab_test_promo_pvalue")
+def _q_ab_p(df):
+    return S.ab_test_promo(df, with_p=True)
+
+
+@register("unit_price_quartiles")
+def _q_quart(df):
+    return S.unit_price_quartiles(dash(df))
+
+
+@register("promo_usage_contingency")
+def _q_contingency(df):
+    return S.promo_usage_contingency(dash(df))
+
+
+@register("promo_usage_crosstab")
+def _q_crosstab(df):
+    return S.promo_usage_crosstab(dash(df))
+
+
+@register("chi_square_promo_usage")
+def _q_chi(df):
+    return S.chi_square_promo_usage(dash(df))
+
+
+@register("box_plot_stats")
+def _q_box(df):
+    return S.box_plot_stats(dash(df))
+
+
+@register("transaction_value_histogram")
+def _q_hist(df):
+    return S.transaction_value_histogram(dash(df), 20.0)
+
+
+# ------------------------------------------------------------------ quality, filters, sampling
+@register("data_quality")
+def _q_quality(df):
+    return Q.data_quality_report(dash(df), Q.DASHBOARD_QUALITY_COLUMNS)
+
+
+FILTER_EXAMPLE = FilterSpec(years=[1996, 1997], quarters=[1, 2, 4], cities=["Calgary", "Edmonton", "Online", "Leduc"],
+                            day_range=(9500, 10100))
+
+
+@register("filtered_highlights")
+def _q_filtered(df):
+    """F2/F3 sidebar filters, then G1."""
+    return K.compute_highlights(apply_filters(dash(df), FILTER_EXAMPLE))
+
+
+@register("facet_cities")
+def _q_facet(df):
+    return facet_values(dash(df), "city")
+
+
+@register("sample_transactions")
+def _q_sample(df):
+    """At most 20 transactions per month (sha1 order), all their lines."""
+    return sample_transactions(df, 20)
+
+
+# ------------------------------------------------------------------ raw-table jobs
+@register_raw("store_lookup")
+def _q_store_lookup(spark, sf_dir):
+    """A3/A4 masked store identities."""
+    from kassa.operators.privacy import build_store_lookup
+    return build_store_lookup(TD.raw_store(spark, sf_dir).withColumnRenamed("LIBELLE", "LIBELLE_y"))
+
+
+@register_raw("store_opening_trend")
+def _q_openings(spark, sf_dir):
+    return K.store_opening_trend(TD.raw_store(spark, sf_dir))
+
+
+@register_raw("web_account_share")
+def _q_web(spark, sf_dir):
+    return K.web_account_share(TD.raw_contact(spark, sf_dir))
+
+
+@register_raw("promotion_timeline")
+def _q_timeline(spark, sf_dir):
+    return P.promotion_timeline(TD.raw_promotion(spark, sf_dir), as_of="2000-01-01")
