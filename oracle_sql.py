@@ -222,3 +222,481 @@ _CUR_DOUBLES = {"latitude", "longitude", "unit_original_price", "unit_sale_price
 
 ORACLE: dict[str, str] = {}
 ORACLE["curated_sales"] = q(f"SELECT {_rcols(CURATED_COLS, _CUR_DOUBLES)} FROM curated")
+
+
+# ---------------------------------------------------------------------------- helpers
+def fl(src: str, name: str = "fl") -> str:
+    """CTE: first line of each transaction of ``src`` in ingestion order."""
+    return (f"{name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id "
+            f"ORDER BY s2, s3, s4, s5, s6, s7) AS _fl FROM {src}) WHERE _fl = 1)")
+
+
+F1 = "f1 AS (SELECT * FROM curated WHERE quantity_item >= 0)"
+
+
+def sel(spec: str, src: str) -> str:
+    """SELECT list from ``src``; names ending in * are doubles (rounded)."""
+    out = []
+    for c in [x.strip() for x in spec.split(",")]:
+        if c.endswith("*"):
+            c = c[:-1]
+            out.append(f"{R(c)} AS {c}")
+        else:
+            out.append(c)
+    return f"SELECT {', '.join(out)} FROM {src}"
+
+
+def zs(x: str) -> str:
+    return f"coalesce(sum({x}), 0.0)"
+
+
+def ratio(a: str, b: str) -> str:
+    return f"(CASE WHEN ({b}) <> 0 THEN ({a}) / ({b}) END)"
+
+
+def quantiles_cte(name: str, src: str, col: str, probs, names) -> str:
+    """CTE ``name`` with one row of numpy-'linear' quantiles of ``col``."""
+    parts = []
+    for p, nm in zip(probs, names):
+        h = f"(CAST(n - 1 AS DOUBLE) * {float(p)!r})"
+        lo = f"CAST(floor({h}) AS BIGINT)"
+        hi = f"least({lo} + 1, n - 1)"
+        g = f"({h} - CAST({lo} AS DOUBLE))"
+        a = f"max(CASE WHEN r = {lo} + 1 THEN x END)"
+        b = f"max(CASE WHEN r = {hi} + 1 THEN x END)"
+        parts.append(f"CASE WHEN any_value({g}) >= 0.5 THEN {b} - ({b} - {a}) * (1.0 - any_value({g})) "
+                     f"ELSE {a} + ({b} - {a}) * any_value({g}) END AS {nm}")
+    return (f"{name}_v AS (SELECT x, row_number() OVER (ORDER BY x) AS r, count(*) OVER () AS n FROM "
+            f"(SELECT CAST({col} AS DOUBLE) AS x FROM {src} WHERE {col} IS NOT NULL)),\n"
+            f"{name} AS (SELECT {', '.join(parts)} FROM {name}_v)")
+
+
+def qrs_sql(value: str, key: str, reverse: bool, k: int = 5) -> str:
+    """Quantile-rank score expression (window functions over the frame)."""
+    order = f"{value} DESC, {key}" if reverse else f"{value}, {key}"
+    r = f"row_number() OVER (ORDER BY {order})"
+    n = "count(*) OVER ()"
+    q = f"least({k}, {n})"
+    raw = f"greatest(1, (({r} - 1) * {q} + ({n} - 1) - 1) // ({n} - 1))"
+    stretched = f"CASE WHEN {q} < {k} THEN ({raw} * {k} + {q} - 1) // {q} ELSE {raw} END"
+    s = f"CASE WHEN {n} <= 1 THEN {k // 2 + 1} ELSE {stretched} END"
+    if reverse:
+        s = f"CASE WHEN {n} <= 1 THEN {k // 2 + 1} ELSE {k} + 1 - ({stretched}) END"
+    return f"CAST({s} AS INTEGER)"
+
+
+O = ORACLE
+
+# ---------------------------------------------------------------------------- sales KPIs
+O["monthly_kpi_summary"] = q(sel(
+    "month, revenue*, orders, units*, unique_customers, avg_order_value*",
+    f"""(SELECT CAST(date_trunc('month', date_transaction) AS DATE) AS month,
+          {zs('transaction_value')} AS revenue, count(DISTINCT transaction_id) AS orders,
+          {zs('quantity_item')} AS units, count(DISTINCT contact_id) AS unique_customers,
+          {ratio(zs('transaction_value'), 'count(DISTINCT transaction_id)')} AS avg_order_value
+        FROM curated GROUP BY 1)"""))
+
+_HIGHLIGHTS = lambda src: f"""(SELECT tot.total_revenue, ln.total_units, tot.total_orders,
+      CASE WHEN tot.total_orders > 0 THEN tot.total_revenue / tot.total_orders ELSE 0.0 END AS avg_order_value,
+      (SELECT city FROM cty) AS top_city, (SELECT rev FROM cty) AS top_city_revenue,
+      CASE WHEN tot.total_revenue <> 0 THEN ln.online / tot.total_revenue ELSE 0.0 END AS online_share
+    FROM (SELECT {zs('transaction_value')} AS total_revenue, count(*) AS total_orders FROM fl) tot,
+         (SELECT {zs('quantity_item')} AS total_units,
+                 {zs("CASE WHEN lower(city) = 'online' THEN transaction_value END")} AS online FROM {src}) ln)"""
+_CTY = lambda src: (f"cty AS (SELECT city, {zs('transaction_value')} AS rev FROM {src} WHERE city IS NOT NULL "
+                    f"GROUP BY city ORDER BY rev DESC, city LIMIT 1)")
+_HL_SPEC = "total_revenue*, total_units*, total_orders, avg_order_value*, top_city, top_city_revenue*, online_share*"
+O["highlights"] = q(sel(_HL_SPEC, _HIGHLIGHTS("f1")), F1, fl("f1"), _CTY("f1"))
+
+O["monthly_sales_series"] = q(sel(
+    "month, revenue*, orders, units*",
+    f"""(SELECT m.month, m.revenue, m.orders, u.units FROM
+          (SELECT CAST(date_trunc('month', date_transaction) AS DATE) AS month, {zs('transaction_value')} AS revenue,
+                  count(*) AS orders FROM fl GROUP BY 1) m
+          LEFT JOIN (SELECT CAST(date_trunc('month', date_transaction) AS DATE) AS month,
+                            {zs('quantity_item')} AS units FROM f1 GROUP BY 1) u USING (month))"""), F1, fl("f1"))
+
+O["daily_units"] = q(sel("date_transaction, units*",
+                         f"(SELECT date_transaction, {zs('quantity_item')} AS units FROM f1 GROUP BY 1)"), F1)
+
+O["category_revenue_share"] = q(sel(
+    "category, revenue*, share*",
+    f"""(SELECT category, revenue, CASE WHEN t <> 0 THEN revenue / t ELSE 0.0 END AS share
+         FROM cat, (SELECT {zs('revenue')} AS t FROM cat) tot ORDER BY revenue DESC, category LIMIT 10)"""),
+    f"cat AS (SELECT category, {zs('transaction_value')} AS revenue FROM curated WHERE category IS NOT NULL GROUP BY 1)")
+
+
+def _pareto_sql(agg_cte: str, keys: str) -> str:
+    return f"""(SELECT *, gmv_cum_share_pct <= 80.0 AS pareto_80 FROM (
+      SELECT *, row_number() OVER (ORDER BY gmv DESC, {keys}) AS gmv_rank,
+             sum(gmv_share_pct) OVER (ORDER BY gmv DESC, {keys} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+               AS gmv_cum_share_pct
+      FROM (SELECT a.*, {ratio('gmv', 'units')} AS asp, (CASE WHEN t <> 0 THEN gmv / t END) * 100.0 AS gmv_share_pct
+            FROM {agg_cte} a, (SELECT {zs('gmv')} AS t FROM {agg_cte}) tot)))"""
+
+
+O["category_pareto"] = q(sel(
+    "category, gmv*, units*, orders, asp*, gmv_share_pct*, gmv_rank, gmv_cum_share_pct*, pareto_80",
+    _pareto_sql("agg", "category")),
+    f"""agg AS (SELECT coalesce(category, 'Unknown') AS category, {zs('transaction_value')} AS gmv,
+        {zs('quantity_item')} AS units, count(DISTINCT transaction_id) AS orders FROM curated GROUP BY 1)""")
+
+O["sku_top50"] = q(sel(
+    "sku, sku_label, gmv*, units*, orders, asp*, gmv_share_pct*, gmv_rank, gmv_cum_share_pct*, pareto_80",
+    f"""(SELECT *, gmv_cum_share_pct <= 80.0 AS pareto_80 FROM (
+      SELECT *, row_number() OVER (ORDER BY gmv DESC, sku NULLS FIRST, sku_label NULLS FIRST) AS gmv_rank,
+        sum(gmv_share_pct) OVER (ORDER BY gmv DESC, sku NULLS FIRST, sku_label NULLS FIRST
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gmv_cum_share_pct
+      FROM (SELECT a.*, {ratio('gmv', 'units')} AS asp, (CASE WHEN t <> 0 THEN gmv / t END) * 100.0 AS gmv_share_pct
+            FROM agg a, (SELECT {zs('gmv')} AS t FROM agg) tot
+            ORDER BY gmv DESC, sku NULLS FIRST, sku_label NULLS FIRST LIMIT 50)))"""),
+    f"""agg AS (SELECT sku, coalesce(sku_description, sku, item_id) AS sku_label, {zs('transaction_value')} AS gmv,
+        {zs('quantity_item')} AS units, count(DISTINCT transaction_id) AS orders FROM curated GROUP BY 1, 2)""")
+
+O["units_by_location"] = q(sel("latitude*, longitude*, city, units*", f"""(SELECT latitude, longitude, city,
+    {zs('quantity_item')} AS units FROM f1 WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2, 3)"""), F1)
+
+O["avg_transaction_value_by_location"] = q(sel(
+    "latitude*, longitude*, city, avg_transaction_value*",
+    """(SELECT latitude, longitude, city, avg(transaction_value) AS avg_transaction_value FROM fl
+        WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2, 3)"""), F1, fl("f1"))
+
+O["avg_transaction_value"] = q(sel(
+    "avg_transaction_value*, transactions",
+    "(SELECT avg(transaction_value) AS avg_transaction_value, count(*) AS transactions FROM fl "
+    "WHERE transaction_value >= 0)"), F1, fl("f1"))
+
+# ---------------------------------------------------------------------------- promotions
+_PROMO_SUM = lambda src: f"""(SELECT CASE WHEN promo_flag THEN 'With Promotion' ELSE 'No Promotion' END AS promotion,
+      count(*) AS orders, {zs('tv')} AS revenue, avg(tv) AS avg_order_value, {zs('disc')} AS total_discount,
+      avg(disc) AS avg_discount_per_order, {zs('qty')} AS units
+    FROM (SELECT transaction_id, promo_flag, {zs('transaction_value')} AS tv, {zs('line_discount')} AS disc,
+                 {zs('quantity_item')} AS qty FROM {src} GROUP BY 1, 2) GROUP BY 1)"""
+O["promotion_summary"] = q(sel(
+    "promotion, orders, revenue*, avg_order_value*, total_discount*, avg_discount_per_order*, units*",
+    _PROMO_SUM("curated")))
+
+O["promo_overall"] = q(sel(
+    "promo_flag, gmv*, units*, orders, asp*, aov*, discount_value*, avg_discount_rate*, gmv_share_pct*",
+    f"""(SELECT g.promo_flag, gmv, units, orders, {ratio('gmv', 'units')} AS asp, {ratio('gmv', 'orders')} AS aov,
+        discount_value, {ratio('discount_value', 'original_value')} AS avg_discount_rate,
+        (CASE WHEN t <> 0 THEN gmv / t END) * 100.0 AS gmv_share_pct
+      FROM g, (SELECT {zs('gmv')} AS t FROM g) tot)"""),
+    f"""tx AS (SELECT transaction_id, {zs('line_sales_value')} AS gmv, {zs('quantity_item')} AS units,
+        {zs('line_discount')} AS discount_value, {zs('line_original_value')} AS original_value,
+        bool_or(promo_flag) AS promo_flag FROM curated GROUP BY 1)""",
+    f"""g AS (SELECT promo_flag, {zs('gmv')} AS gmv, {zs('units')} AS units, count(*) AS orders,
+        {zs('discount_value')} AS discount_value, {zs('original_value')} AS original_value FROM tx GROUP BY 1)""")
+
+AB = """ab AS (SELECT * REPLACE (coalesce(category, 'Unknown') AS category,
+          coalesce(store_name, store_id) AS store_name, coalesce(promo_label, 'Unspecified promo') AS promo_label),
+        coalesce(city, 'Unknown') AS store_city, coalesce(province, 'Unknown') AS store_province,
+        line_original_value AS original_value,
+        CASE WHEN line_discount < 0 THEN 0.0 ELSE line_discount END AS discount_value,
+        line_sales_value AS gmv FROM curated)"""
+_MEAS = (f"{zs('gmv')} AS gmv, {zs('quantity_item')} AS units, count(DISTINCT transaction_id) AS orders, "
+         f"{zs('discount_value')} AS discount_value, {zs('original_value')} AS original_value")
+_RAT = (f"{ratio('gmv', 'units')} AS asp, {ratio('gmv', 'orders')} AS aov, "
+        f"{ratio('discount_value', 'original_value')} AS avg_discount_rate")
+
+
+def _promo_effect(dims: list[str]) -> str:
+    d = ", ".join(dims)
+    spec = d + ", promo_flag, gmv*, units*, orders, discount_value*, original_value*, asp*, aov*, " \
+               "avg_discount_rate*, gmv_share_pct*"
+    return q(sel(spec, f"""(SELECT g.*, {_RAT},
+        CASE WHEN sum(gmv) OVER (PARTITION BY {d}) = 0 THEN 0.0
+             ELSE gmv / sum(gmv) OVER (PARTITION BY {d}) * 100.0 END AS gmv_share_pct
+      FROM (SELECT {d}, promo_flag, {_MEAS} FROM ab GROUP BY ALL) g)"""), AB)
+
+
+O["promo_effect_category"] = _promo_effect(["category"])
+O["promo_effect_store"] = _promo_effect(["store_province", "store_name"])
+O["promo_effect_label"] = _promo_effect(["promo_label"])
+
+O["promo_hotspots"] = q(sel(
+    "category, store_name, promo_label, gmv*, units*, orders, discount_value*, original_value*, asp*, aov*, "
+    "avg_discount_rate*",
+    f"""(SELECT g.*, {_RAT} FROM (SELECT category, store_name, promo_label, {_MEAS} FROM ab WHERE promo_flag
+         GROUP BY 1, 2, 3) g ORDER BY gmv DESC, category, store_name, promo_label LIMIT 30)"""), AB)
+
+O["top_promotions"] = q(sel(
+    "promotion_id, revenue*, orders, units*",
+    f"""(SELECT promotion_id, {zs('transaction_value')} AS revenue, count(DISTINCT transaction_id) AS orders,
+        {zs('quantity_item')} AS units FROM f1 WHERE promotion_id IS NOT NULL GROUP BY 1
+        ORDER BY revenue DESC, promotion_id LIMIT 10)"""), F1)
+
+O["promo_share_long"] = q(sel(
+    "promotion, metric, share*",
+    f"""(SELECT promotion, 'Revenue Share' AS metric, CASE WHEN rt <> 0 THEN revenue / rt ELSE 0.0 END AS share
+          FROM s, (SELECT {zs('revenue')} AS rt FROM s) a
+        UNION ALL
+        SELECT promotion, 'Order Share', CASE WHEN ot <> 0 THEN orders / ot ELSE 0.0 END
+          FROM s, (SELECT coalesce(sum(orders), 0) AS ot FROM s) b)"""),
+    F1, f"s AS {_PROMO_SUM('f1')}")
+
+# ---------------------------------------------------------------------------- stores
+O["store_profitability"] = q(sel(
+    "store_name, city, revenue*, units*, discount*, avg_discount_per_unit*",
+    f"""(SELECT store_name, city, {zs('transaction_value')} AS revenue, {zs('quantity_item')} AS units,
+        {zs('line_discount')} AS discount, {ratio(zs('line_discount'), zs('quantity_item'))} AS avg_discount_per_unit
+        FROM curated GROUP BY 1, 2)"""))
+
+
+def _perf_sql(keys: str, base: str) -> str:
+    return f"""(SELECT g.*, {ratio('gmv', 'orders')} AS aov, {ratio('units', 'orders')} AS items_per_order,
+        (CASE WHEN t <> 0 THEN gmv / t END) * 100.0 AS gmv_share_pct
+      FROM (SELECT {keys}, {zs('transaction_value')} AS gmv, {zs('quantity_item')} AS units,
+                   count(DISTINCT transaction_id) AS orders FROM {base} GROUP BY ALL) g,
+           (SELECT {zs('transaction_value')} AS t FROM {base}) tot)"""
+
+
+O["store_deep_dive"] = q(sel(
+    "store_id, store_name, store_city, store_province, gmv*, units*, orders, aov*, items_per_order*, gmv_share_pct*",
+    _perf_sql("store_id, store_name, store_city, store_province",
+              "(SELECT store_id, coalesce(store_name, store_id) AS store_name, coalesce(city, 'Unknown') AS store_city, "
+              "coalesce(province, 'Unknown') AS store_province, transaction_value, quantity_item, transaction_id "
+              "FROM curated)")))
+
+O["city_performance"] = q(sel(
+    "province, city, gmv*, units*, orders, aov*, items_per_order*, gmv_share_pct*",
+    _perf_sql("province, city",
+              "(SELECT coalesce(province, 'Unknown') AS province, coalesce(city, 'Unknown') AS city, "
+              "transaction_value, quantity_item, transaction_id FROM curated)")))
+
+O["city_category_top5"] = q(sel(
+    "city, category, transaction_value*, gmv_share_pct*, rank_in_city",
+    f"""(SELECT * FROM (SELECT g.*, (CASE WHEN sum(transaction_value) OVER (PARTITION BY city) <> 0
+            THEN transaction_value / sum(transaction_value) OVER (PARTITION BY city) END) * 100.0 AS gmv_share_pct,
+          row_number() OVER (PARTITION BY city ORDER BY transaction_value DESC, category) AS rank_in_city
+        FROM (SELECT coalesce(city, 'Unknown') AS city, coalesce(category, 'Unknown') AS category,
+                     {zs('transaction_value')} AS transaction_value FROM curated GROUP BY 1, 2) g)
+      WHERE rank_in_city <= 5)"""))
+
+# ---------------------------------------------------------------------------- customers
+CCV = f"""ccv AS (SELECT * FROM (SELECT g.*,
+      CASE WHEN quantity <> 0 THEN total_sales / quantity END AS unit_price FROM (
+        SELECT contact_id, city, count_if(promo_flag) AS promotion_touches, {zs('quantity_item')} AS quantity,
+          {zs('line_sales_value')} AS total_sales, {zs('line_original_value')} AS total_original
+        FROM f1 GROUP BY 1, 2) g) WHERE unit_price IS NOT NULL)"""
+O["customer_city_value"] = q(sel(
+    "contact_id, city, promotion_touches, quantity*, total_sales*, total_original*, unit_price*", "ccv"), F1, CCV)
+O["top_customers"] = q(sel(
+    "contact_id, city, sales*, units*, promotion_touches",
+    "(SELECT contact_id, city, total_sales AS sales, quantity AS units, promotion_touches FROM ccv "
+    "ORDER BY total_sales DESC, contact_id, city LIMIT 10)"), F1, CCV)
+
+COHORT = """pairs AS (SELECT DISTINCT contact_id, CAST(date_trunc('month', date_transaction) AS DATE) AS order_month
+      FROM curated WHERE contact_id IS NOT NULL),
+  cm AS (SELECT p.*, f.cohort_month,
+      CAST((year(order_month) - year(cohort_month)) * 12 + (month(order_month) - month(cohort_month)) + 1 AS INTEGER)
+        AS cohort_index
+    FROM pairs p JOIN (SELECT contact_id, min(order_month) AS cohort_month FROM pairs GROUP BY 1) f USING (contact_id)),
+  counts AS (SELECT cohort_month, cohort_index, count(*) AS c FROM cm GROUP BY 1, 2),
+  sizes AS (SELECT cohort_month, c AS cohort_size FROM counts WHERE cohort_index = 1),
+  ret AS (SELECT s.cohort_month, i.cohort_index,
+      round_even(CAST(coalesce(c.c, 0) AS DOUBLE) / s.cohort_size, 3) AS retention
+    FROM sizes s, (SELECT DISTINCT cohort_index FROM counts) i
+    LEFT JOIN counts c ON c.cohort_month = s.cohort_month AND c.cohort_index = i.cohort_index)"""
+O["cohort_retention"] = q(sel("cohort_month, cohort_index, retention*", "ret"), COHORT)
+O["cohort_sizes"] = q("SELECT cohort_month, cohort_size FROM sizes", COHORT)
+O["retention_curve"] = q(sel("cohort_month, cohort_index, retention*", "ret WHERE cohort_index <= 6"), COHORT)
+
+RFM_DASH = f"""rfm0 AS (SELECT contact_id,
+      CAST((SELECT max(date_transaction) FROM fl) + 1 - max(date_transaction) AS INTEGER) AS recency,
+      count(transaction_id) AS frequency, {zs('transaction_value')} AS monetary,
+      arg_min(latitude, CASE WHEN latitude IS NOT NULL THEN [s1, s2, s3, s4] END) AS latitude,
+      arg_min(longitude, CASE WHEN longitude IS NOT NULL THEN [s1, s2, s3, s4] END) AS longitude,
+      arg_min(city, CASE WHEN city IS NOT NULL THEN [s1, s2, s3, s4] END) AS city
+    FROM fl WHERE contact_id IS NOT NULL GROUP BY 1),
+  rfm1 AS (SELECT *, {qrs_sql('recency', 'contact_id', True)} AS r_score FROM rfm0),
+  rfm2 AS (SELECT *, {qrs_sql('frequency', 'contact_id', False)} AS f_score FROM rfm1),
+  rfm AS (SELECT *, {qrs_sql('monetary', 'contact_id', False)} AS m_score FROM rfm2),
+  rfms AS (SELECT *, r_score + f_score + m_score AS rfm_score,
+      CASE WHEN r_score + f_score + m_score <= 6 THEN 'At Risk' WHEN r_score + f_score + m_score <= 9 THEN 'Growth'
+           WHEN r_score + f_score + m_score <= 12 THEN 'Loyal' ELSE 'Champions' END AS segment FROM rfm)"""
+O["rfm_dashboard"] = q(sel(
+    "contact_id, recency, frequency, monetary*, latitude*, longitude*, city, r_score, f_score, m_score, rfm_score",
+    "rfms"), F1, fl("f1"), RFM_DASH)
+O["rfm_segments"] = q(sel(
+    "segment, customers, avg_r*, avg_f*, avg_m*, revenue*",
+    f"""(SELECT l.segment, coalesce(g.customers, 0) AS customers, g.avg_r, g.avg_f, g.avg_m,
+        coalesce(g.revenue, 0.0) AS revenue
+      FROM (VALUES ('At Risk'), ('Growth'), ('Loyal'), ('Champions')) l(segment)
+      LEFT JOIN (SELECT segment, count(*) AS customers, avg(r_score) AS avg_r, avg(f_score) AS avg_f,
+                        avg(m_score) AS avg_m, {zs('monetary')} AS revenue FROM rfms GROUP BY 1) g USING (segment))"""),
+    F1, fl("f1"), RFM_DASH)
+O["rfm_score_distribution"] = q("SELECT rfm_score, count(*) AS customers FROM rfms GROUP BY 1", F1, fl("f1"), RFM_DASH)
+O["rfm_by_location"] = q(sel(
+    "latitude*, longitude*, city, avg_rfm_score*",
+    "(SELECT latitude, longitude, city, avg(rfm_score) AS avg_rfm_score FROM rfms "
+    "WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2, 3)"), F1, fl("f1"), RFM_DASH)
+
+RFM_REP = f"""per_tx AS (SELECT contact_id, transaction_id, max(date_transaction) AS tx_date,
+      {zs('line_sales_value')} AS gmv FROM curated GROUP BY 1, 2),
+  base AS (SELECT contact_id,
+      CAST((SELECT max(date_transaction) FROM curated) - max(tx_date) AS INTEGER) AS recency,
+      count(*) AS frequency, {zs('gmv')} AS monetary, max(tx_date) AS last_purchase FROM per_tx GROUP BY 1),
+  {quantiles_cte('qr', 'base', 'recency', [0.2, 0.4, 0.6, 0.8], ['a', 'b', 'c', 'd'])},
+  {quantiles_cte('qf', 'base', 'frequency', [0.2, 0.4, 0.6, 0.8], ['a', 'b', 'c', 'd'])},
+  {quantiles_cte('qm', 'base', 'monetary', [0.2, 0.4, 0.6, 0.8], ['a', 'b', 'c', 'd'])},
+  scored AS (SELECT base.*,
+      CASE WHEN recency <= qr.a THEN 5 WHEN recency <= qr.b THEN 4 WHEN recency <= qr.c THEN 3
+           WHEN recency <= qr.d THEN 2 ELSE 1 END AS r,
+      CASE WHEN frequency <= qf.a THEN 1 WHEN frequency <= qf.b THEN 2 WHEN frequency <= qf.c THEN 3
+           WHEN frequency <= qf.d THEN 4 ELSE 5 END AS f,
+      CASE WHEN monetary <= qm.a THEN 1 WHEN monetary <= qm.b THEN 2 WHEN monetary <= qm.c THEN 3
+           WHEN monetary <= qm.d THEN 4 ELSE 5 END AS m
+    FROM base, qr, qf, qm),
+  rep AS (SELECT *, CAST(r AS VARCHAR) || CAST(f AS VARCHAR) || CAST(m AS VARCHAR) AS rfm_score,
+      CASE WHEN r + f + m >= 12 THEN 'Champions' WHEN r + f + m >= 9 THEN 'Loyal'
+           WHEN r + f + m >= 6 THEN 'Potentials' ELSE 'At Risk' END AS rfm_segment FROM scored)"""
+O["rfm_report"] = q(sel(
+    "contact_id, recency, frequency, monetary*, last_purchase, CAST(r AS INTEGER) AS r, CAST(f AS INTEGER) AS f, "
+    "CAST(m AS INTEGER) AS m, rfm_score, rfm_segment", "rep"), RFM_REP)
+O["rfm_report_segments"] = q(sel(
+    "rfm_segment, customers, avg_recency*, avg_frequency*, avg_monetary*, gmv*, customer_share_pct*, gmv_share_pct*",
+    f"""(SELECT g.*, customers / (SELECT sum(customers) FROM g) * 100.0 AS customer_share_pct,
+        (CASE WHEN (SELECT {zs('gmv')} FROM g) <> 0 THEN gmv / (SELECT {zs('gmv')} FROM g) END) * 100.0
+          AS gmv_share_pct FROM g)"""),
+    RFM_REP, f"""g AS (SELECT rfm_segment, count(DISTINCT contact_id) AS customers, avg(recency) AS avg_recency,
+        avg(frequency) AS avg_frequency, avg(monetary) AS avg_monetary, {zs('monetary')} AS gmv FROM rep GROUP BY 1)""")
+O["rfm_segment_category"] = q(sel(
+    "rfm_segment, category, gmv*, orders, gmv_share_pct*",
+    """(SELECT g.*, CASE WHEN sum(gmv) OVER (PARTITION BY rfm_segment) <> 0
+          THEN gmv / sum(gmv) OVER (PARTITION BY rfm_segment) * 100.0 ELSE 0.0 END AS gmv_share_pct FROM g)"""),
+    RFM_REP, f"""g AS (SELECT rfm_segment, coalesce(c.category, 'Unknown') AS category,
+        {zs('line_sales_value')} AS gmv, count(DISTINCT transaction_id) AS orders
+      FROM curated c JOIN rep USING (contact_id) GROUP BY 1, 2)""")
+O["recency_buckets"] = q(sel(
+    "recency_bucket, bucket_order, customers, gmv*, customer_share_pct*",
+    """(SELECT o.*, (CASE WHEN (SELECT sum(customers) FROM o) <> 0
+          THEN customers / (SELECT sum(customers) FROM o) END) * 100.0 AS customer_share_pct FROM o)"""),
+    RFM_REP, f"""o AS (SELECT l.recency_bucket, l.bucket_order, coalesce(g.customers, 0) AS customers,
+        coalesce(g.gmv, 0.0) AS gmv
+      FROM (VALUES ('0-30 days', 0), ('31-60', 1), ('61-90', 2), ('91-180', 3), ('181-365', 4), ('365+', 5))
+           l(recency_bucket, bucket_order)
+      LEFT JOIN (SELECT CASE WHEN recency > 0 AND recency <= 30 THEN '0-30 days'
+                             WHEN recency > 30 AND recency <= 60 THEN '31-60'
+                             WHEN recency > 60 AND recency <= 90 THEN '61-90'
+                             WHEN recency > 90 AND recency <= 180 THEN '91-180'
+                             WHEN recency > 180 AND recency <= 365 THEN '181-365'
+                             WHEN recency > 365 THEN '365+' END AS recency_bucket,
+                        count(DISTINCT contact_id) AS customers, {zs('monetary')} AS gmv
+                 FROM rep GROUP BY 1) g USING (recency_bucket))""")
+
+# ---------------------------------------------------------------------------- statistics
+ROLLUP = f"""tx AS (SELECT transaction_id, {zs('transaction_value')} AS transaction_value,
+      {zs('quantity_item')} AS quantity_item, bool_or(promo_flag) AS promo_flag FROM curated GROUP BY 1),
+  mom AS (SELECT count_if(NOT promo_flag) AS n0, count_if(promo_flag) AS n1,
+      avg(CASE WHEN NOT promo_flag THEN transaction_value END) AS mean0,
+      avg(CASE WHEN promo_flag THEN transaction_value END) AS mean1,
+      var_samp(CASE WHEN NOT promo_flag THEN transaction_value END) AS var0,
+      var_samp(CASE WHEN promo_flag THEN transaction_value END) AS var1
+    FROM tx WHERE transaction_value IS NOT NULL AND promo_flag IS NOT NULL)"""
+O["transaction_rollup"] = q(sel("transaction_id, transaction_value*, quantity_item*, promo_flag", "tx"), ROLLUP)
+O["promo_regression"] = q(sel(
+    "term, coef*, std_err*, t*",
+    """(SELECT term, coef, std_err, CASE WHEN std_err <> 0 THEN coef / std_err END AS t FROM (
+      SELECT 'Intercept' AS term, CASE WHEN n0 > 0 AND n1 > 0 THEN mean0 ELSE coalesce(mean0, mean1) END AS coef,
+        CASE WHEN n0 > 0 AND n1 > 0 THEN sqrt(s2 / n0) ELSE sqrt(s2 / (n0 + n1)) END AS std_err FROM m2
+      UNION ALL
+      SELECT 'Promo_Flag', CASE WHEN n0 > 0 AND n1 > 0 THEN mean1 - mean0 END,
+        CASE WHEN n0 > 0 AND n1 > 0 THEN sqrt(s2 * (1.0 / n0 + 1.0 / n1)) END FROM m2))"""),
+    ROLLUP, """m2 AS (SELECT *, (coalesce(var0, 0.0) * (n0 - 1) + coalesce(var1, 0.0) * (n1 - 1)) / (n0 + n1 - 2) AS s2
+      FROM mom WHERE n0 + n1 - 2 > 0)""")
+O["ab_test_promo"] = q(sel(
+    "promo_mean*, nonpromo_mean*, lift*, t_stat*, dof*",
+    """(SELECT mean1 AS promo_mean, mean0 AS nonpromo_mean,
+        CASE WHEN n0 > 0 AND n1 > 0 THEN mean1 - mean0 END AS lift,
+        CASE WHEN n0 > 0 AND n1 > 0 AND var1 / n1 + var0 / n0 <> 0
+             THEN (mean1 - mean0) / sqrt(var1 / n1 + var0 / n0) END AS t_stat,
+        CASE WHEN n0 > 0 AND n1 > 0
+             THEN (var1 / n1 + var0 / n0) * (var1 / n1 + var0 / n0)
+                  / ((var1 / n1) * (var1 / n1) / (n1 - 1) + (var0 / n0) * (var0 / n0) / (n0 - 1)) END AS dof
+      FROM mom)"""), ROLLUP)
+
+QUART = quantiles_cte("qu", "ccv", "unit_price", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
+O["unit_price_quartiles"] = q(sel("q25*, q50*, q75*", "qu"), F1, CCV, QUART)
+CONT = """cls AS (SELECT ccv.*, CASE WHEN unit_price <= q25 THEN 'Low Value' WHEN unit_price <= q75 THEN 'Medium Value'
+        ELSE 'High Value' END AS customer_category,
+      CASE WHEN promotion_touches > 0 THEN 'Used Promotion' ELSE 'No Promotion' END AS promotion_used FROM ccv, qu),
+  cnt AS (SELECT customer_category, promotion_used, count(*) AS customers FROM cls GROUP BY 1, 2),
+  cont AS (SELECT r.customer_category, c.promotion_used, coalesce(cnt.customers, 0) AS customers
+    FROM (SELECT DISTINCT customer_category FROM cnt) r, (SELECT DISTINCT promotion_used FROM cnt) c
+    LEFT JOIN cnt ON cnt.customer_category = r.customer_category AND cnt.promotion_used = c.promotion_used)"""
+O["promo_usage_contingency"] = q("SELECT * FROM cont", F1, CCV, QUART, CONT)
+O["promo_usage_crosstab"] = q(
+    """SELECT customer_category, coalesce(sum(CASE WHEN promotion_used = 'No Promotion' THEN customers END), 0)
+         AS "No Promotion",
+       coalesce(sum(CASE WHEN promotion_used = 'Used Promotion' THEN customers END), 0) AS "Used Promotion"
+       FROM cont GROUP BY 1""", F1, CCV, QUART, CONT)
+O["chi_square_promo_usage"] = q(sel(
+    "statistic*, dof, p_value*",
+    """(SELECT statistic, dof, CASE WHEN dof = 2 THEN exp(-statistic / 2.0) END AS p_value FROM (
+      SELECT sum((o - e) * (o - e) / e) AS statistic, any_value(dof) AS dof FROM (
+        SELECT e, dof, customers + CASE WHEN dof = 1 THEN sign(e - customers) * least(0.5, abs(e - customers))
+                                        ELSE 0.0 END AS o
+        FROM (SELECT cont.customers, rt * ct / n AS e, (nr - 1) * (nc - 1) AS dof
+              FROM cont JOIN (SELECT customer_category, sum(customers) AS rt FROM cont GROUP BY 1) USING (customer_category)
+                        JOIN (SELECT promotion_used, sum(customers) AS ct FROM cont GROUP BY 1) USING (promotion_used),
+                   (SELECT sum(customers) AS n, count(DISTINCT customer_category) AS nr,
+                           count(DISTINCT promotion_used) AS nc FROM cont)
+              WHERE nc = 2))))"""), F1, CCV, QUART, CONT)
+O["box_plot_stats"] = q(sel(
+    "q1*, median*, q3*, iqr*, whisker_low*, whisker_high*",
+    """(SELECT q25 AS q1, q50 AS median, q75 AS q3, q75 - q25 AS iqr,
+        (SELECT min(unit_price) FROM ccv WHERE unit_price >= q25 - 1.5 * (q75 - q25)) AS whisker_low,
+        (SELECT max(unit_price) FROM ccv WHERE unit_price <= q75 + 1.5 * (q75 - q25)) AS whisker_high FROM qu)"""),
+    F1, CCV, QUART)
+O["transaction_value_histogram"] = q(sel(
+    "bin, bin_start*, bin_end*, count",
+    """(SELECT CAST(b.bin AS INTEGER) AS bin, lo + b.bin * 20.0 AS bin_start, lo + (b.bin + 1) * 20.0 AS bin_end,
+        coalesce(c.cnt, 0) AS count
+      FROM st, (SELECT range AS bin FROM range((SELECT nb FROM st))) b
+      LEFT JOIN (SELECT least(CAST(floor((transaction_value - lo) / 20.0) AS BIGINT), nb - 1) AS bin, count(*) AS cnt
+                 FROM fl, st WHERE transaction_value >= 0 GROUP BY 1) c ON c.bin = b.bin)"""),
+    F1, fl("f1"), """st AS (SELECT lo, greatest(CAST(ceil((hi - lo + 20.0) / 20.0) AS BIGINT) - 1, 1) AS nb FROM
+      (SELECT min(transaction_value) AS lo, max(transaction_value) AS hi FROM fl WHERE transaction_value >= 0))""")
+
+# ---------------------------------------------------------------------------- quality, filters, sampling
+_QCOLS = [("transaction_id", "string"), ("contact_id", "string"), ("promotion_id", "string"),
+          ("transaction_value", "double"), ("quantity_item", "double"), ("latitude", "double"),
+          ("longitude", "double"), ("city", "string"), ("category", "string")]
+_qparts = []
+for _c, _t in _QCOLS:
+    _z = f"count_if({_c} = 0)" if _t == "double" else "CAST(NULL AS BIGINT)"
+    _qparts.append(f"""SELECT '{_c}' AS "column", '{_t}' AS dtype, count_if({_c} IS NULL) AS missing_count,
+        round_even(count_if({_c} IS NULL) / count(*) * 100.0, 2) AS missing_pct, {_z} AS zero_count,
+        count(DISTINCT {_c}) AS unique_values FROM f1 HAVING count(*) > 0""")
+O["data_quality"] = q(sel('"column", dtype, missing_count, missing_pct*, zero_count, unique_values',
+                          "(" + " UNION ALL ".join(_qparts) + ")"), F1)
+
+_FILTER = ("f2 AS (SELECT * FROM f1 WHERE year IN (1996, 1997) AND quarter IN (1, 2, 4) "
+           "AND days_since_epoch BETWEEN 9500 AND 10100 AND city IN ('Calgary', 'Edmonton', 'Online', 'Leduc'))")
+O["filtered_highlights"] = q(sel(_HL_SPEC, _HIGHLIGHTS("f2")), F1, _FILTER, fl("f2"), _CTY("f2"))
+O["facet_cities"] = q("SELECT DISTINCT city FROM f1 WHERE city IS NOT NULL", F1)
+O["sample_transactions"] = q(
+    f"SELECT {_rcols(CURATED_COLS, _CUR_DOUBLES)} FROM curated WHERE transaction_id IN (SELECT transaction_id FROM ("
+    "SELECT transaction_id, row_number() OVER (PARTITION BY m ORDER BY sha1(transaction_id), transaction_id) AS rn FROM "
+    "(SELECT DISTINCT CAST(date_trunc('month', date_transaction) AS DATE) AS m, transaction_id FROM curated)) "
+    "WHERE rn <= 20)")
+
+# ---------------------------------------------------------------------------- raw-table jobs
+O["store_lookup"] = q(sel(
+    "store_key, new_id, new_name, new_city, latitude*, longitude*, postal",
+    f"(SELECT skey AS store_key, new_id, new_name, new_city, lat AS latitude, lon AS longitude, "
+    f"{_postal('new_id')} AS postal FROM store_lookup)"))
+O["store_opening_trend"] = q("""SELECT CAST(year(d) AS INTEGER) AS year, count(*) AS openings FROM
+    (SELECT TRY_CAST(OPEN_DATE AS DATE) AS d FROM raw_store) WHERE d IS NOT NULL GROUP BY 1""")
+O["web_account_share"] = q(sel("has_web_account, contacts, share*", """(SELECT has_web_account, contacts,
+    contacts / sum(contacts) OVER () AS share FROM (SELECT upper(coalesce(Has_Web_Account, 'nan')) AS has_web_account,
+    count(*) AS contacts FROM raw_contact GROUP BY 1))"""))
+O["promotion_timeline"] = q("""SELECT CAST(m AS DATE) AS month, count(DISTINCT PROMO_ID) AS active_promotions FROM (
+    SELECT PROMO_ID, unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 MONTH)) AS m FROM (
+      SELECT PROMO_ID, CAST(date_trunc('month', TRY_CAST(START_DATE AS DATE)) AS DATE) AS s,
+             CAST(date_trunc('month', coalesce(TRY_CAST(END_DATE AS DATE), DATE '2000-01-01')) AS DATE) AS e
+      FROM raw_promo) WHERE s IS NOT NULL AND s <= e) GROUP BY 1""")
+O["cohort_retention_matrix"] = q(
+    "PIVOT (SELECT cohort_month, CAST(cohort_index AS VARCHAR) AS cohort_index, retention FROM ret) "
+    "ON cohort_index USING first(retention) GROUP BY cohort_month", COHORT)
