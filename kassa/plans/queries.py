@@ -18,16 +18,16 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
 
-def _finish(df: DataFrame) -> DataFrame:
+def _finish(df: DataFrame, round_output: bool = True) -> DataFrame:
     if "_seq" in df.columns:
         df = df.drop("_seq")
-    return round_doubles(df)
+    return round_doubles(df) if round_output else df
 
 
-def register(name: str):
+def register(name: str, round_output: bool = True):
     def deco(fn: Callable[[DataFrame], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _finish(fn(curated_from_testdata(spark, sf_dir)))
+            return _finish(fn(curated_from_testdata(spark, sf_dir)), round_output)
         run.__name__ = name
         run.__doc__ = fn.__doc__
         REGISTRY[name] = run
@@ -200,9 +200,12 @@ def _q_cohort(df):
     return C.cohort_retention(df)
 
 
-@register("cohort_retention_matrix")
+@register("cohort_retention_matrix", round_output=False)
 def _q_cohort_matrix(df):
-    return C.cohort_retention_matrix(df)
+    """R2 wide matrix; cells rounded in long form before the pivot."""
+    from kassa.functions.rounding import sig_round
+    long = C.cohort_retention(df).withColumn("retention", sig_round("retention"))
+    return long.groupBy("cohort_month").pivot("cohort_index").agg(F.first("retention"))
 
 
 @register("cohort_sizes")

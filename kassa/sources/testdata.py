@@ -39,7 +39,9 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount")
     od = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
+    # fact-to-fact join: both sides grow with the data, so it is a shuffle
+    # (sort-merge) join on the order key, never a broadcast of orders
+    j = li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey, "inner")
     okey = F.col("l_orderkey")
     unit = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     contact = (F.when(okey % 97 == 0, F.lit(""))
