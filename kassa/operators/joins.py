@@ -16,8 +16,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_SALT_BUCKETS = 64
+_STRING_WIDTH = 32  # assumed average bytes of a string value in the estimate
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (fixed widths, strings ~32 B)."""
+    from pyspark.sql import types as T
+
+    def width(dt) -> int:
+        if isinstance(dt, (T.StringType, T.BinaryType)):
+            return _STRING_WIDTH
+        if isinstance(dt, T.StructType):
+            return sum(width(f.dataType) for f in dt.fields)
+        if isinstance(dt, (T.ArrayType, T.MapType)):
+            return 4 * _STRING_WIDTH
+        return max(dt.defaultSize(), 1)
+    return 16 + sum(width(f.dataType) for f in df.schema.fields)
 
 
 def row_bound_ok(df: DataFrame, max_rows: int) -> bool:
@@ -25,19 +41,28 @@ def row_bound_ok(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a checked row bound; unchanged otherwise."""
-    return F.broadcast(df) if row_bound_ok(df, max_rows) else df
+def size_bound_ok(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when rows x estimated row width stays under ``max_bytes``.
+
+    The row count is exact (counting stops at the bound), so the broadcast
+    size is proven, not guessed from file sizes.
+    """
+    return row_bound_ok(df, max(max_bytes // row_width(df), 0))
+
+
+def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint behind a checked size bound; unchanged otherwise."""
+    return F.broadcast(df) if size_bound_ok(df, max_bytes) else df
 
 
 def left_join_skew_safe(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                         hot_values: Sequence[str] = ("",),
                         buckets: int = DEFAULT_SALT_BUCKETS,
-                        broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
+                        broadcast_max_bytes: int = DEFAULT_BROADCAST_BYTES,
                         salt_source: Sequence[str] | None = None) -> DataFrame:
     """``fact LEFT JOIN dim ON fact_key = dim_key`` robust to one hot key.
 
-    Small dimensions are broadcast (checked bound, no skew issue). Large ones
+    Dimensions under a checked byte bound are broadcast (no skew issue). Larger ones
     are sort-merge joined on (key, salt): fact rows with a hot key get a
     deterministic salt in [0, buckets) hashed from ``salt_source`` columns,
     and the dimension rows carrying a hot key are replicated once per salt
@@ -47,7 +72,7 @@ def left_join_skew_safe(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key:
     same = fact_key == dim_key
     dkey = "__dim_key" if same else dim_key
     d = dim.withColumnRenamed(dim_key, dkey) if same else dim
-    if row_bound_ok(dim, broadcast_max_rows):
+    if size_bound_ok(dim, broadcast_max_bytes):
         joined = fact.join(F.broadcast(d), F.col(fact_key) == F.col(dkey), "left")
     else:
         hot = list(hot_values)

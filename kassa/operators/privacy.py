@@ -18,7 +18,7 @@ from kassa.constants import (ALBERTA_CITIES, DEFAULT_COUNTRY, DEFAULT_PROVINCE,
                              STORE_NAME_FALLBACK_SEED)
 from kassa.functions.clean import normalise_identifier, strip
 from kassa.functions.privacy import hashed_postal, hashed_token
-from kassa.operators.joins import left_join_skew_safe, row_bound_ok
+from kassa.operators.joins import left_join_skew_safe, sized_broadcast
 from kassa.operators.rank import global_order
 
 
@@ -74,7 +74,7 @@ def build_store_lookup(stores: DataFrame, cities: Sequence[tuple] = ALBERTA_CITI
     mapping = build_city_mapping(stores, cities).select("city_key", "city_idx")
     ctab = city_table(spark, cities)
     out = (ranked.withColumn("_num", num)
-                 .join(F.broadcast(mapping) if row_bound_ok(mapping, 1_000_000) else mapping, "city_key", "left")
+                 .join(sized_broadcast(mapping), "city_key", "left")
                  .withColumn("city_idx", F.coalesce(F.col("city_idx"), F.lit(0)))
                  .join(F.broadcast(ctab), "city_idx", "left"))
     is_on = F.col("_online")
