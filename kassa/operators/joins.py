@@ -32,7 +32,13 @@ def row_width(df: DataFrame) -> int:
             return sum(width(f.dataType) for f in dt.fields)
         if isinstance(dt, (T.ArrayType, T.MapType)):
             return 4 * _STRING_WIDTH
-        return max(dt.defaultSize(), 1)
+        if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+            return 8
+        if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+            return 4
+        if isinstance(dt, T.DecimalType):
+            return 16
+        return 2
     return 16 + sum(width(f.dataType) for f in df.schema.fields)
 
 
