@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from kassa.constants import ALBERTA_CITIES, DEFAULT_COUNTRY, DEFAULT_PROVINCE
 from kassa.functions.clean import (coerce_numeric, normalise_identifier, parse_yyyymmdd,
                                    to_number, truthy)
+from kassa.operators.common import small
 from kassa.operators.enrich import merge_sales_with_references, strip_headers
 from kassa.operators.privacy import apply_identifier_hashing, apply_store_masking, build_store_lookup
 from kassa.session import checkpoint_dir
@@ -131,7 +132,7 @@ def curate(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple]
     stores = strip_headers(dims["store"]).withColumnRenamed("LIBELLE", "LIBELLE_y")
     if "_seq" not in stores.columns:
         stores = stores.withColumn("_seq", F.monotonically_increasing_id())
-    lookup = build_store_lookup(stores, cities)
+    lookup = small(build_store_lookup(stores, cities))  # bounded by the store dimension
     masked = apply_store_masking(merged, lookup, province, country)
     hashed = apply_identifier_hashing(masked)
     typed = prepare_numeric_and_date_fields(hashed)
@@ -142,12 +143,15 @@ def materialise(df: DataFrame, name: str = "curated", partition_by: Sequence[str
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Partitioned by year/month (partition pruning for month selections, S5)
-    and a lineage cut, so executor loss never recomputes the curation. No
-    extra shuffle: each task writes its rows into the month folders it holds.
+    and a lineage cut, so executor loss never recomputes the curation.
+    The REBALANCE hint clusters rows by the partition columns (few files per
+    month folder) while AQE splits a hot month into several
+    advisory-sized tasks and merges small ones — no sampling pass, no
+    single-task month.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/kassa-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     back = spark.read.parquet(path)
     return back.select(*[F.col(f"`{c}`").cast(df.schema[c].dataType).alias(c) for c in df.columns])
 
