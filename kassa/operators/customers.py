@@ -36,6 +36,11 @@ def top_customers(df: DataFrame, k: int = 10) -> DataFrame:
 
 
 # ---------------------------------------------------------------- cohorts
+def _known(df: DataFrame, exclude_missing: bool) -> DataFrame:
+    """Q22: the empty contact id counts as one customer unless excluded."""
+    return df.where(F.col("contact_id") != "") if exclude_missing else df
+
+
 def _customer_months(df: DataFrame) -> DataFrame:
     """Distinct (customer, order month) pairs with the cohort month and index.
 
@@ -51,18 +56,18 @@ def _customer_months(df: DataFrame) -> DataFrame:
     return p.withColumn("cohort_index", idx.cast("int"))
 
 
-def cohort_sizes(df: DataFrame) -> DataFrame:
+def cohort_sizes(df: DataFrame, exclude_missing: bool = False) -> DataFrame:
     """Distinct customers per first-purchase month."""
-    p = _customer_months(df)
+    p = _customer_months(_known(df, exclude_missing))
     return p.where(F.col("cohort_index") == 1).groupBy("cohort_month") \
             .agg(F.count(F.lit(1)).cast("long").alias("cohort_size"))
 
 
-def cohort_retention(df: DataFrame) -> DataFrame:
+def cohort_retention(df: DataFrame, exclude_missing: bool = False) -> DataFrame:
     """C1 (long form): retention per (cohort month, index) = distinct customers
     / cohort size, rounded half-even to 3 places; every observed index is
     listed for every cohort, missing cells are 0 (R2 unstack fill)."""
-    p = _customer_months(df)
+    p = _customer_months(_known(df, exclude_missing))
     counts = p.groupBy("cohort_month", "cohort_index").agg(F.count(F.lit(1)).cast("long").alias("_c"))
     sizes = counts.where(F.col("cohort_index") == 1).select("cohort_month", F.col("_c").alias("cohort_size"))
     max_idx = counts.agg(F.max("cohort_index")).scalar()
@@ -87,12 +92,17 @@ def retention_curve(df: DataFrame, horizon: int = 6) -> DataFrame:
 
 
 # ---------------------------------------------------------------- dashboard RFM
-def rfm_dashboard(df: DataFrame) -> DataFrame:
+def rfm_dashboard(df: DataFrame, fix_recency: bool = False, exclude_missing: bool = False) -> DataFrame:
     """C4: from first lines: recency (days to max date + 1), frequency, monetary
     (first-line transaction values), first non-null latitude/longitude/city,
-    R/F/M quantile-rank scores (R ranked on recency descending, then flipped)
-    and their sum."""
-    tx = first_line_per_transaction(df, ["contact_id", "date_transaction", "transaction_value",
+    R/F/M quantile-rank scores and their sum.
+
+    Reference behaviour (default): R is ranked on recency descending and then
+    flipped, so the most recent customers get R = 1 (Q13). ``fix_recency``
+    gives them R = 5 instead.
+    """
+    tx = first_line_per_transaction(_known(df, exclude_missing),
+                                    ["contact_id", "date_transaction", "transaction_value",
                                          "city", "latitude", "longitude"])
     tx = tx.where(F.col("contact_id").isNotNull())
     current = F.date_add(tx.agg(F.max("date_transaction")).scalar(), 1)
@@ -108,6 +118,8 @@ def rfm_dashboard(df: DataFrame) -> DataFrame:
         first_non_null("longitude").alias("longitude"),
         first_non_null("city").alias("city"))
     rfm = quantile_rank_score(rfm, "recency", "contact_id", "r_score", reverse=True)
+    if fix_recency:
+        rfm = rfm.withColumn("r_score", (F.lit(6) - F.col("r_score")).cast("int"))
     rfm = quantile_rank_score(rfm, "frequency", "contact_id", "f_score")
     rfm = quantile_rank_score(rfm, "monetary", "contact_id", "m_score")
     return rfm.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
@@ -149,9 +161,10 @@ def rfm_by_location(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- report RFM
-def rfm_base(df: DataFrame) -> DataFrame:
+def rfm_base(df: DataFrame, exclude_missing: bool = False) -> DataFrame:
     """Per (customer, transaction) GMV, then per customer: recency (days to
     the overall max date), distinct transactions, monetary, last purchase."""
+    df = _known(df, exclude_missing)
     ref = df.agg(F.max("date_transaction")).scalar()
     span = F.datediff(ref, df.agg(F.min("date_transaction")).scalar())
     per_tx = df.groupBy("contact_id", "transaction_id").agg(

@@ -96,9 +96,12 @@ def promo_hotspots(df: DataFrame, k: int = 30) -> DataFrame:
     return top_k(g, k, [F.col("gmv").desc(), F.col("category"), F.col("store_name"), F.col("promo_label")])
 
 
-def top_promotions(df: DataFrame, k: int = 10) -> DataFrame:
-    """Per promotion id ('' = no promotion is one group): revenue
-    (line-summed transaction value), distinct orders, units; top ``k``."""
+def top_promotions(df: DataFrame, k: int = 10, exclude_missing: bool = False) -> DataFrame:
+    """Per promotion id ('' = no promotion is one group unless
+    ``exclude_missing``): revenue (line-summed transaction value), distinct
+    orders, units; top ``k``."""
+    if exclude_missing:
+        df = df.where(F.col("promotion_id") != "")
     g = (df.where(F.col("promotion_id").isNotNull()).groupBy("promotion_id")
            .agg(zsum("transaction_value").alias("revenue"),
                 F.countDistinct("transaction_id").cast("long").alias("orders"),
@@ -118,16 +121,17 @@ def promo_share_long(df: DataFrame) -> DataFrame:
     return wide.unpivot(["promotion"], ["Revenue Share", "Order Share"], "metric", "share")
 
 
-def promotion_timeline(promotions: DataFrame, as_of: str = "2000-01-01") -> DataFrame:
+def promotion_timeline(promotions: DataFrame, as_of: str | None = None) -> DataFrame:
     """Distinct active promotions per month.
 
     A promotion is active in every month from its start month to its end month
-    (null end -> ``as_of``); null start is skipped; start after end yields no
-    month unless both fall in the same month (then one).
+    (null end -> ``as_of``, default today); null start is skipped; start after
+    end yields no month unless both fall in the same month (then one).
     """
     t = {f.name: f.dataType for f in promotions.schema.fields}
     start = month_start(parse_iso_date("START_DATE", t.get("START_DATE")))
-    end = month_start(F.coalesce(parse_iso_date("END_DATE", t.get("END_DATE")), F.lit(as_of).cast("date")))
+    fill = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    end = month_start(F.coalesce(parse_iso_date("END_DATE", t.get("END_DATE")), fill))
     p = promotions.select(F.col("PROMO_ID").alias("promo_id"), start.alias("_s"), end.alias("_e")) \
                   .where(F.col("_s").isNotNull() & (F.col("_s") <= F.col("_e")))
     months = p.select("promo_id", F.explode(F.sequence("_s", "_e", F.expr("INTERVAL 1 MONTH"))).alias("month"))

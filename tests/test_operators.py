@@ -76,3 +76,13 @@ def test_chi_square_yates(spark):
                 o = o + (0.5 if e > o else -0.5) * (1 if abs(e - o) >= 0.5 else 2 * abs(e - o))
             stat += (o - e) ** 2 / e
     assert r["statistic"] == pytest.approx(stat, rel=1e-12)
+
+
+def test_options(spark):
+    d = dt.date
+    rows = [("a", "t1", d(2023, 1, 5), 1.0), ("", "t2", d(2023, 1, 9), 1.0), ("b", "t3", d(2023, 2, 1), 1.0)]
+    df = _lines(spark, rows)
+    assert cohort_sizes(df).agg(F.sum("cohort_size")).first()[0] == 3
+    assert cohort_sizes(df, exclude_missing=True).agg(F.sum("cohort_size")).first()[0] == 2
+    promos = spark.createDataFrame([("P1", "2023-01-01", None)], "PROMO_ID string, START_DATE string, END_DATE string")
+    assert promotion_timeline(promos).count() >= 12  # open-ended: runs to today
