@@ -22,9 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kassa.functions.clean import ceil_div
+from kassa.operators.joins import size_bound_ok
 from kassa.session import checkpoint_dir
 
 _LOW_BITS = (1 << 33) - 1
+# inputs proven smaller than this are ordered in one task (a plain window)
+SINGLE_TASK_MAX_BYTES = 32 * 1024 * 1024
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
@@ -33,16 +36,23 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 def global_order(df: DataFrame, order: Sequence[Column], rank_col: str = "_rank",
                  running: dict[str, Column] | None = None,
-                 partitions: int | None = None, total_col: str | None = None) -> DataFrame:
+                 partitions: int | None = None, total_col: str | None = None,
+                 single_task_max_bytes: int = SINGLE_TASK_MAX_BYTES) -> DataFrame:
     """Add a 1-based ``rank_col`` following ``order`` (must be a total order).
 
     ``running`` maps output names to value columns whose running sum (in that
     order, current row included) is added as well. ``total_col`` names an
     optional column holding the total row count (read off the per-partition
     counts, so no second pass over the data).
+
+    Size-adaptive: an input proven (exact row count x schema width) to be
+    under ``single_task_max_bytes`` is ordered with a plain window in one
+    task; anything larger takes the distributed path below.
     """
-    checkpoint_dir(df.sparkSession)
     running = dict(running or {})
+    if single_task_max_bytes > 0 and size_bound_ok(df, single_task_max_bytes):
+        return _global_order_small(df, order, rank_col, running, total_col)
+    checkpoint_dir(df.sparkSession)
     staged = df
     for name, expr in running.items():
         staged = staged.withColumn(f"_v_{name}", expr)
@@ -74,6 +84,18 @@ def global_order(df: DataFrame, order: Sequence[Column], rank_col: str = "_rank"
     return out.drop(*drop)
 
 
+def _global_order_small(df: DataFrame, order: Sequence[Column], rank_col: str,
+                        running: dict[str, Column], total_col: str | None) -> DataFrame:
+    """Bounded input: one ordered window (single task by construction)."""
+    w = Window.orderBy(*order)
+    out = df.withColumn(rank_col, F.row_number().over(w).cast("long"))
+    for k, expr in running.items():
+        out = out.withColumn(k, F.sum(expr).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    if total_col:
+        out = out.withColumn(total_col, F.count(F.lit(1)).over(Window.partitionBy()).cast("long"))
+    return out
+
+
 def quantile_rank_score(df: DataFrame, value: str, key: str, out: str,
                         desired_bins: int = 5, reverse: bool = False) -> DataFrame:
     """Quantile score 1..desired_bins of rank(method='first') — qcut on ranks.

@@ -43,9 +43,25 @@ def test_exact_quantiles(spark):
     assert np.allclose([row[c] for c in row.__fields__], expect, rtol=0, atol=1e-12)
 
 
-def test_global_order_running_sum(spark):
+@pytest.mark.parametrize("small_bytes", [0, 1 << 30])  # distributed path, single-task path
+def test_global_order_running_sum(spark, small_bytes):
     df = spark.range(200).select((F.col("id") * 37 % 200).alias("k"), (F.col("id") % 7).cast("double").alias("v"))
-    out = global_order(df, [F.col("k").asc()], rank_col="r", running={"cum": F.col("v")}, partitions=6).toPandas()
+    out = global_order(df, [F.col("k").asc()], rank_col="r", running={"cum": F.col("v")}, partitions=6,
+                       total_col="n", single_task_max_bytes=small_bytes).toPandas()
     out = out.sort_values("k")
     assert list(out["r"]) == list(range(1, 201))
     assert np.allclose(out["cum"].values, out["v"].cumsum().values)
+    assert set(out["n"]) == {200}
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 101])
+def test_score_paths_agree(spark, n, monkeypatch):
+    import kassa.operators.rank as rk
+    rng = np.random.default_rng(n + 1)
+    rows = [(f"c{i:03d}", float(v)) for i, v in enumerate(rng.integers(0, 5, size=n))]
+    df = spark.createDataFrame(rows, "k string, v double")
+    small = sorted(map(tuple, quantile_rank_score(df, "v", "k", "s").collect()))
+    monkeypatch.setattr(rk, "SINGLE_TASK_MAX_BYTES", 0)
+    monkeypatch.setattr(rk.global_order, "__defaults__", rk.global_order.__defaults__[:-1] + (0,))
+    big = sorted(map(tuple, quantile_rank_score(df.repartition(4), "v", "k", "s").collect()))
+    assert small == big
