@@ -23,14 +23,16 @@ def compute_highlights(df: DataFrame) -> DataFrame:
               .agg(zsum("transaction_value").alias("_rev")))
     top = top_k(city, 1, [F.col("_rev").desc(), F.col("city").asc()])
     rev = F.col("total_revenue")
+    ln = lines.select(F.struct("total_units", "_online")).scalar()  # one subquery each
+    tc = top.select(F.struct("city", "_rev")).scalar()
     return totals.select(
         rev,
-        lines.select("total_units").scalar().alias("total_units"),
+        ln.getField("total_units").alias("total_units"),
         F.col("total_orders"),
         F.when(F.col("total_orders") > 0, rev / F.col("total_orders")).otherwise(F.lit(0.0)).alias("avg_order_value"),
-        top.select("city").scalar().alias("top_city"),
-        top.select("_rev").scalar().alias("top_city_revenue"),
-        F.when(rev != 0, lines.select("_online").scalar() / rev).otherwise(F.lit(0.0)).alias("online_share"),
+        tc.getField("city").alias("top_city"),
+        tc.getField("_rev").alias("top_city_revenue"),
+        F.when(rev != 0, ln.getField("_online") / rev).otherwise(F.lit(0.0)).alias("online_share"),
     )
 
 

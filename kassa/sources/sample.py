@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from kassa.functions.clean import month_start
 from kassa.operators.common import top_k_per_group
+from kassa.operators.joins import sized_broadcast
 
 
-def sample_transactions(df: DataFrame, per_month: int = 1000) -> DataFrame:
+def sample_transactions(df: DataFrame, per_month: int = 1000, salt_buckets: int = 256) -> DataFrame:
     """Keep every line of up to ``per_month`` transactions per month.
 
     Transactions are chosen by the order of sha1(transaction id) — stable
@@ -19,8 +20,9 @@ def sample_transactions(df: DataFrame, per_month: int = 1000) -> DataFrame:
     """
     tx = df.select(month_start("date_transaction").alias("_m"), "transaction_id").distinct() \
            .withColumn("_h", F.sha1("transaction_id"))
-    chosen = top_k_per_group(tx, per_month, ["_m"], [F.col("_h").asc(), F.col("transaction_id").asc()])
-    return df.join(chosen.select("transaction_id").distinct(), "transaction_id", "left_semi")
+    chosen = top_k_per_group(tx, per_month, ["_m"], [F.col("_h").asc(), F.col("transaction_id").asc()],
+                             salt_buckets=salt_buckets)
+    return df.join(sized_broadcast(chosen.select("transaction_id").distinct()), "transaction_id", "left_semi")
 
 
 def sample_dimension(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str) -> DataFrame:
