@@ -34,8 +34,9 @@ def hashed_postal(text: Column) -> Column:
     """
     h = F.sha1(text)
 
-    def nib(i: int) -> Column:
-        return F.conv(F.substring(h, i, 1), 16, 10).cast("int")
+    def nib(i: int) -> Column:  # value of the i-th (lower-case) hex digit
+        code = F.ascii(F.substring(h, i, 1))
+        return F.when(code >= 97, code - 87).otherwise(code - 48)
 
     def digit(i: int) -> Column:
         return (nib(i) % 10).cast("string")

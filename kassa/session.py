@@ -14,6 +14,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # HotSpot does not JIT methods above 8000 bytes of bytecode; stages whose
+    # generated code is larger fall back to per-operator codegen, which is JIT
+    # compiled (measured 35% faster on the curation job).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
