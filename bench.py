@@ -20,9 +20,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     mem = os.environ.get("BENCH_MEM", "4g")
+    extra_conf = dict(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if "=" in kv)
     from kassa.session import build_session
     spark = build_session(f"local[{cpus}]", app="kassa-bench", shuffle_partitions=cpus * 2,
-                          extra={"spark.driver.memory": mem, "spark.ui.showConsoleProgress": "false"})
+                          extra={"spark.driver.memory": mem, "spark.ui.showConsoleProgress": "false", **extra_conf})
     spark.sparkContext.setLogLevel("ERROR")
     from kassa.plans.curated import curated_from_testdata
     from kassa.plans.queries import REGISTRY

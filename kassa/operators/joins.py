@@ -65,7 +65,8 @@ def left_join_skew_safe(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key:
                         hot_values: Sequence[str] = ("",),
                         buckets: int = DEFAULT_SALT_BUCKETS,
                         broadcast_max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                        salt_source: Sequence[str] | None = None) -> DataFrame:
+                        salt_source: Sequence[str] | None = None,
+                        assume_small: bool = False) -> DataFrame:
     """``fact LEFT JOIN dim ON fact_key = dim_key`` robust to one hot key.
 
     Dimensions under a checked byte bound are broadcast (no skew issue). Larger ones
@@ -74,11 +75,13 @@ def left_join_skew_safe(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key:
     and the dimension rows carrying a hot key are replicated once per salt
     value. Rows and multiplicities equal the plain left join. When both keys
     share a name the result keeps one key column (pandas ``on=`` merge).
+    ``assume_small`` skips the check when the caller has already proven the
+    bound (e.g. a table derived row-for-row from a checked dimension).
     """
     same = fact_key == dim_key
     dkey = "__dim_key" if same else dim_key
     d = dim.withColumnRenamed(dim_key, dkey) if same else dim
-    if size_bound_ok(dim, broadcast_max_bytes):
+    if assume_small or size_bound_ok(dim, broadcast_max_bytes):
         joined = fact.join(F.broadcast(d), F.col(fact_key) == F.col(dkey), "left")
     else:
         hot = list(hot_values)

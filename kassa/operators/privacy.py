@@ -18,9 +18,13 @@ from kassa.constants import (ALBERTA_CITIES, DEFAULT_COUNTRY, DEFAULT_PROVINCE,
                              STORE_NAME_FALLBACK_SEED)
 from kassa.functions.clean import normalise_identifier, strip
 from kassa.functions.privacy import hashed_postal, hashed_token
-from kassa.operators.joins import left_join_skew_safe, sized_broadcast
+from kassa.operators.joins import DEFAULT_BROADCAST_BYTES, left_join_skew_safe, size_bound_ok, sized_broadcast
 from kassa.operators.rank import global_order
 
+# the store dimension is a business-bounded table: below this proven size its
+# numbering runs as one ordered window instead of the distributed global order
+STORE_SINGLE_TASK_BYTES = 64 * 1024 * 1024
+
 
 def city_table(spark: SparkSession, cities: Sequence[tuple] = ALBERTA_CITIES) -> DataFrame:
     """The constant remap list as a frame (city_idx, city_label, latitude, longitude)."""
@@ -38,7 +42,8 @@ def build_city_mapping(stores: DataFrame, cities: Sequence[tuple] = ALBERTA_CITI
     first = (stores.select(key.alias("city_key"), F.col("_seq"))
                    .where(~F.col("city_key").isin("", "online"))
                    .groupBy("city_key").agg(F.min("_seq").alias("_first")))
-    numbered = global_order(first, [F.col("_first").asc(), F.col("city_key").asc()], rank_col="_rn")
+    numbered = global_order(first, [F.col("_first").asc(), F.col("city_key").asc()], rank_col="_rn",
+                            single_task_max_bytes=STORE_SINGLE_TASK_BYTES)
     mapped = numbered.select("city_key", ((F.col("_rn") - 1) % len(cities)).cast("int").alias("city_idx"))
     return mapped.join(F.broadcast(city_table(stores.sparkSession, cities)), "city_idx")
 
@@ -68,7 +73,8 @@ def build_store_lookup(stores: DataFrame, cities: Sequence[tuple] = ALBERTA_CITI
         online = cond if online is None else (online | cond)
     first = first.select("store_key", "_seq", online.alias("_online"),
                          F.lower(strip(F.col("_row._city"))).alias("city_key"))
-    ranked = global_order(first, [F.col("_online").asc(), F.col("_seq").asc(), F.col("store_key").asc()], rank_col="_r")
+    ranked = global_order(first, [F.col("_online").asc(), F.col("_seq").asc(), F.col("store_key").asc()], rank_col="_r",
+                          single_task_max_bytes=STORE_SINGLE_TASK_BYTES)
     n_physical = first.agg(F.count_if(~F.col("_online")).cast("long")).scalar()
     num = F.when(F.col("_online"), F.col("_r") - n_physical).otherwise(F.col("_r")).cast("int")
     mapping = build_city_mapping(stores, cities).select("city_key", "city_idx")
@@ -92,12 +98,14 @@ def build_store_lookup(stores: DataFrame, cities: Sequence[tuple] = ALBERTA_CITI
 
 
 def apply_store_masking(df: DataFrame, lookup: DataFrame,
-                        province: str = DEFAULT_PROVINCE, country: str = DEFAULT_COUNTRY) -> DataFrame:
+                        province: str = DEFAULT_PROVINCE, country: str = DEFAULT_COUNTRY,
+                        lookup_is_small: bool | None = None) -> DataFrame:
     """A5: replace store identity, creation store, city, geo and postal code.
 
     Uses the *joined* STORE_ID (empty when the fact's store found no match).
     Both lookups are left joins (broadcast under a checked bound, salted on
-    the empty key otherwise).
+    the empty key otherwise). ``lookup_is_small`` passes a bound already
+    proven upstream (the lookup has at most one narrower row per store).
     """
     if "Store_Of_Creation" not in df.columns:
         df = df.withColumn("Store_Of_Creation", F.lit(None).cast("string"))
@@ -112,8 +120,13 @@ def apply_store_masking(df: DataFrame, lookup: DataFrame,
                         F.col("latitude").alias("__lat1"), F.col("longitude").alias("__lon1"))
     lk2 = lookup.select(F.col("store_key").alias("__k2"), F.col("new_id").alias("__id2"))
     salt = ["_seq"] if "_seq" in df.columns else None
-    df = left_join_skew_safe(df, lk1, "__sk", "__k1", salt_source=salt)
-    df = left_join_skew_safe(df, lk2, "__soc", "__k2", salt_source=salt)
+    if lookup_is_small is None:
+        lookup_is_small = size_bound_ok(lookup)
+    bound = DEFAULT_BROADCAST_BYTES if lookup_is_small else 0
+    df = left_join_skew_safe(df, lk1, "__sk", "__k1", salt_source=salt, broadcast_max_bytes=bound,
+                             assume_small=lookup_is_small)
+    df = left_join_skew_safe(df, lk2, "__soc", "__k2", salt_source=salt, broadcast_max_bytes=bound,
+                             assume_small=lookup_is_small)
     masked_id = F.coalesce(F.col("__id1"), F.when(x != "", hashed_token(x, STORE_FALLBACK_PREFIX)).otherwise(F.lit("")))
     name = F.coalesce(F.col("__name1"),
                       hashed_token(F.when(x == "", F.lit(STORE_NAME_FALLBACK_SEED)).otherwise(x), STORE_NAME_FALLBACK_PREFIX))

@@ -19,6 +19,7 @@ from kassa.constants import ALBERTA_CITIES, DEFAULT_COUNTRY, DEFAULT_PROVINCE
 from kassa.functions.clean import (coerce_numeric, normalise_identifier, parse_yyyymmdd,
                                    to_number, truthy)
 from kassa.operators.common import small
+from kassa.operators.joins import size_bound_ok
 from kassa.operators.enrich import merge_sales_with_references, strip_headers
 from kassa.operators.privacy import apply_identifier_hashing, apply_store_masking, build_store_lookup
 from kassa.session import checkpoint_dir
@@ -132,8 +133,9 @@ def curate(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple]
     stores = strip_headers(dims["store"]).withColumnRenamed("LIBELLE", "LIBELLE_y")
     if "_seq" not in stores.columns:
         stores = stores.withColumn("_seq", F.monotonically_increasing_id())
-    lookup = small(build_store_lookup(stores, cities))  # bounded by the store dimension
-    masked = apply_store_masking(merged, lookup, province, country)
+    stores_small = size_bound_ok(stores)
+    lookup = small(build_store_lookup(stores, cities))  # at most one (narrower) row per store
+    masked = apply_store_masking(merged, lookup, province, country, lookup_is_small=stores_small)
     hashed = apply_identifier_hashing(masked)
     typed = prepare_numeric_and_date_fields(hashed)
     return to_curated_schema(typed)
