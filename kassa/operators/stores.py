@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kassa.functions.clean import safe_ratio
-from kassa.operators.common import top_k_per_group, zsum
+from kassa.operators.common import top_k, top_k_per_group, zsum
 
 
 def store_profitability(df: DataFrame) -> DataFrame:
@@ -60,3 +60,15 @@ def city_category_mix(df: DataFrame, k: int = 5) -> DataFrame:
          .drop("_tot")
     return top_k_per_group(g, k, ["city"], [F.col("transaction_value").desc(), F.col("category").asc()],
                            rank_col="rank_in_city")
+
+
+def store_top_bottom(df: DataFrame, k: int = 15) -> DataFrame:
+    """G15 views: the ``k`` stores with the highest GMV and the ``k`` with the
+    lowest (two distributed top-k), tagged by ``view`` with a 1-based rank."""
+    d = store_deep_dive(df)
+    top = top_k(d, k, [F.col("gmv").desc(), F.col("store_id")]).withColumn("view", F.lit("top"))
+    bottom = top_k(d, k, [F.col("gmv").asc(), F.col("store_id")]).withColumn("view", F.lit("bottom"))
+    from pyspark.sql import Window
+    w = Window.partitionBy("view").orderBy(F.when(F.col("view") == "top", -F.col("gmv")).otherwise(F.col("gmv")),
+                                           "store_id")  # at most 2k rows
+    return top.unionByName(bottom).withColumn("view_rank", F.row_number().over(w).cast("long"))

@@ -174,6 +174,11 @@ def _q_store_dd(df):
     return ST.store_deep_dive(df)
 
 
+@register("store_top_bottom15")
+def _q_store_tb(df):
+    return ST.store_top_bottom(df, 15)
+
+
 @register("city_performance")
 def _q_city_perf(df):
     return ST.city_performance(df)

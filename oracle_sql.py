@@ -458,6 +458,19 @@ O["store_deep_dive"] = q(sel(
               "coalesce(province, 'Unknown') AS store_province, transaction_value, quantity_item, transaction_id "
               "FROM curated)")))
 
+O["store_top_bottom15"] = q(sel(
+    "store_id, store_name, store_city, store_province, gmv*, units*, orders, aov*, items_per_order*, gmv_share_pct*, "
+    "view, view_rank",
+    """(SELECT *, 'top' AS view, row_number() OVER (ORDER BY gmv DESC, store_id) AS view_rank FROM dd
+          QUALIFY view_rank <= 15
+        UNION ALL
+        SELECT *, 'bottom', row_number() OVER (ORDER BY gmv, store_id) FROM dd
+          QUALIFY row_number() OVER (ORDER BY gmv, store_id) <= 15)"""),
+    "dd AS " + _perf_sql("store_id, store_name, store_city, store_province",
+                         "(SELECT store_id, coalesce(store_name, store_id) AS store_name, coalesce(city, 'Unknown') "
+                         "AS store_city, coalesce(province, 'Unknown') AS store_province, transaction_value, "
+                         "quantity_item, transaction_id FROM curated)"))
+
 O["city_performance"] = q(sel(
     "province, city, gmv*, units*, orders, aov*, items_per_order*, gmv_share_pct*",
     _perf_sql("province, city",

@@ -94,3 +94,10 @@ def test_streaming_ingestion(spark, root):
     got = spark.read.parquet(out)
     assert got.count() == 5
     assert got.where(F.col("year") == 2024).count() == 1
+
+
+def test_sample_dimension(spark):
+    from kassa.sources.sample import sample_dimension
+    fact = spark.createDataFrame([("a",), ("b",)], "k string")
+    dim = spark.createDataFrame([("a", 1), ("c", 2)], "key string, v int")
+    assert [r["key"] for r in sample_dimension(dim, fact, "key", "k").collect()] == ["a"]
