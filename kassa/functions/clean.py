@@ -15,7 +15,6 @@ from kassa.constants import MISSING_ID_TOKENS, TRUE_TOKENS
 # plain decimal / scientific notation; rejects '1.0d', 'NaN', '1,234.56' after comma swap
 _NUMBER_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _INF_RE = r"^(?i)[+-]?inf(inity)?$"
-_WS = "[\\s\\u00a0]"
 # characters Python's str.strip() removes (ASCII whitespace, separators, Unicode spaces)
 _STRIP_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
                 "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")

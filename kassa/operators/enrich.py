@@ -8,7 +8,6 @@ the empty "missing" key matches an empty dimension key like any other value.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from kassa.functions.clean import normalise_identifier
 from kassa.operators.joins import left_join_skew_safe, suffix_clashes

@@ -8,6 +8,8 @@ the final one or two rows go through the p-value UDF.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -171,7 +173,6 @@ def transaction_value_histogram(df: DataFrame, bin_width: float = 20.0) -> DataF
     if stats is None or stats["lo"] is None:
         return spark.createDataFrame([], "bin int, bin_start double, bin_end double, count long")
     lo, hi, w = float(stats["lo"]), float(stats["hi"]), float(bin_width)
-    import math
     nbins = max(int(math.ceil((hi - lo + w) / w)) - 1, 1)
     idx = F.least(F.floor((F.col("transaction_value") - F.lit(lo)) / F.lit(w)).cast("int"), F.lit(nbins - 1))
     counts = tx.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).cast("long").alias("count"))
