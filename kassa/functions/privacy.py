@@ -17,14 +17,14 @@ def hashed_token(text: Column, prefix: str, length: int = 8) -> Column:
     return F.concat(F.lit(prefix), F.upper(F.substring(F.sha1(text), 1, length)))
 
 
-def pseudonymise(c, prefix: str) -> Column:
+def pseudonymise(c, prefix: str, length: int = 8) -> Column:
     """Identifier hashing with pandas' ``str(value).strip()`` semantics.
 
     A null (a key that found no match in a left join) is hashed as the text
     'nan'; an empty string stays empty.
     """
     t = strip(F.coalesce(_col(c).cast("string"), F.lit("nan")))
-    return F.when(t == "", F.lit("")).otherwise(hashed_token(t, prefix))
+    return F.when(t == "", F.lit("")).otherwise(hashed_token(t, prefix, length))
 
 
 def hashed_postal(text: Column) -> Column:

@@ -124,8 +124,12 @@ def to_curated_schema(df: DataFrame) -> DataFrame:
 
 
 def curate(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple] = ALBERTA_CITIES,
-           province: str = DEFAULT_PROVINCE, country: str = DEFAULT_COUNTRY) -> DataFrame:
-    """Whole curation job; returns the curated (snake_case) frame, lazily."""
+           province: str = DEFAULT_PROVINCE, country: str = DEFAULT_COUNTRY, id_hash_length: int = 8) -> DataFrame:
+    """Whole curation job; returns the curated (snake_case) frame, lazily.
+
+    ``id_hash_length`` = 8 reproduces the reference pseudonyms; use 16+ for
+    large tables (see :func:`apply_identifier_hashing`).
+    """
     sales = strip_headers(sales)
     if "Source_File" in sales.columns:
         sales = sales.drop("Source_File")
@@ -136,7 +140,7 @@ def curate(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple]
     stores_small = size_bound_ok(stores)
     lookup = small(build_store_lookup(stores, cities))  # at most one (narrower) row per store
     masked = apply_store_masking(merged, lookup, province, country, lookup_is_small=stores_small)
-    hashed = apply_identifier_hashing(masked)
+    hashed = apply_identifier_hashing(masked, length=id_hash_length)
     typed = prepare_numeric_and_date_fields(hashed)
     return to_curated_schema(typed)
 

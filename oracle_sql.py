@@ -193,7 +193,7 @@ curated AS (
 
 # first line of each transaction, in ingestion order
 FIRST_LINE = """first_line AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY s2, s3, s4, s5, s6, s7) AS _fl
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY s1, s2, s3, s4, s5, s6, s7) AS _fl
                  FROM curated) WHERE _fl = 1)"""
 
 
@@ -228,7 +228,7 @@ ORACLE["curated_sales"] = q(f"SELECT {_rcols(CURATED_COLS, _CUR_DOUBLES)} FROM c
 def fl(src: str, name: str = "fl") -> str:
     """CTE: first line of each transaction of ``src`` in ingestion order."""
     return (f"{name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id "
-            f"ORDER BY s2, s3, s4, s5, s6, s7) AS _fl FROM {src}) WHERE _fl = 1)")
+            f"ORDER BY s1, s2, s3, s4, s5, s6, s7) AS _fl FROM {src}) WHERE _fl = 1)")
 
 
 F1 = "f1 AS (SELECT * FROM curated WHERE quantity_item >= 0)"

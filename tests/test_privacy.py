@@ -67,3 +67,9 @@ def test_store_masking_fallbacks(spark):
     assert rows[1]["Store_Of_Creation"] == "ST" + hashlib.sha1(b"99").hexdigest()[:8].upper()
     assert rows[1]["PROVINCE"] == "AB" and rows[1]["COUNTRY"] == "CAN"
     assert rows[2]["Store_Of_Creation"] == "" and rows[2]["PostalCode"] == ""
+
+
+def test_hash_length(spark):
+    df = spark.createDataFrame([("42",)], "v string")
+    r = df.select(pseudonymise("v", "TRX", 16).alias("p")).first()
+    assert r["p"] == "TRX" + hashlib.sha1(b"42").hexdigest()[:16].upper()
