@@ -154,3 +154,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         a, b, g = F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_g{i}")
         out.append(F.when(g >= 0.5, b - (b - a) * (F.lit(1.0) - g)).otherwise(a + (b - a) * g).alias(name))
     return agg.select(*out)
+
+
+def approx_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str] | None = None,
+                     accuracy: int = 10_000) -> DataFrame:
+    """One-row frame of approximate quantiles (Greenwald-Khanna sketches merged
+    across partitions, relative rank error 1/accuracy). One aggregation pass,
+    no global sort; use when exact order statistics are not required."""
+    names = list(names or [f"q{int(round(p * 100))}" for p in probs])
+    q = F.percentile_approx(F.col(value).cast("double"), [float(p) for p in probs], accuracy)
+    return df.agg(q.alias("_q")).select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])

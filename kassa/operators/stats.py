@@ -17,7 +17,7 @@ from kassa.constants import PROMO_USE_LABELS, VALUE_CLASSES
 from kassa.functions.pvalues import chi2_pvalue, t_pvalue
 from kassa.operators.common import first_line_per_transaction, small, zsum
 from kassa.operators.customers import customer_city_value
-from kassa.operators.rank import exact_quantiles
+from kassa.operators.rank import approx_quantiles, exact_quantiles
 
 
 def transaction_rollup(df: DataFrame) -> DataFrame:
@@ -90,9 +90,11 @@ def ab_test_promo(df: DataFrame, with_p: bool = True) -> DataFrame:
     return out
 
 
-def unit_price_quartiles(df: DataFrame) -> DataFrame:
-    """ST5: 25/50/75 % of customer unit price (linear, exact, distributed)."""
-    return small(exact_quantiles(customer_city_value(df), "unit_price", [0.25, 0.5, 0.75], ["q25", "q50", "q75"]))
+def unit_price_quartiles(df: DataFrame, approx: bool = False) -> DataFrame:
+    """ST5: 25/50/75 % of customer unit price (linear, exact, distributed);
+    ``approx`` swaps in mergeable sketches (one pass, no global sort)."""
+    q = approx_quantiles if approx else exact_quantiles
+    return small(q(customer_city_value(df), "unit_price", [0.25, 0.5, 0.75], ["q25", "q50", "q75"]))
 
 
 def customer_value_classes(df: DataFrame) -> DataFrame:

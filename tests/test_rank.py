@@ -64,3 +64,10 @@ def test_score_paths_agree(spark, n, monkeypatch):
     monkeypatch.setattr(rk.global_order, "__defaults__", rk.global_order.__defaults__[:-1] + (1 << 30,))
     small = sorted(map(tuple, quantile_rank_score(df, "v", "k", "s").collect()))
     assert small == big
+
+
+def test_approx_quantiles_close(spark):
+    from kassa.operators.rank import approx_quantiles
+    df = spark.range(10_000).select((F.col("id") * 1.0).alias("x"))
+    row = approx_quantiles(df, "x", [0.25, 0.5, 0.75]).first()
+    assert abs(row["q50"] - 4999.5) <= 10 and abs(row["q25"] - 2499.75) <= 10
