@@ -47,16 +47,18 @@ def row_bound_ok(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def size_bound_ok(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+def size_bound_ok(df: DataFrame, max_bytes: int | None = None) -> bool:
     """True when rows x estimated row width stays under ``max_bytes``.
 
     The row count is exact (counting stops at the bound), so the broadcast
     size is proven, not guessed from file sizes.
     """
+    if max_bytes is None:
+        max_bytes = DEFAULT_BROADCAST_BYTES
     return row_bound_ok(df, max(max_bytes // row_width(df), 0))
 
 
-def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Broadcast hint behind a checked size bound; unchanged otherwise."""
     return F.broadcast(df) if size_bound_ok(df, max_bytes) else df
 
@@ -64,7 +66,7 @@ def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) ->
 def left_join_skew_safe(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                         hot_values: Sequence[str] = ("",),
                         buckets: int = DEFAULT_SALT_BUCKETS,
-                        broadcast_max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                        broadcast_max_bytes: int | None = None,
                         salt_source: Sequence[str] | None = None,
                         assume_small: bool = False) -> DataFrame:
     """``fact LEFT JOIN dim ON fact_key = dim_key`` robust to one hot key.

@@ -18,7 +18,7 @@ from kassa.constants import (ALBERTA_CITIES, DEFAULT_COUNTRY, DEFAULT_PROVINCE,
                              STORE_NAME_FALLBACK_SEED)
 from kassa.functions.clean import normalise_identifier, strip
 from kassa.functions.privacy import hashed_postal, hashed_token
-from kassa.operators.joins import DEFAULT_BROADCAST_BYTES, left_join_skew_safe, size_bound_ok, sized_broadcast
+from kassa.operators.joins import left_join_skew_safe, size_bound_ok, sized_broadcast
 from kassa.operators.rank import global_order
 
 # the store dimension is a business-bounded table: below this proven size its
@@ -122,7 +122,7 @@ def apply_store_masking(df: DataFrame, lookup: DataFrame,
     salt = ["_seq"] if "_seq" in df.columns else None
     if lookup_is_small is None:
         lookup_is_small = size_bound_ok(lookup)
-    bound = DEFAULT_BROADCAST_BYTES if lookup_is_small else 0
+    bound = None if lookup_is_small else 0
     df = left_join_skew_safe(df, lk1, "__sk", "__k1", salt_source=salt, broadcast_max_bytes=bound,
                              assume_small=lookup_is_small)
     df = left_join_skew_safe(df, lk2, "__soc", "__k2", salt_source=salt, broadcast_max_bytes=bound,
