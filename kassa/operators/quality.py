@@ -8,13 +8,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+def pandas_dtype(dt: T.DataType) -> str:
+    """The dtype label pandas shows for the same column in the reference."""
+    if isinstance(dt, (T.StringType, T.StructType, T.ArrayType, T.MapType, T.BinaryType)):
+        return "object"
+    if isinstance(dt, T.BooleanType):
+        return "bool"
+    if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return "float64"
+    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "datetime64[ns]"
+    if isinstance(dt, T.IntegerType):
+        return "int32"
+    if isinstance(dt, (T.LongType, T.ShortType, T.ByteType)):
+        return "int64"
+    return dt.simpleString()
+
+
 DASHBOARD_QUALITY_COLUMNS = ("transaction_id", "contact_id", "promotion_id", "transaction_value", "quantity_item",
                              "latitude", "longitude", "city", "category")
 
 
 def data_quality_report(df: DataFrame, focus_columns: Sequence[str] | None = None,
                         approx_distinct: bool = False) -> DataFrame:
-    """Per column: type, missing count, missing % (2 dp, half-even), zero count
+    """Per column: pandas dtype label, missing count, missing % (2 dp, half-even), zero count
     (numeric and boolean columns only; false counts as zero), distinct non-null
     values. One aggregation pass over the data; ``approx_distinct`` swaps the
     exact distinct counts (one Expand copy per column) for HyperLogLog++.
@@ -39,7 +56,7 @@ def data_quality_report(df: DataFrame, focus_columns: Sequence[str] | None = Non
         aggs.append(dist.cast("long").alias(f"u{i}"))
     one = df.agg(*aggs)
     rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(types[c].simpleString()).alias("dtype"),
+        F.struct(F.lit(c).alias("column"), F.lit(pandas_dtype(types[c])).alias("dtype"),
                  F.col(f"m{i}").alias("missing_count"), F.col(f"z{i}").alias("zero_count"),
                  F.col(f"u{i}").alias("unique_values"))
         for i, c in enumerate(cols)]))

@@ -673,12 +673,12 @@ O["transaction_value_histogram"] = q(sel(
       (SELECT min(transaction_value) AS lo, max(transaction_value) AS hi FROM fl WHERE transaction_value >= 0))""")
 
 # ---------------------------------------------------------------------------- quality, filters, sampling
-_QCOLS = [("transaction_id", "string"), ("contact_id", "string"), ("promotion_id", "string"),
-          ("transaction_value", "double"), ("quantity_item", "double"), ("latitude", "double"),
-          ("longitude", "double"), ("city", "string"), ("category", "string")]
+_QCOLS = [("transaction_id", "object"), ("contact_id", "object"), ("promotion_id", "object"),
+          ("transaction_value", "float64"), ("quantity_item", "float64"), ("latitude", "float64"),
+          ("longitude", "float64"), ("city", "object"), ("category", "object")]
 _qparts = []
 for _c, _t in _QCOLS:
-    _z = f"count_if({_c} = 0)" if _t == "double" else "CAST(NULL AS BIGINT)"
+    _z = f"count_if({_c} = 0)" if _t == "float64" else "CAST(NULL AS BIGINT)"
     _qparts.append(f"""SELECT '{_c}' AS "column", '{_t}' AS dtype, count_if({_c} IS NULL) AS missing_count,
         round_even(count_if({_c} IS NULL) / count(*) * 100.0, 2) AS missing_pct, {_z} AS zero_count,
         count(DISTINCT {_c}) AS unique_values FROM f1 HAVING count(*) > 0""")
