@@ -326,6 +326,12 @@ def _q_quality(df):
     return Q.data_quality_report(dash(df), Q.DASHBOARD_QUALITY_COLUMNS)
 
 
+@register("data_quality_all")
+def _q_quality_all(df):
+    """D1 over every curated column (the profile's default form)."""
+    return Q.data_quality_report(df.drop("_seq"))
+
+
 FILTER_EXAMPLE = FilterSpec(years=[1996, 1997], quarters=[1, 2, 4], cities=["Calgary", "Edmonton", "Online", "Leduc"],
                             day_range=(9500, 10100))
 

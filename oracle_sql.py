@@ -685,6 +685,23 @@ for _c, _t in _QCOLS:
 O["data_quality"] = q(sel('"column", dtype, missing_count, missing_pct*, zero_count, unique_values',
                           "(" + " UNION ALL ".join(_qparts) + ")"), F1)
 
+_TYPES = {"double": "float64", "date": "datetime64[ns]", "boolean": "bool", "int": "int32"}
+_aparts = []
+for _c in [x.strip() for x in CURATED_COLS.split(",")]:
+    from kassa.plans.curated import CURATED_TYPES as _CT
+    _t = _TYPES.get(_CT.get(_c, "string"), "object")
+    if _t in ("float64", "int32"):
+        _z = f"count_if({_c} = 0)"
+    elif _t == "bool":
+        _z = f"count_if(NOT {_c})"
+    else:
+        _z = "CAST(NULL AS BIGINT)"
+    _aparts.append(f"""SELECT '{_c}' AS "column", '{_t}' AS dtype, count_if({_c} IS NULL) AS missing_count,
+        round_even(count_if({_c} IS NULL) / count(*) * 100.0, 2) AS missing_pct, {_z} AS zero_count,
+        count(DISTINCT {_c}) AS unique_values FROM curated HAVING count(*) > 0""")
+O["data_quality_all"] = q(sel('"column", dtype, missing_count, missing_pct*, zero_count, unique_values',
+                              "(" + " UNION ALL ".join(_aparts) + ")"))
+
 _FILTER = ("f2 AS (SELECT * FROM f1 WHERE year IN (1996, 1997) AND quarter IN (1, 2, 4) "
            "AND days_since_epoch BETWEEN 9500 AND 10100 AND city IN ('Calgary', 'Edmonton', 'Online', 'Leduc'))")
 O["filtered_highlights"] = q(sel(_HL_SPEC, _HIGHLIGHTS("f2")), F1, _FILTER, fl("f2"), _CTY("f2"))
