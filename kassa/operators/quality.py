@@ -29,13 +29,26 @@ DASHBOARD_QUALITY_COLUMNS = ("transaction_id", "contact_id", "promotion_id", "tr
                              "latitude", "longitude", "city", "category")
 
 
+def _canonical_text(col, dt: T.DataType):
+    """Value as text, one text per distinct value (-0.0 folded into 0.0)."""
+    if isinstance(dt, (T.DoubleType, T.FloatType)):
+        col = col + F.lit(0.0)
+    return col.cast("string")
+
+
 def data_quality_report(df: DataFrame, focus_columns: Sequence[str] | None = None,
                         approx_distinct: bool = False) -> DataFrame:
-    """Per column: pandas dtype label, missing count, missing % (2 dp, half-even), zero count
-    (numeric and boolean columns only; false counts as zero), distinct non-null
-    values. One aggregation pass over the data; ``approx_distinct`` swaps the
-    exact distinct counts (one Expand copy per column) for HyperLogLog++.
-    Unknown columns raise; the caller sorts (missing % desc)."""
+    """Per column: pandas dtype label, missing count, missing % (2 dp,
+    half-even), zero count (numeric and boolean columns only; false counts as
+    zero), distinct non-null values. Unknown columns raise; the caller sorts
+    (missing % desc).
+
+    Counts come from one aggregation pass. Exact distinct counts avoid
+    Catalyst's Expand (one wide copy of every row per column): the values are
+    unpivoted to narrow (column index, canonical text) pairs, de-duplicated
+    with a partial-aggregated group-by, then counted per column.
+    ``approx_distinct`` uses HyperLogLog++ in the single pass instead.
+    """
     cols = list(focus_columns) if focus_columns is not None else [c for c in df.columns if c != "_seq"]
     missing = [c for c in cols if c not in df.columns]
     if missing:
@@ -52,15 +65,22 @@ def data_quality_report(df: DataFrame, focus_columns: Sequence[str] | None = Non
             aggs.append(F.count_if(col == 0).cast("long").alias(f"z{i}"))
         else:
             aggs.append(F.lit(None).cast("long").alias(f"z{i}"))
-        dist = F.approx_count_distinct(col) if approx_distinct else F.countDistinct(col)
-        aggs.append(dist.cast("long").alias(f"u{i}"))
+        if approx_distinct:
+            aggs.append(F.approx_count_distinct(col).cast("long").alias(f"u{i}"))
     one = df.agg(*aggs)
     rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(pandas_dtype(types[c])).alias("dtype"),
+        F.struct(F.lit(i).alias("_i"), F.lit(c).alias("column"), F.lit(pandas_dtype(types[c])).alias("dtype"),
                  F.col(f"m{i}").alias("missing_count"), F.col(f"z{i}").alias("zero_count"),
-                 F.col(f"u{i}").alias("unique_values"))
+                 (F.col(f"u{i}") if approx_distinct else F.lit(None).cast("long")).alias("unique_values"))
         for i, c in enumerate(cols)]))
     out = one.where(F.col("_n") > 0).select("_n", rows.alias("r")).select("_n", "r.*")
+    if not approx_distinct:
+        pairs = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("_i"), _canonical_text(F.col(f"`{c}`"), types[c]).alias("_v"))
+            for i, c in enumerate(cols)])).alias("p")).select("p._i", "p._v").where(F.col("_v").isNotNull())
+        distinct = pairs.select("_i", "_v").distinct().groupBy("_i").agg(F.count(F.lit(1)).cast("long").alias("_u"))
+        out = out.join(distinct, "_i", "left").withColumn(
+            "unique_values", F.coalesce(F.col("_u"), F.lit(0)).cast("long")).drop("_u")
     return out.select("column", "dtype", "missing_count",
                       F.bround(F.col("missing_count") / F.col("_n") * 100.0, 2).alias("missing_pct"),
                       "zero_count", "unique_values")
