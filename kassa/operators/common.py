@@ -23,8 +23,10 @@ def first_line_per_transaction(df: DataFrame, cols: Sequence[str], key: str = "t
     row per partition before the shuffle.
     """
     keep = [c for c in cols if c != key]
+    # ties on _seq (copies from a duplicated dimension key) are broken by the values themselves
+    order = F.struct(F.col("_seq"), *[F.col(c) for c in keep])
     return (df.groupBy(key)
-              .agg(F.min_by(F.struct(*[F.col(c) for c in keep], F.col("_seq")), F.col("_seq")).alias("_f"))
+              .agg(F.min_by(F.struct(*[F.col(c) for c in keep], F.col("_seq")), order).alias("_f"))
               .select(key, *[F.col(f"_f.{c}").alias(c) for c in keep], F.col("_f._seq").alias("_seq")))
 
 
