@@ -94,6 +94,18 @@ def test_streaming_ingestion(spark, root):
     got = spark.read.parquet(out)
     assert got.count() == 5
     assert got.where(F.col("year") == 2024).count() == 1
+    # restart with the same checkpoint: nothing is re-ingested; a newly landed month is picked up alone
+    head = ("Transaction_ID,Contact_ID,Item_ID,Promotion_ID,Store_transaction_ID,Date_transaction,"
+            "Unit_original_price,Unit_sale_price,Transaction_value,Quantity_item\n")
+    q2 = start_month_ingestion(spark, root, out, checkpoint_location=ck)
+    q2.awaitTermination(120)
+    assert spark.read.parquet(out).count() == 5
+    _w(f"{root}/2024/Base_sales_202402.csv", head + "T9,C1,I1,,S1,20240203,10,10,20,2\nT9,C1,I2,,S1,20240203,5,5,20,1\n")
+    q3 = start_month_ingestion(spark, root, out, checkpoint_location=ck)
+    q3.awaitTermination(120)
+    again = spark.read.parquet(out)
+    assert again.count() == 7
+    assert again.where((F.col("year") == 2024) & (F.col("month") == 2)).count() == 2
 
 
 def test_sample_dimension(spark):
