@@ -10,11 +10,18 @@ fraction), written out here from their textbook definitions.
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The UDFs below run in Python workers. Pickling this module by value ships
+# its functions with the task, so workers need no installed copy of kassa
+# (on a cluster the package would otherwise have to travel via --py-files).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _EPS = 1e-15
 _TINY = 1e-300
 _MAXIT = 10_000

@@ -275,7 +275,7 @@ def _q_ols(df):
     return S.promo_regression(df, with_p=False)
 
 
-@register("promo_regression_pvalues")
+@register("promo_regression_pvalues", round_output=False)  # no SQL twin; keep tiny p-values
 def _q_ols_p(df):
     return S.promo_regression(df, with_p=True)
 
@@ -285,7 +285,7 @@ def _q_ab(df):
     return S.ab_test_promo(df, with_p=False)
 
 
-@register("ab_test_promo_pvalue")
+@register("ab_test_promo_pvalue", round_output=False)
 def _q_ab_p(df):
     return S.ab_test_promo(df, with_p=True)
 

@@ -41,3 +41,17 @@ def test_parity(spark, con, name):
     assert sorted(odf.columns) == cols
     b = rows_of(odf.to_dict("records"), cols)
     assert a == b
+
+
+def test_udf_queries_run_outside_repo_dir():
+    """Python workers must not need kassa on their path (driver may run elsewhere)."""
+    import subprocess
+    import sys as _sys
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "import __spark_entry__ as E\n"
+            "r = E.queries()['ab_test_promo_pvalue'](s, %r).collect()\n"
+            "print('PVALUE', r[0]['p_value'])\n") % (os.path.dirname(os.path.dirname(os.path.abspath(__file__))), SF)
+    out = subprocess.run([_sys.executable, "-c", code], cwd="/tmp", capture_output=True, text=True, timeout=600)
+    assert "PVALUE" in out.stdout, out.stderr[-2000:]
