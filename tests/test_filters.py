@@ -46,3 +46,20 @@ def test_filters_reach_the_scan(spark):
     assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan
     assert "EqualTo(city,Calgary)" in plan
     assert "ReadSchema: struct<city:string,quantity_item:double>" in plan
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="driver test tables absent")
+def test_bucketed_table_avoids_transaction_shuffle(spark):
+    from kassa.operators.common import first_line_per_transaction
+    from kassa.operators.stats import transaction_rollup
+    from kassa.plans.curated import curated_from_testdata
+    from kassa.sources.files import save_curated_table
+    cur = curated_from_testdata(spark, "/root/testdata/sf0.001")
+    t = save_curated_table(cur, "kassa_curated_bucketed_test", buckets=4)
+    for q in (first_line_per_transaction(t, ["transaction_value"]), transaction_rollup(t)):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            q.explain()
+        assert "Exchange hashpartitioning(transaction_id" not in buf.getvalue()
+    assert t.count() == cur.count()
+    assert sorted(transaction_rollup(t).collect()) == sorted(transaction_rollup(cur).collect())
