@@ -153,17 +153,20 @@ def read_curated(spark: SparkSession, path: str, years: Sequence[int] | None = N
     return df
 
 
-def save_curated_table(df: DataFrame, table: str, buckets: int | None = None) -> DataFrame:
+def save_curated_table(df: DataFrame, table: str, buckets: int | None = None, path: str | None = None) -> DataFrame:
     """S6 reuse as a catalog table, partitioned by year/month and bucketed +
     sorted by transaction id.
 
     Transaction-grain operators (first line per transaction, transaction
     roll-up, promotion summary) then find their input already hash-partitioned
     on the key: Spark plans them without a shuffle. Size ``buckets`` so a
-    bucket of one month is a few hundred MB.
+    bucket of one month is a few hundred MB. ``path`` makes it an external
+    table at that (shared) location instead of the warehouse folder.
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.write.mode("overwrite").partitionBy("year", "month")
-       .bucketBy(n, "transaction_id").sortBy("transaction_id").saveAsTable(table))
+    w = df.write.mode("overwrite")
+    if path:
+        w = w.option("path", path)
+    w.partitionBy("year", "month").bucketBy(n, "transaction_id").sortBy("transaction_id").saveAsTable(table)
     return spark.table(table)

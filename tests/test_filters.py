@@ -55,7 +55,11 @@ def test_bucketed_table_avoids_transaction_shuffle(spark):
     from kassa.plans.curated import curated_from_testdata
     from kassa.sources.files import save_curated_table
     cur = curated_from_testdata(spark, "/root/testdata/sf0.001")
-    t = save_curated_table(cur, "kassa_curated_bucketed_test", buckets=4)
+    import uuid
+    from kassa.session import checkpoint_dir
+    tag = uuid.uuid4().hex
+    t = save_curated_table(cur, f"kassa_bucketed_{tag}", buckets=4,
+                           path=f"{checkpoint_dir(spark).rstrip('/')}/kassa-bucketed-{tag}")
     for q in (first_line_per_transaction(t, ["transaction_value"]), transaction_rollup(t)):
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
