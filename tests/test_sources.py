@@ -113,3 +113,19 @@ def test_sample_dimension(spark):
     fact = spark.createDataFrame([("a",), ("b",)], "k string")
     dim = spark.createDataFrame([("a", 1), ("c", 2)], "key string, v int")
     assert [r["key"] for r in sample_dimension(dim, fact, "key", "k").collect()] == ["a"]
+
+
+def test_extract_sample(spark):
+    from kassa.sources.sample import extract_sample
+    from kassa.sources.testdata import raw_tables
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        return
+    t = raw_tables(spark, sf)
+    ex = extract_sample(t.sales, t.dims(), per_month=3)
+    per_month = ex["sales"].select(F.substring("Date_transaction", 1, 6).alias("m"), "Transaction_ID").distinct() \
+        .groupBy("m").count().agg(F.max("count")).first()[0]
+    assert per_month <= 3
+    used = {r[0] for r in ex["sales"].select("Item_ID").distinct().collect()}
+    assert {r[0] for r in ex["item"].select("SKU").collect()} <= used
+    assert ex["store"].count() <= t.store.count()
