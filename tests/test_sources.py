@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from kassa.plans.pipeline import RetailDataPipeline
+from kassa.plans.facade import RetailDataPipeline
 from kassa.sources.files import list_available_months, list_sales_files, load_reference_tables, load_sales
 
 
