@@ -59,3 +59,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="kassa-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (metadata listing, no data read)."""
+    from pyspark.sql import functions as F
+    total = 0
+    for p in paths:
+        df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p)
+        total += df.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return int(total)
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str], target_bytes: int = 256 * 1024 * 1024,
+                            expansion: float = 3.0, minimum: int | None = None) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so one shuffle partition holds about
+    ``target_bytes`` of the widest shuffle.
+
+    Columnar inputs grow when decoded, so the on-disk size is multiplied by
+    ``expansion``. The count never drops below the cluster's total cores (or
+    ``minimum``). AQE then coalesces small partitions and splits skewed ones
+    around this starting point. Returns the value set.
+    """
+    size = input_bytes(spark, paths) * expansion
+    floor = minimum or spark.sparkContext.defaultParallelism
+    n = max(int(size // target_bytes) + 1, floor)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return n

@@ -59,3 +59,23 @@ def test_curation_identical_on_salted_path(spark, monkeypatch):
     plan = salted_df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("__dsalt") >= 4  # contact, item, promotion, store joins all salted
     assert rows(salted_df) == broadcast
+
+
+def test_shuffle_partition_sizing(spark):
+    import os
+
+    from kassa.session import input_bytes, size_shuffle_partitions
+    sf = "/root/testdata/sf0.01"
+    if not os.path.exists(sf):
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    old_adv = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        size = input_bytes(spark, [f"{sf}/lineitem.parquet"])
+        assert size == os.path.getsize(f"{sf}/lineitem.parquet")
+        n = size_shuffle_partitions(spark, [f"{sf}/lineitem.parquet"], target_bytes=100_000, expansion=1.0, minimum=1)
+        assert n == size // 100_000 + 1
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old_adv)
