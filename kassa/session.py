@@ -72,18 +72,21 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 
 def size_shuffle_partitions(spark: SparkSession, paths: list[str], target_bytes: int = 256 * 1024 * 1024,
-                            expansion: float = 3.0, minimum: int | None = None) -> int:
+                            expansion: float = 3.0, minimum: int | None = None, maximum: int = 100_000) -> int:
     """Set ``spark.sql.shuffle.partitions`` so one shuffle partition holds about
     ``target_bytes`` of the widest shuffle.
 
     Columnar inputs grow when decoded, so the on-disk size is multiplied by
     ``expansion``. The count never drops below the cluster's total cores (or
-    ``minimum``). AQE then coalesces small partitions and splits skewed ones
-    around this starting point. Returns the value set.
+    ``minimum``) and is capped at ``maximum`` (shuffle bookkeeping grows with
+    map tasks x reduce partitions); when capped, partitions grow instead.
+    AQE then coalesces small partitions and splits skewed ones around this
+    starting point. Returns the value set.
     """
     size = input_bytes(spark, paths) * expansion
     floor = minimum or spark.sparkContext.defaultParallelism
-    n = max(int(size // target_bytes) + 1, floor)
+    n = min(max(int(size // target_bytes) + 1, floor), max(maximum, floor))
+    advisory = max(target_bytes, int(size // n) + 1)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(advisory))
     return n
