@@ -138,12 +138,17 @@ def dashboard_segment(score) -> F.Column:
 def rfm_segments(df: DataFrame) -> DataFrame:
     """Segment by score (<=6, <=9, <=12, else) and summarise; empty segments
     are listed with 0 customers."""
-    rfm = rfm_dashboard(df).withColumn("segment", dashboard_segment("rfm_score"))
+    return segments_from_rfm(rfm_dashboard(df))
+
+
+def segments_from_rfm(rfm: DataFrame) -> DataFrame:
+    """C5 on an already computed :func:`rfm_dashboard` frame."""
+    rfm = rfm.withColumn("segment", dashboard_segment("rfm_score"))
     g = rfm.groupBy("segment").agg(
         F.count(F.lit(1)).cast("long").alias("customers"),
         F.avg("r_score").alias("avg_r"), F.avg("f_score").alias("avg_f"), F.avg("m_score").alias("avg_m"),
         zsum("monetary").alias("revenue"))
-    labels = _labels(df.sparkSession, DASHBOARD_SEGMENTS, "segment")
+    labels = _labels(rfm.sparkSession, DASHBOARD_SEGMENTS, "segment")
     out = labels.join(g, "segment", "left")
     return out.select("segment", F.coalesce("customers", F.lit(0)).cast("long").alias("customers"),
                       "avg_r", "avg_f", "avg_m", F.coalesce("revenue", F.lit(0.0)).alias("revenue"))
@@ -151,13 +156,21 @@ def rfm_segments(df: DataFrame) -> DataFrame:
 
 def rfm_score_distribution(df: DataFrame) -> DataFrame:
     """Customers per total RFM score."""
-    return rfm_dashboard(df).groupBy("rfm_score").agg(F.count(F.lit(1)).cast("long").alias("customers"))
+    return score_distribution_from_rfm(rfm_dashboard(df))
+
+
+def score_distribution_from_rfm(rfm: DataFrame) -> DataFrame:
+    return rfm.groupBy("rfm_score").agg(F.count(F.lit(1)).cast("long").alias("customers"))
 
 
 def rfm_by_location(df: DataFrame) -> DataFrame:
     """Mean RFM score per location (geo present)."""
-    return (rfm_dashboard(df).dropna(subset=["latitude", "longitude"])
-              .groupBy("latitude", "longitude", "city").agg(F.avg("rfm_score").alias("avg_rfm_score")))
+    return location_from_rfm(rfm_dashboard(df))
+
+
+def location_from_rfm(rfm: DataFrame) -> DataFrame:
+    return (rfm.dropna(subset=["latitude", "longitude"])
+               .groupBy("latitude", "longitude", "city").agg(F.avg("rfm_score").alias("avg_rfm_score")))
 
 
 # ---------------------------------------------------------------- report RFM

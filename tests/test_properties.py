@@ -61,3 +61,16 @@ def test_invariant_under_repartition(cur):
         return sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect())
     assert rows(K.monthly_kpi_summary(cur)) == rows(K.monthly_kpi_summary(cur.repartition(7, "contact_id")))
     assert rows(C.rfm_dashboard(cur)) == rows(C.rfm_dashboard(cur.repartition(5)))
+
+
+def test_dashboard_and_report_views(cur):
+    from kassa.operators.filters import FilterSpec
+    from kassa.plans.report import dashboard_views, notebook_report
+    views = dashboard_views(cur, FilterSpec(years=[1996, 1997, 1998]))
+    assert len(views) == 25
+    n_rfm = views["rfm"].count()
+    assert views["rfm_segments"].agg(F.sum("customers")).first()[0] == n_rfm
+    assert views["rfm_score_distribution"].agg(F.sum("customers")).first()[0] == n_rfm
+    assert views["store_snapshot"].count() <= 10
+    rep = notebook_report(cur)
+    assert rep["monthly_kpi_summary"].count() > 0 and rep["promo_regression"].count() == 2
