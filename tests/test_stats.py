@@ -78,3 +78,19 @@ def test_histogram_edges(spark):
         .withColumn("_seq", F.lit(1))
     h = {r["bin"]: r["count"] for r in transaction_value_histogram(df, 20.0).collect()}
     assert h == {0: 2, 1: 2}  # [0,20) and [20,40] — last bin closed
+
+
+def test_zero_variance_gives_nulls_not_errors(spark):
+    rows = [(f"p{i}", 5.0, 1.0, True) for i in range(3)] + [(f"n{i}", 5.0, 1.0, False) for i in range(3)]
+    out = {r["term"]: r for r in promo_regression(_lines(spark, rows)).collect()}
+    assert out["Promo_Flag"]["coef"] == 0.0 and out["Promo_Flag"]["std_err"] == 0.0 and out["Promo_Flag"]["t"] is None
+    ab = ab_test_promo(_lines(spark, rows)).first()
+    assert ab["lift"] == 0.0 and ab["t_stat"] is None and ab["p_value"] is None
+
+
+def test_chi_square_needs_both_promo_columns(spark):
+    from kassa.operators.stats import chi_square_promo_usage
+    rows = [(f"c{i}", "X", False, 1.0, float(10 + i), float(10 + i)) for i in range(12)]  # nobody used a promotion
+    df = spark.createDataFrame(rows, "contact_id string, city string, promo_flag boolean, quantity_item double, "
+                                     "line_sales_value double, line_original_value double")
+    assert chi_square_promo_usage(df).count() == 0
