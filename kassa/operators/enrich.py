@@ -30,7 +30,11 @@ def _dim(df: DataFrame, key: str, rename: dict[str, str] | None = None) -> DataF
     return df.withColumn(key, normalise_identifier(key))
 
 
-def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame],
+                                known_small: dict[str, bool] | None = None) -> DataFrame:
+    """J1-J4. ``known_small`` passes broadcast bounds already checked upstream
+    (True = proven small, False = proven large); others are checked here."""
+    known_small = known_small or {}
     df = strip_headers(sales).withColumns({k: normalise_identifier(k) for k in FACT_KEYS})
     salt = ["_seq"] if "_seq" in df.columns else None
     plan = (
@@ -43,5 +47,7 @@ def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame]) ->
         dim = _dim(dims[name], dkey, rename)
         keys = [fkey] if fkey == dkey else []
         df, dim = suffix_clashes(df, dim, keys)
-        df = left_join_skew_safe(df, dim, fkey, dkey, salt_source=salt)
+        proven = known_small.get(name)
+        df = left_join_skew_safe(df, dim, fkey, dkey, salt_source=salt, assume_small=proven is True,
+                                 broadcast_max_bytes=0 if proven is False else None)
     return df

@@ -133,11 +133,11 @@ def curate(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple]
     sales = strip_headers(sales)
     if "Source_File" in sales.columns:
         sales = sales.drop("Source_File")
-    merged = merge_sales_with_references(sales, dims)
     stores = strip_headers(dims["store"]).withColumnRenamed("LIBELLE", "LIBELLE_y")
     if "_seq" not in stores.columns:
         stores = stores.withColumn("_seq", F.monotonically_increasing_id())
-    stores_small = size_bound_ok(stores)
+    stores_small = size_bound_ok(stores)  # checked once: store join and both lookup joins
+    merged = merge_sales_with_references(sales, dims, known_small={"store": stores_small})
     lookup = small(build_store_lookup(stores, cities))  # at most one (narrower) row per store
     masked = apply_store_masking(merged, lookup, province, country, lookup_is_small=stores_small)
     hashed = apply_identifier_hashing(masked, length=id_hash_length)
