@@ -64,3 +64,26 @@ def test_exclude_missing(cur):
     n_all = C.rfm_base(cur).count()
     n_known = C.rfm_base(cur, exclude_missing=True).count()
     assert n_known == n_all - (1 if cur.where("contact_id = ''").count() else 0)
+
+
+def test_empty_input_never_raises(cur):
+    from kassa.operators import customers as C
+    from kassa.operators import kpi as K
+    from kassa.operators import promo as P
+    from kassa.operators import quality as Q
+    from kassa.operators import stats as S
+    from kassa.operators import stores as ST
+    empty = cur.where(F.lit(False))
+    h = K.compute_highlights(empty).first()
+    assert (h["total_revenue"], h["total_units"], h["total_orders"], h["avg_order_value"], h["online_share"]) == \
+        (0.0, 0.0, 0, 0.0, 0.0)
+    assert h["top_city"] is None
+    ops = [K.monthly_kpi_summary, K.monthly_sales_series, K.category_pareto, K.sku_top50, K.avg_transaction_value,
+           P.promotion_summary, P.promo_overall, P.promo_share_long, ST.store_deep_dive, ST.city_category_mix,
+           C.cohort_retention, C.rfm_dashboard, C.rfm_segments, C.recency_buckets, C.rfm_report,
+           S.promo_regression, S.ab_test_promo, S.chi_square_promo_usage, S.transaction_value_histogram,
+           lambda d: Q.data_quality_report(d, Q.DASHBOARD_QUALITY_COLUMNS)]
+    for op in ops:
+        op(empty).collect()
+    assert C.rfm_segments(empty).agg(F.sum("customers")).first()[0] == 0  # segments still listed
+    assert Q.data_quality_report(empty, Q.DASHBOARD_QUALITY_COLUMNS).count() == 0
