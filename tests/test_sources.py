@@ -129,3 +129,15 @@ def test_extract_sample(spark):
     used = {r[0] for r in ex["sales"].select("Item_ID").distinct().collect()}
     assert {r[0] for r in ex["item"].select("SKU").collect()} <= used
     assert ex["store"].count() <= t.store.count()
+
+
+def test_cli_curate(spark, root):
+    import subprocess
+    import sys as _sys
+    import tempfile as _tf
+    out = _tf.mkdtemp(prefix="kassa-cli-", dir="/tmp") + "/curated"
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    r = subprocess.run([_sys.executable, "-m", "kassa", "curate", "--root", root, "--out", out,
+                        "--months", "202301", "202302", "--master", "local[2]", "--size-partitions"],
+                       cwd=repo, capture_output=True, text=True, timeout=600)
+    assert '"rows": 4' in r.stdout, r.stderr[-2000:]  # 3 (one bad date dropped) + 1
