@@ -1,6 +1,6 @@
 """Command line: curate monthly sales files into the partitioned curated table.
 
-    spark-submit --py-files kassa.zip -m kassa curate --root s3://bucket/retail --out s3://bucket/retail/curated
+    spark-submit --py-files kassa.zip kassa/__main__.py curate --root s3://bucket/retail --out s3://bucket/retail/curated
     python -m kassa curate --root /data/retail --out /data/curated --months 202301 202302 --size-partitions
 """
 
