@@ -54,7 +54,19 @@ ONLINE_CITY = "Online"
 DEFAULT_PROVINCE = "AB"
 DEFAULT_COUNTRY = "CAN"
 
+# --- fixed values: masked store identities ----------------------------------------
+STORE_ID_FORMAT = "AB%03d"
+ONLINE_STORE_ID_FORMAT = "ABWEB%02d"
+STORE_NAME_FORMAT = "AB Store %03d - %s"
+ONLINE_STORE_NAME_FORMAT = "Alberta Online Store %02d"
+
+# --- fixed values: masked postal code (first letter, then digit/letter from sha1) -
+POSTAL_PREFIX = "T"
+POSTAL_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 # --- fixed values: labels --------------------------------------------------------
+UNKNOWN_LABEL = "Unknown"
+UNSPECIFIED_PROMO_LABEL = "Unspecified promo"
 PROMO_LABELS = {True: "With Promotion", False: "No Promotion"}
 DASHBOARD_SEGMENTS = ("At Risk", "Growth", "Loyal", "Champions")
 REPORT_SEGMENTS = ("Champions", "Loyal", "Potentials", "At Risk")

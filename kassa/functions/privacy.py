@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kassa.constants import POSTAL_LETTERS, POSTAL_PREFIX
 from kassa.functions.clean import strip
 
 
@@ -42,7 +43,7 @@ def hashed_postal(text: Column) -> Column:
         return (nib(i) % 10).cast("string")
 
     def letter(i: int) -> Column:
-        return F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (nib(i) % 26) + 1, 1)
+        return F.substring(F.lit(POSTAL_LETTERS), (nib(i) % 26) + 1, 1)
 
-    masked = F.concat(F.lit("T"), digit(1), letter(2), digit(3), letter(4), digit(5))
+    masked = F.concat(F.lit(POSTAL_PREFIX), digit(1), letter(2), digit(3), letter(4), digit(5))
     return F.when(F.coalesce(text, F.lit("")) == "", F.lit("")).otherwise(masked)

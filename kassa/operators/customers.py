@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kassa.constants import DASHBOARD_SEGMENTS, RECENCY_BUCKETS, REPORT_SEGMENTS
+from kassa.constants import DASHBOARD_SEGMENTS, RECENCY_BUCKETS, REPORT_SEGMENTS, UNKNOWN_LABEL
 from kassa.functions.clean import month_start, safe_ratio
 from kassa.operators.common import first_line_per_transaction, small, top_k, zsum
 from kassa.operators.joins import left_join_skew_safe
@@ -245,7 +245,7 @@ def rfm_segment_category(df: DataFrame) -> DataFrame:
     lines = df.select("contact_id", "category", "line_sales_value", "transaction_id", "_seq")
     j = left_join_skew_safe(lines, seg, "contact_id", "_cid", salt_source=["_seq"]) \
         .where(F.col("_cid").isNotNull())
-    g = (j.withColumn("category", F.coalesce("category", F.lit("Unknown")))
+    g = (j.withColumn("category", F.coalesce("category", F.lit(UNKNOWN_LABEL)))
           .groupBy("rfm_segment", "category")
           .agg(zsum("line_sales_value").alias("gmv"), F.countDistinct("transaction_id").cast("long").alias("orders")))
     tot = g.groupBy("rfm_segment").agg(F.sum("gmv").alias("_tot"))

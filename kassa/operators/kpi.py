@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kassa.constants import UNKNOWN_LABEL
+
 from kassa.functions.clean import month_start, parse_iso_date, safe_ratio
 from kassa.operators.common import first_line_per_transaction, top_k, zsum
 from kassa.operators.rank import global_order
@@ -92,7 +94,7 @@ def _pareto(agg: DataFrame, key_cols: list[str], value: str = "gmv") -> DataFram
 def category_pareto(df: DataFrame) -> DataFrame:
     """Per category (null -> 'Unknown'): GMV (line-summed transaction value),
     units, distinct orders, ASP, share %, cumulative share %, Pareto-80."""
-    agg = (df.withColumn("category", F.coalesce("category", F.lit("Unknown")))
+    agg = (df.withColumn("category", F.coalesce("category", F.lit(UNKNOWN_LABEL)))
              .groupBy("category")
              .agg(zsum("transaction_value").alias("gmv"), zsum("quantity_item").alias("units"),
                   F.countDistinct("transaction_id").cast("long").alias("orders")))

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kassa.constants import (ALBERTA_CITIES, DEFAULT_COUNTRY, DEFAULT_PROVINCE, ONLINE_CITY,
-                             ONLINE_NAME_MARKERS, STORE_FALLBACK_PREFIX, STORE_NAME_FALLBACK_PREFIX,
-                             STORE_NAME_FALLBACK_SEED)
+                             ONLINE_NAME_MARKERS, ONLINE_STORE_ID_FORMAT, ONLINE_STORE_NAME_FORMAT,
+                             STORE_FALLBACK_PREFIX, STORE_ID_FORMAT, STORE_NAME_FALLBACK_PREFIX,
+                             STORE_NAME_FALLBACK_SEED, STORE_NAME_FORMAT)
 from kassa.functions.clean import normalise_identifier, strip
 from kassa.functions.privacy import hashed_postal, hashed_token
 from kassa.operators.joins import left_join_skew_safe, size_bound_ok, sized_broadcast
@@ -84,12 +85,13 @@ def build_store_lookup(stores: DataFrame, cities: Sequence[tuple] = ALBERTA_CITI
                  .withColumn("city_idx", F.coalesce(F.col("city_idx"), F.lit(0)))
                  .join(F.broadcast(ctab), "city_idx", "left"))
     is_on = F.col("_online")
-    new_id = F.when(is_on, F.format_string("ABWEB%02d", F.col("_num"))).otherwise(F.format_string("AB%03d", F.col("_num")))
+    new_id = F.when(is_on, F.format_string(ONLINE_STORE_ID_FORMAT, F.col("_num"))).otherwise(
+        F.format_string(STORE_ID_FORMAT, F.col("_num")))
     return out.select(
         "store_key",
         new_id.alias("new_id"),
-        F.when(is_on, F.format_string("Alberta Online Store %02d", F.col("_num")))
-         .otherwise(F.format_string("AB Store %03d - %s", F.col("_num"), F.col("city_label"))).alias("new_name"),
+        F.when(is_on, F.format_string(ONLINE_STORE_NAME_FORMAT, F.col("_num")))
+         .otherwise(F.format_string(STORE_NAME_FORMAT, F.col("_num"), F.col("city_label"))).alias("new_name"),
         F.when(is_on, F.lit(ONLINE_CITY)).otherwise(F.col("city_label")).alias("new_city"),
         F.when(is_on, F.lit(None).cast("double")).otherwise(F.col("latitude")).alias("latitude"),
         F.when(is_on, F.lit(None).cast("double")).otherwise(F.col("longitude")).alias("longitude"),

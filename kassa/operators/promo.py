@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kassa.constants import PROMO_LABELS
+from kassa.constants import PROMO_LABELS, UNKNOWN_LABEL, UNSPECIFIED_PROMO_LABEL
 from kassa.functions.clean import clip_at_zero, month_start, parse_iso_date, safe_ratio
 from kassa.operators.common import top_k, zsum
 
@@ -52,11 +52,11 @@ def promo_overall(df: DataFrame) -> DataFrame:
 def analysis_base(df: DataFrame) -> DataFrame:
     """P9/P10 label defaults and clipped discount used by the promo lenses."""
     return df.withColumns({
-        "category": F.coalesce("category", F.lit("Unknown")),
+        "category": F.coalesce("category", F.lit(UNKNOWN_LABEL)),
         "store_name": F.coalesce("store_name", "store_id"),
-        "store_city": F.coalesce("city", F.lit("Unknown")),
-        "store_province": F.coalesce("province", F.lit("Unknown")),
-        "promo_label": F.coalesce("promo_label", F.lit("Unspecified promo")),
+        "store_city": F.coalesce("city", F.lit(UNKNOWN_LABEL)),
+        "store_province": F.coalesce("province", F.lit(UNKNOWN_LABEL)),
+        "promo_label": F.coalesce("promo_label", F.lit(UNSPECIFIED_PROMO_LABEL)),
         "original_value": F.col("line_original_value"),
         "discount_value": clip_at_zero("line_discount"),
         "gmv": F.col("line_sales_value"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kassa.constants import UNKNOWN_LABEL
+
 from kassa.functions.clean import safe_ratio
 from kassa.operators.common import top_k, top_k_per_group, zsum
 
@@ -36,24 +38,24 @@ def store_deep_dive(df: DataFrame) -> DataFrame:
     """Per (store id, name, city, province) with label defaults."""
     base = df.withColumns({
         "store_name": F.coalesce("store_name", "store_id"),
-        "store_city": F.coalesce("city", F.lit("Unknown")),
-        "store_province": F.coalesce("province", F.lit("Unknown")),
+        "store_city": F.coalesce("city", F.lit(UNKNOWN_LABEL)),
+        "store_province": F.coalesce("province", F.lit(UNKNOWN_LABEL)),
     })
     return _perf(_measures(base.groupBy("store_id", "store_name", "store_city", "store_province")))
 
 
 def city_performance(df: DataFrame) -> DataFrame:
     """Per (province, city) with 'Unknown' defaults."""
-    base = df.withColumns({"province": F.coalesce("province", F.lit("Unknown")),
-                           "city": F.coalesce("city", F.lit("Unknown"))})
+    base = df.withColumns({"province": F.coalesce("province", F.lit(UNKNOWN_LABEL)),
+                           "city": F.coalesce("city", F.lit(UNKNOWN_LABEL))})
     return _perf(_measures(base.groupBy("province", "city")))
 
 
 def city_category_mix(df: DataFrame, k: int = 5) -> DataFrame:
     """Value per (city, category), share % within the city, top ``k``
     categories per city."""
-    base = df.withColumns({"city": F.coalesce("city", F.lit("Unknown")),
-                           "category": F.coalesce("category", F.lit("Unknown"))})
+    base = df.withColumns({"city": F.coalesce("city", F.lit(UNKNOWN_LABEL)),
+                           "category": F.coalesce("category", F.lit(UNKNOWN_LABEL))})
     g = base.groupBy("city", "category").agg(zsum("transaction_value").alias("transaction_value"))
     tot = g.groupBy("city").agg(F.sum("transaction_value").alias("_tot"))
     g = g.join(tot, "city").withColumn("gmv_share_pct", F.try_divide(F.col("transaction_value"), F.col("_tot")) * 100.0) \
