@@ -28,11 +28,15 @@ from kassa.llm.common import stash, whole
 BLOCK_CHARS = 4096
 
 
-def name_repeated(rows: DataFrame, key: list[str], settled: Column | None = None) -> DataFrame:
-    """Integer names, in sort order, of the keys that occur in more than one row."""
-    src = rows if settled is None else rows.where(~settled)
-    repeated = src.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    return stash(repeated.orderBy(*key).withColumn("name", F.monotonically_increasing_id()))
+def name_repeated(rows: DataFrame, key: list[str], short: list[Column] | None = None) -> DataFrame:
+    """Integer names, in sort order, of the keys that occur in more than one row.
+
+    ``short`` are small values that range-partition the keys in place of the
+    keys themselves, of which the driver would be sent a sample.
+    """
+    repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    ordered = repeated.repartitionByRange(*(short or key)).sortWithinPartitions(*(short or []), *key)
+    return stash(ordered.withColumn("name", F.monotonically_increasing_id()))
 
 
 def document_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -49,7 +53,7 @@ def document_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = (docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("sha"),
                         F.when(text == "", F.array(F.lit(""))).otherwise(cut).alias("blocks"))
                 .select("doc_id", "sha", F.posexplode("blocks").alias("idx", "block")))
-    names = name_repeated(rows, ["block"])
+    names = name_repeated(rows, ["block"], [F.substring("block", 1, 16), F.xxhash64("block")])
     named = rows.join(names, "block", "left").select("doc_id", "sha", "idx", "name")
     doc = ["doc_id", "sha"]
     # repeated rows of one document meet here and only their number goes on
