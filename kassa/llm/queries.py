@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kassa.llm import bpe, exact_dedup
+from kassa.llm import bpe, exact_dedup, langid, licenses, line_dedup, quality, url_reputation
 from kassa.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,19 +17,49 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole document by the byte-level convolutional network."""
+    return quality.quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document by hyperdimensional profiles."""
+    return langid.language_report(read_table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document by the tokenization automaton, and their decoding."""
     return bpe.token_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url by rules and host reputation."""
+    return url_reputation.url_verdicts(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal documents by block naming; the largest doc_id stays."""
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and documents that state one of the licences."""
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that ten or more documents share, taken out of every document."""
+    return line_dedup.line_digests(read_table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_language": op2_language,
     "op3_bpe": op3_bpe,
+    "op4_url_filter": op4_url_filter,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_licenses": op8_licenses,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -37,4 +67,14 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op9_line_dedup": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+        l AS (SELECT r, doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM d),
+        k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
+        m AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f ON k.key = f.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY r, doc_id""",
 }
