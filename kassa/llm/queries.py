@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kassa.llm import bpe, exact_dedup, langid, licenses, line_dedup, quality, url_reputation
+from kassa.llm import bpe, decontaminate, exact_dedup, langid, licenses, line_dedup, quality, url_reputation
 from kassa.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -52,6 +52,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a benchmark item in a document, within the edit budget."""
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_language": op2_language,
@@ -60,6 +65,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op8_licenses": op8_licenses,
     "op9_line_dedup": op9_line_dedup,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {
