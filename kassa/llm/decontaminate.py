@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ BLOCK_BYTES = 4 << 20
 SCAN_BYTES = 2 << 20
 FILTER_BITS = 20
 
+HIT_FIELDS = ("item_id", "start", "end", "edits")
 HIT = "array<struct<item_id:long,start:int,end:int,edits:int>>"
 
 
@@ -215,6 +217,15 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes:
     yield block
 
 
+def finder(held: Broadcast):
+    @F.arrow_udf(HIT)
+    def find(texts: pa.Array) -> pa.Array:
+        rows = [[dict(zip(HIT_FIELDS, h, strict=True)) for h in hits] for hits in scan(held.value, texts)]
+        return pa.array(rows, pa.list_(pa.struct([(f, pa.int64() if f == "item_id" else pa.int32()) for f in HIT_FIELDS])))
+
+    return find
+
+
 def mark_occurrences(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", hits_col: str = "hits", item_col: str = "item_id",
                      item_text: str = "text", edit_rate: float = EDIT_RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` plus an array of the benchmark items found in each whole text.
@@ -230,13 +241,8 @@ def mark_occurrences(docs: DataFrame, benchmark: DataFrame, text_col: str = "tex
     for block in item_blocks(benchmark, item_col, item_text, block_bytes):
         held = spark.sparkContext.broadcast(ItemIndex(block, edit_rate))
 
-        @F.arrow_udf(HIT)
-        def find(texts: pa.Array, held=held) -> pa.Array:
-            rows = [[dict(zip(("item_id", "start", "end", "edits"), h, strict=True)) for h in hits] for hits in scan(held.value, texts)]
-            return pa.array(rows, pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())])))
-
         parts.append(fresh(out, f"_hits{len(parts)}"))
-        out = out.withColumn(parts[-1], find(F.col(text_col).cast("string")))
+        out = out.withColumn(parts[-1], finder(held)(F.col(text_col).cast("string")))
         if len(parts) % 8 == 0:  # so many scans in one stage would hold all their blocks at once
             out = stash(out)
     return out.withColumn(hits_col, F.flatten(F.array(*parts))).drop(*parts)
