@@ -17,7 +17,7 @@ from this on demand; the whole of it would have 2.5e9 cells.
 **Encoding.** Words are cut by the tokenizer's split pattern. For every prefix
 of a word there is exactly one accepted path, so one pass over the bytes,
 moving through the vocabulary's byte table and the transition table, finds the
-path. Distinct words are encoded once per Python worker (bounded cache).
+path (longest label first; a step back where the table has no arc). Distinct words are encoded once per Python worker (bounded cache).
 
 **Decoding** emits the arcs' labels: each id's bytes.
 """
@@ -78,6 +78,11 @@ class Automaton:
                     self.token.append(-1)
                 node = nxt
             self.token[node] = t
+        self.known = {b: t for t, b in labels.items() if not self.dead[t]}
+        self.length = [len(labels.get(t, b"")) for t in range(size)]
+        self.shorter = [-2] * size    # longest other label that begins a label
+        for b, t in self.known.items():
+            self.shorter[t] = next((self.known[b[:k]] for k in range(len(b) - 1, 0, -1) if b[:k] in self.known), -2)
         self.table: dict[int, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
 
@@ -106,30 +111,50 @@ class Automaton:
                 state = self.origin[state]
 
     def encode_bytes(self, word: bytes) -> tuple[int, ...]:
+        """The labels of the one accepted path, by search from the longest label down.
+
+        Every prefix has one path only, so a place that led nowhere is never tried again.
+        """
+        whole = self.known.get(word)
+        if whole is not None:
+            return (whole,)
         n = len(word)
-        via = [-1] * (n + 1)
-        came = [0] * (n + 1)
-        step, token, table, after, size = self.step, self.token, self.table, self.after, len(self.left)
-        for i in range(n):
-            state = after[via[i]] if i else 0
-            node = 0
-            for j in range(i, n):
-                node = step[node].get(word[j], -1)
-                if node < 0:
-                    break
-                t = token[node]
-                if t >= 0 and via[j + 1] < 0:
+        step, token, table, after, size, shorter = self.step, self.token, self.table, self.after, len(self.left), self.shorter
+        length = self.length
+        path: list[int] = []
+        tried = bytearray(n + 1)
+        at, state, t = 0, 0, -1
+        while at < n:
+            if t == -1:  # longest label from here
+                node = 0
+                for j in range(at, n):
+                    node = step[node].get(word[j], -1)
+                    if node < 0:
+                        break
+                    if token[node] >= 0:
+                        t = token[node]
+            while t >= 0:
+                end = at + length[t]
+                if not tried[end]:
                     cell = state * size + t
                     ok = table.get(cell)
                     if ok is None:
                         ok = table[cell] = self.has_arc(state, t)
                     if ok:
-                        via[j + 1], came[j + 1] = t, i
-        out, j = [], n
-        while j:
-            out.append(via[j])
-            j = came[j]
-        return tuple(out[::-1])
+                        break
+                t = shorter[t]
+            if t >= 0:
+                path.append(t)
+                at, state, t = end, after[t], -1
+            else:  # back to the label before, and on to a shorter one
+                tried[at] = 1
+                last = path.pop()
+                at -= length[last]
+                state = after[path[-1]] if path else 0
+                t = shorter[last]
+                if t < 0:
+                    t = -2
+        return tuple(path)
 
     def encode(self, text: str, split) -> list[int]:
         """Ids of a whole text; the vocabulary's added tokens are cut out first."""
@@ -219,7 +244,10 @@ class Codec:
         @F.arrow_udf(StringType())
         def decode(lists: pa.Array) -> pa.Array:
             auto = held.value
-            return pa.array([auto.decode(x.as_py() or ()) for x in lists], pa.string())
+            lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ends = lengths.cumsum().tolist()
+            flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()
+            return pa.array([auto.decode(flat[b - n:b]) for b, n in zip(ends, lengths.tolist(), strict=True)], pa.string())
 
         self._encode, self._decode = encode, decode
 
