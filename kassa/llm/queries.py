@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kassa.llm import bpe, decontaminate, exact_dedup, langid, licenses, line_dedup, quality, url_reputation
+from kassa.llm import bpe, decontaminate, exact_dedup, langid, licenses, line_dedup, near_dedup, quality, url_reputation
 from kassa.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -42,6 +42,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near-duplicate documents by weighted sampling over TF-IDF shingles."""
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines and documents that state one of the licences."""
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
@@ -63,6 +68,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_url_filter": op4_url_filter,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_near_dedup": op7_near_dedup,
     "op8_licenses": op8_licenses,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
