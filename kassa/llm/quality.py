@@ -20,11 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from kassa.llm.common import fresh, text_bytes, whole
+from kassa.llm.common import fresh, row_blocks, text_bytes, whole
 
 WIDTH, STRIDE, EMBED, FILTERS = 16, 8, 8, 32
 PAD = 256
-SLICE = 16384
+SLICE = 8192
+BLOCK_BYTES = 1 << 20
 SAMPLE_ROWS, SAMPLE_BYTES = 2500, 65536
 EPOCHS, BATCH, RATE = 10, 32, 0.01
 
@@ -48,8 +49,8 @@ def padded(data: np.ndarray, offsets: np.ndarray, place: np.ndarray) -> np.ndarr
     """The texts one after another, each followed by WIDTH pad symbols."""
     n = len(offsets) - 1
     out = np.full(len(data) + WIDTH * n, PAD, np.uint16)
-    shift = np.repeat(WIDTH * np.arange(n), np.diff(offsets))
-    out[np.arange(len(data)) + shift] = data
+    for i, p in enumerate(place.tolist()):
+        out[p:p + offsets[i + 1] - offsets[i]] = data[offsets[i]:offsets[i + 1]]
     return out
 
 
@@ -92,7 +93,10 @@ class ByteConvNet:
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(offsets) - 1, self.constant)
-        z = np.maximum(self.pooled(data, offsets), 0) @ self.p[3] + self.p[4]
+        z = np.zeros(len(offsets) - 1, np.float32)
+        for lo, hi in row_blocks(offsets, BLOCK_BYTES):
+            part = self.pooled(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+            z[lo:hi] = np.maximum(part, 0) @ self.p[3] + self.p[4]
         return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -60, 60)))
 
     def fit(self, texts: list[bytes], labels: np.ndarray, seed: int = 11) -> ByteConvNet:
