@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from kassa.llm.common import fresh, row_blocks, text_bytes, whole
+from kassa.llm.common import fresh, row_blocks, stash, text_bytes, whole
 
 WIDTH, STRIDE, EMBED, FILTERS = 16, 8, 8, 32
 PAD = 256
@@ -142,16 +142,18 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     label_col: str = "quality", rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """At most ``rows`` pairs (text, y) of labelled documents that are not held out.
 
-    Ids with contradicting labels and null labels are left out.
+    Of an id with several texts the least is taken. Ids with contradicting labels and null labels are left out.
     """
     y = (labels.where(F.col(label_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("_id"))
                .agg(F.min(label_col).alias("y"), F.max(label_col).alias("_y")).where("y = _y and _id is not null"))
     texts = docs.select(F.col(id_col).alias("_id"), whole(text_col).alias("text")).where(F.octet_length("text") <= most_bytes)
-    return texts.join(y, "_id").orderBy(F.xxhash64("_id"), "_id", "text").limit(rows).select("_id", "text", "y")
+    # the sample is drawn among ids alone; only its own texts move
+    chosen = stash(texts.select("_id").join(y, "_id").select("_id", "y").distinct().orderBy(F.xxhash64("_id"), "_id").limit(rows))
+    return texts.join(F.broadcast(chosen), "_id").groupBy("_id", "y").agg(F.min("text").alias("text")).select("_id", "text", "y")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, **options) -> ByteConvNet:
-    sample = training_sample(docs, labels, **options).collect()  # bounded: rows x bytes of the sample
+    sample = training_sample(docs, labels, **options).orderBy("_id").collect()  # bounded: rows x bytes of the sample
     return ByteConvNet().fit([r["text"].encode("utf-8") for r in sample], np.array([r["y"] for r in sample], np.float32))
 
 
