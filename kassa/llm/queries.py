@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kassa.llm import bpe, decontaminate, exact_dedup, langid, licenses, line_dedup, near_dedup, quality, url_reputation
+from kassa.llm import bpe, decontaminate, exact_dedup, langid, licenses, line_dedup, near_dedup, quality, suffix_dedup, url_reputation
 from kassa.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -37,6 +37,11 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.url_verdicts(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that also start earlier."""
+    return suffix_dedup.repeat_digests(read_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal documents by block naming; the largest doc_id stays."""
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
@@ -67,6 +72,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_bpe": op3_bpe,
     "op4_url_filter": op4_url_filter,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_licenses": op8_licenses,
