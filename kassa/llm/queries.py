@@ -80,7 +80,69 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
+def license_sql(least: float = licenses.LEAST) -> str:
+    """SQL twin of the licence scan: the templates' words are cut by SQL itself."""
+    values = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')" for name, text in licenses.TEMPLATES)
+
+    def words(text: str) -> str:
+        return f"list_filter(string_split(trim(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '), lambda x: x <> '')"
+
+    def grams(w: str) -> str:
+        return f"list_distinct(list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1]))"
+
+    return f"""
+        WITH t AS (SELECT license, {grams('w')} AS tg FROM (SELECT c0 AS license, {words('c1')} AS w FROM (VALUES {values}) v(c0, c1))),
+        d AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+        u AS (SELECT doc_id, generate_subscripts(ls, 1) AS line, unnest(ls) AS text FROM d
+              UNION ALL SELECT doc_id, 0, text FROM d WHERE len(ls) > 1),
+        g AS (SELECT doc_id, line, text, {grams('w')} AS ug FROM (SELECT *, {words('text')} AS w FROM u) WHERE len(w) > 1),
+        s AS (SELECT doc_id, line, license, 2.0::DOUBLE * len(list_intersect(ug, tg)) / (len(ug) + len(tg)) AS dice,
+                     CASE WHEN line > 0 THEN text END AS text
+              FROM g, t WHERE 2.0 * least(len(ug), len(tg)) >= {least} * (len(ug) + len(tg)))
+        SELECT doc_id, line::INTEGER AS line, license, dice, text FROM s WHERE dice >= {least}"""
+
+
+def url_sql(max_bad: float = url_reputation.MAX_BAD, z: float = url_reputation.Z) -> str:
+    """SQL twin of the url filter."""
+    two = ", ".join(f"'{x}'" for x in url_reputation.TWO_LABEL_SUFFIXES)
+    upper, lower = url_reputation.UPPER, url_reputation.LOWER
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_reputation.RULES)
+
+    def strength(name: str, source: str) -> str:
+        return f"""{name} AS (SELECT CASE WHEN g < 2 OR n <= g OR s = 0 OR s = n THEN 100.0
+            ELSE 1 / least(0.99, greatest(0.001, coalesce((msb - msw) / (msb + (each - 1) * msw), 0.001))) - 1 END AS k FROM (
+            SELECT g, n, s, (ss - s * s / n) / nullif(g - 1, 0) AS msb, (s - ss) / nullif(n - g, 0) AS msw, (n - nn / n) / nullif(g - 1, 0) AS each
+            FROM (SELECT count(*)::DOUBLE AS g, sum(n)::DOUBLE AS n, sum(s)::DOUBLE AS s, sum(s * s / n::DOUBLE) AS ss, sum((n * n)::DOUBLE) AS nn FROM {source})))"""
+
+    return f"""
+        WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{upper}', '{lower}') AS host,
+                          regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+        o AS (SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels
+              WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id),
+        h AS (SELECT host, array_to_string(list_slice(parts, -2, -1), '.') AS two, parts, n, s FROM (
+              SELECT host, string_split(host, '.') AS parts, count(*) AS n, sum(bad) AS s FROM p JOIN o ON page_id = doc_id GROUP BY host)),
+        hosts AS (SELECT host, n, s, CASE WHEN two IN ({two}) THEN array_to_string(list_slice(parts, -3, -1), '.') ELSE two END AS domain,
+                         CASE WHEN two IN ({two}) THEN two ELSE parts[-1] END AS suffix FROM h),
+        domains AS (SELECT domain, suffix, sum(n) AS n, sum(s) AS s FROM hosts GROUP BY ALL),
+        suffixes AS (SELECT suffix, sum(n) AS n, sum(s) AS s FROM domains GROUP BY ALL),
+        {strength('kh', 'hosts')}, {strength('kd', 'domains')}, {strength('ks', 'suffixes')},
+        m0 AS (SELECT (sum(s) + 1) / (sum(n) + 2) AS m FROM suffixes),
+        ms AS (SELECT suffix, (k * m + s) / (k + n) AS m FROM suffixes, ks, m0),
+        md AS (SELECT domain, suffix, (k * m + s) / (k + n) AS m FROM domains JOIN ms USING (suffix), kd),
+        mh AS (SELECT host, k * m + s AS a, k * (1 - m) + n - s AS b FROM hosts JOIN md USING (domain, suffix), kh),
+        blocked AS (SELECT host FROM mh WHERE a / (a + b) - {z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > {max_bad}),
+        r AS (SELECT page_id, host, path, v, rh || rp AS rule,
+                     row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(rh || rp) DESC, length(rh) DESC, v DESC) AS k
+              FROM (SELECT DISTINCT * FROM p), (VALUES {rules}) t(v, rh, rp)
+              WHERE (host = rh OR host LIKE '%.' || rh) AND starts_with(path, rp))
+        SELECT p.page_id, p.host, p.path, r.rule, CASE WHEN r.rule IS NOT NULL THEN r.v
+               WHEN p.host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END AS verdict
+        FROM p LEFT JOIN r ON r.k = 1 AND p.page_id IS NOT DISTINCT FROM r.page_id AND p.host = r.host AND p.path = r.path"""
+
+
 ORACLE: dict[str, str] = {
+    "op4_url_filter": url_sql(),
+    "op8_licenses": license_sql(),
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
