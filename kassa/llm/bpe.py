@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from kassa.llm.common import whole
+from kassa.llm.common import share, shared, whole
 
 # --- fixed value: the split pattern of byte-level BPE vocabularies ------------
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -227,11 +227,11 @@ class Codec:
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        held = spark.sparkContext.broadcast(load_automaton(path))
+        held = share(spark, load_automaton(path))
 
         @F.arrow_udf(ArrayType(IntegerType(), False))
         def encode(texts: pa.Array) -> pa.Array:
-            auto = held.value
+            auto = shared(held)
             split = regex.compile(SPLIT).findall
             out, at = [], [0]
             for t in texts:
@@ -243,7 +243,7 @@ class Codec:
 
         @F.arrow_udf(StringType())
         def decode(lists: pa.Array) -> pa.Array:
-            auto = held.value
+            auto = shared(held)
             lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             ends = lengths.cumsum().tolist()
             flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()

@@ -3,11 +3,13 @@ column names, and byte-level access to Arrow string columns."""
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,3 +77,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def share(spark: SparkSession, obj: object) -> Broadcast:
+    """Broadcast an object of this package; workers need no copy of its code."""
+    return spark.sparkContext.broadcast({"raw": cloudpickle.dumps(obj)})
+
+
+def shared(held: Broadcast):
+    """The object that ``share`` sent, opened once in each Python worker."""
+    box = held.value
+    if "open" not in box:
+        box["open"] = pickle.loads(box["raw"])
+    return box["open"]

@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kassa.llm.common import fresh, row_blocks, stash, text_bytes, whole
+from kassa.llm.common import fresh, row_blocks, share, shared, stash, text_bytes, whole
 
 Q = 8
 EDIT_RATE = 0.08
@@ -220,7 +220,7 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes:
 def finder(held: Broadcast):
     @F.arrow_udf(HIT)
     def find(texts: pa.Array) -> pa.Array:
-        rows = [[dict(zip(HIT_FIELDS, h, strict=True)) for h in hits] for hits in scan(held.value, texts)]
+        rows = [[dict(zip(HIT_FIELDS, h, strict=True)) for h in hits] for hits in scan(shared(held), texts)]
         return pa.array(rows, pa.list_(pa.struct([(f, pa.int64() if f == "item_id" else pa.int32()) for f in HIT_FIELDS])))
 
     return find
@@ -239,7 +239,7 @@ def mark_occurrences(docs: DataFrame, benchmark: DataFrame, text_col: str = "tex
         raise ValueError(f"column {hits_col} exists")
     spark, parts, out = docs.sparkSession, [], docs
     for block in item_blocks(benchmark, item_col, item_text, block_bytes):
-        held = spark.sparkContext.broadcast(ItemIndex(block, edit_rate))
+        held = share(spark, ItemIndex(block, edit_rate))
 
         parts.append(fresh(out, f"_hits{len(parts)}"))
         out = out.withColumn(parts[-1], finder(held)(F.col(text_col).cast("string")))

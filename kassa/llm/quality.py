@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from kassa.llm.common import fresh, row_blocks, stash, text_bytes, whole
+from kassa.llm.common import fresh, row_blocks, share, shared, stash, text_bytes, whole
 
 WIDTH, STRIDE, EMBED, FILTERS = 16, 8, 8, 32
 PAD = 256
@@ -158,11 +158,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, **options) -> ByteConvNet:
 
 
 def scorer(spark: SparkSession, model: ByteConvNet):
-    held = spark.sparkContext.broadcast(model)  # 6,500 numbers, whatever the corpus
+    held = share(spark, model)  # 6,500 numbers, whatever the corpus
 
     @F.arrow_udf(DoubleType())
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array(held.value.score(*text_bytes(texts)), pa.float64())
+        return pa.array(shared(held).score(*text_bytes(texts)), pa.float64())
 
     return score
 
