@@ -154,10 +154,9 @@ def flat_ranges(spans: pa.Array | None, first: int, rows: int):
     """(row, place, n, o) of the ranges of some rows."""
     if spans is None:
         return (np.zeros(0, np.int64),) * 4
-    part = spans.slice(first, rows)
-    flat = part.flatten()
-    row = np.repeat(np.arange(rows), part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-    return (row, *(flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("place", "n", "o")))
+    data, offsets = text_bytes(spans.slice(first, rows))
+    flat = np.frombuffer(data.tobytes(), "<i4").astype(np.int64).reshape(-1, 3)
+    return (np.repeat(np.arange(rows), np.diff(offsets) // 12), *flat.T)
 
 
 def starts_in(spans, off, first, base):
@@ -214,7 +213,7 @@ def resolve(units: DataFrame, last: bool = False, chunks: bool = False) -> tuple
     that is not repeated goes on.
     """
     shared = units.groupBy("k").agg(F.count(F.lit(1)).alias("c"), (F.min("m") != F.max("m")).alias("mixed")).where("c > 1").select("k", "mixed")
-    cand = stash(units.join(shared, "k"))
+    cand = stash(units.join(stash(shared), "k"))
     first = stash(cand.groupBy("k", "m").agg(F.min("addr").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("k", "m", "first"))
     placed = cand.join(first, ["k", "m"], "left")
     repeated = stash(placed.where("addr <> first").select("addr", "n"))
@@ -223,17 +222,41 @@ def resolve(units: DataFrame, last: bool = False, chunks: bool = False) -> tuple
     return repeated, stash(placed.where("mixed and (first is null or addr = first)").select("addr", "n", "o"))
 
 
+def packed(merge: bool):
+    """mapInArrow function: (id, list of ranges) -> (id, ranges as 32-bit triples), touching ranges made one with ``merge``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = lists.flatten()
+            row = np.repeat(np.arange(len(size)), size)
+            place, n, o = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("place", "n", "o"))
+            order = np.lexsort((place, row))
+            row, place, n, o = row[order], place[order], n[order], o[order]
+            if merge and len(row):
+                # no start is in two ranges, so ranges touch when one ends where the next begins
+                new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (place[1:] != place[:-1] + n[:-1]))))
+                n = np.add.reduceat(n, new)
+                row, place, o = row[new], place[new], o[new]
+            flat = np.stack([place, n, o], axis=1).astype("<i4")
+            at = np.searchsorted(row, np.arange(len(size) + 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([flat[x:y].tobytes() for x, y in zip(at, at[1:], strict=False)], pa.binary())], ["_id", "spans"])
+    return run
+
+
 def by_document(rows: DataFrame) -> DataFrame:
-    """``_id, spans``: the ranges (place, n, o) of each document."""
-    o = F.col("o") if "o" in rows.columns else F.lit(0).alias("o")
+    """``_id, spans``: the ranges (place, n, o) of each document; without ``o`` those that touch are one."""
+    merge = "o" not in rows.columns
+    o = F.lit(0).alias("o") if merge else F.col("o")
     place = F.col("addr").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("place")
-    return rows.groupBy(F.shiftright("addr", PLACE_BITS).alias("_id")).agg(F.collect_list(F.struct(place, "n", o)).alias("spans"))
+    lists = rows.groupBy(F.shiftright("addr", PLACE_BITS).alias("_id")).agg(F.collect_list(F.struct(place, "n", o)).alias("spans"))
+    return lists.mapInArrow(packed(merge), "_id long, spans binary")
 
 
 def beside(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
     """Documents with their ranges. The ranges are broadcast while small, else both sides shuffle."""
     spans = stash(by_document(rows))
-    size = spans.agg(F.coalesce(F.sum(F.size("spans") * 16 + 48), F.lit(0))).first()[0]
+    size = spans.agg(F.coalesce(F.sum(F.length("spans") + 64), F.lit(0))).first()[0]
     spans = F.broadcast(spans) if size <= BROADCAST_BYTES else spans
     return docs.join(spans, docs["id"] == spans["_id"], how).select("id", "text", "spans")
 
@@ -243,7 +266,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     chunks, _ = resolve(docs.mapInArrow(mapped(chunk_units, length, gram), UNIT), chunks=True)
     anchors, left = resolve(beside(docs, chunks, "left").mapInArrow(mapped(anchor_units, length, gram), UNIT))
     groups, left = resolve(beside(docs, left, "inner").mapInArrow(finer(True, length), UNIT))
-    single, _ = resolve(beside(docs, left, "inner").mapInArrow(finer(False, length), UNIT), last=True)
+    single, _ = resolve(beside(docs, left.drop("o"), "inner").mapInArrow(finer(False, length), UNIT), last=True)
     return chunks.union(anchors).union(groups).union(single)
 
 
