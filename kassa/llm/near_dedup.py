@@ -11,10 +11,11 @@
    sketches agree in fewer than ``LEAST_AGREE`` draws are not (a pair of
    similarity 0.8 passes both with a probability of about 0.998).
 4. Candidates are verified by their exact weighted Jaccard similarity, in
-   rounds: first each class's most alike candidate, then all pairs whose
-   classes the verified links have not joined yet. A pair inside one component
-   cannot change the result, so no link between components is lost, and a large
-   group of near copies does not become all its pairs.
+   rounds: first each class's most alike candidate, then, where two blocks of
+   a bucket meet, all pairs whose classes the links found so far have not
+   joined. A pair inside one component cannot change the result, so no link
+   between components is lost. Candidate pairs never become rows: a group of
+   blocks gives its best pairs, and at last its links.
 
 Buckets are cut into blocks of ``BLOCK`` classes and compared block by block,
 so no task holds a bucket. Components are found by rounds over tables.
@@ -28,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from kassa.llm.common import fresh, mix64, stash, whole
 from kassa.llm.components import connected_components
@@ -38,7 +40,7 @@ DF_BITS = 18
 ROWS, BANDS = 4, 16
 SAMPLES = ROWS * BANDS
 LEAST_AGREE = 42
-BLOCK = 512
+BLOCK = 256
 STEP = 16384
 ROUNDS = 2
 BROADCAST_BYTES = 64 << 20
@@ -148,50 +150,130 @@ def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def candidate_pairs(classes: DataFrame) -> DataFrame:
-    """``a, b, agree`` (a < b) of the classes (node, sketch) that share a band and agree in enough draws."""
+def open_pairs(band: int, same_block: bool, left: np.ndarray, right: np.ndarray, node: np.ndarray, comp: np.ndarray,
+               codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (row of left, row of right, agreeing draws) that are candidates and not in one component yet.
+
+    A pair that shares several bands belongs to the first of them.
+    """
+    cl, cr = codes[left], codes[right]
+    agree = np.zeros((len(left), len(right)), np.int16)
+    for d in range(SAMPLES):
+        agree += cl[:, d, None] == cr[None, :, d]
+    ok = (agree >= LEAST_AGREE) & (comp[left][:, None] != comp[right][None, :])
+    if same_block:
+        ok &= node[left][:, None] < node[right][None, :]
+    p, q = np.nonzero(ok)
+    for e in range(band):
+        e4 = slice(e * ROWS, (e + 1) * ROWS)
+        new = ~(cl[p, e4] == cr[q, e4]).all(1)
+        p, q = p[new], q[new]
+    return left[p], right[q], agree[p, q].astype(np.int32)
+
+
+def each_group(band: pa.Array, i: pa.Array, j: pa.Array, rows: pa.Array) -> Iterator[tuple]:
+    """For each group its rows' nodes and flat values, and its open pairs."""
+    flat = rows.flatten()
+    node, x, comp = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("node", "x", "comp"))
+    codes = np.frombuffer(b"".join(flat.field("sketch").to_pylist()), np.uint32).reshape(-1, SAMPLES)
+    at = np.concatenate(([0], np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False))))
+    for g, (k, bi, bj) in enumerate(zip(band.to_pylist(), i.to_pylist(), j.to_pylist(), strict=True)):
+        s = np.arange(at[g], at[g + 1])
+        yield node, comp, open_pairs(k, bi == bj, s[x[s] == bi], s[x[s] == bj], node, comp, codes)
+
+
+def pair_lists(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum([len(a) for a, _ in found]))).astype(np.int32)
+    cols = [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * 2
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(cols, ["a", "b"]))
+
+
+PAIRS = ArrayType(StructType([StructField("a", LongType()), StructField("b", LongType())]))
+
+
+@F.arrow_udf(PAIRS)
+def most_alike(band: pa.Array, i: pa.Array, j: pa.Array, rows: pa.Array) -> pa.Array:
+    """In each group the most alike open pair of every class (ties: the least partner)."""
+    out = []
+    for node, _, (p, q, agree) in each_group(band, i, j, rows):
+        one, other, n = np.concatenate([p, q]), np.concatenate([q, p]), np.concatenate([agree, agree])
+        order = np.lexsort((node[other], -n, one))
+        first = order[np.concatenate(([True], one[order][1:] != one[order][:-1]))] if len(order) else order
+        a, b = node[one[first]], node[other[first]]
+        out.append((np.minimum(a, b), np.maximum(a, b)))
+    return pair_lists(out)
+
+
+@F.arrow_udf(ArrayType(LongType()))
+def with_open_pairs(band: pa.Array, i: pa.Array, j: pa.Array, rows: pa.Array) -> pa.Array:
+    """The classes of each group that have an open pair in it."""
+    return pa.array([np.unique(np.concatenate([node[p], node[q]])) for node, _, (p, q, _) in each_group(band, i, j, rows)], pa.list_(pa.int64()))
+
+
+def linked(least: float):
+    @F.arrow_udf(PAIRS)
+    def links(band: pa.Array, i: pa.Array, j: pa.Array, rows: pa.Array) -> pa.Array:
+        """Of each group's open pairs those that are similar enough, none between components already joined by others."""
+        vector = rows.flatten().field("vector")
+        out = []
+        for node, comp, (p, q, agree) in each_group(band, i, j, rows):
+            tops: dict[int, int] = {}
+
+            def top(c: int, tops=tops) -> int:
+                while c in tops:
+                    c = tops[c]
+                return c
+
+            held, a, b = {}, [], []
+            for m in np.argsort(-agree, kind="stable"):
+                x, y = int(p[m]), int(q[m])
+                cx, cy = top(comp[x]), top(comp[y])
+                if cx == cy:
+                    continue
+                for z in (x, y):
+                    if z not in held:
+                        held[z] = vector[z].as_py()
+                if weighted_jaccard(held[x], held[y]) >= least:
+                    tops[max(cx, cy)] = min(cx, cy)
+                    a.append(node[x])
+                    b.append(node[y])
+            out.append((np.array(a, np.int64), np.array(b, np.int64)))
+        return pair_lists(out)
+
+    return links
+
+
+def band_members(classes: DataFrame) -> DataFrame:
+    """``key, band, blocks, x, node``: classes (node, sketch) by the bands they share with others."""
     bands = classes.select("node", "sketch", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
     key = F.xxhash64("band", F.expr(f"substring(sketch, band * {4 * ROWS} + 1, {4 * ROWS})"))
     slim = stash(bands.select("node", "band", key.alias("key")))
-    shared = slim.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stash(slim.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    member = stash(slim.join(shared, "key").withColumn("blocks", blocks).withColumn("x", F.pmod(F.xxhash64("node"), "blocks").cast("int")))
-    member = member.join(classes, "node")
-    # every pair of blocks meets once, a block with itself too
-    pairs = member.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", "band", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "node", "sketch")
-
-    @F.arrow_udf("array<struct<a:long,b:long,agree:int>>")
-    def compare(band: pa.Array, i: pa.Array, j: pa.Array, rows: pa.Array) -> pa.Array:
-        node = rows.flatten().field("node").to_numpy(zero_copy_only=False)
-        block = rows.flatten().field("x").to_numpy(zero_copy_only=False)
-        codes = np.frombuffer(b"".join(rows.flatten().field("sketch").to_pylist()), np.uint32).reshape(-1, SAMPLES)
-        at = np.concatenate(([0], np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False))))
-        out, ends = [], [0]
-        for g, (k, bi, bj) in enumerate(zip(band.to_pylist(), i.to_pylist(), j.to_pylist(), strict=True)):
-            s = slice(at[g], at[g + 1])
-            c, m, x = codes[s], node[s], block[s]
-            left, right = (np.flatnonzero(x == bi), np.flatnonzero(x == bj))
-            agree = np.zeros((len(left), len(right)), np.int16)
-            cl, cr = c[left], c[right]
-            for d in range(SAMPLES):
-                agree += cl[:, d, None] == cr[None, :, d]
-            ok = agree >= LEAST_AGREE
-            ok &= m[left][:, None] < m[right][None, :] if bi == bj else True
-            p, q = np.nonzero(ok)
-            # a pair is reported by the first band it shares
-            for e in range(k):
-                e4 = slice(e * ROWS, (e + 1) * ROWS)
-                new = ~(cl[p, e4] == cr[q, e4]).all(1)
-                p, q = p[new], q[new]
-            a, b = m[left[p]], m[right[q]]
-            out.append((np.minimum(a, b), np.maximum(a, b), agree[p, q].astype(np.int32)))
-            ends.append(ends[-1] + len(a))
-        cols = [pa.array(np.concatenate(z) if out else np.zeros(0)) for z in zip(*out, strict=True)] or [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int32())]
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(cols, ["a", "b", "agree"]))
-
-    groups = pairs.groupBy("key", "band", "i", "j").agg(F.collect_list(F.struct("node", "x", "sketch")).alias("rows"))  # 2 BLOCK rows at most, about
-    return groups.select(F.explode(compare("band", "i", "j", "rows")).alias("p")).select("p.*")
+    return stash(slim.join(shared, "key").select("key", "band", blocks.alias("blocks"), "node")
+                     .withColumn("x", F.pmod(F.xxhash64("node"), "blocks").cast("int")))
+
+
+def labelled(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``node, comp, sketch``: a class that no link has joined is its own component."""
+    if labels is None:
+        return classes.select("node", F.col("node").alias("comp"), "sketch")
+    own = labels.select(F.col("node").alias("_node"), F.col("comp").alias("_comp"))
+    return classes.join(own, F.col("node") == F.col("_node"), "left").select("node", F.coalesce("_comp", "node").alias("comp"), "sketch")
+
+
+GROUP = ["key", "band", "i", "j"]
+
+
+def block_rows(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """A row for each class and pair of blocks of its bucket; every pair of blocks meets once, a block with itself too."""
+    return members.join(classes, "node").withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", "band", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "node", "comp", "sketch")
+
+
+def gathered(rows: DataFrame, *more: str) -> DataFrame:
+    """The rows of each group as a list: those of two blocks, whatever the bucket's size."""
+    return rows.groupBy(*GROUP).agg(F.collect_list(F.struct("node", "x", "comp", "sketch", *more)).alias("rows"))
 
 
 def similar(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
@@ -207,23 +289,6 @@ def similar(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", measure("va", "vb").alias("similarity")).where(F.col("similarity") >= least)
 
 
-def most_alike(pairs: DataFrame) -> DataFrame:
-    """For every class its pair with the most agreeing draws (ties: the least partner)."""
-    ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("other"), "agree").union(pairs.select("b", "a", "agree"))
-    best = ends.groupBy("node").agg(F.max_by("other", F.struct("agree", -F.col("other"))).alias("other"))
-    return best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-
-
-def across(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The pairs whose ends are in different components."""
-    if labels is None:
-        return pairs
-    a = labels.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
-    b = labels.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-    return (pairs.join(a, "a", "left").join(b, "b", "left")
-                 .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "agree"))
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, words: int = WORDS) -> DataFrame:
     """One row per document row: ``doc_id, class_id, class_size, kept, text_sha256``.
 
@@ -241,16 +306,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = stash(src.select("doc_id", sha.alias("sha"), sketcher(spark, idf, words)(F.col("text")).alias("sketch")))
     classes = stash(rows.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"), F.first("sketch").alias("sketch"))
                         .withColumn("node", F.monotonically_increasing_id()))
-    pairs = stash(candidate_pairs(classes.where("sketch is not null").select("node", "sketch")))
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = stash(classes.join(nodes, "node").select("node", "sha", F.col("first").alias("doc_id")))
+    sketches = classes.where("sketch is not null").select("node", "sketch")
+    members = band_members(sketches)
+    wanted = stash(classes.join(members.select("node").distinct(), "node").select("node", "sha", F.col("first").alias("doc_id")))
     found = (src.withColumn("sha", sha).alias("d").join(small_side(wanted, 96).alias("w"), (F.col("d.sha") == F.col("w.sha")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
                 .select("w.node", "d.text"))
     vectors = stash(found.select("node", vectoriser(spark, idf, words)(F.col("text")).alias("vector")).dropDuplicates(["node"]))
-    labels, links, left = None, None, pairs
+    labels, links = None, None
     for turn in range(ROUNDS + 1):
-        left = stash(across(left, labels)) if turn else left
-        new = similar(most_alike(left) if turn < ROUNDS else left, vectors, least).select("a", "b")
+        rows_now = block_rows(members, labelled(sketches, labels))
+        if turn < ROUNDS:
+            best = gathered(rows_now).select(F.explode(most_alike("band", "i", "j", "rows")).alias("p")).select("p.*").distinct()
+            new = similar(best, vectors, least).select("a", "b")
+        else:
+            rows_now = stash(rows_now)
+            open_rows = gathered(rows_now).select(*GROUP, F.explode(with_open_pairs("band", "i", "j", "rows")).alias("node"))
+            last = rows_now.join(stash(open_rows), [*GROUP, "node"]).join(vectors, "node")
+            new = gathered(last, "vector").select(F.explode(linked(least)("band", "i", "j", "rows")).alias("p")).select("p.*")
         links = stash(new if links is None else links.union(new))
         labels = connected_components(links)
     comp = classes.join(labels, "node", "left").select("sha", "first", "n", F.coalesce("comp", "node").alias("comp"))
