@@ -38,7 +38,7 @@ from kassa.llm.common import share, shared, whole
 # --- fixed value: the split pattern of byte-level BPE vocabularies ------------
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -246,8 +246,8 @@ class Codec:
             auto = shared(held)
             lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             ends = lengths.cumsum().tolist()
-            flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()
-            return pa.array([auto.decode(flat[b - n:b]) for b, n in zip(ends, lengths.tolist(), strict=True)], pa.string())
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            return pa.array([auto.decode(flat[b - n:b].tolist()) for b, n in zip(ends, lengths.tolist(), strict=True)], pa.string())
 
         self._encode, self._decode = encode, decode
 

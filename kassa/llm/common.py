@@ -88,5 +88,5 @@ def shared(held: Broadcast):
     """The object that ``share`` sent, opened once in each Python worker."""
     box = held.value
     if "open" not in box:
-        box["open"] = pickle.loads(box["raw"])
+        box["open"] = pickle.loads(box.pop("raw"))
     return box["open"]
