@@ -25,7 +25,8 @@ path (longest label first; a step back where the table has no arc). Distinct wor
 from __future__ import annotations
 
 import json
-from itertools import chain
+from array import array
+from bisect import bisect_right
 
 import pyarrow as pa
 import regex
@@ -38,7 +39,7 @@ from kassa.llm.common import share, shared, whole
 # --- fixed value: the split pattern of byte-level BPE vocabularies ------------
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-CACHE_WORDS = 200_000
+CACHE_WORDS, CACHE_CELLS = 200_000, 500_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -83,8 +84,9 @@ class Automaton:
         self.shorter = [-2] * size    # longest other label that begins a label
         for b, t in self.known.items():
             self.shorter[t] = next((self.known[b[:k]] for k in range(len(b) - 1, 0, -1) if b[:k] in self.known), -2)
+        self._number_states()
         self.table: dict[int, bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}
 
     def _gadget(self, i: int, u: int, v: int, w: int) -> None:
         p, r = self.after[u], self.after[v]
@@ -110,6 +112,48 @@ class Automaton:
             else:
                 state = self.origin[state]
 
+    def _number_states(self) -> None:
+        """Number the states so that a state's copies, and theirs, have the numbers after its own.
+
+        A label vanishes at most once on the way to a state, so the ranges of
+        the states that removed it are disjoint and one search finds the range
+        a state may lie in.
+        """
+        copies: list[list[int]] = [[] for _ in self.origin]
+        for state in range(1, len(self.origin)):
+            copies[self.origin[state]].append(state)
+        self.number, last, todo = [0] * len(self.origin), [0] * len(self.origin), [(0, False)]
+        count = 0
+        while todo:
+            state, done = todo.pop()
+            if done:
+                last[state] = count - 1
+                continue
+            self.number[state] = count
+            count += 1
+            todo.append((state, True))
+            todo += [(c, False) for c in copies[state]]
+        gone: dict[int, list[tuple[int, int, int]]] = {}
+        for state in range(1, len(self.origin)):
+            gone.setdefault(self.removed[state], []).append((self.number[state], last[state], self.birth[state]))
+        self.gone = {label: tuple(zip(*sorted(ranges), strict=True)) for label, ranges in gone.items()}
+
+    def fast_has_arc(self, state: int, label: int) -> bool:
+        """The same as ``has_arc`` by searching: no state on the way here removed the label, nor,
+        before the label was made, its left part, and so on."""
+        if self.dead[label]:
+            return False
+        at, before = self.number[state], len(self.made)
+        while label >= 0:
+            ranges = self.gone.get(label)
+            if ranges:
+                k = bisect_right(ranges[0], at) - 1
+                if k >= 0 and at <= ranges[1][k] and ranges[2][k] <= before:
+                    return False
+            before = self.made[label]
+            label = self.left[label]
+        return True
+
     def encode_bytes(self, word: bytes) -> tuple[int, ...]:
         """The labels of the one accepted path, by search from the longest label down.
 
@@ -139,7 +183,7 @@ class Automaton:
                     cell = state * size + t
                     ok = table.get(cell)
                     if ok is None:
-                        ok = table[cell] = self.has_arc(state, t)
+                        ok = table[cell] = self.fast_has_arc(state, t)
                     if ok:
                         break
                 t = shorter[t]
@@ -156,12 +200,12 @@ class Automaton:
                     t = -2
         return tuple(path)
 
-    def encode(self, text: str, split) -> list[int]:
-        """Ids of a whole text; the vocabulary's added tokens are cut out first."""
-        words, ids = self.words, []
+    def encode(self, text: str, split) -> bytes:
+        """Ids of a whole text as 32-bit numbers; the vocabulary's added tokens are cut out first."""
+        words, out = self.words, []
         for piece in self._pieces(text):
             if isinstance(piece, int):
-                ids.append(piece)
+                out.append(array("i", (piece,)).tobytes())
                 continue
             found = split(piece)
             got = list(map(words.get, found))
@@ -171,10 +215,10 @@ class Automaton:
                         w = found[k]
                         x = words.get(w)
                         if x is None:
-                            x = words[w] = self.encode_bytes(w.encode("utf-8"))
+                            x = words[w] = array("i", self.encode_bytes(w.encode("utf-8"))).tobytes()
                         got[k] = x
-            ids.extend(chain.from_iterable(got))
-        return ids
+            out.append(b"".join(got))
+        return b"".join(out)
 
     def _pieces(self, text: str) -> list:
         pieces: list = [text]
@@ -196,7 +240,7 @@ class Automaton:
         """Keeps the caches bounded; both refill."""
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        if len(self.table) > 4_000_000:
+        if len(self.table) > CACHE_CELLS:
             self.table.clear()
 
 
@@ -237,9 +281,10 @@ class Codec:
             for t in texts:
                 ids = auto.encode(t.as_py() or "", split)
                 auto.trim()
-                out.append(pa.array(ids, pa.int32()))
-                at.append(at[-1] + len(ids))
-            return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.concat_arrays(out) if out else pa.array([], pa.int32()))
+                out.append(ids)
+                at.append(at[-1] + len(ids) // 4)
+            flat = pa.Array.from_buffers(pa.int32(), at[-1], [None, pa.py_buffer(b"".join(out))])
+            return pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat)
 
         @F.arrow_udf(StringType())
         def decode(lists: pa.Array) -> pa.Array:

@@ -81,6 +81,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def share(spark: SparkSession, obj: object) -> Broadcast:
     """Broadcast an object of this package; workers need no copy of its code."""
+    bounded_batches(spark)
     return spark.sparkContext.broadcast({"raw": cloudpickle.dumps(obj)})
 
 
@@ -90,3 +91,16 @@ def shared(held: Broadcast):
     if "open" not in box:
         box["open"] = pickle.loads(box.pop("raw"))
     return box["open"]
+
+
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to a size at which a Python worker's
+    copies of a batch of texts stay small; smaller settings are kept."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key, None)
+        number = int("".join(c for c in now if c.isdigit() or c == "-")) if now and now.rstrip("bB").lstrip("-").isdigit() else 0
+        if number <= 0 or number > most:
+            spark.conf.set(key, str(most))

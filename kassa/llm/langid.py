@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kassa.llm.common import mix64, row_blocks, text_bytes
+from kassa.llm.common import bounded_batches, mix64, row_blocks, text_bytes
 from kassa.llm.quality import held_out
 
 DIM = 1024
@@ -108,6 +108,7 @@ def learn_prototypes(docs: DataFrame, where: Column, text_col: str = "text", lan
         names = sorted(sums)
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([np.rint(sums[n]).astype(np.int64).tolist() for n in names], pa.list_(pa.int64()))], ["lang", "v"])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.where(where & F.col(lang_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     parts = rows.mapInArrow(bundle, "lang string, v array<long>").select("lang", F.posexplode("v").alias("d", "x"))
     total = parts.groupBy("lang", "d").agg(F.sum(F.col("x").cast("double")).alias("x"))

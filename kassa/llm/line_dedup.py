@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType
 
-from kassa.llm.common import fresh, mix64, stash, whole
+from kassa.llm.common import bounded_batches, fresh, mix64, stash, whole
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -219,6 +219,7 @@ def drop_shared_lines(docs: DataFrame, text_col: str = "text", min_docs: int = M
     for c in (n_lines, n_dropped):
         if c in docs.columns:
             raise ValueError(f"column {c} exists")
+    bounded_batches(docs.sparkSession)
     index, shards, size = build_index(shared_lines(docs, text_col, min_docs, min_chars))
     drop = fresh(docs, "_drop")
     if size <= broadcast_bytes:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from kassa.llm.common import fresh, mix64, stash, whole
+from kassa.llm.common import bounded_batches, fresh, mix64, share, shared, stash, whole
 from kassa.llm.components import connected_components
 from kassa.llm.shingles import WORDS, shingle_blocks
 
@@ -62,6 +62,7 @@ def document_frequencies(docs: DataFrame, text_col: str, words: int = WORDS) ->
             part = some[lo:lo + 65536]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["bucket", "n"])
 
+    bounded_batches(docs.sparkSession)
     src = docs.select(whole(text_col).alias("text"))
     found = src.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # 2**DF_BITS rows at most
     df = np.ones(1 << DF_BITS)
@@ -102,7 +103,7 @@ def sketch(doc: np.ndarray, sh: np.ndarray, weight: np.ndarray, texts: int, samp
 
 def sketcher(spark: SparkSession, idf: np.ndarray, words: int = WORDS):
     """Column function text -> sketch bytes; null for a text without words."""
-    held = spark.sparkContext.broadcast(idf)
+    held = share(spark, idf)
 
     @F.arrow_udf("binary")
     def draw(texts: pa.Array) -> pa.Array:
@@ -110,7 +111,7 @@ def sketcher(spark: SparkSession, idf: np.ndarray, words: int = WORDS):
         for lo, hi, doc, sh, n in shingle_blocks(texts, words):
             has = np.zeros(hi - lo, bool)
             has[doc] = True
-            rows = sketch(doc, sh, n * held.value[bucket_of(sh)], hi - lo)
+            rows = sketch(doc, sh, n * shared(held)[bucket_of(sh)], hi - lo)
             out += [r.tobytes() if h else None for r, h in zip(rows, has, strict=True)]
         return pa.array(out, pa.binary())
 
@@ -119,13 +120,13 @@ def sketcher(spark: SparkSession, idf: np.ndarray, words: int = WORDS):
 
 def vectoriser(spark: SparkSession, idf: np.ndarray, words: int = WORDS):
     """Column function text -> its weighted shingles as bytes (sorted hashes, then float weights)."""
-    held = spark.sparkContext.broadcast(idf)
+    held = share(spark, idf)
 
     @F.arrow_udf("binary")
     def vector(texts: pa.Array) -> pa.Array:
         out: list[bytes] = []
         for lo, hi, doc, sh, n in shingle_blocks(texts, words):
-            w = (n * held.value[bucket_of(sh)]).astype("<f4")
+            w = (n * shared(held)[bucket_of(sh)]).astype("<f4")
             at = np.searchsorted(doc, np.arange(hi - lo + 1))
             out += [sh[a:b].tobytes() + w[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
         return pa.array(out, pa.binary())

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kassa.llm.common import mix64, row_blocks, stash, text_bytes, whole
+from kassa.llm.common import bounded_batches, mix64, row_blocks, stash, text_bytes, whole
 from kassa.llm.shingles import BASE, UNDO, byte_values, powers
 
 LENGTH = 100
@@ -307,6 +307,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     if not GROUP < length - gram or gram > length:
         raise ValueError("length must exceed gram by more than a group of starts")
+    bounded_batches(docs.sparkSession)
     src, renamed = numbered(docs, id_col, text_col)
     found = beside(src, repeated_starts(src, length, gram), "left")
 
