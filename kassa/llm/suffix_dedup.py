@@ -212,6 +212,7 @@ def resolve(units: DataFrame, last: bool = False, chunks: bool = False) -> tuple
     For chunks the key says nothing about uniqueness, so ``open`` is None: all
     that is not repeated goes on.
     """
+    units = stash(units)  # counted and joined: names are reckoned once
     shared = units.groupBy("k").agg(F.count(F.lit(1)).alias("c"), (F.min("m") != F.max("m")).alias("mixed")).where("c > 1").select("k", "mixed")
     cand = stash(units.join(stash(shared), "k"))
     first = stash(cand.groupBy("k", "m").agg(F.min("addr").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("k", "m", "first"))
