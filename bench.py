@@ -44,6 +44,8 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_time_all_queries", "value": total, "unit": "sec",
                       "queries": timings, "sf": sf, "cpus": cpus}))
+    from kassa.session import release
+    release(spark)
     spark.stop()
 
 

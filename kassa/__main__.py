@@ -18,22 +18,21 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--out", required=True, help="output folder (shared storage)")
     c.add_argument("--sales-dirs", nargs="*", default=None)
     c.add_argument("--months", nargs="*", default=None)
-    c.add_argument("--id-hash-length", type=int, default=8)
     c.add_argument("--size-partitions", action="store_true", help="size shuffle partitions from the input bytes")
     c.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
     from kassa.plans.curated import curate
-    from kassa.session import build_session, size_shuffle_partitions
+    from kassa.session import build_session, release, size_shuffle_partitions
     from kassa.sources.files import DEFAULT_SALES_DIRS, load_reference_tables, load_sales, write_curated
     spark = build_session(args.master, app="kassa-curate")
     if args.size_partitions:
         dirs = args.sales_dirs or list(DEFAULT_SALES_DIRS)
         size_shuffle_partitions(spark, [f"{args.root.rstrip('/')}/{d}" for d in dirs])
-    curated = curate(load_sales(spark, args.root, args.sales_dirs, args.months),
-                     load_reference_tables(spark, args.root), id_hash_length=args.id_hash_length)
-    write_curated(curated.drop("_seq"), args.out)
+    curated = curate(load_sales(spark, args.root, args.sales_dirs, args.months), load_reference_tables(spark, args.root))
+    write_curated(curated, args.out)
     print(json.dumps({"out": args.out, "rows": spark.read.parquet(args.out).count()}))
+    release(spark)
     return 0
 
 

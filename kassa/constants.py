@@ -32,6 +32,10 @@ ALBERTA_CITIES = (
 # --- fixed values: identifier tokens treated as missing ------------------------
 MISSING_ID_TOKENS = ("", "na", "nan", "none", "null")
 
+# --- fixed values: CSV cells that pandas reads as missing ----------------------
+MISSING_CELL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                       "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
 # --- fixed values: tokens read as a true boolean --------------------------------
 TRUE_TOKENS = ("1", "true", "yes", "y")
 
@@ -53,6 +57,20 @@ ONLINE_NAME_MARKERS = ("ecom", "online")
 ONLINE_CITY = "Online"
 DEFAULT_PROVINCE = "AB"
 DEFAULT_COUNTRY = "CAN"
+# the same by curated column, with the fallbacks of unknown stores
+PSEUDONYM_PREFIXES = (
+    ("transaction_id", "TRX"),
+    ("contact_id", "CUST"),
+    ("item_id", "ITEM"),
+    ("promotion_id", "PROMO"),
+    ("promo_id", "PROMO"),
+    ("sku", "SKU"),
+    ("ean", "EAN"),
+    ("promo_label", "OFFER"),
+    ("store_id", STORE_FALLBACK_PREFIX),
+    ("store_name", STORE_NAME_FALLBACK_PREFIX),
+    ("store_of_creation", STORE_FALLBACK_PREFIX),
+)
 
 # --- fixed values: masked store identities ----------------------------------------
 STORE_ID_FORMAT = "AB%03d"

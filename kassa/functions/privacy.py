@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kassa.constants import POSTAL_LETTERS, POSTAL_PREFIX
+from kassa.constants import POSTAL_LETTERS, POSTAL_PREFIX, PSEUDONYM_PREFIXES
 from kassa.functions.clean import strip
 
 
@@ -13,19 +13,40 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def hashed_token(text: Column, prefix: str, length: int = 8) -> Column:
-    """prefix + first ``length`` upper-case hex digits of sha1(text)."""
-    return F.concat(F.lit(prefix), F.upper(F.substring(F.sha1(text), 1, length)))
+DIGEST_DIGITS = 40   # all of sha1: what groups, joins and distinct counts run on
+DISPLAY_DIGITS = 8   # what reports show
 
 
-def pseudonymise(c, prefix: str, length: int = 8) -> Column:
+def hashed_token(text: Column, prefix: str) -> Column:
+    """prefix + the upper-case hex digits of sha1(text)."""
+    return F.concat(F.lit(prefix), F.upper(F.sha1(text)))
+
+
+def display_id(c, prefix: str) -> Column:
+    """The short form of a pseudonym, for showing only: prefix + 8 hex digits.
+
+    Short forms of different identifiers can be equal, so nothing is grouped
+    or joined by them. Texts that are no pseudonym stay as they are.
+    """
+    col = _col(c)
+    whole = len(prefix) + DIGEST_DIGITS
+    return F.when((F.length(col) == whole) & col.startswith(prefix),
+                  F.substring(col, 1, len(prefix) + DISPLAY_DIGITS)).otherwise(col)
+
+
+def display_ids(df: DataFrame) -> DataFrame:
+    """``df`` with the short form of every pseudonym column it has."""
+    return df.withColumns({c: display_id(c, p) for c, p in PSEUDONYM_PREFIXES if c in df.columns})
+
+
+def pseudonymise(c, prefix: str) -> Column:
     """Identifier hashing with pandas' ``str(value).strip()`` semantics.
 
     A null (a key that found no match in a left join) is hashed as the text
     'nan'; an empty string stays empty.
     """
     t = strip(F.coalesce(_col(c).cast("string"), F.lit("nan")))
-    return F.when(t == "", F.lit("")).otherwise(hashed_token(t, prefix, length))
+    return F.when(t == "", F.lit("")).otherwise(hashed_token(t, prefix))
 
 
 def hashed_postal(text: Column) -> Column:

@@ -54,12 +54,22 @@ def top_k_per_group(df: DataFrame, k: int, group: Sequence[str], order: Sequence
     return out.withColumn(rank_col, F.col("_r2").cast("long")).drop("_r2") if rank_col else out.drop("_r2")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Checkpoint a small aggregate that is consumed several times.
+def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write an aggregate that several consumers read as parquet in the shared folder.
 
-    Later scalar subqueries and joins then read the stored rows instead of
-    re-running (and re-planning) the whole upstream job each time.
+    Later reads start from the stored columns instead of re-running the whole
+    upstream job, and a lost executor costs a re-read only.
     """
-    from kassa.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from kassa.session import new_path
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def share_pct(value: str, *group: str) -> Column:
+    """100 x value / sum of value over ``group`` of an already grouped, bounded
+    frame (null when that total is 0): the total comes from the aggregate
+    itself, so the data is not aggregated again."""
+    total = F.sum(value).over(Window.partitionBy(*group))
+    return F.try_divide(F.col(value), F.when(total != 0, total)) * 100.0

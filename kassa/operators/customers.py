@@ -3,12 +3,14 @@ RFM, C8-C12 report RFM."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kassa.constants import DASHBOARD_SEGMENTS, RECENCY_BUCKETS, REPORT_SEGMENTS, UNKNOWN_LABEL
 from kassa.functions.clean import month_start, safe_ratio
-from kassa.operators.common import first_line_per_transaction, small, top_k, zsum
+from kassa.operators.common import first_line_per_transaction, share_pct, stored, top_k, zsum
 from kassa.operators.joins import left_join_skew_safe
 from kassa.operators.rank import exact_quantiles, quantile_rank_score
 
@@ -44,13 +46,12 @@ def _known(df: DataFrame, exclude_missing: bool) -> DataFrame:
 def _customer_months(df: DataFrame) -> DataFrame:
     """Distinct (customer, order month) pairs with the cohort month and index.
 
-    The hot '' customer is reduced by the distinct before any per-customer
-    work, so it holds at most one row per month.
+    One aggregation gathers a customer's distinct months (as many as the data
+    has months, combined map-side, so the hot '' customer stays small).
     """
-    pairs = (df.where(F.col("contact_id").isNotNull())
-               .select("contact_id", month_start("date_transaction").alias("order_month")).distinct())
-    first = pairs.groupBy("contact_id").agg(F.min("order_month").alias("cohort_month"))
-    p = pairs.join(first, "contact_id")
+    months = (df.where(F.col("contact_id").isNotNull()).groupBy("contact_id")
+                .agg(F.collect_set(month_start("date_transaction")).alias("_months")))
+    p = months.select("contact_id", F.array_min("_months").alias("cohort_month"), F.explode("_months").alias("order_month"))
     idx = ((F.year("order_month") - F.year("cohort_month")) * 12
            + (F.month("order_month") - F.month("cohort_month")) + 1)
     return p.withColumn("cohort_index", idx.cast("int"))
@@ -58,9 +59,9 @@ def _customer_months(df: DataFrame) -> DataFrame:
 
 def cohort_sizes(df: DataFrame, exclude_missing: bool = False) -> DataFrame:
     """Distinct customers per first-purchase month."""
-    p = _customer_months(_known(df, exclude_missing))
-    return p.where(F.col("cohort_index") == 1).groupBy("cohort_month") \
-            .agg(F.count(F.lit(1)).cast("long").alias("cohort_size"))
+    first = (_known(df, exclude_missing).where(F.col("contact_id").isNotNull()).groupBy("contact_id")
+             .agg(month_start(F.min("date_transaction")).alias("cohort_month")))
+    return first.groupBy("cohort_month").agg(F.count(F.lit(1)).cast("long").alias("cohort_size"))
 
 
 def cohort_retention(df: DataFrame, exclude_missing: bool = False) -> DataFrame:
@@ -69,21 +70,25 @@ def cohort_retention(df: DataFrame, exclude_missing: bool = False) -> DataFrame:
     listed for every cohort, missing cells are 0 (R2 unstack fill)."""
     p = _customer_months(_known(df, exclude_missing))
     counts = p.groupBy("cohort_month", "cohort_index").agg(F.count(F.lit(1)).cast("long").alias("_c"))
-    sizes = counts.where(F.col("cohort_index") == 1).select("cohort_month", F.col("_c").alias("cohort_size"))
-    max_idx = counts.agg(F.max("cohort_index")).scalar()
-    observed = counts.select("cohort_index").distinct()
-    grid = sizes.select("cohort_month", "cohort_size",
-                        F.explode(F.sequence(F.lit(1), max_idx)).alias("cohort_index")) \
-                .join(observed, "cohort_index", "left_semi")
-    cells = grid.join(counts, ["cohort_month", "cohort_index"], "left")
-    return cells.select("cohort_month", "cohort_index",
-                        F.bround(F.coalesce(F.col("_c"), F.lit(0)) / F.col("cohort_size"), 3).alias("retention"))
+    # from here on one row a month and index: at most the square of the data's months
+    observed = F.collect_set("cohort_index").over(Window.partitionBy())
+    cohorts = (counts.withColumn("_all", observed).groupBy("cohort_month")
+                     .agg(F.map_from_entries(F.collect_list(F.struct("cohort_index", "_c"))).alias("_cells"), F.first("_all").alias("_all")))
+    cells = cohorts.select("cohort_month", "_cells", F.explode("_all").alias("cohort_index"))
+    count = F.coalesce(F.try_element_at("_cells", F.col("cohort_index")), F.lit(0))
+    return cells.select("cohort_month", "cohort_index", F.bround(count / F.element_at("_cells", F.lit(1)), 3).alias("retention"))
 
 
-def cohort_retention_matrix(df: DataFrame) -> DataFrame:
-    """C1 (wide form, R2): one column per cohort index, like the unstacked table."""
-    long = cohort_retention(df)
-    return long.groupBy("cohort_month").pivot("cohort_index").agg(F.first("retention"))
+def cohort_retention_matrix(df: DataFrame, indexes: Sequence[int] | None = None) -> DataFrame:
+    """C1 (wide form, R2): one column per cohort index, like the unstacked table.
+
+    ``indexes`` names the columns; by default 1 up to the number of months
+    between the first and the last date. An index nobody reached is null.
+    """
+    if indexes is None:
+        r = df.agg(F.min("date_transaction").alias("a"), F.max("date_transaction").alias("b")).first()
+        indexes = range(1, (r["b"].year - r["a"].year) * 12 + r["b"].month - r["a"].month + 2) if r["a"] else []
+    return cohort_retention(df).groupBy("cohort_month").pivot("cohort_index", list(indexes)).agg(F.first("retention"))
 
 
 def retention_curve(df: DataFrame, horizon: int = 6) -> DataFrame:
@@ -105,18 +110,20 @@ def rfm_dashboard(df: DataFrame, fix_recency: bool = False, exclude_missing: boo
                                     ["contact_id", "date_transaction", "transaction_value",
                                          "city", "latitude", "longitude"])
     tx = tx.where(F.col("contact_id").isNotNull())
-    current = F.date_add(tx.agg(F.max("date_transaction")).scalar(), 1)
 
     def first_non_null(c):
         return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_seq")))
 
     rfm = tx.groupBy("contact_id").agg(
-        F.datediff(current, F.max("date_transaction")).alias("recency"),
+        F.max("date_transaction").alias("_last"),
         F.count("transaction_id").cast("long").alias("frequency"),
         zsum("transaction_value").alias("monetary"),
         first_non_null("latitude").alias("latitude"),
         first_non_null("longitude").alias("longitude"),
         first_non_null("city").alias("city"))
+    rfm = stored(rfm, "rfm")  # one row a customer; the cuts below read three narrow columns of it
+    current = F.date_add(rfm.agg(F.max("_last")).scalar(), 1)
+    rfm = rfm.select("contact_id", F.datediff(current, "_last").alias("recency"), "frequency", "monetary", "latitude", "longitude", "city")
     rfm = quantile_rank_score(rfm, "recency", "contact_id", "r_score", reverse=True)
     if fix_recency:
         rfm = rfm.withColumn("r_score", (F.lit(6) - F.col("r_score")).cast("int"))
@@ -178,25 +185,24 @@ def rfm_base(df: DataFrame, exclude_missing: bool = False) -> DataFrame:
     """Per (customer, transaction) GMV, then per customer: recency (days to
     the overall max date), distinct transactions, monetary, last purchase."""
     df = _known(df, exclude_missing)
-    ref = df.agg(F.max("date_transaction")).scalar()
-    span = F.datediff(ref, df.agg(F.min("date_transaction")).scalar())
     per_tx = df.groupBy("contact_id", "transaction_id").agg(
-        F.max("date_transaction").alias("tx_date"), zsum("line_sales_value").alias("gmv"))
+        F.max("date_transaction").alias("tx_date"), F.min("date_transaction").alias("_first"), zsum("line_sales_value").alias("gmv"))
     base = per_tx.groupBy("contact_id").agg(
-        F.datediff(ref, F.max("tx_date")).alias("recency"),
         F.count(F.lit(1)).cast("long").alias("frequency"),
         zsum("gmv").alias("monetary"),
-        F.max("tx_date").alias("last_purchase"))
-    return base.withColumn("recency", F.coalesce(F.col("recency"), span))
+        F.max("tx_date").alias("last_purchase"), F.min("_first").alias("_first"))
+    base = stored(base, "customers")  # the reference date comes from the same aggregate
+    ends = base.agg(F.max("last_purchase").alias("b"), F.min("_first").alias("a")).select(F.struct("a", "b")).scalar()
+    recency = F.coalesce(F.datediff(ends.getField("b"), "last_purchase"), F.datediff(ends.getField("b"), ends.getField("a")))
+    return base.select("contact_id", recency.alias("recency"), "frequency", "monetary", "last_purchase")
 
 
-def _score(col: str, q: DataFrame, ascending: bool) -> F.Column:
+def _score(col: str, cuts: Sequence[float], ascending: bool) -> F.Column:
     c = F.col(col)
-    names = [f"{col}_q20", f"{col}_q40", f"{col}_q60", f"{col}_q80"]
     scores = [5, 4, 3, 2] if not ascending else [1, 2, 3, 4]
     expr = None
-    for n, s in zip(names, scores):
-        cond = c <= q.select(n).scalar()
+    for cut, s in zip(cuts, scores, strict=True):
+        cond = c <= F.lit(cut)
         expr = F.when(cond, F.lit(s)) if expr is None else expr.when(cond, F.lit(s))
     return expr.otherwise(F.lit(1 if not ascending else 5))
 
@@ -206,13 +212,11 @@ def rfm_report(df: DataFrame) -> DataFrame:
     digit string, and segment by R+F+M (>=12, >=9, >=6, else)."""
     base = rfm_base(df)
     probs = [0.2, 0.4, 0.6, 0.8]
-    base = small(base)
-    qs = {c: small(exact_quantiles(base, c, probs, [f"{c}_q{int(p * 100)}" for p in probs]))
-          for c in ("recency", "frequency", "monetary")}
+    cuts = {c: list(exact_quantiles(base, c, probs).first()) for c in ("recency", "frequency", "monetary")}  # four numbers each
     out = base.withColumns({
-        "r": _score("recency", qs["recency"], ascending=False),
-        "f": _score("frequency", qs["frequency"], ascending=True),
-        "m": _score("monetary", qs["monetary"], ascending=True),
+        "r": _score("recency", cuts["recency"], ascending=False),
+        "f": _score("frequency", cuts["frequency"], ascending=True),
+        "m": _score("monetary", cuts["monetary"], ascending=True),
     })
     total = F.col("r") + F.col("f") + F.col("m")
     c, lo, p, a = REPORT_SEGMENTS
@@ -225,17 +229,12 @@ def rfm_report(df: DataFrame) -> DataFrame:
 
 def rfm_report_segments(df: DataFrame) -> DataFrame:
     """Per segment: customers, mean recency/frequency/monetary, GMV, shares."""
-    r = small(rfm_report(df))
+    r = rfm_report(df)
     g = r.groupBy("rfm_segment").agg(
-        F.countDistinct("contact_id").cast("long").alias("customers"),
+        F.count("contact_id").cast("long").alias("customers"),  # one row a customer
         F.avg("recency").alias("avg_recency"), F.avg("frequency").alias("avg_frequency"),
         F.avg("monetary").alias("avg_monetary"), zsum("monetary").alias("gmv"))
-    ctot = g.agg(F.sum("customers")).scalar()
-    gtot = g.agg(zsum("gmv")).scalar()
-    return g.withColumns({
-        "customer_share_pct": F.col("customers") / ctot * 100.0,
-        "gmv_share_pct": F.try_divide(F.col("gmv"), gtot) * 100.0,
-    })
+    return g.withColumns({"customer_share_pct": share_pct("customers"), "gmv_share_pct": share_pct("gmv")})  # over the segments
 
 
 def rfm_segment_category(df: DataFrame) -> DataFrame:
@@ -248,11 +247,8 @@ def rfm_segment_category(df: DataFrame) -> DataFrame:
     g = (j.withColumn("category", F.coalesce("category", F.lit(UNKNOWN_LABEL)))
           .groupBy("rfm_segment", "category")
           .agg(zsum("line_sales_value").alias("gmv"), F.countDistinct("transaction_id").cast("long").alias("orders")))
-    tot = g.groupBy("rfm_segment").agg(F.sum("gmv").alias("_tot"))
-    g = g.join(tot, "rfm_segment")
-    return g.withColumn("gmv_share_pct",
-                        F.when(F.col("_tot") != 0, F.col("gmv") / F.col("_tot") * 100.0).otherwise(F.lit(0.0))) \
-            .drop("_tot")
+    total = F.sum("gmv").over(Window.partitionBy("rfm_segment"))  # over a segment's categories
+    return g.withColumn("gmv_share_pct", F.when(total != 0, F.col("gmv") / total * 100.0).otherwise(F.lit(0.0)))
 
 
 def recency_buckets(df: DataFrame, include_zero: bool = False) -> DataFrame:
@@ -269,11 +265,10 @@ def recency_buckets(df: DataFrame, include_zero: bool = False) -> DataFrame:
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     g = (r.withColumn("recency_bucket", expr).where(F.col("recency_bucket").isNotNull())
           .groupBy("recency_bucket")
-          .agg(F.countDistinct("contact_id").cast("long").alias("customers"), zsum("monetary").alias("gmv")))
+          .agg(F.count("contact_id").cast("long").alias("customers"), zsum("monetary").alias("gmv")))
     labels = _labels(df.sparkSession, [b[0] for b in RECENCY_BUCKETS], "recency_bucket")
     out = labels.join(g, "recency_bucket", "left").select(
         "recency_bucket", F.col("_ord").alias("bucket_order"),
         F.coalesce("customers", F.lit(0)).cast("long").alias("customers"),
         F.coalesce("gmv", F.lit(0.0)).alias("gmv"))
-    tot = out.agg(F.sum("customers")).scalar()
-    return out.withColumn("customer_share_pct", F.try_divide(F.col("customers"), tot) * 100.0)
+    return out.withColumn("customer_share_pct", share_pct("customers"))  # over the six buckets

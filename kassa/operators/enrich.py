@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from kassa.functions.clean import normalise_identifier
-from kassa.operators.joins import left_join_skew_safe, suffix_clashes
+from kassa.operators.joins import hot_keys, left_join_skew_safe, size_bound_ok, suffix_clashes
 
 FACT_KEYS = ("Contact_ID", "Item_ID", "Promotion_ID", "Store_transaction_ID")
 
@@ -34,7 +34,6 @@ def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame],
                                 known_small: dict[str, bool] | None = None) -> DataFrame:
     """J1-J4. ``known_small`` passes broadcast bounds already checked upstream
     (True = proven small, False = proven large); others are checked here."""
-    known_small = known_small or {}
     df = strip_headers(sales).withColumns({k: normalise_identifier(k) for k in FACT_KEYS})
     salt = ["_seq"] if "_seq" in df.columns else None
     plan = (
@@ -43,11 +42,16 @@ def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame],
         ("promotion", "Promotion_ID", "PROMO_ID", {"LIBELLE": "LIBELLE_x"}),
         ("store", "Store_transaction_ID", "STORE_ID", {"LIBELLE": "LIBELLE_y"}),
     )
-    for name, fkey, dkey, rename in plan:
-        dim = _dim(dims[name], dkey, rename)
+    ready = {name: _dim(dims[name], dkey, rename) for name, _, dkey, rename in plan}
+    is_small = dict(known_small or {})
+    for name in ready:
+        if name not in is_small:
+            is_small[name] = size_bound_ok(ready[name])
+    large = [fkey for name, fkey, _, _ in plan if not is_small[name]]
+    hot = hot_keys(df, large) if large else {}  # one pass for all shuffled joins
+    for name, fkey, dkey, _ in plan:
         keys = [fkey] if fkey == dkey else []
-        df, dim = suffix_clashes(df, dim, keys)
-        proven = known_small.get(name)
-        df = left_join_skew_safe(df, dim, fkey, dkey, salt_source=salt, assume_small=proven is True,
-                                 broadcast_max_bytes=0 if proven is False else None)
+        df, dim = suffix_clashes(df, ready[name], keys)
+        df = left_join_skew_safe(df, dim, fkey, dkey, salt_source=salt, assume_small=is_small[name],
+                                 broadcast_max_bytes=-1, hot_values=hot.get(fkey))
     return df

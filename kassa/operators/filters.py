@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -47,6 +47,37 @@ def facet_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
 
 
+def sidebar_facets(df: DataFrame, spec: FilterSpec) -> DataFrame:
+    """What the sidebar offers after ``spec``: ``facet, value, low, high``.
+
+    The lists cascade: each facet holds the distinct non-null values of the
+    rows that pass the choices made before it (year, quarter, month, day range,
+    category, item, city, store). ``day_bounds`` (all rows) and ``day_default``
+    (rows that pass year, quarter and month) have ``low`` and ``high`` as days
+    since 1970-01-01, and no value. Without a day range the default one holds,
+    which every row in question passes. One scan; the distinct values combine
+    map-side.
+    """
+    def chosen(column: str, values) -> Column:
+        return F.col(column).isin(list(values)) if values else F.lit(True)
+
+    passed, offers = F.lit(True), []
+    day = F.col("days_since_epoch")
+    steps = [("year", spec.years), ("quarter", spec.quarters), ("month", spec.months), ("days", None), ("category", spec.categories),
+             ("item_id", spec.items), ("city", spec.cities), ("store_name", spec.stores)]
+    for column, values in steps:
+        if column == "days":
+            offers += [F.struct(F.lit("day_bounds").alias("facet"), F.lit(None).cast("string").alias("value"), day.alias("day")),
+                       F.when(passed, F.struct(F.lit("day_default").alias("facet"), F.lit(None).cast("string").alias("value"), day.alias("day")))]
+            passed = passed & (day.between(*map(int, spec.day_range)) if spec.day_range is not None else F.lit(True))
+            continue
+        offers.append(F.when(passed & F.col(column).isNotNull(), F.struct(
+            F.lit(column).alias("facet"), F.col(column).cast("string").alias("value"), F.lit(None).cast("int").alias("day"))))
+        passed = passed & chosen(column, values)
+    rows = df.select(F.explode(F.filter(F.array(*offers), lambda o: o.isNotNull())).alias("o"))
+    return rows.groupBy("o.facet", "o.value").agg(F.min("o.day").alias("low"), F.max("o.day").alias("high"))
+
+
 def drop_null(df: DataFrame, subset: list[str]) -> DataFrame:
     """drop rows with a null in any of ``subset``."""
     return df.dropna(subset=subset)

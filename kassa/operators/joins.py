@@ -1,61 +1,47 @@
 """Join strategies with explicit size and skew handling.
 
-* :func:`sized_broadcast` hints a broadcast only after counting the side and
-  finding it under a row bound; beyond the bound the plan stays a shuffle
+* :func:`sized_broadcast` hints a broadcast only after measuring the side's
+  bytes and finding them under a bound; beyond it the plan stays a shuffle
   join (AQE may still convert it at run time from real shuffle statistics).
 * :func:`left_join_skew_safe` is a left outer equi-join whose hot key values
-  (by default the empty "missing" key, which may hold a third of the fact) are
-  salted over ``buckets`` sub-keys on the fact side and replicated on the
-  dimension side, so no single task receives the whole hot group.
+  are salted over ``buckets`` sub-keys on the fact side and replicated on the
+  dimension side, so no single task receives a whole hot group. Hot keys are
+  found by counting the fact's keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_SALT_BUCKETS = 64
-_STRING_WIDTH = 32  # assumed average bytes of a string value in the estimate
+HOT_SHARE = 1 / 64  # a key with more than this share of the fact's rows is hot
 
 
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema (fixed widths, strings ~32 B)."""
-    from pyspark.sql import types as T
+def _value_bytes(c: Column, dt: T.DataType) -> Column:
+    """Bytes of one value: texts as long as they are, nested values as their text."""
+    if isinstance(dt, T.BinaryType):
+        return F.octet_length(c)
+    if isinstance(dt, (T.StringType, T.StructType, T.ArrayType, T.MapType)):
+        return F.octet_length(c.cast("string"))
+    return F.lit(16 if isinstance(dt, T.DecimalType) else 8)
 
-    def width(dt) -> int:
-        if isinstance(dt, (T.StringType, T.BinaryType)):
-            return _STRING_WIDTH
-        if isinstance(dt, T.StructType):
-            return sum(width(f.dataType) for f in dt.fields)
-        if isinstance(dt, (T.ArrayType, T.MapType)):
-            return 4 * _STRING_WIDTH
-        if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-            return 8
-        if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-            return 4
-        if isinstance(dt, T.DecimalType):
-            return 16
-        return 2
-    return 16 + sum(width(f.dataType) for f in df.schema.fields)
 
-
-def row_bound_ok(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting early)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows of ``df``, added up map-side (16 more for each row)."""
+    per_row = F.lit(16)
+    for f in df.schema.fields:
+        per_row = per_row + F.coalesce(_value_bytes(F.col(f"`{f.name}`"), f.dataType), F.lit(0))
+    return int(df.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0))).first()[0])
 
 
 def size_bound_ok(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """True when rows x estimated row width stays under ``max_bytes``.
-
-    The row count is exact (counting stops at the bound), so the broadcast
-    size is proven, not guessed from file sizes.
-    """
-    if max_bytes is None:
-        max_bytes = DEFAULT_BROADCAST_BYTES
-    return row_bound_ok(df, max(max_bytes // row_width(df), 0))
+    """True when the measured bytes of ``df`` stay under ``max_bytes``."""
+    return measured_bytes(df) <= (DEFAULT_BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
 def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
@@ -63,13 +49,28 @@ def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     return F.broadcast(df) if size_bound_ok(df, max_bytes) else df
 
 
+def hot_keys(df: DataFrame, columns: Sequence[str], share: float = HOT_SHARE) -> dict[str, list]:
+    """For each column its values that more than ``share`` of all rows have.
+
+    One pass over ``df``, counted map-side; at most 1 / ``share`` values of a
+    column reach the driver.
+    """
+    keys = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])).alias("k")
+    counts = df.select(keys).groupBy("k.c", "k.v").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.withColumn("rows", F.sum("n").over(Window.partitionBy("c")))
+    out: dict[str, list] = {c: [] for c in columns}
+    for r in total.where((F.col("n") > F.col("rows") * share) & F.col("v").isNotNull()).collect():
+        out[r["c"]].append(r["v"])
+    return out
+
+
 def left_join_skew_safe(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                        hot_values: Sequence[str] = ("",),
+                        hot_values: Sequence[str] | None = None,
                         buckets: int = DEFAULT_SALT_BUCKETS,
                         broadcast_max_bytes: int | None = None,
                         salt_source: Sequence[str] | None = None,
                         assume_small: bool = False) -> DataFrame:
-    """``fact LEFT JOIN dim ON fact_key = dim_key`` robust to one hot key.
+    """``fact LEFT JOIN dim ON fact_key = dim_key`` robust to hot keys.
 
     Dimensions under a checked byte bound are broadcast (no skew issue). Larger ones
     are sort-merge joined on (key, salt): fact rows with a hot key get a
@@ -77,8 +78,8 @@ def left_join_skew_safe(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key:
     and the dimension rows carrying a hot key are replicated once per salt
     value. Rows and multiplicities equal the plain left join. When both keys
     share a name the result keeps one key column (pandas ``on=`` merge).
-    ``assume_small`` skips the check when the caller has already proven the
-    bound (e.g. a table derived row-for-row from a checked dimension).
+    ``hot_values`` are counted from the fact unless given; ``assume_small``
+    skips the size check when the caller has already proven the bound.
     """
     same = fact_key == dim_key
     dkey = "__dim_key" if same else dim_key
@@ -86,14 +87,12 @@ def left_join_skew_safe(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key:
     if assume_small or size_bound_ok(dim, broadcast_max_bytes):
         joined = fact.join(F.broadcast(d), F.col(fact_key) == F.col(dkey), "left")
     else:
-        hot = list(hot_values)
+        hot = list(hot_keys(fact, [fact_key])[fact_key] if hot_values is None else hot_values)
         src = [F.col(c) for c in (salt_source or fact.columns)]
-        fact_s = fact.withColumn(
-            "__salt", F.when(F.col(fact_key).isin(hot), F.pmod(F.xxhash64(*src), F.lit(buckets)))
-                       .otherwise(F.lit(0)).cast("int"))
-        dim_s = d.withColumn(
-            "__dsalt", F.explode(F.when(F.col(dkey).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                 .otherwise(F.array(F.lit(0)))))
+        is_hot = F.col(fact_key).isin(hot) if hot else F.lit(False)
+        dim_hot = F.col(dkey).isin(hot) if hot else F.lit(False)
+        fact_s = fact.withColumn("__salt", F.when(is_hot, F.pmod(F.xxhash64(*src), F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
+        dim_s = d.withColumn("__dsalt", F.explode(F.when(dim_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))))
         joined = fact_s.join(dim_s, (F.col(fact_key) == F.col(dkey)) & (F.col("__salt") == F.col("__dsalt")), "left") \
                        .drop("__salt", "__dsalt")
     return joined.drop(dkey) if same else joined
@@ -106,17 +105,3 @@ def suffix_clashes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tu
         left = left.withColumnRenamed(c, f"{c}_x")
         right = right.withColumnRenamed(c, f"{c}_y")
     return left, right
-
-
-def attach_total(df: DataFrame, value: str | Column, name: str, partition: Sequence[str] = ()) -> DataFrame:
-    """Add Σ value (per ``partition`` group, or over the whole frame) as a column.
-
-    Per group: aggregate + equi-join on the group keys. Whole frame: a scalar
-    subquery (one aggregate job, the result is inlined) — no window over an
-    unpartitioned frame, no cross join.
-    """
-    v = F.col(value) if isinstance(value, str) else value
-    if partition:
-        totals = df.groupBy(*partition).agg(F.sum(v).alias(name))
-        return df.join(totals, on=list(partition), how="left")
-    return df.withColumn(name, df.agg(F.sum(v)).scalar())

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from kassa.constants import UNKNOWN_LABEL
 
 from kassa.functions.clean import month_start, parse_iso_date, safe_ratio
-from kassa.operators.common import first_line_per_transaction, top_k, zsum
+from kassa.functions.privacy import display_id
+from kassa.operators.common import first_line_per_transaction, stored, top_k, zsum
 from kassa.operators.rank import global_order
 
 
@@ -16,25 +17,23 @@ def compute_highlights(df: DataFrame) -> DataFrame:
     """G1: one row — revenue from first lines (per transaction), distinct orders,
     units over all lines, average order value, top city by line-summed
     transaction value, online share. Empty input gives zeros."""
-    tx = first_line_per_transaction(df, ["transaction_value"])
-    totals = tx.agg(zsum("transaction_value").alias("total_revenue"),
-                    F.count(F.lit(1)).cast("long").alias("total_orders"))
-    lines = df.agg(zsum("quantity_item").alias("total_units"),
-                   zsum(F.when(F.lower("city") == "online", F.col("transaction_value"))).alias("_online"))
-    city = (df.where(F.col("city").isNotNull()).groupBy("city")
-              .agg(zsum("transaction_value").alias("_rev")))
-    top = top_k(city, 1, [F.col("_rev").desc(), F.col("city").asc()])
+    # one scan: every line counts for its transaction and for its city; both partial sums combine map-side
+    sides = F.explode(F.array(F.struct(F.col("transaction_id").alias("tx"), F.lit(None).cast("string").alias("city"), F.lit(True).alias("by_tx")),
+                              F.struct(F.lit(None).cast("string").alias("tx"), F.col("city"), F.lit(False).alias("by_tx")))).alias("k")
+    g = (df.select(sides, "transaction_value", "quantity_item", "_seq").groupBy("k.by_tx", "k.tx", "k.city")
+           .agg(F.min_by("transaction_value", "_seq").alias("_first"), zsum("transaction_value").alias("_rev"), zsum("quantity_item").alias("_units")))
+    tx, city = F.col("by_tx"), ~F.col("by_tx")
+    best = F.when(city & F.col("city").isNotNull(), F.struct(-F.col("_rev"), "city"))
+    one = g.agg(zsum(F.when(tx, F.col("_first"))).alias("total_revenue"), F.count_if(tx).cast("long").alias("total_orders"),
+                zsum(F.when(city, F.col("_units"))).alias("total_units"),
+                zsum(F.when(city & (F.lower("city") == "online"), F.col("_rev"))).alias("_online"), F.min(best).alias("_top"))
     rev = F.col("total_revenue")
-    ln = lines.select(F.struct("total_units", "_online")).scalar()  # one subquery each
-    tc = top.select(F.struct("city", "_rev")).scalar()
-    return totals.select(
-        rev,
-        ln.getField("total_units").alias("total_units"),
-        F.col("total_orders"),
+    return one.select(
+        rev, "total_units", "total_orders",
         F.when(F.col("total_orders") > 0, rev / F.col("total_orders")).otherwise(F.lit(0.0)).alias("avg_order_value"),
-        tc.getField("city").alias("top_city"),
-        tc.getField("_rev").alias("top_city_revenue"),
-        F.when(rev != 0, ln.getField("_online") / rev).otherwise(F.lit(0.0)).alias("online_share"),
+        F.col("_top.city").alias("top_city"),
+        (-F.col("_top").getField("col1")).alias("top_city_revenue"),
+        F.when(rev != 0, F.col("_online") / rev).otherwise(F.lit(0.0)).alias("online_share"),
     )
 
 
@@ -58,11 +57,17 @@ def monthly_kpi_summary(df: DataFrame) -> DataFrame:
 def monthly_sales_series(df: DataFrame) -> DataFrame:
     """Revenue and orders from first lines (month of that line), units from
     all lines; months only present in units are dropped (left join)."""
-    tx = first_line_per_transaction(df, ["transaction_value", "date_transaction"])
-    monthly = (tx.groupBy(month_start("date_transaction").alias("month"))
-                 .agg(zsum("transaction_value").alias("revenue"), F.count(F.lit(1)).cast("long").alias("orders")))
-    units = df.groupBy(month_start("date_transaction").alias("month")).agg(zsum("quantity_item").alias("units"))
-    return monthly.join(units, "month", "left")
+    # one scan: a line counts for its transaction (first line) and for its month (units)
+    month = month_start("date_transaction")
+    sides = F.explode(F.array(F.struct(F.col("transaction_id").alias("tx"), F.lit(None).cast("date").alias("m"), F.lit(True).alias("by_tx")),
+                              F.struct(F.lit(None).cast("string").alias("tx"), month.alias("m"), F.lit(False).alias("by_tx")))).alias("k")
+    g = (df.select(sides, month.alias("_m"), "transaction_value", "quantity_item", "_seq").groupBy("k.by_tx", "k.tx", "k.m")
+           .agg(F.min_by(F.struct("_m", "transaction_value"), "_seq").alias("_first"), zsum("quantity_item").alias("_units")))
+    tx = F.col("by_tx")
+    out = g.groupBy(F.when(tx, F.col("_first._m")).otherwise(F.col("m")).alias("month")).agg(
+        zsum(F.when(tx, F.col("_first.transaction_value"))).alias("revenue"), F.count_if(tx).cast("long").alias("orders"),
+        zsum(F.when(~tx, F.col("_units"))).alias("units"))
+    return out.where(F.col("orders") > 0)
 
 
 def daily_units(df: DataFrame) -> DataFrame:
@@ -74,9 +79,9 @@ def category_revenue_share(df: DataFrame, top_n: int = 10) -> DataFrame:
     """Top-N categories by line-summed revenue; share of the total over all
     non-null categories (0 when that total is 0)."""
     cat = df.where(F.col("category").isNotNull()).groupBy("category").agg(zsum("transaction_value").alias("revenue"))
-    total = cat.agg(zsum("revenue")).scalar()
-    top = top_k(cat, top_n, [F.col("revenue").desc(), F.col("category").asc()])
-    return top.withColumn("share", F.when(total != 0, F.col("revenue") / total).otherwise(F.lit(0.0)))
+    total = F.sum("revenue").over(Window.partitionBy())  # over the categories, already summed
+    shared = cat.withColumn("share", F.when(total != 0, F.col("revenue") / total).otherwise(F.lit(0.0)))
+    return top_k(shared, top_n, [F.col("revenue").desc(), F.col("category").asc()])
 
 
 def _pareto(agg: DataFrame, key_cols: list[str], value: str = "gmv") -> DataFrame:
@@ -84,6 +89,7 @@ def _pareto(agg: DataFrame, key_cols: list[str], value: str = "gmv") -> DataFram
 
     The running sum uses the distributed global order (no single-task window).
     """
+    agg = stored(agg, "groups")
     total = agg.agg(zsum(value)).scalar()
     shared = agg.withColumn("gmv_share_pct", F.try_divide(F.col(value), total) * 100.0)
     order = [F.col(value).desc()] + [F.col(c).asc() for c in key_cols]
@@ -108,11 +114,12 @@ def sku_top50(df: DataFrame, k: int = 50) -> DataFrame:
     Cumulative share of the top k needs only the rows above them and the
     grand total: distributed top-k first, then a window over k rows.
     """
-    label = F.coalesce(F.col("sku_description"), F.col("sku"), F.col("item_id"))
+    label = F.coalesce(F.col("sku_description"), display_id("sku", "SKU"), display_id("item_id", "ITEM"))
     agg = (df.withColumn("sku_label", label)
              .groupBy("sku", "sku_label")
              .agg(zsum("transaction_value").alias("gmv"), zsum("quantity_item").alias("units"),
                   F.countDistinct("transaction_id").cast("long").alias("orders")))
+    agg = stored(agg, "skus")
     total = agg.agg(zsum("gmv")).scalar()
     order = [F.col("gmv").desc(), F.col("sku").asc_nulls_first(), F.col("sku_label").asc_nulls_first()]
     top = top_k(agg, k, order)
@@ -146,16 +153,16 @@ def avg_transaction_value(df: DataFrame) -> DataFrame:
 
 
 def store_opening_trend(stores: DataFrame) -> DataFrame:
-    """Store openings per year (unparseable OPEN_DATE dropped)."""
+    """Store openings per year (unparseable OPEN_DATE dropped), in year order (``row_rank``)."""
     t = {f.name: f.dataType for f in stores.schema.fields}
     d = parse_iso_date("OPEN_DATE", t.get("OPEN_DATE"))
     return (stores.select(d.alias("_d")).where(F.col("_d").isNotNull())
-                  .groupBy(F.year("_d").alias("year")).agg(F.count(F.lit(1)).cast("long").alias("openings")))
+                  .groupBy(F.year("_d").alias("year")).agg(F.count(F.lit(1)).cast("long").alias("openings"))
+                  .withColumn("row_rank", F.row_number().over(Window.orderBy("year")).cast("long")))  # years only
 
 
 def web_account_share(contacts: DataFrame) -> DataFrame:
     """Share of contacts per upper-cased raw web-account value (null -> 'NAN')."""
     v = F.upper(F.coalesce(F.col("Has_Web_Account").cast("string"), F.lit("nan")))
     counts = contacts.groupBy(v.alias("has_web_account")).agg(F.count(F.lit(1)).cast("long").alias("contacts"))
-    total = counts.agg(F.sum("contacts")).scalar()
-    return counts.withColumn("share", F.col("contacts") / total)
+    return counts.withColumn("share", F.col("contacts") / F.sum("contacts").over(Window.partitionBy()))  # over a few raw values

@@ -22,10 +22,6 @@ from kassa.functions.privacy import hashed_postal, hashed_token
 from kassa.operators.joins import left_join_skew_safe, size_bound_ok, sized_broadcast
 from kassa.operators.rank import global_order
 
-# the store dimension is a business-bounded table: below this proven size its
-# numbering runs as one ordered window instead of the distributed global order
-STORE_SINGLE_TASK_BYTES = 64 * 1024 * 1024
-
 
 def city_table(spark: SparkSession, cities: Sequence[tuple] = ALBERTA_CITIES) -> DataFrame:
     """The constant remap list as a frame (city_idx, city_label, latitude, longitude)."""
@@ -43,8 +39,7 @@ def build_city_mapping(stores: DataFrame, cities: Sequence[tuple] = ALBERTA_CITI
     first = (stores.select(key.alias("city_key"), F.col("_seq"))
                    .where(~F.col("city_key").isin("", "online"))
                    .groupBy("city_key").agg(F.min("_seq").alias("_first")))
-    numbered = global_order(first, [F.col("_first").asc(), F.col("city_key").asc()], rank_col="_rn",
-                            single_task_max_bytes=STORE_SINGLE_TASK_BYTES)
+    numbered = global_order(first, [F.col("_first").asc(), F.col("city_key").asc()], rank_col="_rn")
     mapped = numbered.select("city_key", ((F.col("_rn") - 1) % len(cities)).cast("int").alias("city_idx"))
     return mapped.join(F.broadcast(city_table(stores.sparkSession, cities)), "city_idx")
 
@@ -74,8 +69,7 @@ def build_store_lookup(stores: DataFrame, cities: Sequence[tuple] = ALBERTA_CITI
         online = cond if online is None else (online | cond)
     first = first.select("store_key", "_seq", online.alias("_online"),
                          F.lower(strip(F.col("_row._city"))).alias("city_key"))
-    ranked = global_order(first, [F.col("_online").asc(), F.col("_seq").asc(), F.col("store_key").asc()], rank_col="_r",
-                          single_task_max_bytes=STORE_SINGLE_TASK_BYTES)
+    ranked = global_order(first, [F.col("_online").asc(), F.col("_seq").asc(), F.col("store_key").asc()], rank_col="_r")
     n_physical = first.agg(F.count_if(~F.col("_online")).cast("long")).scalar()
     num = F.when(F.col("_online"), F.col("_r") - n_physical).otherwise(F.col("_r")).cast("int")
     mapping = build_city_mapping(stores, cities).select("city_key", "city_idx")
@@ -124,7 +118,7 @@ def apply_store_masking(df: DataFrame, lookup: DataFrame,
     salt = ["_seq"] if "_seq" in df.columns else None
     if lookup_is_small is None:
         lookup_is_small = size_bound_ok(lookup)
-    bound = None if lookup_is_small else 0
+    bound = None if lookup_is_small else -1
     df = left_join_skew_safe(df, lk1, "__sk", "__k1", salt_source=salt, broadcast_max_bytes=bound,
                              assume_small=lookup_is_small)
     df = left_join_skew_safe(df, lk2, "__soc", "__k2", salt_source=salt, broadcast_max_bytes=bound,
@@ -149,17 +143,13 @@ def apply_store_masking(df: DataFrame, lookup: DataFrame,
     return df.drop("__sk", "__soc", "__k1", "__id1", "__name1", "__city1", "__lat1", "__lon1", "__k2", "__id2")
 
 
-def apply_identifier_hashing(df: DataFrame, prefixes: Sequence[tuple[str, str]] | None = None,
-                             length: int = 8) -> DataFrame:
+def apply_identifier_hashing(df: DataFrame, prefixes: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """A1: pseudonymise the identifier columns that exist (others skipped).
 
-    ``length`` hex digits of sha1 are kept (8 = reference parity, 32 bits).
-    32-bit pseudonyms collide by the birthday bound: ~1 pair per 93k keys
-    (5 pairs among the 150k sf0.1 orders), and at 1e11 transactions every
-    value would be shared by ~23 transactions. For large tables use 16 (64
-    bits) or more.
+    The whole sha1 is kept, so different identifiers stay different; reports
+    show its first 8 digits (:func:`kassa.functions.privacy.display_id`).
     """
     from kassa.constants import ID_HASH_PREFIXES
     from kassa.functions.privacy import pseudonymise
-    todo = {c: pseudonymise(c, p, length) for c, p in (prefixes or ID_HASH_PREFIXES) if c in df.columns}
+    todo = {c: pseudonymise(c, p) for c, p in (prefixes or ID_HASH_PREFIXES) if c in df.columns}
     return df.withColumns(todo)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kassa.constants import PROMO_LABELS, UNKNOWN_LABEL, UNSPECIFIED_PROMO_LABEL
 from kassa.functions.clean import clip_at_zero, month_start, parse_iso_date, safe_ratio
-from kassa.operators.common import top_k, zsum
+from kassa.operators.common import share_pct, top_k, zsum
+from kassa.operators.rank import global_order
 
 
 def promotion_summary(df: DataFrame) -> DataFrame:
@@ -39,14 +40,13 @@ def promo_overall(df: DataFrame) -> DataFrame:
     g = tx.groupBy("promo_flag").agg(
         zsum("gmv").alias("gmv"), zsum("units").alias("units"), F.count(F.lit(1)).cast("long").alias("orders"),
         zsum("discount_value").alias("discount_value"), zsum("original_value").alias("original_value"))
-    total = g.agg(zsum("gmv")).scalar()
     return g.select(
         "promo_flag", "gmv", "units", "orders",
         safe_ratio("gmv", "units").alias("asp"),
         safe_ratio("gmv", "orders").alias("aov"),
         "discount_value",
         safe_ratio("discount_value", "original_value").alias("avg_discount_rate"),
-        (F.try_divide(F.col("gmv"), total) * 100.0).alias("gmv_share_pct"))
+        share_pct("gmv").alias("gmv_share_pct"))  # over the two flags
 
 
 def analysis_base(df: DataFrame) -> DataFrame:
@@ -80,13 +80,13 @@ def _ratios(df: DataFrame) -> DataFrame:
 
 def promo_effect(df: DataFrame, dimensions: Sequence[str]) -> DataFrame:
     """Per dimensions + flag; GMV share % within the dimension group
-    (0 when the group total is 0)."""
+    (0 when the group total is 0); ``row_rank`` follows GMV, largest first."""
     base = analysis_base(df)
     g = _ratios(_promo_measures(base.groupBy(*dimensions, "promo_flag")))
-    totals = g.groupBy(*dimensions).agg(F.sum("gmv").alias("_tot"))
-    g = g.join(totals, list(dimensions), "left")
-    share = F.when(F.col("_tot") == 0, F.lit(0.0)).otherwise(F.col("gmv") / F.col("_tot") * 100.0)
-    return g.withColumn("gmv_share_pct", share).drop("_tot")
+    total = F.sum("gmv").over(Window.partitionBy(*dimensions))  # two flags a group
+    share = F.when(total == 0, F.lit(0.0)).otherwise(F.col("gmv") / total * 100.0)
+    order = [F.col("gmv").desc(), *[F.col(c) for c in dimensions], F.col("promo_flag")]
+    return global_order(g.withColumn("gmv_share_pct", share), order, rank_col="row_rank")
 
 
 def promo_hotspots(df: DataFrame, k: int = 30) -> DataFrame:
@@ -112,8 +112,8 @@ def top_promotions(df: DataFrame, k: int = 10, exclude_missing: bool = False) ->
 def promo_share_long(df: DataFrame) -> DataFrame:
     """Revenue and order share of each G8 group, unpivoted."""
     s = promotion_summary(df)
-    rev_tot = s.agg(zsum("revenue")).scalar()
-    ord_tot = s.agg(F.coalesce(F.sum("orders"), F.lit(0))).scalar()
+    both = Window.partitionBy()  # over the two groups
+    rev_tot, ord_tot = F.sum("revenue").over(both), F.sum("orders").over(both)
     wide = s.select(
         "promotion",
         F.when(rev_tot != 0, F.col("revenue") / rev_tot).otherwise(F.lit(0.0)).alias("Revenue Share"),

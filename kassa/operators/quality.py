@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,44 +43,45 @@ def data_quality_report(df: DataFrame, focus_columns: Sequence[str] | None = Non
     zero), distinct non-null values. Unknown columns raise; the caller sorts
     (missing % desc).
 
-    Counts come from one aggregation pass. Exact distinct counts avoid
-    Catalyst's Expand (one wide copy of every row per column): the values are
-    unpivoted to narrow (column index, canonical text) pairs, de-duplicated
-    with a partial-aggregated group-by, then counted per column.
-    ``approx_distinct`` uses HyperLogLog++ in the single pass instead.
+    One scan: the cells become (column, value) pairs that are counted
+    map-side; missing, zero and distinct counts all follow from the counted
+    pairs. ``approx_distinct`` uses HyperLogLog++ and moves no values at all.
+    ``row_rank`` orders by missing %, largest first, then as the columns stand.
     """
     cols = list(focus_columns) if focus_columns is not None else [c for c in df.columns if c != "_seq"]
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise KeyError(f"Columns not found in dataset: {missing}")
+    unknown = [c for c in cols if c not in df.columns]
+    if unknown:
+        raise KeyError(f"No such columns: {unknown}")
     types = {f.name: f.dataType for f in df.schema.fields}
-    aggs = [F.count(F.lit(1)).cast("long").alias("_n")]
-    for i, c in enumerate(cols):
-        col = F.col(f"`{c}`")
-        aggs.append(F.count_if(col.isNull()).cast("long").alias(f"m{i}"))
-        dt = types[c]
-        if isinstance(dt, T.BooleanType):
-            aggs.append(F.count_if(~col).cast("long").alias(f"z{i}"))
-        elif isinstance(dt, T.NumericType):
-            aggs.append(F.count_if(col == 0).cast("long").alias(f"z{i}"))
-        else:
-            aggs.append(F.lit(None).cast("long").alias(f"z{i}"))
-        if approx_distinct:
-            aggs.append(F.approx_count_distinct(col).cast("long").alias(f"u{i}"))
-    one = df.agg(*aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.lit(c).alias("column"), F.lit(pandas_dtype(types[c])).alias("dtype"),
-                 F.col(f"m{i}").alias("missing_count"), F.col(f"z{i}").alias("zero_count"),
-                 (F.col(f"u{i}") if approx_distinct else F.lit(None).cast("long")).alias("unique_values"))
-        for i, c in enumerate(cols)]))
-    out = one.where(F.col("_n") > 0).select("_n", rows.alias("r")).select("_n", "r.*")
-    if not approx_distinct:
-        pairs = df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("_i"), _canonical_text(F.col(f"`{c}`"), types[c]).alias("_v"))
-            for i, c in enumerate(cols)])).alias("p")).select("p._i", "p._v").where(F.col("_v").isNotNull())
-        distinct = pairs.select("_i", "_v").distinct().groupBy("_i").agg(F.count(F.lit(1)).cast("long").alias("_u"))
-        out = out.join(distinct, "_i", "left").withColumn(
-            "unique_values", F.coalesce(F.col("_u"), F.lit(0)).cast("long")).drop("_u")
-    return out.select("column", "dtype", "missing_count",
-                      F.bround(F.col("missing_count") / F.col("_n") * 100.0, 2).alias("missing_pct"),
-                      "zero_count", "unique_values")
+    numeric = [isinstance(types[c], (T.BooleanType, T.NumericType)) for c in cols]
+    names = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(pandas_dtype(types[c])).alias("dtype"), F.lit(n).alias("numeric"))
+                      for c, n in zip(cols, numeric, strict=True)])
+
+    def is_zero(c: str):
+        return ~F.col(f"`{c}`") if isinstance(types[c], T.BooleanType) else F.col(f"`{c}`") == 0
+
+    if approx_distinct:
+        aggs = [F.count(F.lit(1)).cast("long").alias("_n")]
+        for i, c in enumerate(cols):
+            zero = F.count_if(is_zero(c)).cast("long") if numeric[i] else F.lit(None).cast("long")
+            aggs += [F.count_if(F.col(f"`{c}`").isNull()).cast("long").alias(f"m{i}"), zero.alias(f"z{i}"),
+                     F.approx_count_distinct(f"`{c}`").cast("long").alias(f"u{i}")]
+        cells = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.col(f"m{i}").alias("missing_count"), F.col(f"z{i}").alias("zero_count"),
+                                             F.col(f"u{i}").alias("unique_values")) for i in range(len(cols))])).alias("r")
+        out = df.agg(*aggs).where(F.col("_n") > 0).select("_n", cells).select("_n", "r.*")
+    else:
+        cells = F.explode(F.array(*[
+            F.struct(F.lit(i).alias("_i"), _canonical_text(F.col(f"`{c}`"), types[c]).alias("_v"),
+                     (F.coalesce(is_zero(c), F.lit(False)) if numeric[i] else F.lit(False)).alias("_z")) for i, c in enumerate(cols)])).alias("p")
+        counted = df.select(cells).groupBy("p._i", "p._v", "p._z").agg(F.count(F.lit(1)).alias("_c"))
+        out = counted.groupBy("_i").agg(
+            F.sum("_c").cast("long").alias("_n"),
+            F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0)).cast("long").alias("missing_count"),
+            F.coalesce(F.sum(F.when(F.col("_z"), F.col("_c"))), F.lit(0)).cast("long").alias("zero_count"),
+            F.count("_v").cast("long").alias("unique_values"))
+    named = out.withColumn("_c", F.element_at(names, F.col("_i") + 1))
+    named = named.withColumn("zero_count", F.when(F.col("_c.numeric"), F.col("zero_count")))
+    pct = F.bround(F.col("missing_count") / F.col("_n") * 100.0, 2)
+    rank = F.row_number().over(Window.orderBy(F.col("missing_pct").desc(), "_i")).cast("long")  # one row a column
+    return (named.withColumn("missing_pct", pct).withColumn("row_rank", rank)
+                 .select("_c.column", "_c.dtype", "missing_count", "missing_pct", "zero_count", "unique_values", "row_rank"))

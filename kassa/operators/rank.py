@@ -2,16 +2,19 @@
 
 ``Window.orderBy(...)`` with no partition moves every row to one task. Here the
 frame is range-partitioned on the (unique) order key, sorted inside each
-partition and checkpointed; the position of a row is then
+partition and stored; the position of a row is then
 
     rank = (rows in all earlier partitions) + (position inside its partition) + 1
 
 where the per-partition counts form a table with one row per partition (a
 proven broadcast bound). The position inside a partition comes from
 ``monotonically_increasing_id`` (partition index in the upper bits, row index
-in the lower 33 bits) evaluated right after the sort. The checkpoint pins the
-range boundaries so that the counting pass and the numbering pass see the same
-partitions, and cuts lineage for executor loss.
+in the lower 33 bits) evaluated right after the sort and stored with the row,
+so that the counting pass and the numbering pass see the same positions.
+
+Quantiles and cut points order narrow frames only: values with their counts
+(ties are one row), or (value, key) pairs where ties are split by the key, so
+a value that most rows share does not gather in a task.
 """
 
 from __future__ import annotations
@@ -22,15 +25,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kassa.functions.clean import ceil_div
-from kassa.operators.joins import size_bound_ok
-from kassa.session import checkpoint_dir
+from kassa.operators.common import stored
 
 _LOW_BITS = (1 << 33) - 1
-# Inputs proven smaller than this may be ordered in one task (a plain window).
-# Off by default: measured at sf0.1, the checkpointed distributed path is
-# faster even for small inputs because it also cuts lineage between chained
-# rank steps (the R, F, M scores).
-SINGLE_TASK_MAX_BYTES = 0
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
@@ -40,29 +37,23 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 def global_order(df: DataFrame, order: Sequence[Column], rank_col: str = "_rank",
                  running: dict[str, Column] | None = None,
                  partitions: int | None = None, total_col: str | None = None,
-                 single_task_max_bytes: int = SINGLE_TASK_MAX_BYTES) -> DataFrame:
+                 grand: dict[str, str] | None = None) -> DataFrame:
     """Add a 1-based ``rank_col`` following ``order`` (must be a total order).
 
     ``running`` maps output names to value columns whose running sum (in that
     order, current row included) is added as well. ``total_col`` names an
-    optional column holding the total row count (read off the per-partition
-    counts, so no second pass over the data).
-
-    Optionally size-adaptive: an input proven (exact row count x schema
-    width) to be under ``single_task_max_bytes`` is ordered with a plain
-    window in one task; anything larger takes the distributed path below.
+    optional column holding the total row count, and ``grand`` maps output
+    names to running sums whose grand total is added (both are read off the
+    per-partition sums, so no second pass over the data).
     """
     running = dict(running or {})
-    if single_task_max_bytes > 0 and size_bound_ok(df, single_task_max_bytes):
-        return _global_order_small(df, order, rank_col, running, total_col)
-    checkpoint_dir(df.sparkSession)
     staged = df
     for name, expr in running.items():
         staged = staged.withColumn(f"_v_{name}", expr)
     staged = (staged.repartitionByRange(_partitions(df, partitions), *order)
                     .sortWithinPartitions(*order)
                     .withColumn("_mid", F.monotonically_increasing_id()))
-    staged = staged.checkpoint(eager=True)
+    staged = stored(staged, "order")
     staged = (staged.withColumn("_pid", F.shiftright("_mid", 33))
                     .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
     stats = staged.groupBy("_pid").agg(
@@ -73,7 +64,8 @@ def global_order(df: DataFrame, order: Sequence[Column], rank_col: str = "_rank"
         "_pid",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
         F.sum("_cnt").over(Window.partitionBy()).alias("_total"),
-        *[F.coalesce(F.sum(f"_s_{k}").over(before), F.lit(0.0)).alias(f"_o_{k}") for k in running])
+        *[F.coalesce(F.sum(f"_s_{k}").over(before), F.lit(0.0)).alias(f"_o_{k}") for k in running],
+        *[F.sum(f"_s_{k}").over(Window.partitionBy()).alias(name) for name, k in (grand or {}).items()])
     # one row per partition: bounded by the partition count, safe to broadcast
     out = staged.join(F.broadcast(offsets), "_pid")
     out = out.withColumn(rank_col, (F.col("_off") + F.col("_pos") + 1).cast("long"))
@@ -87,16 +79,13 @@ def global_order(df: DataFrame, order: Sequence[Column], rank_col: str = "_rank"
     return out.drop(*drop)
 
 
-def _global_order_small(df: DataFrame, order: Sequence[Column], rank_col: str,
-                        running: dict[str, Column], total_col: str | None) -> DataFrame:
-    """Bounded input: one ordered window (single task by construction)."""
-    w = Window.orderBy(*order)
-    out = df.withColumn(rank_col, F.row_number().over(w).cast("long"))
-    for k, expr in running.items():
-        out = out.withColumn(k, F.sum(expr).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    if total_col:
-        out = out.withColumn(total_col, F.count(F.lit(1)).over(Window.partitionBy()).cast("long"))
-    return out
+def keys_at_ranks(df: DataFrame, order: Sequence[Column], columns: Sequence[str], ranks: Sequence[int]) -> list:
+    """The rows of ``columns`` at the given 1-based ranks (as many rows as ranks, on the driver)."""
+    wanted = sorted(set(ranks))
+    if not wanted:
+        return []
+    found = {r["_r"]: r for r in global_order(df.select(*columns), order, rank_col="_r").where(F.col("_r").isin(wanted)).collect()}
+    return [found[r] for r in ranks]
 
 
 def quantile_rank_score(df: DataFrame, value: str, key: str, out: str,
@@ -109,42 +98,50 @@ def quantile_rank_score(df: DataFrame, value: str, key: str, out: str,
     stretched by ``ceil(s*desired/q)``; n <= 1 gives the middle score;
     ``reverse`` ranks descending and then flips (score -> desired+1-score).
     """
-    k = F.lit(desired_bins).cast("long")
-    n = F.col("_n")
-    val = F.col(value).desc() if reverse else F.col(value).asc()
-    ranked = global_order(df, [val, F.col(key).asc()], rank_col="_r", total_col="_n")
-    q = F.least(k, n)
-    raw = F.greatest(F.lit(1).cast("long"), ceil_div((F.col("_r") - 1) * q, n - 1))
-    stretched = F.when(q < k, ceil_div(raw * k, q)).otherwise(raw)
-    score = F.when(n <= 1, F.lit(desired_bins // 2 + 1).cast("long")).otherwise(stretched)
+    n = df.count()
+    q = min(desired_bins, n)
+    if n <= 1:
+        return df.withColumn(out, F.lit(desired_bins // 2 + 1).cast("int"))
+    # rank r is in bin s + 1 or a later one exactly when r > s (n - 1) / q + 1
+    ranks = [s * (n - 1) // q + 1 for s in range(1, q)]
+    order = [F.col(value).desc() if reverse else F.col(value).asc(), F.col(key).asc()]
+    score = F.lit(1).cast("long")
+    for cut in keys_at_ranks(df, order, [value, key], ranks):
+        beyond = (F.col(value) < cut[value]) if reverse else (F.col(value) > cut[value])
+        score = score + F.when(beyond | ((F.col(value) == cut[value]) & (F.col(key) > cut[key])), 1).otherwise(0)
+    if q < desired_bins:
+        score = ceil_div(score * desired_bins, F.lit(q))
     if reverse:
-        score = F.when(n <= 1, score).otherwise(k + 1 - score)
-    return ranked.withColumn(out, score.cast("int")).drop("_r", "_n")
+        score = F.lit(desired_bins + 1) - score
+    return df.withColumn(out, score.cast("int"))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     names: Sequence[str] | None = None) -> DataFrame:
     """One-row frame of exact linear-interpolated quantiles (numpy 'linear').
 
-    Distributed: global order on ``value`` (nulls removed), then only the
-    2 * len(probs) neighbouring order statistics are kept and combined;
-    no task holds all distinct values (Spark's exact ``percentile`` would
-    merge a value->count map of the whole column in one task).
+    The values are counted first (map-side, so ties become one row), the
+    distinct values are ordered with their running count, and the 2 *
+    len(probs) neighbouring order statistics are read off; no task holds all
+    distinct values (Spark's exact ``percentile`` would merge a value->count
+    map of the whole column in one task).
     """
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     vals = df.select(F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    ranked = global_order(vals, [F.col("_x").asc()], rank_col="_r", total_col="_n")
-    n = F.col("_n")
+    counts = vals.groupBy("_x").agg(F.count(F.lit(1)).cast("double").alias("_c"))
+    ranked = global_order(counts, [F.col("_x").asc()], rank_col="_r", running={"_to": F.col("_c")}, grand={"_n": "_to"})
+    n, to = F.col("_n"), F.col("_to")
+    since = to - F.col("_c")
     per_row, keep = {}, None
     for i, p in enumerate(probs):
-        h = (n - 1).cast("double") * F.lit(float(p))
-        lo = F.floor(h).cast("long")
+        h = (n - 1) * F.lit(float(p))
+        lo = F.floor(h).cast("double")
         hi = F.least(lo + 1, n - 1)
-        per_row[f"_a{i}"] = F.when(F.col("_r") == lo + 1, F.col("_x"))
-        per_row[f"_b{i}"] = F.when(F.col("_r") == hi + 1, F.col("_x"))
-        per_row[f"_g{i}"] = h - lo.cast("double")
-        cond = (F.col("_r") == lo + 1) | (F.col("_r") == hi + 1)
-        keep = cond if keep is None else (keep | cond)
+        a, b = (since <= lo) & (lo < to), (since <= hi) & (hi < to)
+        per_row[f"_a{i}"] = F.when(a, F.col("_x"))
+        per_row[f"_b{i}"] = F.when(b, F.col("_x"))
+        per_row[f"_g{i}"] = h - lo
+        keep = (a | b) if keep is None else (keep | a | b)
     picked = ranked.where(keep).withColumns(per_row)
     agg = picked.agg(*[F.max(f"_a{i}").alias(f"_a{i}") for i in range(len(probs))],
                      *[F.max(f"_b{i}").alias(f"_b{i}") for i in range(len(probs))],

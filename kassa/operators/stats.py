@@ -2,20 +2,20 @@
 chi-square on a contingency table, ST5/ST6 quartiles and value classes, ST7
 box-plot statistics, ST8 fixed-width histogram.
 
-Everything data-sized is a Spark aggregate of sufficient statistics; only
-the final one or two rows go through the p-value UDF.
+Everything data-sized is a Spark aggregate of sufficient statistics; the
+p-values are column expressions on the one or two rows that are left.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kassa.constants import PROMO_USE_LABELS, VALUE_CLASSES
-from kassa.functions.pvalues import chi2_pvalue, t_pvalue
-from kassa.operators.common import first_line_per_transaction, small, zsum
+from kassa.functions.tails import chi2_tail, t_two_sided
+from kassa.operators.common import first_line_per_transaction, stored, zsum
 from kassa.operators.customers import customer_city_value
 from kassa.operators.rank import approx_quantiles, exact_quantiles
 
@@ -38,8 +38,8 @@ def _group_moments(tx: DataFrame) -> DataFrame:
         F.var_samp(F.when(~x, y)).alias("var0"), F.var_samp(F.when(x, y)).alias("var1"))
 
 
-def promo_regression(df: DataFrame, with_p: bool = True) -> DataFrame:
-    """ST1: OLS of transaction value on the promo flag (intercept + slope).
+def promo_regression(df: DataFrame) -> DataFrame:
+    """ST1: OLS of transaction value on the promo flag (intercept + slope), with two-sided p-values.
 
     With a binary regressor the normal equations close on group moments:
     slope = mean1 - mean0, intercept = mean0, SSE = Σ within-group squares,
@@ -64,15 +64,13 @@ def promo_regression(df: DataFrame, with_p: bool = True) -> DataFrame:
             F.struct(F.lit("Promo_Flag").alias("term"), b1.alias("coef"), se1.alias("std_err")))).alias("r"))
     out = rows.select("r.term", "r.coef", "r.std_err", F.try_divide(F.col("r.coef"), F.col("r.std_err")).alias("t"),
                       "dof")
-    if with_p:
-        out = out.withColumn("p_value", t_pvalue(F.col("t"), F.col("dof").cast("double")))
-    return out.drop("dof")
+    return out.withColumn("p_value", t_two_sided(F.col("t"), F.col("dof").cast("double"))).drop("dof")
 
 
-def ab_test_promo(df: DataFrame, with_p: bool = True) -> DataFrame:
+def ab_test_promo(df: DataFrame) -> DataFrame:
     """ST2: Welch two-sample t-test, promo vs non-promo transaction values.
 
-    One row: means, lift, t, Welch-Satterthwaite dof (and p). An empty group
+    One row: means, lift, t, Welch-Satterthwaite dof and the two-sided p. An empty group
     gives null lift / t / p.
     """
     m = _group_moments(transaction_rollup(df))
@@ -85,78 +83,81 @@ def ab_test_promo(df: DataFrame, with_p: bool = True) -> DataFrame:
     out = m.select(F.col("mean1").alias("promo_mean"), F.col("mean0").alias("nonpromo_mean"),
                    F.when(both, F.col("mean1") - F.col("mean0")).alias("lift"),
                    t.alias("t_stat"), dof.alias("dof"))
-    if with_p:
-        out = out.withColumn("p_value", t_pvalue(F.col("t_stat"), F.col("dof")))
-    return out
+    return out.withColumn("p_value", t_two_sided(F.col("t_stat"), F.col("dof")))
 
 
-def unit_price_quartiles(df: DataFrame, approx: bool = False) -> DataFrame:
+def customer_prices(df: DataFrame) -> DataFrame:
+    """Unit price and promotion touches of each customer row, stored: quartiles, classes and box plot read it."""
+    return stored(customer_city_value(df).select("unit_price", "promotion_touches"), "prices")
+
+
+def unit_price_quartiles(df: DataFrame, approx: bool = False, prices: DataFrame | None = None) -> DataFrame:
     """ST5: 25/50/75 % of customer unit price (linear, exact, distributed);
-    ``approx`` swaps in mergeable sketches (one pass, no global sort)."""
-    q = approx_quantiles if approx else exact_quantiles
-    return small(q(customer_city_value(df), "unit_price", [0.25, 0.5, 0.75], ["q25", "q50", "q75"]))
+    ``approx`` swaps in mergeable sketches (one pass, no sort)."""
+    if approx:
+        return approx_quantiles(customer_city_value(df), "unit_price", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
+    src = customer_city_value(df) if prices is None else prices
+    return exact_quantiles(src, "unit_price", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
 
 
-def customer_value_classes(df: DataFrame) -> DataFrame:
+def customer_value_classes(df: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """ST6: Low <= q25 < Medium <= q75 < High, and promotion use per customer row."""
-    v = customer_city_value(df)
-    q = unit_price_quartiles(df)
+    v = customer_prices(df) if prices is None else prices
+    q = unit_price_quartiles(df, prices=v).first()  # three numbers
     up = F.col("unit_price")
     low, med, high = VALUE_CLASSES
-    cls = F.when(up <= q.select("q25").scalar(), F.lit(low)) \
-           .when(up <= q.select("q75").scalar(), F.lit(med)).otherwise(F.lit(high))
+    cls = F.when(up <= F.lit(q["q25"]), F.lit(low)).when(up <= F.lit(q["q75"]), F.lit(med)).otherwise(F.lit(high))
     used = F.when(F.col("promotion_touches") > 0, F.lit(PROMO_USE_LABELS[1])).otherwise(F.lit(PROMO_USE_LABELS[0]))
     return v.withColumn("customer_category", cls).withColumn("promotion_used", used)
 
 
-def promo_usage_contingency(df: DataFrame) -> DataFrame:
+def promo_usage_contingency(df: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """ST4 (long form of the crosstab): customers per value class x promo use,
     zero cells included for every observed row and column label."""
-    c = customer_value_classes(df)
-    counts = c.groupBy("customer_category", "promotion_used").agg(F.count(F.lit(1)).cast("long").alias("customers"))
-    rows = counts.select("customer_category").distinct()
-    cols = counts.select("promotion_used").distinct()
-    grid = rows.select("customer_category", F.explode(F.array(*[F.lit(x) for x in PROMO_USE_LABELS])).alias("promotion_used")) \
-            .join(cols, "promotion_used", "left_semi")
-    return grid.join(counts, ["customer_category", "promotion_used"], "left") \
-               .withColumn("customers", F.coalesce("customers", F.lit(0)).cast("long"))
+    c = customer_value_classes(df, prices)
+    counts = c.groupBy("customer_category", "promotion_used").agg(F.count(F.lit(1)).cast("long").alias("_c"))
+    # at most six rows from here on
+    rows = counts.groupBy("customer_category").agg(F.map_from_entries(F.collect_list(F.struct("promotion_used", "_c"))).alias("_cells"))
+    labels = F.array_distinct(F.flatten(F.collect_list(F.map_keys("_cells")).over(Window.partitionBy())))
+    out = rows.withColumn("_labels", labels).withColumn("promotion_used", F.explode("_labels"))
+    return out.select("customer_category", "promotion_used",
+                      F.coalesce(F.try_element_at("_cells", F.col("promotion_used")), F.lit(0)).cast("long").alias("customers"))
 
 
-def promo_usage_crosstab(df: DataFrame) -> DataFrame:
+def promo_usage_crosstab(df: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """The contingency table in wide form (pivot on the fixed labels)."""
-    long = promo_usage_contingency(df)
+    long = promo_usage_contingency(df, prices)
     return long.groupBy("customer_category").pivot("promotion_used", list(PROMO_USE_LABELS)) \
                .agg(F.sum("customers")).na.fill(0)
 
 
-def chi_square_promo_usage(df: DataFrame, with_p: bool = True) -> DataFrame:
+def chi_square_promo_usage(df: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """ST3: Pearson chi-square of value class x promo use; Yates correction when
     dof = 1; only when both promo-use columns occur (else empty)."""
-    long = small(promo_usage_contingency(df))
-    rt = long.groupBy("customer_category").agg(F.sum("customers").alias("_rt"))
-    ct = long.groupBy("promotion_used").agg(F.sum("customers").alias("_ct"))
-    n = long.agg(F.sum("customers")).scalar()
-    r = rt.agg(F.count(F.lit(1))).scalar()
-    c = ct.agg(F.count(F.lit(1))).scalar()
-    dof = (r - 1) * (c - 1)
-    e = long.join(rt, "customer_category").join(ct, "promotion_used") \
-            .withColumn("_e", F.col("_rt") * F.col("_ct") / n)
+    long = promo_usage_contingency(df, prices)
+    every = Window.partitionBy()  # over at most six cells
+    e = long.withColumns({
+        "_rt": F.sum("customers").over(Window.partitionBy("customer_category")),
+        "_ct": F.sum("customers").over(Window.partitionBy("promotion_used")),
+        "_n": F.sum("customers").over(every),
+        "_r": F.size(F.collect_set("customer_category").over(every)),
+        "_k": F.size(F.collect_set("promotion_used").over(every)),
+    })
+    e = e.withColumn("_e", F.col("_rt") * F.col("_ct") / F.col("_n")).withColumn("dof", (F.col("_r") - 1) * (F.col("_k") - 1))
     diff = F.col("_e") - F.col("customers")
-    corr = F.when(dof == 1, F.signum(diff) * F.least(F.lit(0.5), F.abs(diff))).otherwise(F.lit(0.0))
+    corr = F.when(F.col("dof") == 1, F.signum(diff) * F.least(F.lit(0.5), F.abs(diff))).otherwise(F.lit(0.0))
     obs = F.col("customers") + corr
-    stat = e.agg(F.sum((obs - F.col("_e")) * (obs - F.col("_e")) / F.col("_e")).alias("statistic"))
-    out = stat.select("statistic", dof.cast("long").alias("dof")).where(c == 2)
-    if with_p:
-        out = out.withColumn("p_value", chi2_pvalue(F.col("statistic"), F.col("dof").cast("double")))
-    return out
+    stat = e.where(F.col("_k") == 2).agg(F.sum((obs - F.col("_e")) * (obs - F.col("_e")) / F.col("_e")).alias("statistic"),
+                                         F.max("dof").cast("long").alias("dof"))
+    return stat.where(F.col("dof").isNotNull()).withColumn("p_value", chi2_tail(F.col("statistic"), F.col("dof").cast("double")))
 
 
-def box_plot_stats(df: DataFrame) -> DataFrame:
+def box_plot_stats(df: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """ST7: quartiles of customer unit price and whiskers at the last value
     within 1.5 IQR (matplotlib default), no fliers."""
-    v = customer_city_value(df)
-    q = unit_price_quartiles(df)
-    q1, q2, q3 = (q.select(c).scalar() for c in ("q25", "q50", "q75"))
+    v = customer_prices(df) if prices is None else prices
+    q = unit_price_quartiles(df, prices=v).first()  # three numbers
+    q1, q2, q3 = (F.lit(q[c]).cast("double") for c in ("q25", "q50", "q75"))
     iqr = q3 - q1
     up = F.col("unit_price")
     return v.agg(
@@ -169,15 +170,16 @@ def transaction_value_histogram(df: DataFrame, bin_width: float = 20.0) -> DataF
     """ST8: fixed-width bins from the minimum of non-negative first-line
     transaction values; bins are left-closed, the last one closed; empty bins
     listed (one row per bin, generated with a distributed range)."""
-    tx = first_line_per_transaction(df, ["transaction_value"]).where(F.col("transaction_value") >= 0)
-    stats = tx.agg(F.min("transaction_value").alias("lo"), F.max("transaction_value").alias("hi")).first()
+    first = first_line_per_transaction(df, ["transaction_value"]).where(F.col("transaction_value") >= 0)
+    tx = stored(first.groupBy("transaction_value").agg(F.count(F.lit(1)).alias("_c")), "values")  # ties are one row
+    stats = tx.agg(F.min("transaction_value").alias("lo"), F.max("transaction_value").alias("hi")).first()  # two numbers
     spark = df.sparkSession
     if stats is None or stats["lo"] is None:
         return spark.createDataFrame([], "bin int, bin_start double, bin_end double, count long")
     lo, hi, w = float(stats["lo"]), float(stats["hi"]), float(bin_width)
     nbins = max(int(math.ceil((hi - lo + w) / w)) - 1, 1)
     idx = F.least(F.floor((F.col("transaction_value") - F.lit(lo)) / F.lit(w)).cast("int"), F.lit(nbins - 1))
-    counts = tx.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).cast("long").alias("count"))
+    counts = tx.groupBy(idx.alias("bin")).agg(F.sum("_c").cast("long").alias("count"))
     bins = spark.range(nbins).select(F.col("id").cast("int").alias("bin"))
     return bins.join(counts, "bin", "left").select(
         "bin", (F.lit(lo) + F.col("bin") * F.lit(w)).alias("bin_start"),

@@ -2,31 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kassa.constants import UNKNOWN_LABEL
 
 from kassa.functions.clean import safe_ratio
-from kassa.operators.common import top_k, top_k_per_group, zsum
+from kassa.operators.common import share_pct, stored, top_k, top_k_per_group, zsum
+from kassa.operators.rank import global_order
 
 
 def store_profitability(df: DataFrame) -> DataFrame:
     """Per (store name, city), null keys kept: revenue (line-summed
-    transaction value), units, discount, discount per unit."""
+    transaction value), units, discount, discount per unit; ``row_rank``
+    follows revenue, largest first."""
     g = df.groupBy("store_name", "city").agg(
         zsum("transaction_value").alias("revenue"), zsum("quantity_item").alias("units"),
         zsum("line_discount").alias("discount"))
-    return g.withColumn("avg_discount_per_unit", safe_ratio("discount", "units"))
+    g = g.withColumn("avg_discount_per_unit", safe_ratio("discount", "units"))
+    return global_order(g, [F.col("revenue").desc(), F.col("store_name"), F.col("city")], rank_col="row_rank")
 
 
-def _perf(g: DataFrame) -> DataFrame:
-    total = g.agg(zsum("gmv")).scalar()
-    return g.withColumns({
+def _perf(g: DataFrame, keys: list[str]) -> DataFrame:
+    """Ratios, share of the total, and ``row_rank`` by GMV, largest first."""
+    g = g.withColumns({
         "aov": safe_ratio("gmv", "orders"),
         "items_per_order": safe_ratio("units", "orders"),
-        "gmv_share_pct": F.try_divide(F.col("gmv"), total) * 100.0,
     })
+    ranked = global_order(g, [F.col("gmv").desc(), *[F.col(k) for k in keys]], rank_col="row_rank",
+                          running={"_to": F.col("gmv")}, grand={"_sum": "_to"})
+    share = F.try_divide(F.col("gmv"), F.when(F.col("_sum") != 0, F.col("_sum"))) * 100.0
+    return ranked.withColumn("gmv_share_pct", share).drop("_to", "_sum")
 
 
 def _measures(grouped) -> DataFrame:
@@ -41,14 +47,15 @@ def store_deep_dive(df: DataFrame) -> DataFrame:
         "store_city": F.coalesce("city", F.lit(UNKNOWN_LABEL)),
         "store_province": F.coalesce("province", F.lit(UNKNOWN_LABEL)),
     })
-    return _perf(_measures(base.groupBy("store_id", "store_name", "store_city", "store_province")))
+    keys = ["store_id", "store_name", "store_city", "store_province"]
+    return _perf(_measures(base.groupBy(*keys)), keys)
 
 
 def city_performance(df: DataFrame) -> DataFrame:
     """Per (province, city) with 'Unknown' defaults."""
     base = df.withColumns({"province": F.coalesce("province", F.lit(UNKNOWN_LABEL)),
                            "city": F.coalesce("city", F.lit(UNKNOWN_LABEL))})
-    return _perf(_measures(base.groupBy("province", "city")))
+    return _perf(_measures(base.groupBy("province", "city")), ["province", "city"])
 
 
 def city_category_mix(df: DataFrame, k: int = 5) -> DataFrame:
@@ -57,9 +64,7 @@ def city_category_mix(df: DataFrame, k: int = 5) -> DataFrame:
     base = df.withColumns({"city": F.coalesce("city", F.lit(UNKNOWN_LABEL)),
                            "category": F.coalesce("category", F.lit(UNKNOWN_LABEL))})
     g = base.groupBy("city", "category").agg(zsum("transaction_value").alias("transaction_value"))
-    tot = g.groupBy("city").agg(F.sum("transaction_value").alias("_tot"))
-    g = g.join(tot, "city").withColumn("gmv_share_pct", F.try_divide(F.col("transaction_value"), F.col("_tot")) * 100.0) \
-         .drop("_tot")
+    g = g.withColumn("gmv_share_pct", share_pct("transaction_value", "city"))  # over a city's categories
     return top_k_per_group(g, k, ["city"], [F.col("transaction_value").desc(), F.col("category").asc()],
                            rank_col="rank_in_city")
 
@@ -67,10 +72,9 @@ def city_category_mix(df: DataFrame, k: int = 5) -> DataFrame:
 def store_top_bottom(df: DataFrame, k: int = 15) -> DataFrame:
     """G15 views: the ``k`` stores with the highest GMV and the ``k`` with the
     lowest (two distributed top-k), tagged by ``view`` with a 1-based rank."""
-    d = store_deep_dive(df)
+    d = stored(store_deep_dive(df).drop("row_rank"), "store_view")
     top = top_k(d, k, [F.col("gmv").desc(), F.col("store_id")]).withColumn("view", F.lit("top"))
     bottom = top_k(d, k, [F.col("gmv").asc(), F.col("store_id")]).withColumn("view", F.lit("bottom"))
-    from pyspark.sql import Window
     w = Window.partitionBy("view").orderBy(F.when(F.col("view") == "top", -F.col("gmv")).otherwise(F.col("gmv")),
                                            "store_id")  # at most 2k rows
     return top.unionByName(bottom).withColumn("view_rank", F.row_number().over(w).cast("long"))

@@ -9,7 +9,6 @@ checked row bound, and the fact is never collected.
 from __future__ import annotations
 
 from collections.abc import Sequence
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +17,11 @@ from pyspark.sql import types as T
 from kassa.constants import ALBERTA_CITIES, DEFAULT_COUNTRY, DEFAULT_PROVINCE
 from kassa.functions.clean import (coerce_numeric, normalise_identifier, parse_yyyymmdd,
                                    to_number, truthy)
-from kassa.operators.common import small
+from kassa.operators.common import stored
 from kassa.operators.joins import size_bound_ok
 from kassa.operators.enrich import merge_sales_with_references, strip_headers
 from kassa.operators.privacy import apply_identifier_hashing, apply_store_masking, build_store_lookup
-from kassa.session import checkpoint_dir
+from kassa.session import new_path
 
 # raw (reference) name -> curated name
 CURATED_COLUMNS = (
@@ -124,11 +123,10 @@ def to_curated_schema(df: DataFrame) -> DataFrame:
 
 
 def curate(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple] = ALBERTA_CITIES,
-           province: str = DEFAULT_PROVINCE, country: str = DEFAULT_COUNTRY, id_hash_length: int = 8) -> DataFrame:
+           province: str = DEFAULT_PROVINCE, country: str = DEFAULT_COUNTRY) -> DataFrame:
     """Whole curation job; returns the curated (snake_case) frame, lazily.
 
-    ``id_hash_length`` = 8 reproduces the reference pseudonyms; use 16+ for
-    large tables (see :func:`apply_identifier_hashing`).
+    Identifiers are whole digests; ``display_ids`` gives their short forms.
     """
     sales = strip_headers(sales)
     if "Source_File" in sales.columns:
@@ -138,9 +136,9 @@ def curate(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple]
         stores = stores.withColumn("_seq", F.monotonically_increasing_id())
     stores_small = size_bound_ok(stores)  # checked once: store join and both lookup joins
     merged = merge_sales_with_references(sales, dims, known_small={"store": stores_small})
-    lookup = small(build_store_lookup(stores, cities))  # at most one (narrower) row per store
+    lookup = stored(build_store_lookup(stores, cities), "stores")  # at most one (narrower) row per store
     masked = apply_store_masking(merged, lookup, province, country, lookup_is_small=stores_small)
-    hashed = apply_identifier_hashing(masked, length=id_hash_length)
+    hashed = apply_identifier_hashing(masked)
     typed = prepare_numeric_and_date_fields(hashed)
     return to_curated_schema(typed)
 
@@ -163,11 +161,10 @@ def materialise(df: DataFrame, name: str = "curated", partition_by: Sequence[str
     single-task month.
     """
     spark = df.sparkSession
-    tag = uuid.uuid4().hex
-    path = f"{checkpoint_dir(spark).rstrip('/')}/kassa-{name}-{tag}"
+    path = new_path(spark, name)
     if bucket_by:
         # external table in the shared folder, bucketed + sorted on the key
-        table = f"kassa_{name}_{tag}"
+        table = "kassa_" + path.rpartition("/kassa-")[2].replace("-", "_")
         n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         (df.write.mode("overwrite").option("path", path).partitionBy(*partition_by)
            .bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(table))

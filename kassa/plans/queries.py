@@ -2,7 +2,8 @@
 
 Each builds (once per session) the curated table from the driver's raw test
 tables and runs one operator on the whole table. Doubles are rounded to ~9
-significant digits for engine-independent comparison; ``_seq`` is internal.
+significant digits for engine-independent comparison and identifiers are shown
+in their short form; ``_seq`` is internal.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kassa.functions.privacy import display_id, display_ids
 from kassa.functions.rounding import round_doubles
 from kassa.plans.curated import curated_from_testdata
 
@@ -21,6 +23,7 @@ REGISTRY: dict[str, QueryFn] = {}
 def _finish(df: DataFrame, round_output: bool = True) -> DataFrame:
     if "_seq" in df.columns:
         df = df.drop("_seq")
+    df = display_ids(df)
     return round_doubles(df) if round_output else df
 
 
@@ -62,7 +65,7 @@ from kassa.operators import promo as P  # noqa: E402
 from kassa.operators import quality as Q  # noqa: E402
 from kassa.operators import stats as S  # noqa: E402
 from kassa.operators import stores as ST  # noqa: E402
-from kassa.operators.filters import FilterSpec, apply_filters, facet_values, non_negative_quantity  # noqa: E402
+from kassa.operators.filters import FilterSpec, apply_filters, facet_values, non_negative_quantity, sidebar_facets  # noqa: E402
 from kassa.sources import testdata as TD  # noqa: E402
 from kassa.sources.sample import sample_transactions  # noqa: E402
 
@@ -205,12 +208,14 @@ def _q_cohort(df):
     return C.cohort_retention(df)
 
 
-@register("cohort_retention_matrix", round_output=False)
+#: cohort indexes of the wide matrix: the seven years that the test orders span
+MATRIX_INDEXES = range(1, 85)
+
+
+@register("cohort_retention_matrix")
 def _q_cohort_matrix(df):
-    """R2 wide matrix; cells rounded in long form before the pivot."""
-    from kassa.functions.rounding import sig_round
-    long = C.cohort_retention(df).withColumn("retention", sig_round("retention"))
-    return long.groupBy("cohort_month").pivot("cohort_index").agg(F.first("retention"))
+    """R2 wide matrix over the named indexes."""
+    return C.cohort_retention_matrix(df, MATRIX_INDEXES)
 
 
 @register("cohort_sizes")
@@ -271,23 +276,12 @@ def _q_rollup(df):
 
 @register("promo_regression")
 def _q_ols(df):
-    """ST1 coefficients, errors and t (p-values in promo_regression_pvalues)."""
-    return S.promo_regression(df, with_p=False)
-
-
-@register("promo_regression_pvalues", round_output=False)  # no SQL twin; keep tiny p-values
-def _q_ols_p(df):
-    return S.promo_regression(df, with_p=True)
+    return S.promo_regression(df)
 
 
 @register("ab_test_promo")
 def _q_ab(df):
-    return S.ab_test_promo(df, with_p=False)
-
-
-@register("ab_test_promo_pvalue", round_output=False)
-def _q_ab_p(df):
-    return S.ab_test_promo(df, with_p=True)
+    return S.ab_test_promo(df)
 
 
 @register("unit_price_quartiles")
@@ -342,6 +336,32 @@ def _q_filtered(df):
     return K.compute_highlights(apply_filters(dash(df), FILTER_EXAMPLE))
 
 
+ITEM_FILTER = FilterSpec(months=[1, 2, 3, 7, 11], categories=["ECONOMY ANODIZED STEEL", "STANDARD POLISHED TIN", "PROMO BURNISHED COPPER", "SMALL PLATED BRASS"],
+                         stores=["AB Store 001 - Calgary", "AB Store 002 - Edmonton", "AB Store 003 - Red Deer", "Alberta Online Store 01"])
+
+
+@register("filtered_lines")
+def _q_filtered_lines(df):
+    """F2 by month, category and store: the lines that are left."""
+    return apply_filters(dash(df), ITEM_FILTER).select("transaction_id", "item_id", "month", "category", "store_name", "quantity_item")
+
+
+@register("filtered_items")
+def _q_filtered_items(df):
+    """F2 by item: monthly units of the chosen items (identifiers are whole digests)."""
+    from hashlib import sha1
+    items = ["ITEM" + sha1(str(i).encode()).hexdigest().upper() for i in (1, 5, 17, 42, 99, 150)]
+    return (apply_filters(dash(df), FilterSpec(items=items)).groupBy("item_id", "year", "month")
+                    .agg(F.coalesce(F.sum("quantity_item"), F.lit(0.0)).alias("units"), F.count(F.lit(1)).cast("long").alias("lines")))
+
+
+@register("sidebar_facets")
+def _q_facets(df):
+    """Every facet and the day bounds that the sidebar offers after FILTER_EXAMPLE."""
+    shown = F.when(F.col("facet") == "item_id", display_id("value", "ITEM")).otherwise(display_id("value", "ABSTORE"))
+    return sidebar_facets(dash(df), FILTER_EXAMPLE).withColumn("value", shown)
+
+
 @register("facet_cities")
 def _q_facet(df):
     return facet_values(dash(df), "city")
@@ -371,6 +391,16 @@ def _q_web(spark, sf_dir):
     return K.web_account_share(TD.raw_contact(spark, sf_dir))
 
 
+@register_raw("curated_from_month_files")
+def _q_month_files(spark, sf_dir):
+    """S1-S6 over files: the raw tables written as CSV month files and dimension
+    files in the shared folder, then discovered, read and curated."""
+    from kassa.sources.files import load_and_prepare_data
+    from kassa.sources.testdata import write_month_files
+    root, years = write_month_files(spark, sf_dir)
+    return load_and_prepare_data(spark, root, sales_dirs=years)
+
+
 @register_raw("promotion_timeline")
 def _q_timeline(spark, sf_dir):
     return P.promotion_timeline(TD.raw_promotion(spark, sf_dir), as_of="2000-01-01")

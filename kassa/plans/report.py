@@ -1,15 +1,17 @@
 """The dashboard and the notebook report as sets of DataFrames.
 
 ``dashboard_views`` applies the quantity filter and the sidebar FilterSpec once
-and persists that frame (several tabs read it). The RFM frame is computed once
-and feeds the segment, score and location views. Everything is returned
-lazily: the caller decides which views to materialise.
+and stores that frame in the shared folder (several tabs read it). The RFM
+frame, the customers' prices and the promotion summary are computed once and
+feed all their views. What a view needs as numbers (cut points, quartiles) is
+computed when it is built; the views themselves are lazy. ``release`` of
+``kassa.session`` removes the stored frames.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kassa.operators import customers as C
 from kassa.operators import kpi as K
@@ -17,16 +19,16 @@ from kassa.operators import promo as P
 from kassa.operators import quality as Q
 from kassa.operators import stats as S
 from kassa.operators import stores as ST
-from kassa.operators.common import top_k
+from kassa.operators.common import stored, top_k
 from kassa.operators.filters import FilterSpec, apply_filters, non_negative_quantity
 
 
-def dashboard_views(curated: DataFrame, spec: FilterSpec | None = None, persist: bool = True) -> dict[str, DataFrame]:
+def dashboard_views(curated: DataFrame, spec: FilterSpec | None = None, store: bool = True) -> dict[str, DataFrame]:
     data = apply_filters(non_negative_quantity(curated), spec or FilterSpec())
-    if persist:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)  # recomputable from lineage if an executor is lost
+    if store:
+        data = stored(data, "dashboard")
     rfm = C.rfm_dashboard(data)
-    from pyspark.sql import functions as F
+    prices = S.customer_prices(data)
     return {
         # sales overview
         "highlights": K.compute_highlights(data),
@@ -35,10 +37,10 @@ def dashboard_views(curated: DataFrame, spec: FilterSpec | None = None, persist:
         "units_by_location": K.units_by_location(data),
         # customer insights
         "customer_city_value": C.customer_city_value(data),
-        "box_plot": S.box_plot_stats(data),
-        "unit_price_quartiles": S.unit_price_quartiles(data),
-        "promo_usage_crosstab": S.promo_usage_crosstab(data),
-        "chi_square": S.chi_square_promo_usage(data),
+        "box_plot": S.box_plot_stats(data, prices),
+        "unit_price_quartiles": S.unit_price_quartiles(data, prices=prices),
+        "promo_usage_crosstab": S.promo_usage_crosstab(data, prices),
+        "chi_square": S.chi_square_promo_usage(data, prices),
         "top_customers": C.top_customers(data),
         # transaction value
         "avg_transaction_value": K.avg_transaction_value(data),

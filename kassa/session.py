@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -47,8 +49,9 @@ def build_session(master: str | None = None, app: str = "kassa",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a fresh scratch folder
-    created and registered.
+    With a local master (tests) a scratch folder is created and registered
+    when the setting is absent. Any other master shares no local folder, so
+    there the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,11 +59,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="kassa-ckpt-", dir="/tmp")
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {sc.master} share")
+        configured = tempfile.mkdtemp(prefix="kassa-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_STORED: list[tuple[str, str]] = []  # (application id, path) of the tables written by new_path()
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder; :func:`release` removes it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/kassa-{name}-{uuid.uuid4().hex}"
+    _STORED.append((spark.sparkContext.applicationId, path))
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the intermediate tables this application wrote (results that read them are then invalid)."""
+    jvm, conf, gone = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    mine = [x for x in _STORED if x[0] == spark.sparkContext.applicationId]
+    for entry in mine:
+        target = jvm.org.apache.hadoop.fs.Path(entry[1])
+        gone += bool(target.getFileSystem(conf).delete(target, True))
+        _STORED.remove(entry)
+    return gone
+
+
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size of the files under ``paths`` (metadata listing, no data read)."""
     from pyspark.sql import functions as F

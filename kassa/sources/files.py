@@ -13,11 +13,14 @@ parser); a month available only as XLSX raises.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from kassa.constants import MISSING_CELL_TOKENS
+
 DEFAULT_SALES_DIRS = ("2023", "2024")
 SALES_GLOB = "Base_sales_*.*"
 REFERENCE_TABLES = (("contact", "Base_contact"), ("item", "Base_item"),
@@ -45,7 +48,7 @@ def list_sales_files(spark: SparkSession, root: str, sales_dirs: Sequence[str] |
         if lst is not None:
             frames.append(lst.withColumn("dir_rank", F.lit(rank)))
     if not frames:
-        raise FileNotFoundError("No Base_sales_*.csv or .xlsx files found under data directory.")
+        raise FileNotFoundError(f"no sales folder with month files under {root}")
     files = frames[0]
     for f in frames[1:]:
         files = files.unionByName(f)
@@ -71,44 +74,71 @@ def list_available_months(spark: SparkSession, root: str, sales_dirs: Sequence[s
     return m.limit(first) if first else m
 
 
-def _read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
+def _read_csv_strings(spark: SparkSession, paths: str | list[str], multiline: bool = True) -> DataFrame:
+    """CSV as text columns by the rules of pandas' reader.
+
+    A doubled quote inside a quoted field is one quote, commas and line breaks
+    inside quotes belong to the field, and the usual missing-value tokens are
+    null in every column. A file whose fields may hold line breaks cannot be
+    split, so a file is one task; ``multiline=False`` declares that no field
+    does, and large files are then read in splits.
+    """
     df = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
-          .option("mode", "PERMISSIVE").csv(path))
-    return df.toDF(*[c.strip() for c in df.columns])
+          .option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"').option("multiLine", multiline).csv(paths))
+    cells = [F.when(~F.col(f"`{c}`").isin(*MISSING_CELL_TOKENS), F.col(f"`{c}`")).alias(c.strip()) for c in df.columns]
+    return df.select(*cells, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
+
+
+def _header(spark: SparkSession, path: str) -> str:
+    first = spark.read.text(path).limit(1).first()
+    return first[0].lstrip("\ufeff") if first else ""
 
 
 def load_sales(spark: SparkSession, root: str, sales_dirs: Sequence[str] | None = None,
-               months: Sequence[str] | None = None) -> DataFrame:
+               months: Sequence[str] | None = None, multiline: bool = True) -> DataFrame:
     """All-string union (by name) of the selected month files.
 
-    Adds ``Source_File`` and ``_seq`` = (file rank, split offset, row id), a
-    total order equal to file + row order without any global sort.
+    Adds ``Source_File`` and ``_seq`` = (folder and month, split offset, row
+    id), a total order equal to file + row order without any global sort.
     """
     chosen = list_sales_files(spark, root, sales_dirs, months).orderBy("dir_rank", "month_key")
     files = chosen.collect()  # file metadata only: one row per month file
     if not files:
-        raise FileNotFoundError("No Base_sales_*.csv or .xlsx files found under data directory.")
+        raise FileNotFoundError(f"no month file Base_sales_*.csv under {root}")
     xlsx = [r["path"] for r in files if r["ext"] != "csv"]
     if xlsx:
         raise ValueError(f"XLSX sales files are not supported, convert to CSV: {xlsx}")
-    return read_sales_files(spark, [r["path"] for r in files])
+    return read_sales_files(spark, [r["path"] for r in files], sales_dirs, multiline)
 
 
-def read_sales_files(spark: SparkSession, paths: Sequence[str], first_rank: int = 0) -> DataFrame:
-    """Union by name of CSV month files given in ingestion order."""
+def read_sales_files(spark: SparkSession, paths: Sequence[str], sales_dirs: Sequence[str] | None = None,
+                     multiline: bool = True) -> DataFrame:
+    """Union by name of CSV month files: one scan for all files with the same header.
+
+    The order of a line's file comes from the file's own folder and month, so
+    files that arrive later, in another call, take their place among the others.
+    """
+    with ThreadPoolExecutor(8) as pool:  # only the first line of each file is read here
+        headers = list(pool.map(lambda p: _header(spark, p), paths))
+    groups: dict[str, list[str]] = {}
+    for path, header in zip(paths, headers, strict=True):
+        groups.setdefault(header, []).append(path)
     out = None
-    for rank, path in enumerate(paths, start=first_rank):
-        df = _read_csv_strings(spark, path)
-        df = df.withColumns({
-            "Source_File": F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1),
-            "_seq": F.struct(F.lit(rank).alias("f"), F.col("_metadata.file_block_start").alias("b"),
-                             F.monotonically_increasing_id().alias("r")),
-        })
+    for group in groups.values():
+        df = _read_csv_strings(spark, group, multiline)
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out
-
-
-def load_reference_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    parts = F.split("_path", "/")
+    folder = F.url_decode(F.element_at(parts, -2))
+    rank = F.lit("9999")
+    for k, d in reversed(list(enumerate(sales_dirs or DEFAULT_SALES_DIRS))):
+        rank = F.when(folder == d.strip("/").split("/")[-1], F.lit(f"{k:04d}")).otherwise(rank)
+    name = F.url_decode(F.element_at(parts, -1))
+    month = F.lower(F.substring_index(F.regexp_replace(name, r"\.[^.]*$", ""), "_", -1))
+    order = F.struct(F.concat_ws("/", rank, month, name).alias("f"), F.col("_block").alias("b"), F.monotonically_increasing_id().alias("r"))
+    return out.withColumns({"Source_File": name, "_seq": order}).drop("_path", "_block")
+
+
+def load_reference_tables(spark: SparkSession, root: str, multiline: bool = True) -> dict[str, DataFrame]:
     """The four dimension tables (all strings, headers stripped).
 
     The store table gets ``_seq`` (file order) for first-appearance rules.
@@ -121,12 +151,11 @@ def load_reference_tables(spark: SparkSession, root: str) -> dict[str, DataFrame
             xlsx = _listing(spark, base, f"{name}.xlsx")
             if xlsx is not None and xlsx.limit(1).count() > 0:
                 raise ValueError(f"XLSX reference table not supported, convert to CSV: {base}/{name}.xlsx")
-            raise FileNotFoundError(f"Required base table not found: {base}/{name}.csv or {base}/{name}.xlsx")
-        df = _read_csv_strings(spark, f"{base}/{name}.csv")
+            raise FileNotFoundError(f"no file for the {key} table: {base}/{name}.csv")
+        df = _read_csv_strings(spark, f"{base}/{name}.csv", multiline)
         if key == "store":
-            df = df.withColumn("_seq", F.struct(F.col("_metadata.file_block_start").alias("b"),
-                                                F.monotonically_increasing_id().alias("r")))
-        tables[key] = df
+            df = df.withColumn("_seq", F.struct(F.col("_block").alias("b"), F.monotonically_increasing_id().alias("r")))
+        tables[key] = df.drop("_path", "_block")
     return tables
 
 
@@ -138,7 +167,8 @@ def load_and_prepare_data(spark: SparkSession, root: str, sales_dirs: Sequence[s
 
 
 def write_curated(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """S6 reuse: curated parquet partitioned by year/month (S5 pruning)."""
+    """S6 reuse: curated parquet partitioned by year/month (S5 pruning). ``_seq``
+    goes with it: operators that need the order of lines run on the re-read table."""
     df.write.mode(mode).partitionBy("year", "month").parquet(path)
 
 

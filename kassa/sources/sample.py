@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kassa.functions.clean import month_start
-from kassa.operators.common import top_k_per_group
+from kassa.operators.common import stored, top_k_per_group
 from kassa.operators.joins import sized_broadcast
 
 
@@ -23,7 +23,7 @@ def sample_transactions(df: DataFrame, per_month: int = 1000, salt_buckets: int
            .withColumn("_h", F.sha1("_tx"))
     chosen = top_k_per_group(tx, per_month, ["_m"], [F.col("_h").asc(), F.col("_tx").asc()],
                              salt_buckets=salt_buckets)
-    ids = sized_broadcast(chosen.select("_tx").distinct())
+    ids = sized_broadcast(stored(chosen.select("_tx").distinct(), "sample"))
     return df.join(ids, df[key] == ids["_tx"], "left_semi")
 
 

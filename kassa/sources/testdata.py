@@ -101,7 +101,7 @@ def raw_item(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _read(spark, sf_dir, "part").where(F.col("p_partkey") < 500)
+    p = _read(spark, sf_dir, "part")
     k = F.col("p_partkey")
     start = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("p_size") * 30).cast("int"))
     end = F.date_add(start, (k % 400 - 20).cast("int"))
@@ -134,3 +134,42 @@ def raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(raw_sales(spark, sf_dir), raw_contact(spark, sf_dir), raw_item(spark, sf_dir),
                      raw_promotion(spark, sf_dir), raw_store(spark, sf_dir))
+
+
+def write_month_files(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
+    """The raw tables as the files the reference reads: one CSV a month under
+    year folders, and four dimension files. Returns the root and the folders.
+
+    Prices have decimal commas and spaces, missing cells are written as ``NA``,
+    and a remark holds commas, quotes and a line break.
+    """
+    from kassa.session import new_path
+    root = new_path(spark, "month-files")
+    t = raw_tables(spark, sf_dir)
+    sales = t.sales.drop("_seq")
+    for c in ("Unit_original_price", "Unit_sale_price", "Transaction_value"):
+        text = F.regexp_replace(F.col(c).cast("string"), r"\.", ",")
+        sales = sales.withColumn(c, F.regexp_replace(text, r"^(\d)(\d{3})", "$1\u00a0$2"))
+    sales = sales.withColumn("Remark", F.concat(F.lit('said "fine, thanks"\nline 2 of '), F.col("Transaction_ID")))
+    month = F.substring("Date_transaction", 1, 6)
+    staged = f"{root}/staged"
+    options = {"header": True, "nullValue": "NA", "quote": '"', "escape": '"', "emptyValue": "", "quoteAll": True}
+    sales.withColumn("m", month).repartition("m").write.partitionBy("m").options(**options).csv(f"{staged}/sales")
+    for name, df in (("contact", t.contact), ("item", t.item), ("promotions", t.promotion), ("stores", t.store.orderBy("_seq").drop("_seq"))):
+        df.coalesce(1).write.options(**options).csv(f"{staged}/m={name}")
+    # the layout wants single files with given names: move the part files there
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(conf)
+    years = set()
+    for part in [*(fs.globStatus(path(f"{staged}/sales/m=*/part-*.csv")) or []), *(fs.globStatus(path(f"{staged}/m=*/part-*.csv")) or [])]:
+        key = part.getPath().getParent().getName().split("=")[1]
+        if key.isdigit():
+            years.add(key[:4])
+            target = f"{root}/{key[:4]}/Base_sales_{key}.csv"
+        else:
+            target = f"{root}/base/Base_{key}.csv"
+        fs.mkdirs(path(target).getParent())
+        if not fs.rename(part.getPath(), path(target)):
+            raise OSError(f"cannot move {part.getPath()} to {target}")
+    return root, sorted(years)

@@ -4,10 +4,11 @@ A file stream watches the year folders for ``Base_sales_*.csv`` and yields the
 paths of newly landed files (``binaryFile`` source, content not read). Each
 micro-batch reads its files with the batch loader (all-string CSV, union by
 name, so per-file column layouts may differ), curates them against the
-dimension tables and appends to the year/month-partitioned curated parquet.
-The stream checkpoint records which files were done, so a restart or a lost
-executor neither skips nor repeats a month. ``availableNow`` processes what
-has landed and stops; otherwise the folders are polled every minute.
+dimension tables and writes them to its own folder ``epoch=<id>`` of the
+curated table, partitioned by year and month. A batch that is run again after
+a crash overwrites its own folder, so no month is there twice; the stream
+checkpoint records which files were done. ``availableNow`` processes what has
+landed and stops; otherwise the folders are polled every minute.
 """
 
 from __future__ import annotations
@@ -53,8 +54,8 @@ def start_month_ingestion(spark: SparkSession, root: str, out_path: str,
         paths = [r["path"] for r in batch.orderBy("dir_rank", "path").collect()]
         if not paths:
             return
-        sales = read_sales_files(spark, paths)
-        curate(sales, dims).drop("_seq").write.mode("append").partitionBy("year", "month").parquet(out_path)
+        sales = read_sales_files(spark, paths, dirs)
+        curate(sales, dims).write.mode("overwrite").partitionBy("year", "month").parquet(f"{out_path.rstrip('/')}/epoch={epoch_id}")
 
     writer = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

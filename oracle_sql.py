@@ -9,8 +9,31 @@ its own SELECT. Doubles are rounded to ~9 significant digits on both sides
 
 from __future__ import annotations
 
-from kassa.constants import ALBERTA_CITIES
-from kassa.functions.rounding import sig_round_sql as R
+# target cities of the remap: name, latitude, longitude
+CITIES = """Calgary 51.0447 -114.0719|Edmonton 53.5461 -113.4938|Red Deer 52.2681 -113.8112|Lethbridge 49.6956 -112.8450
+St. Albert 53.6305 -113.6256|Medicine Hat 50.0405 -110.6765|Grande Prairie 55.1707 -118.7947|Airdrie 51.2917 -114.0144
+Spruce Grove 53.5464 -113.9187|Leduc 53.2597 -113.5569|Okotoks 50.7240 -113.9720|Fort McMurray 56.7260 -111.3790
+Banff 51.1784 -115.5708|Canmore 51.0890 -115.3595|Brooks 50.5649 -111.8980|Camrose 53.0167 -112.8200
+Chestermere 51.0379 -113.8225|Lloydminster 53.2784 -110.0054|Sherwood Park 53.5444 -113.3198|Wetaskiwin 52.9692 -113.3761"""
+
+
+def R(x: str) -> str:  # noqa: N802
+    """About nine significant digits: snapped to a binary grid, then rounded, both by magnitude."""
+    cases = []
+    for bits, grid, places in ((-10, 40, 10), (0, 30, 9), (10, 20, 6), (20, 10, 3), (24, 6, 2), (44, 2, 2)):
+        cases.append(f"WHEN abs({x}) < pow(2.0, {bits}) THEN round(CAST(floor(({x}) * pow(2.0, {grid}) + 0.5) AS DOUBLE) * pow(2.0, {-grid}), {places})")
+    return f"(CASE {' '.join(cases)} ELSE CAST({x} AS DOUBLE) END)"
+
+
+# prefixes of the pseudonyms by column; results show the prefix and 8 digits
+PREFIXES = {"transaction_id": "TRX", "contact_id": "CUST", "item_id": "ITEM", "promotion_id": "PROMO", "promo_id": "PROMO", "sku": "SKU", "ean": "EAN",
+            "promo_label": "OFFER", "store_id": "ST", "store_name": "ABSTORE", "store_of_creation": "ST"}
+
+
+def short(c: str, column: str | None = None) -> str:
+    prefix = PREFIXES[column or c]
+    n = len(prefix)
+    return f"(CASE WHEN length({c}) = {n + 40} AND starts_with({c}, '{prefix}') THEN substr({c}, 1, {n + 8}) ELSE {c} END)"
 
 
 def _norm(x: str) -> str:
@@ -20,11 +43,11 @@ def _norm(x: str) -> str:
 
 def _hash(x: str, prefix: str) -> str:
     t = f"trim(coalesce(CAST({x} AS VARCHAR), 'nan'))"
-    return f"(CASE WHEN {t} = '' THEN '' ELSE '{prefix}' || upper(substr(sha1({t}), 1, 8)) END)"
+    return f"(CASE WHEN {t} = '' THEN '' ELSE '{prefix}' || upper(sha1({t})) END)"
 
 
 def _tok(x: str, prefix: str) -> str:
-    return f"('{prefix}' || upper(substr(sha1({x}), 1, 8)))"
+    return f"('{prefix}' || upper(sha1({x})))"
 
 
 def _postal(v: str) -> str:
@@ -41,7 +64,8 @@ def _postal(v: str) -> str:
     return f"('T' || {dig(1)} || {let(2)} || {dig(3)} || {let(4)} || {dig(5)})"
 
 
-_CITY_VALUES = ", ".join(f"({i}, '{n}', {lat}, {lon})" for i, (n, lat, lon) in enumerate(ALBERTA_CITIES))
+_CITY_VALUES = ", ".join(f"({i}, '{n}', {lat}, {lon})" for i, (n, lat, lon) in
+                         enumerate(c.rsplit(" ", 2) for c in CITIES.replace("\n", "|").split("|")))
 
 CURATED = f"""
 WITH
@@ -86,7 +110,7 @@ raw_promo AS (
     CASE WHEN p_partkey % 7 = 0 THEN NULL
          ELSE strftime(DATE '1995-01-01' + CAST(p_size * 30 AS INTEGER) + CAST(p_partkey % 400 - 20 AS INTEGER),
                        '%Y-%m-%d') END AS END_DATE
-  FROM part WHERE p_partkey < 500),
+  FROM part),
 raw_store AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS STORE_ID,
     CASE WHEN s_suppkey % 40 = 7 THEN 'ECOM ' || s_name ELSE s_name END AS LIBELLE_y,
@@ -212,7 +236,7 @@ CURATED_COLS = ("transaction_id, contact_id, item_id, promotion_id, store_id, pr
 def _rcols(cols: str, doubles: set[str]) -> str:
     out = []
     for c in [x.strip() for x in cols.split(",")]:
-        out.append(f"{R(c)} AS {c}" if c in doubles else c)
+        out.append(f"{R(c)} AS {c}" if c in doubles else f"{short(c)} AS {c}" if c in PREFIXES else c)
     return ", ".join(out)
 
 
@@ -242,7 +266,7 @@ def sel(spec: str, src: str) -> str:
             c = c[:-1]
             out.append(f"{R(c)} AS {c}")
         else:
-            out.append(c)
+            out.append(f"{short(c)} AS {c}" if c in PREFIXES else c)
     return f"SELECT {', '.join(out)} FROM {src}"
 
 
@@ -350,7 +374,7 @@ O["sku_top50"] = q(sel(
       FROM (SELECT a.*, {ratio('gmv', 'units')} AS asp, (CASE WHEN t <> 0 THEN gmv / t END) * 100.0 AS gmv_share_pct
             FROM agg a, (SELECT {zs('gmv')} AS t FROM agg) tot
             ORDER BY gmv DESC, sku NULLS FIRST, sku_label NULLS FIRST LIMIT 50)))"""),
-    f"""agg AS (SELECT sku, coalesce(sku_description, sku, item_id) AS sku_label, {zs('transaction_value')} AS gmv,
+    f"""agg AS (SELECT sku, coalesce(sku_description, {short('sku')}, {short('item_id')}) AS sku_label, {zs('transaction_value')} AS gmv,
         {zs('quantity_item')} AS units, count(DISTINCT transaction_id) AS orders FROM curated GROUP BY 1, 2)""")
 
 O["units_by_location"] = q(sel("latitude*, longitude*, city, units*", f"""(SELECT latitude, longitude, city,
@@ -403,8 +427,8 @@ _RAT = (f"{ratio('gmv', 'units')} AS asp, {ratio('gmv', 'orders')} AS aov, "
 def _promo_effect(dims: list[str]) -> str:
     d = ", ".join(dims)
     spec = d + ", promo_flag, gmv*, units*, orders, discount_value*, original_value*, asp*, aov*, " \
-               "avg_discount_rate*, gmv_share_pct*"
-    return q(sel(spec, f"""(SELECT g.*, {_RAT},
+               "avg_discount_rate*, gmv_share_pct*, row_rank"
+    return q(sel(spec, f"""(SELECT g.*, {_RAT}, row_number() OVER (ORDER BY gmv DESC, {d}, promo_flag) AS row_rank,
         CASE WHEN sum(gmv) OVER (PARTITION BY {d}) = 0 THEN 0.0
              ELSE gmv / sum(gmv) OVER (PARTITION BY {d}) * 100.0 END AS gmv_share_pct
       FROM (SELECT {d}, promo_flag, {_MEAS} FROM ab GROUP BY ALL) g)"""), AB)
@@ -437,14 +461,14 @@ O["promo_share_long"] = q(sel(
 
 # ---------------------------------------------------------------------------- stores
 O["store_profitability"] = q(sel(
-    "store_name, city, revenue*, units*, discount*, avg_discount_per_unit*",
-    f"""(SELECT store_name, city, {zs('transaction_value')} AS revenue, {zs('quantity_item')} AS units,
+    "store_name, city, revenue*, units*, discount*, avg_discount_per_unit*, row_rank",
+    f"""(SELECT *, row_number() OVER (ORDER BY revenue DESC, store_name NULLS FIRST, city NULLS FIRST) AS row_rank FROM (SELECT store_name, city, {zs('transaction_value')} AS revenue, {zs('quantity_item')} AS units,
         {zs('line_discount')} AS discount, {ratio(zs('line_discount'), zs('quantity_item'))} AS avg_discount_per_unit
-        FROM curated GROUP BY 1, 2)"""))
+        FROM curated GROUP BY 1, 2))"""))
 
 
 def _perf_sql(keys: str, base: str) -> str:
-    return f"""(SELECT g.*, {ratio('gmv', 'orders')} AS aov, {ratio('units', 'orders')} AS items_per_order,
+    return f"""(SELECT g.*, row_number() OVER (ORDER BY gmv DESC, {keys}) AS row_rank, {ratio('gmv', 'orders')} AS aov, {ratio('units', 'orders')} AS items_per_order,
         (CASE WHEN t <> 0 THEN gmv / t END) * 100.0 AS gmv_share_pct
       FROM (SELECT {keys}, {zs('transaction_value')} AS gmv, {zs('quantity_item')} AS units,
                    count(DISTINCT transaction_id) AS orders FROM {base} GROUP BY ALL) g,
@@ -452,7 +476,7 @@ def _perf_sql(keys: str, base: str) -> str:
 
 
 O["store_deep_dive"] = q(sel(
-    "store_id, store_name, store_city, store_province, gmv*, units*, orders, aov*, items_per_order*, gmv_share_pct*",
+    "store_id, store_name, store_city, store_province, gmv*, units*, orders, aov*, items_per_order*, gmv_share_pct*, row_rank",
     _perf_sql("store_id, store_name, store_city, store_province",
               "(SELECT store_id, coalesce(store_name, store_id) AS store_name, coalesce(city, 'Unknown') AS store_city, "
               "coalesce(province, 'Unknown') AS store_province, transaction_value, quantity_item, transaction_id "
@@ -472,7 +496,7 @@ O["store_top_bottom15"] = q(sel(
                          "quantity_item, transaction_id FROM curated)"))
 
 O["city_performance"] = q(sel(
-    "province, city, gmv*, units*, orders, aov*, items_per_order*, gmv_share_pct*",
+    "province, city, gmv*, units*, orders, aov*, items_per_order*, gmv_share_pct*, row_rank",
     _perf_sql("province, city",
               "(SELECT coalesce(province, 'Unknown') AS province, coalesce(city, 'Unknown') AS city, "
               "transaction_value, quantity_item, transaction_id FROM curated)")))
@@ -608,26 +632,35 @@ ROLLUP = f"""tx AS (SELECT transaction_id, {zs('transaction_value')} AS transact
       var_samp(CASE WHEN promo_flag THEN transaction_value END) AS var1
     FROM tx WHERE transaction_value IS NOT NULL AND promo_flag IS NOT NULL)"""
 O["transaction_rollup"] = q(sel("transaction_id, transaction_value*, quantity_item*, promo_flag", "tx"), ROLLUP)
+def t_tail(t: str, dof: str) -> str:
+    """Two-sided p of Student's t by Simpson's rule on the density."""
+    n, h = 24000, 0.0025
+    f = f"exp(-({dof} + 1) / 2.0 * ln(1.0 + pow(abs({t}) + i * {h}, 2) / {dof}))"
+    return f"""(SELECT least(1.0, 2.0 * exp(lgamma(({dof} + 1) / 2.0) - lgamma({dof} / 2.0)) / sqrt({dof} * pi()) * {h} / 3.0
+        * sum(CASE WHEN i = 0 OR i = {n} THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END * {f})) FROM range({n + 1}) r(i))"""
+
+
 O["promo_regression"] = q(sel(
-    "term, coef*, std_err*, t*",
-    """(SELECT term, coef, std_err, CASE WHEN std_err <> 0 THEN coef / std_err END AS t FROM (
-      SELECT 'Intercept' AS term, CASE WHEN n0 > 0 AND n1 > 0 THEN mean0 ELSE coalesce(mean0, mean1) END AS coef,
+    "term, coef*, std_err*, t*, p_value*",
+    f"""(SELECT term, coef, std_err, t, {t_tail('t', 'dof')} AS p_value FROM (
+      SELECT term, coef, std_err, dof, CASE WHEN std_err <> 0 THEN coef / std_err END AS t FROM (
+      SELECT n0 + n1 - 2 AS dof, 'Intercept' AS term, CASE WHEN n0 > 0 AND n1 > 0 THEN mean0 ELSE coalesce(mean0, mean1) END AS coef,
         CASE WHEN n0 > 0 AND n1 > 0 THEN sqrt(s2 / n0) ELSE sqrt(s2 / (n0 + n1)) END AS std_err FROM m2
       UNION ALL
-      SELECT 'Promo_Flag', CASE WHEN n0 > 0 AND n1 > 0 THEN mean1 - mean0 END,
-        CASE WHEN n0 > 0 AND n1 > 0 THEN sqrt(s2 * (1.0 / n0 + 1.0 / n1)) END FROM m2))"""),
+      SELECT n0 + n1 - 2, 'Promo_Flag', CASE WHEN n0 > 0 AND n1 > 0 THEN mean1 - mean0 END,
+        CASE WHEN n0 > 0 AND n1 > 0 THEN sqrt(s2 * (1.0 / n0 + 1.0 / n1)) END FROM m2)))"""),
     ROLLUP, """m2 AS (SELECT *, (coalesce(var0, 0.0) * (n0 - 1) + coalesce(var1, 0.0) * (n1 - 1)) / (n0 + n1 - 2) AS s2
       FROM mom WHERE n0 + n1 - 2 > 0)""")
 O["ab_test_promo"] = q(sel(
-    "promo_mean*, nonpromo_mean*, lift*, t_stat*, dof*",
-    """(SELECT mean1 AS promo_mean, mean0 AS nonpromo_mean,
+    "promo_mean*, nonpromo_mean*, lift*, t_stat*, dof*, p_value*",
+    f"""(SELECT *, {t_tail('t_stat', 'dof')} AS p_value FROM (SELECT mean1 AS promo_mean, mean0 AS nonpromo_mean,
         CASE WHEN n0 > 0 AND n1 > 0 THEN mean1 - mean0 END AS lift,
         CASE WHEN n0 > 0 AND n1 > 0 AND var1 / n1 + var0 / n0 <> 0
              THEN (mean1 - mean0) / sqrt(var1 / n1 + var0 / n0) END AS t_stat,
         CASE WHEN n0 > 0 AND n1 > 0
              THEN (var1 / n1 + var0 / n0) * (var1 / n1 + var0 / n0)
                   / ((var1 / n1) * (var1 / n1) / (n1 - 1) + (var0 / n0) * (var0 / n0) / (n0 - 1)) END AS dof
-      FROM mom)"""), ROLLUP)
+      FROM mom))"""), ROLLUP)
 
 QUART = quantiles_cte("qu", "ccv", "unit_price", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
 O["unit_price_quartiles"] = q(sel("q25*, q50*, q75*", "qu"), F1, CCV, QUART)
@@ -679,11 +712,12 @@ _QCOLS = [("transaction_id", "object"), ("contact_id", "object"), ("promotion_id
 _qparts = []
 for _c, _t in _QCOLS:
     _z = f"count_if({_c} = 0)" if _t == "float64" else "CAST(NULL AS BIGINT)"
-    _qparts.append(f"""SELECT '{_c}' AS "column", '{_t}' AS dtype, count_if({_c} IS NULL) AS missing_count,
+    _qparts.append(f"""SELECT {len(_qparts)} AS _i, '{_c}' AS "column", '{_t}' AS dtype, count_if({_c} IS NULL) AS missing_count,
         round_even(count_if({_c} IS NULL) / count(*) * 100.0, 2) AS missing_pct, {_z} AS zero_count,
         count(DISTINCT {_c}) AS unique_values FROM f1 HAVING count(*) > 0""")
-O["data_quality"] = q(sel('"column", dtype, missing_count, missing_pct*, zero_count, unique_values',
-                          "(" + " UNION ALL ".join(_qparts) + ")"), F1)
+_RANKED = "(SELECT *, row_number() OVER (ORDER BY missing_pct DESC, _i) AS row_rank FROM ({}))"
+_DQ_SPEC = '"column", dtype, missing_count, missing_pct*, zero_count, unique_values, row_rank'
+O["data_quality"] = q(sel(_DQ_SPEC, _RANKED.format(" UNION ALL ".join(_qparts))), F1)
 
 _TYPES = {"double": "float64", "date": "datetime64[ns]", "boolean": "bool", "int": "int32"}
 _aparts = []
@@ -696,11 +730,10 @@ for _c in [x.strip() for x in CURATED_COLS.split(",")]:
         _z = f"count_if(NOT {_c})"
     else:
         _z = "CAST(NULL AS BIGINT)"
-    _aparts.append(f"""SELECT '{_c}' AS "column", '{_t}' AS dtype, count_if({_c} IS NULL) AS missing_count,
+    _aparts.append(f"""SELECT {len(_aparts)} AS _i, '{_c}' AS "column", '{_t}' AS dtype, count_if({_c} IS NULL) AS missing_count,
         round_even(count_if({_c} IS NULL) / count(*) * 100.0, 2) AS missing_pct, {_z} AS zero_count,
         count(DISTINCT {_c}) AS unique_values FROM curated HAVING count(*) > 0""")
-O["data_quality_all"] = q(sel('"column", dtype, missing_count, missing_pct*, zero_count, unique_values',
-                              "(" + " UNION ALL ".join(_aparts) + ")"))
+O["data_quality_all"] = q(sel(_DQ_SPEC, _RANKED.format(" UNION ALL ".join(_aparts))))
 
 _FILTER = ("f2 AS (SELECT * FROM f1 WHERE year IN (1996, 1997) AND quarter IN (1, 2, 4) "
            "AND days_since_epoch BETWEEN 9500 AND 10100 AND city IN ('Calgary', 'Edmonton', 'Online', 'Leduc'))")
@@ -717,8 +750,8 @@ O["store_lookup"] = q(sel(
     "store_key, new_id, new_name, new_city, latitude*, longitude*, postal",
     f"(SELECT skey AS store_key, new_id, new_name, new_city, lat AS latitude, lon AS longitude, "
     f"{_postal('new_id')} AS postal FROM store_lookup)"))
-O["store_opening_trend"] = q("""SELECT CAST(year(d) AS INTEGER) AS year, count(*) AS openings FROM
-    (SELECT TRY_CAST(OPEN_DATE AS DATE) AS d FROM raw_store) WHERE d IS NOT NULL GROUP BY 1""")
+O["store_opening_trend"] = q("""SELECT CAST(year(d) AS INTEGER) AS year, count(*) AS openings, row_number() OVER (ORDER BY year(d)) AS row_rank FROM
+    (SELECT TRY_CAST(OPEN_DATE AS DATE) AS d FROM raw_store) WHERE d IS NOT NULL GROUP BY year(d)""")
 O["web_account_share"] = q(sel("has_web_account, contacts, share*", """(SELECT has_web_account, contacts,
     contacts / sum(contacts) OVER () AS share FROM (SELECT upper(coalesce(Has_Web_Account, 'nan')) AS has_web_account,
     count(*) AS contacts FROM raw_contact GROUP BY 1))"""))
@@ -727,6 +760,25 @@ O["promotion_timeline"] = q("""SELECT CAST(m AS DATE) AS month, count(DISTINCT P
       SELECT PROMO_ID, CAST(date_trunc('month', TRY_CAST(START_DATE AS DATE)) AS DATE) AS s,
              CAST(date_trunc('month', coalesce(TRY_CAST(END_DATE AS DATE), DATE '2000-01-01')) AS DATE) AS e
       FROM raw_promo) WHERE s IS NOT NULL AND s <= e) GROUP BY 1""")
-O["cohort_retention_matrix"] = q(
-    "PIVOT (SELECT cohort_month, CAST(cohort_index AS VARCHAR) AS cohort_index, retention FROM ret) "
-    "ON cohort_index USING first(retention) GROUP BY cohort_month", COHORT)
+O["cohort_retention_matrix"] = q("SELECT cohort_month, " + ", ".join(
+    f"max(CASE WHEN cohort_index = {i} THEN {R('retention')} END) AS \"{i}\"" for i in range(1, 85)) + " FROM ret GROUP BY 1", COHORT)
+O["curated_from_month_files"] = O["curated_sales"]
+O["filtered_lines"] = q(sel("transaction_id, item_id, month, category, store_name, quantity_item*", """(SELECT * FROM f1
+    WHERE month IN (1, 2, 3, 7, 11)
+      AND category IN ('ECONOMY ANODIZED STEEL', 'STANDARD POLISHED TIN', 'PROMO BURNISHED COPPER', 'SMALL PLATED BRASS')
+      AND store_name IN ('AB Store 001 - Calgary', 'AB Store 002 - Edmonton', 'AB Store 003 - Red Deer', 'Alberta Online Store 01'))"""), F1)
+O["filtered_items"] = q(sel("item_id, year, month, units*, lines", f"""(SELECT item_id, year, month, {zs('quantity_item')} AS units, count(*) AS lines
+    FROM f1 WHERE item_id IN (SELECT 'ITEM' || upper(sha1(CAST(i AS VARCHAR))) FROM (VALUES (1), (5), (17), (42), (99), (150)) t(i)) GROUP BY 1, 2, 3)"""), F1)
+_STEPS = [("year", "year IN (1996, 1997)"), ("quarter", "quarter IN (1, 2, 4)"), ("month", None), ("days", "days_since_epoch BETWEEN 9500 AND 10100"),
+          ("category", None), ("item_id", None), ("city", "city IN ('Calgary', 'Edmonton', 'Online', 'Leduc')"), ("store_name", None)]
+_facets, _passed = [], "TRUE"
+for _c, _w in _STEPS:
+    if _c == "days":
+        _facets += [f"SELECT '{_n}' AS facet, NULL AS value, min(days_since_epoch) AS low, max(days_since_epoch) AS high FROM f1 WHERE {_p}"
+                    for _n, _p in (("day_bounds", "TRUE"), ("day_default", _passed))]
+    else:
+        _v = short(_c) if _c in PREFIXES else f"CAST({_c} AS VARCHAR)"
+        _facets.append(f"SELECT '{_c}', {_v}, NULL, NULL FROM (SELECT DISTINCT {_c} FROM f1 WHERE {_passed} AND {_c} IS NOT NULL)")
+    _passed += f" AND {_w}" if _w else ""
+_facets.sort(key=lambda x: "AS facet" not in x)
+O["sidebar_facets"] = q(" UNION ALL ".join(_facets), F1)

@@ -1,7 +1,7 @@
 """Join strategies: the salted path equals the plain left join."""
 from pyspark.sql import functions as F
 
-from kassa.operators.joins import left_join_skew_safe, size_bound_ok
+from kassa.operators.joins import hot_keys, left_join_skew_safe, measured_bytes, size_bound_ok
 
 
 def _fact_dim(spark):
@@ -14,13 +14,13 @@ def _fact_dim(spark):
 
 
 def _rows(df):
-    return sorted((r["v"], r["label"]) for r in df.collect())
+    return sorted(((r["v"], r["label"]) for r in df.collect()), key=repr)
 
 
 def test_salted_equals_plain(spark):
     fact, dim = _fact_dim(spark)
     plain = fact.join(dim, fact.k == dim.dk, "left")
-    salted = left_join_skew_safe(fact, dim, "k", "dk", broadcast_max_bytes=0, buckets=8)
+    salted = left_join_skew_safe(fact, dim, "k", "dk", broadcast_max_bytes=-1, buckets=8)
     broad = left_join_skew_safe(fact, dim, "k", "dk")
     assert _rows(salted) == _rows(plain) == _rows(broad)
     assert salted.count() == plain.count() == 2 * 1000 + 2000 + 40  # '' rows fan out x2, key '7' x2
@@ -28,7 +28,7 @@ def test_salted_equals_plain(spark):
 
 def test_same_name_key_kept_once(spark):
     fact, dim = _fact_dim(spark)
-    out = left_join_skew_safe(fact, dim.withColumnRenamed("dk", "k"), "k", "k", broadcast_max_bytes=0)
+    out = left_join_skew_safe(fact, dim.withColumnRenamed("dk", "k"), "k", "k", broadcast_max_bytes=-1)
     assert out.columns.count("k") == 1
 
 
@@ -38,6 +38,24 @@ def test_size_bound(spark):
     assert not size_bound_ok(df, 1000)
 
 
+def test_long_texts_are_measured(spark):
+    """A hundred rows of a megabyte each are no small side, whatever the row count says."""
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1_000_000).alias("t"))
+    assert measured_bytes(df) > 100_000_000
+    assert not size_bound_ok(df)
+
+
+def test_hot_keys_are_counted(spark):
+    fact = spark.range(2000).select(F.when(F.col("id") % 4 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
+    assert hot_keys(fact, ["k"]) == {"k": ["hot"]}
+    dim = spark.createDataFrame([("hot", "a"), ("hot", "b"), ("5", "c")], "dk string, label string")
+    salted = left_join_skew_safe(fact, dim, "k", "dk", broadcast_max_bytes=-1, buckets=8)
+    plain = fact.join(dim, fact.k == dim.dk, "left")
+    assert _rows(salted) == _rows(plain)
+    plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "hot" in plan and "__salt" in plan
+
+
 def test_curation_identical_on_salted_path(spark, monkeypatch):
     """Force every dimension join onto the salted sort-merge path (the 100 TB
     plan) and compare the curated table with the broadcast plan."""
@@ -54,7 +72,7 @@ def test_curation_identical_on_salted_path(spark, monkeypatch):
     def rows(df):
         return sorted(map(tuple, df.drop("_seq").collect()), key=repr)
     broadcast = rows(curate(t.sales, t.dims()))
-    monkeypatch.setattr(J, "DEFAULT_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(J, "DEFAULT_BROADCAST_BYTES", -1)
     salted_df = curate(t.sales, t.dims())
     plan = salted_df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("__dsalt") >= 4  # contact, item, promotion, store joins all salted

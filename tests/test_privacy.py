@@ -1,9 +1,10 @@
 """A1-A5 pseudonymisation and store masking (Q3, Q9-Q12)."""
 import hashlib
+import os
 
 from pyspark.sql import functions as F
 
-from kassa.functions.privacy import hashed_postal, hashed_token, pseudonymise
+from kassa.functions.privacy import display_id, hashed_postal, hashed_token, pseudonymise
 from kassa.operators.privacy import apply_store_masking, build_store_lookup
 
 
@@ -20,10 +21,10 @@ def test_hash_tokens(spark):
     df = spark.createDataFrame([("nan",), (" 42 ",), ("",), (None,)], "v string")
     rows = df.select(hashed_token(F.coalesce("v", F.lit("x")), "CUST").alias("h"),
                      pseudonymise("v", "CUST").alias("p"), hashed_postal(F.col("v")).alias("z")).collect()
-    assert rows[0]["h"] == "CUST11E623A3"
-    assert rows[1]["p"] == "CUST" + hashlib.sha1(b"42").hexdigest()[:8].upper()
+    assert rows[0]["h"] == "CUST" + hashlib.sha1(b"nan").hexdigest().upper()
+    assert rows[1]["p"] == "CUST" + hashlib.sha1(b"42").hexdigest().upper()
     assert rows[2]["p"] == ""
-    assert rows[3]["p"] == "CUST11E623A3"  # null is hashed as 'nan'
+    assert rows[3]["p"] == rows[0]["h"]  # null is hashed as 'nan'
     assert rows[1]["z"] == _postal_spec(" 42 ")
     assert rows[2]["z"] == ""
 
@@ -62,14 +63,27 @@ def test_store_masking_fallbacks(spark):
     rows = apply_store_masking(fact, lookup).collect()
     assert rows[0]["STORE_ID"] == "AB001" and rows[0]["Store_Of_Creation"] == "AB002"
     assert rows[0]["PostalCode"] == _postal_spec("nan")
-    unmatched = "ABSTORE" + hashlib.sha1(b"Store").hexdigest()[:8].upper()
+    unmatched = "ABSTORE" + hashlib.sha1(b"Store").hexdigest().upper()
     assert rows[1]["STORE_ID"] == "" and rows[1]["LIBELLE_y"] == unmatched and rows[1]["CITY"] == ""
-    assert rows[1]["Store_Of_Creation"] == "ST" + hashlib.sha1(b"99").hexdigest()[:8].upper()
+    assert rows[1]["Store_Of_Creation"] == "ST" + hashlib.sha1(b"99").hexdigest().upper()
     assert rows[1]["PROVINCE"] == "AB" and rows[1]["COUNTRY"] == "CAN"
     assert rows[2]["Store_Of_Creation"] == "" and rows[2]["PostalCode"] == ""
 
 
-def test_hash_length(spark):
-    df = spark.createDataFrame([("42",)], "v string")
-    r = df.select(pseudonymise("v", "TRX", 16).alias("p")).first()
-    assert r["p"] == "TRX" + hashlib.sha1(b"42").hexdigest()[:16].upper()
+def test_short_forms(spark):
+    df = spark.createDataFrame([("42",), ("",), (None,)], "v string")
+    rows = df.select(display_id(pseudonymise("v", "CUST"), "CUST").alias("s"), display_id(F.lit("Unspecified promo"), "OFFER").alias("o")).collect()
+    assert [r["s"] for r in rows] == ["CUST" + hashlib.sha1(b"42").hexdigest()[:8].upper(), "", "CUST11E623A3"]
+    assert rows[0]["o"] == "Unspecified promo"
+
+
+def test_identifiers_stay_distinct(spark):
+    """As many pseudonyms as order keys at sf0.1, where short forms collide."""
+    path = "/root/testdata/sf0.1/orders.parquet"
+    if not os.path.exists(path):
+        return
+    ids = spark.read.parquet(path).select(F.col("o_orderkey").cast("string").alias("k")).distinct()
+    whole = ids.select(pseudonymise("k", "TRX").alias("p"))
+    n = ids.count()
+    assert whole.distinct().count() == n
+    assert whole.select(display_id("p", "TRX")).distinct().count() < n

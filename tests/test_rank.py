@@ -43,27 +43,37 @@ def test_exact_quantiles(spark):
     assert np.allclose([row[c] for c in row.__fields__], expect, rtol=0, atol=1e-12)
 
 
-@pytest.mark.parametrize("small_bytes", [0, 1 << 30])  # distributed path, single-task path
-def test_global_order_running_sum(spark, small_bytes):
+def test_global_order_running_sum(spark):
     df = spark.range(200).select((F.col("id") * 37 % 200).alias("k"), (F.col("id") % 7).cast("double").alias("v"))
     out = global_order(df, [F.col("k").asc()], rank_col="r", running={"cum": F.col("v")}, partitions=6,
-                       total_col="n", single_task_max_bytes=small_bytes).toPandas()
+                       total_col="n", grand={"all": "cum"}).toPandas()
     out = out.sort_values("k")
     assert list(out["r"]) == list(range(1, 201))
     assert np.allclose(out["cum"].values, out["v"].cumsum().values)
-    assert set(out["n"]) == {200}
+    assert set(out["n"]) == {200} and set(out["all"]) == {out["v"].sum()}
 
 
-@pytest.mark.parametrize("n", [0, 1, 7, 101])
-def test_score_paths_agree(spark, n, monkeypatch):
-    import kassa.operators.rank as rk
-    rng = np.random.default_rng(n + 1)
-    rows = [(f"c{i:03d}", float(v)) for i, v in enumerate(rng.integers(0, 5, size=n))]
-    df = spark.createDataFrame(rows, "k string, v double")
-    big = sorted(map(tuple, quantile_rank_score(df.repartition(4), "v", "k", "s").collect()))
-    monkeypatch.setattr(rk.global_order, "__defaults__", rk.global_order.__defaults__[:-1] + (1 << 30,))
-    small = sorted(map(tuple, quantile_rank_score(df, "v", "k", "s").collect()))
-    assert small == big
+def test_quantiles_of_ties(spark):
+    """Nine tenths of the rows share one value."""
+    vals = [1.0] * 900 + [float(v) for v in range(100)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(7)
+    row = exact_quantiles(df, "x", [0.0, 0.2, 0.5, 0.91, 1.0]).first()
+    assert list(row) == pytest.approx(list(np.quantile(vals, [0.0, 0.2, 0.5, 0.91, 1.0])), abs=1e-12)
+
+
+def test_tied_customers_share_the_work(spark):
+    """90 % of the customers have one frequency: the ordering splits them by key."""
+    from kassa.operators.rank import global_order
+    n = 4000
+    df = spark.range(n).select(F.concat(F.lit("c"), F.sha1(F.col("id").cast("string"))).alias("k"), F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(1)).alias("v"))
+    ordered = global_order(df, [F.col("v").asc(), F.col("k").asc()], partitions=8)
+    sizes = [r["count"] for r in ordered.withColumn("p", F.floor((F.col("_rank") - 1) * 8 / n)).groupBy("p").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= n / 8 + 1
+    placed = df.repartitionByRange(8, "v", "k").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in placed) < 2.5 * n / 8
+    scored = {r["k"]: r["s"] for r in quantile_rank_score(df, "v", "k", "s").collect()}
+    rows = {r["k"]: float(r["v"]) for r in df.collect()}
+    assert scored == _brute_score(list(rows.values()), list(rows), False)
 
 
 def test_approx_quantiles_close(spark):

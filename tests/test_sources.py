@@ -63,12 +63,12 @@ def test_load_and_curate(spark, root):
     cur = p.run()
     rows = {(r["transaction_id"], r["item_id"]): r for r in cur.collect()}
     assert len(rows) == 5  # the bad date is dropped
-    tx1 = "TRX" + hashlib.sha1(b"T1").hexdigest()[:8].upper()
-    r = rows[(tx1, "ITEM" + hashlib.sha1(b"I1").hexdigest()[:8].upper())]
+    tx1 = "TRX" + hashlib.sha1(b"T1").hexdigest().upper()
+    r = rows[(tx1, "ITEM" + hashlib.sha1(b"I1").hexdigest().upper())]
     assert r["store_id"] == "AB001" and r["city"] == "Calgary" and r["promo_flag"] is True
     assert r["line_sales_value"] == 16.0 and r["category"] == "Shoes" and r["has_web_account"] is True
     assert r["store_of_creation"] == "ABWEB01"  # S2 is the online store
-    tx3 = "TRX" + hashlib.sha1(b"T3").hexdigest()[:8].upper()
+    tx3 = "TRX" + hashlib.sha1(b"T3").hexdigest().upper()
     r3 = [v for k, v in rows.items() if k[0] == tx3][0]
     assert r3["unit_original_price"] == 1000.5 and r3["promo_flag"] is False and r3["year_of_birth"] is None
     r5 = [v for v in rows.values() if v["year"] == 2024][0]
@@ -100,6 +100,12 @@ def test_streaming_ingestion(spark, root):
     q2 = start_month_ingestion(spark, root, out, checkpoint_location=ck)
     q2.awaitTermination(120)
     assert spark.read.parquet(out).count() == 5
+    # a batch that runs again (its checkpoint was lost after the write) overwrites its own rows
+    q2 = start_month_ingestion(spark, root, out, checkpoint_location=tempfile.mkdtemp(prefix="kassa-ck-", dir="/tmp"))
+    q2.awaitTermination(120)
+    assert spark.read.parquet(out).count() == 5
+    from kassa.operators.kpi import compute_highlights
+    assert compute_highlights(spark.read.parquet(out)).first()["total_orders"] == 4
     _w(f"{root}/2024/Base_sales_202402.csv", head + "T9,C1,I1,,S1,20240203,10,10,20,2\nT9,C1,I2,,S1,20240203,5,5,20,1\n")
     q3 = start_month_ingestion(spark, root, out, checkpoint_location=ck)
     q3.awaitTermination(120)
@@ -141,3 +147,53 @@ def test_cli_curate(spark, root):
                         "--months", "202301", "202302", "--master", "local[2]", "--size-partitions"],
                        cwd=repo, capture_output=True, text=True, timeout=600)
     assert '"rows": 4' in r.stdout, r.stderr[-2000:]  # 3 (one bad date dropped) + 1
+
+
+def test_csv_dialect(spark, tmp_path):
+    """Doubled quotes, commas and line breaks inside quotes, and missing tokens."""
+    from kassa.sources.files import read_sales_files
+    _w(f"{tmp_path}/2023/Base_sales_202301.csv", 'Transaction_ID,Remark,Label\nT1,"Shoe ""XL"", red",NA\nT2,"line 1\nline 2",None\nT3,plain \\ text,n/a x\n')
+    _w(f"{tmp_path}/2023/Base_sales_202302.csv", "Label,Transaction_ID\nnull,T4\nkept,T5\n")
+    _w(f"{tmp_path}/2024/Base_sales_202301.csv", "Transaction_ID,Remark,Label\nT6,,#N/A\n")
+    paths = [f"{tmp_path}/2024/Base_sales_202301.csv", f"{tmp_path}/2023/Base_sales_202302.csv", f"{tmp_path}/2023/Base_sales_202301.csv"]
+    df = read_sales_files(spark, paths)
+    rows = [(r["Transaction_ID"], r["Remark"], r["Label"]) for r in df.orderBy("_seq").collect()]
+    assert rows == [("T1", 'Shoe "XL", red', None), ("T2", "line 1\nline 2", None), ("T3", "plain \\ text", "n/a x"), ("T4", None, None),
+                    ("T5", None, "kept"), ("T6", None, None)]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2  # one scan for each header
+
+
+def test_shared_folder_is_required_off_local(monkeypatch):
+    """Without spark.checkpoint.dir only a local master gets a scratch folder."""
+    from types import SimpleNamespace
+
+    from kassa import session
+
+    def fake(master):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda p: None,
+                             getConf=lambda: SimpleNamespace(get=lambda k, d=None: d))
+        return SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError):
+            session.checkpoint_dir(fake(master))
+    assert session.checkpoint_dir(fake("local[4]"))
+
+
+def test_release_removes_own_tables(spark):
+    from kassa.operators.common import stored
+    from kassa.session import _STORED, new_path
+    kept = list(_STORED)
+    df = stored(spark.range(3).toDF("x"), "gone")
+    path = _STORED[-1][1]
+    assert df.count() == 3
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert fs.exists(target)
+    from kassa import session
+    mine = session._STORED[:]
+    session._STORED[:] = [mine[-1]]
+    assert session.release(spark) == 1 and not fs.exists(target)
+    session._STORED[:] = kept
+    assert new_path(spark, "x").startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
