@@ -36,15 +36,16 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
 
 
 def top_k_per_group(df: DataFrame, k: int, group: Sequence[str], order: Sequence[Column],
-                    rank_col: str | None = None, salt_buckets: int = 16) -> DataFrame:
+                    rank_col: str | None = None, salt_buckets: int | None = None) -> DataFrame:
     """First k rows of each group in ``order`` (exact).
 
     Two stages so that one hot group never lands whole in one task: rows are
-    spread over ``salt_buckets`` sub-groups by a hash of all columns, each
-    sub-group keeps its own top k, then the k * salt_buckets survivors per
+    spread over ``salt_buckets`` sub-groups (by default as many as there are
+    shuffle partitions) by a hash of all columns, each sub-group keeps its own top k, then the k * salt_buckets survivors per
     group are ranked again. The global top k of a group is always among the
     sub-group winners.
     """
+    salt_buckets = salt_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
     staged = df.withColumn("_salt", salt)
     w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
