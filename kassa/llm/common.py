@@ -4,7 +4,6 @@ column names, and byte-level access to Arrow string columns."""
 from __future__ import annotations
 
 import pickle
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kassa.session import checkpoint_dir
+from kassa.session import new_path
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +23,10 @@ def stash(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table of its own in the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, and a result used
-    several times is computed once.
+    several times is computed once. ``kassa.session.release`` removes it.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/stash-{uuid.uuid4().hex}"
+    path = new_path(spark, "stash")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
