@@ -25,6 +25,7 @@ path (longest label first; a step back where the table has no arc). Distinct wor
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from bisect import bisect_right
 
@@ -39,7 +40,9 @@ from kassa.llm.common import share, shared, whole
 # --- fixed value: the split pattern of byte-level BPE vocabularies ------------
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-CACHE_WORDS, CACHE_CELLS = 200_000, 500_000
+# the same for ASCII texts, which the standard library's engine splits faster
+SPLIT_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+"
+CACHE_WORDS, CACHE_CELLS = 150_000, 500_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -87,6 +90,7 @@ class Automaton:
         self._number_states()
         self.table: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _gadget(self, i: int, u: int, v: int, w: int) -> None:
         p, r = self.after[u], self.after[v]
@@ -202,7 +206,7 @@ class Automaton:
 
     def encode(self, text: str, split) -> bytes:
         """Ids of a whole text as 32-bit numbers; the vocabulary's added tokens are cut out first."""
-        words, out = self.words, []
+        words, older, out = self.words, self.older, []
         for piece in self._pieces(text):
             if isinstance(piece, int):
                 out.append(array("i", (piece,)).tobytes())
@@ -215,7 +219,7 @@ class Automaton:
                         w = found[k]
                         x = words.get(w)
                         if x is None:
-                            x = words[w] = array("i", self.encode_bytes(w.encode("utf-8"))).tobytes()
+                            x = words[w] = older.get(w) or array("i", self.encode_bytes(w.encode("utf-8"))).tobytes()
                         got[k] = x
             out.append(b"".join(got))
         return b"".join(out)
@@ -237,9 +241,9 @@ class Automaton:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", errors="replace")
 
     def trim(self) -> None:
-        """Keeps the caches bounded; both refill."""
+        """Keeps the caches bounded: words not met since the last time are forgotten."""
         if len(self.words) > CACHE_WORDS:
-            self.words.clear()
+            self.words, self.older = {}, self.words
         if len(self.table) > CACHE_CELLS:
             self.table.clear()
 
@@ -263,6 +267,12 @@ def load_automaton(path: str) -> Automaton:
     return auto
 
 
+def splitter():
+    """Function text -> words of the split pattern."""
+    ascii_words, words = re.compile(SPLIT_ASCII).findall, regex.compile(SPLIT).findall
+    return lambda text: ascii_words(text) if text.isascii() else words(text)
+
+
 class Codec:
     """Spark columns that encode and decode with one compiled automaton.
 
@@ -276,7 +286,7 @@ class Codec:
         @F.arrow_udf(ArrayType(IntegerType(), False))
         def encode(texts: pa.Array) -> pa.Array:
             auto = shared(held)
-            split = regex.compile(SPLIT).findall
+            split = splitter()
             out, at = [], [0]
             for t in texts:
                 ids = auto.encode(t.as_py() or "", split)
