@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kassa.llm.bpe import decode_documents, encode_documents
+from kassa.llm.bpe import round_trip_documents
 from kassa.llm.common import fresh, read_table, stash, whole
 from kassa.llm.decontaminate import clean_documents
 from kassa.llm.line_dedup import drop_shared_lines
@@ -45,8 +45,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, token_ids, round_trip``: ids of each whole text, and whether they decode to it."""
-    ids = encode_documents(docs.select("doc_id", whole("text").alias("text")), tokenizer_path())
-    out = decode_documents(ids, tokenizer_path())
+    out = round_trip_documents(docs.select("doc_id", whole("text").alias("text")), tokenizer_path())
     return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 

@@ -33,9 +33,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from kassa.llm.common import share, shared, whole
+from kassa.llm.common import fresh, share, shared, whole
 
 # --- fixed value: the split pattern of byte-level BPE vocabularies ------------
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -283,10 +283,8 @@ class Codec:
     def __init__(self, spark: SparkSession, path: str):
         held = share(spark, load_automaton(path))
 
-        @F.arrow_udf(ArrayType(IntegerType(), False))
-        def encode(texts: pa.Array) -> pa.Array:
-            auto = shared(held)
-            split = splitter()
+        def encoded(texts: pa.Array) -> pa.Array:
+            auto, split = shared(held), splitter()
             out, at = [], [0]
             for t in texts:
                 ids = auto.encode(t.as_py() or "", split)
@@ -296,15 +294,27 @@ class Codec:
             flat = pa.Array.from_buffers(pa.int32(), at[-1], [None, pa.py_buffer(b"".join(out))])
             return pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat)
 
-        @F.arrow_udf(StringType())
-        def decode(lists: pa.Array) -> pa.Array:
+        def decoded(lists: pa.Array) -> pa.Array:
             auto = shared(held)
             lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             ends = lengths.cumsum().tolist()
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             return pa.array([auto.decode(flat[b - n:b].tolist()) for b, n in zip(ends, lengths.tolist(), strict=True)], pa.string())
 
-        self._encode, self._decode = encode, decode
+        @F.arrow_udf(ArrayType(IntegerType(), False))
+        def encode(texts: pa.Array) -> pa.Array:
+            return encoded(texts)
+
+        @F.arrow_udf(StringType())
+        def decode(lists: pa.Array) -> pa.Array:
+            return decoded(lists)
+
+        @F.arrow_udf(StructType([StructField("ids", ArrayType(IntegerType(), False)), StructField("text", StringType())]))
+        def round_trip(texts: pa.Array) -> pa.Array:
+            ids = encoded(texts)
+            return pa.StructArray.from_arrays([ids, decoded(ids)], ["ids", "text"])
+
+        self._encode, self._decode, self._round_trip = encode, decode, round_trip
 
     def ids(self, text: str) -> Column:
         return self._encode(whole(text))
@@ -312,6 +322,10 @@ class Codec:
     def text(self, ids: str) -> Column:
         return self._decode(F.col(ids))
 
+    def round_trip(self, text: str) -> Column:
+        """struct(ids, text): a text's ids and what they decode to, in one worker that holds one automaton."""
+        return self._round_trip(whole(text))
+
 
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """``docs`` plus the ids of each whole text (array of int).
@@ -331,11 +345,20 @@ def decode_documents(docs: DataFrame, path: str, ids_col: str = "token_ids", tex
     return docs.withColumn(text_col, Codec(docs.sparkSession, path).text(ids_col))
 
 
+def round_trip_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids", decoded_col: str = "decoded") -> DataFrame:
+    """``docs`` plus the ids of each whole text and the text that they stand for."""
+    clash = [c for c in (ids_col, decoded_col) if c in docs.columns]
+    if clash:
+        raise ValueError(f"columns {clash} exist")
+    both = fresh(docs, "_both")
+    out = docs.withColumn(both, Codec(docs.sparkSession, path).round_trip(text_col))
+    return out.withColumns({ids_col: F.col(f"{both}.ids"), decoded_col: F.col(f"{both}.text")}).drop(both)
+
+
 def token_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
-    codec = Codec(docs.sparkSession, path)
-    src = docs.select(F.col(id_col).alias("doc_id"), codec.ids(text_col).alias("ids"))
-    both = src.select("doc_id", "ids", codec.text("ids").alias("decoded"))
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    both = round_trip_documents(src, path, "text", "ids", "decoded")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
