@@ -42,7 +42,7 @@ SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 # the same for ASCII texts, which the standard library's engine splits faster
 SPLIT_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+"
-CACHE_WORDS, CACHE_CELLS = 150_000, 500_000
+CACHE_WORDS, CACHE_CELLS = 75_000, 250_000
 
 
 def byte_alphabet() -> dict[str, int]:

@@ -92,7 +92,7 @@ def shared(held: Broadcast):
     return box["open"]
 
 
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -24,7 +24,7 @@ from kassa.llm.common import fresh, row_blocks, share, shared, stash, text_bytes
 
 WIDTH, STRIDE, EMBED, FILTERS = 16, 8, 8, 32
 PAD = 256
-SLICE = 8192
+SLICE = 4096
 BLOCK_BYTES = 1 << 20
 SAMPLE_ROWS, SAMPLE_BYTES = 2500, 65536
 EPOCHS, BATCH, RATE = 10, 32, 0.01

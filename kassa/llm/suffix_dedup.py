@@ -42,7 +42,7 @@ LENGTH = 100
 GRAM = 32
 CHUNK_BITS = 9
 GROUP = 8
-PIECE = 1 << 20
+PIECE = 1 << 19                     # a power of two
 PLACE_BITS = 28                     # a text has at most 2**28 bytes
 MOST_ID = 1 << (63 - PLACE_BITS)
 BROADCAST_BYTES = 64 << 20
