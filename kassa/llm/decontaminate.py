@@ -9,6 +9,9 @@ kept; so no occurrence within the edit budget is lost. A banded alignment then
 decides: an item is reported where its edit distance to a part of the document
 is at most k.
 
+Items of fewer than ``MIN_BYTES`` bytes have no budget: each is found where its
+folded bytes stand between word borders, in the same scan.
+
 Edits are counted in UTF-8 bytes; the case of Latin letters and the kind of white
 space do not count. The items are a stated
 query set: they are broadcast in blocks of ``BLOCK_BYTES``, one scan of the
@@ -29,11 +32,14 @@ from kassa.llm.common import fresh, row_blocks, share, shared, stash, text_bytes
 
 Q = 8
 EDIT_RATE = 0.08
-MIN_BYTES = 32          # shorter items are too common to be evidence
+MIN_BYTES = 32          # shorter items are found without edits and between word borders only
 BLOCK_BYTES = 4 << 20
 SCAN_BYTES = 2 << 20
 FILTER_BITS = 20
 
+# scripts without blanks between words (Thai to Myanmar, Khmer, Chinese, Japanese): every place is a border
+UNSPACED = ((0x0E00, 0x109F), (0x1780, 0x17FF), (0x2E80, 0xA4CF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+
 HIT_FIELDS = ("item_id", "start", "end", "edits")
 HIT = "array<struct<item_id:long,start:int,end:int,edits:int>>"
 
@@ -62,11 +68,80 @@ def slot(codes: np.ndarray) -> np.ndarray:
     return (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)
 
 
+def in_word(raw: bytes) -> bool:
+    """Whether the one character in ``raw`` can be inside a word."""
+    c = raw.decode("utf-8", "replace")[:1]
+    return c.isalnum() and not any(lo <= ord(c) <= hi for lo, hi in UNSPACED)
+
+
+def char_at(data: bytes, i: int) -> bytes:
+    """The character that starts at byte ``i``."""
+    j = i + 1
+    while j < len(data) and data[j] & 0xC0 == 0x80:
+        j += 1
+    return data[i:j]
+
+
+def char_before(data: bytes, i: int) -> bytes:
+    """The character that ends before byte ``i``."""
+    j = max(i - 1, 0)
+    while j > 0 and data[j] & 0xC0 == 0x80:
+        j -= 1
+    return data[j:i]
+
+
+class ShortItems:
+    """Items of fewer than ``MIN_BYTES`` bytes, found by equal bytes between word borders."""
+
+    def __init__(self, items: list[tuple[int | None, bytes]]):
+        self.ids: dict[bytes, list[int | None]] = {}
+        for i, b in items:
+            self.ids.setdefault(b, []).append(i)
+        # up to Q bytes at an item's start decide where it is compared: for each number of them codes, sieve, and the items' lengths by code
+        lengths: dict[int, dict[int, set[int]]] = {}
+        for b in self.ids:
+            lengths.setdefault(min(len(b), Q), {}).setdefault(int.from_bytes(b[:Q], "little"), set()).add(len(b))
+        self.heads = {}
+        for n, by_code in lengths.items():
+            code = np.array(sorted(by_code), np.uint64)
+            sieve = np.zeros(1 << FILTER_BITS, bool)
+            sieve[slot(code)] = True
+            self.heads[n] = code, sieve, [sorted(by_code[c]) for c in code.tolist()]
+
+    def find(self, part: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, list[int | None], int, int]]:
+        """(text, item ids, start, end) of every occurrence, those of one item by start."""
+        if not self.ids:
+            return
+        raw = part.tobytes()
+        for a, b in windows(len(part), SCAN_BYTES * 2, MIN_BYTES):
+            last = b if b == len(part) else b - MIN_BYTES      # later starts belong to the next window
+            codes = codes_at(np.concatenate([part[a:b], np.zeros(Q, np.uint8)]))[:last - a]
+            for n, (code, sieve, lengths) in self.heads.items():
+                own = codes if n == Q else codes & np.uint64((1 << 8 * n) - 1)
+                at = np.flatnonzero(sieve[slot(own)])
+                which = np.minimum(np.searchsorted(code, own[at]), len(code) - 1)
+                same = code[which] == own[at]
+                at, which = at[same], which[same]
+                doc = np.searchsorted(starts, at + a, "right") - 1
+                for s, k, d in zip((at + a).tolist(), which.tolist(), doc.tolist(), strict=True):
+                    lo, hi = int(starts[d]), int(starts[d + 1])
+                    for e in (s + m for m in lengths[k]):
+                        if e <= hi and (ids := self.ids.get(raw[s:e])) and self.apart(raw, s, e, lo, hi):
+                            yield d, ids, s - lo, e - lo
+
+    @staticmethod
+    def apart(raw: bytes, s: int, e: int, lo: int, hi: int) -> bool:
+        """Whether neither end of s..e lies inside a word of the text lo..hi."""
+        return not (s > lo and in_word(char_at(raw, s)) and in_word(char_before(raw, s))) and \
+            not (e < hi and in_word(char_before(raw, e)) and in_word(char_at(raw, e)))
+
+
 class ItemIndex:
     """Q-grams of a block of items: where each occurs, and each item's budget and bound."""
 
-    def __init__(self, items: list[tuple[int, str]], edit_rate: float = EDIT_RATE):
+    def __init__(self, items: list[tuple[int | None, str]], edit_rate: float = EDIT_RATE):
         held = [(i, folded(np.frombuffer(t.encode("utf-8"), np.uint8))) for i, t in items]
+        self.short = ShortItems([(i, t) for i, b in held if len(b) < MIN_BYTES and (t := b.tobytes().strip(b" "))])
         held = [(i, b) for i, b in held if len(b) >= MIN_BYTES]
         self.ids = [i for i, _ in held]
         self.texts = [b.tobytes() for _, b in held]
@@ -162,7 +237,7 @@ def occurrence(pattern: bytes, text: bytes, lo: int, hi: int, budget: int) -> tu
     return (a + end - length, a + end, edits) if back == edits else (a + max(0, end - len(pattern)), a + end, edits)
 
 
-def scan(index: ItemIndex, arr: pa.Array) -> Iterator[list[tuple[int, int, int, int]]]:
+def scan(index: ItemIndex, arr: pa.Array) -> Iterator[list[tuple[int | None, int, int, int]]]:
     """For each text the occurrences (item, start, end, edits), byte offsets in UTF-8."""
     data, offsets = text_bytes(arr)
     for lo, hi in row_blocks(offsets, SCAN_BYTES):
@@ -179,8 +254,15 @@ def scan(index: ItemIndex, arr: pa.Array) -> Iterator[list[tuple[int, int, int,
                 hit = occurrence(index.texts[i], text, first, first + 2 * int(index.budget[i]) + 2, int(index.budget[i]))
                 if hit:
                     found[d].append((int(i), base + hit[0], base + hit[1], hit[2]))
-        for hits in found:
-            yield [(index.ids[i], s, e, k) for i, s, e, k in apart(hits)]
+        brief: list[list] = [[] for _ in range(hi - lo)]
+        ends: dict[tuple, int] = {}
+        for d, ids, s, e in index.short.find(part, starts):
+            for i in ids:
+                if ends.get((d, i), 0) <= s:  # of overlapping occurrences of one item the first
+                    ends[d, i] = e
+                    brief[d].append((i, s, e, 0))
+        for hits, more in zip(found, brief, strict=True):
+            yield [(index.ids[i], s, e, k) for i, s, e, k in apart(hits)] + more
 
 
 def windows(n: int, size: int, overlap: int) -> Iterator[tuple[int, int]]:
@@ -204,10 +286,16 @@ def apart(hits: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, in
     return sorted(out, key=lambda h: (h[1], h[0]))
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of at most ``block_bytes`` (one item at least), one block on the driver at a time."""
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
+    """The items in blocks of at most ``block_bytes`` (one item at least), one block on the driver at a time.
+
+    An item without an id is left to an item with one that has the same text.
+    """
     block, size = [], 0
-    for r in benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("i"), whole(text_col).alias("t")).distinct().orderBy("i", "t").toLocalIterator():
+    items = benchmark.select(F.col(item_col).cast("long").alias("i"), whole(text_col).alias("t")).distinct()
+    named = items.where("i is not null")
+    items = named.union(items.where("i is null").join(named.select("t"), "t", "left_anti").select("i", "t"))
+    for r in items.orderBy("i", "t").toLocalIterator():
         n = len(r["t"].encode("utf-8"))
         if block and size + n > block_bytes:
             yield block
@@ -231,9 +319,11 @@ def mark_occurrences(docs: DataFrame, benchmark: DataFrame, text_col: str = "tex
     """``docs`` plus an array of the benchmark items found in each whole text.
 
     Elements are struct(item_id, start, end, edits) with byte offsets in the
-    UTF-8 text. Null and empty texts have none; items with a null id or of
-    fewer than 32 bytes are not looked for; repeated items are found once.
-    Rows, repeated ones too, and other columns stay.
+    UTF-8 text. Null and empty texts have none. Items of fewer than 32 bytes,
+    without white space at their ends, are found without edits and between
+    word borders. Items with a null id are found as well; where an item with
+    an id has the same text, only that one is reported. Repeated items are
+    found once. Rows, repeated ones too, and other columns stay.
     """
     if hits_col in docs.columns:
         raise ValueError(f"column {hits_col} exists")

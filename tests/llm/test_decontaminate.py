@@ -81,3 +81,20 @@ def test_empty_tables(spark, frame, items):
     assert D.contaminated(frame([(1, "text")]), none).count() == 0
     assert D.contaminated(frame([]), spark.createDataFrame(items, "item_id long, text string")).count() == 0
     assert D.clean_documents(frame([(1, "text")]), none).count() == 1
+
+
+def test_short_items_and_null_ids(spark, frame, monkeypatch):
+    monkeypatch.setattr(D, "SCAN_BYTES", 100)
+    bench = spark.createDataFrame([(1, "What is the capital of France?"), (2, " Paris\n"), (3, "7"), (4, "ha ha"), (5, "été"), (6, "首都"), (7, "  "), (None, "no id, short"),
+                                   (None, "an item without an id that is not short at all"), (None, "Paris"), (8, " Paris"), (9, "Paris")], "item_id long, text string")
+    rows = [(1, "so: what is the\nCAPITAL of france? paris."), (2, "what is the capital of francs? parish 77 sha ha"), (3, "7 is 7; ha ha ha ha, ha"), (4, "l'ÉTÉ, étés"),
+            (5, "日本の首都は東京"), (6, "x " * 90 + "Paris" + " x" * 90 + " paris"), (7, "no id, short"), (8, "an item without an id that is not short at all"), (9, "what is the capital"), (10, ""),
+            (11, "of France?"), (12, "comparison"), (13, "paris")]
+    got = D.contaminated(frame(rows, 1), bench).collect()
+    texts = dict(rows)
+    for r in got:
+        assert texts[r["doc_id"]].encode()[r["start"]:r["end"]].decode() == r["passage"] and r["edits"] == 0
+    paris = [(d, i) for d in (1, 6, 6, 13) for i in (2, 8, 9)]
+    want = [(1, 1), (3, 3), (3, 3), (3, 4), (3, 4), (4, 5), (5, 6), (7, None), (8, None), *paris]
+    assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=repr) == sorted(want, key=repr)
+    assert sorted(r["doc_id"] for r in D.clean_documents(frame(rows), bench).collect()) == [2, 9, 10, 11, 12]
