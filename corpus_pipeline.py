@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kassa.llm.bpe import round_trip_documents
 from kassa.llm.common import fresh, read_table, stash, whole
-from kassa.llm.decontaminate import clean_documents
+from kassa.llm.decontaminate import SEGMENT_WORDS, clean_documents
 from kassa.llm.line_dedup import drop_shared_lines
 from kassa.llm.near_dedup import drop_near_duplicates
 from kassa.llm.quality import fit_quality, keep_good
@@ -39,8 +39,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item occurs."""
-    return clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
+    """Documents in which no benchmark item and no passage of one occurs."""
+    return clean_documents(docs, read_table(spark, sf_dir, "benchmark"), segment_words=SEGMENT_WORDS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,11 @@ is at most k.
 Items of fewer than ``MIN_BYTES`` bytes have no budget: each is found where its
 folded bytes stand between word borders, in the same scan.
 
+With ``segment_words`` passages of an item are found too: every run of so many
+of its words is searched like an item, with its own budget and bound, and
+occurrences that overlap along the item become one region. A run's matches are
+counted in the item's own bands, so the items' q-grams are looked up once.
+
 Edits are counted in UTF-8 bytes; the case of Latin letters and the kind of white
 space do not count. The items are a stated
 query set: they are broadcast in blocks of ``BLOCK_BYTES``, one scan of the
@@ -20,6 +25,7 @@ documents for each block.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +39,7 @@ from kassa.llm.common import fresh, row_blocks, share, shared, stash, text_bytes
 Q = 8
 EDIT_RATE = 0.08
 MIN_BYTES = 32          # shorter items are found without edits and between word borders only
+SEGMENT_WORDS = 13
 BLOCK_BYTES = 4 << 20
 SCAN_BYTES = 2 << 20
 FILTER_BITS = 20
@@ -40,6 +47,9 @@ FILTER_BITS = 20
 # scripts without blanks between words (Thai to Myanmar, Khmer, Chinese, Japanese): every place is a border
 UNSPACED = ((0x0E00, 0x109F), (0x1780, 0x17FF), (0x2E80, 0xA4CF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
 
+SPACELESS = "".join(f"{chr(lo)}-{chr(hi)}" for lo, hi in UNSPACED)
+WORD = re.compile(f"[{SPACELESS}]|[^ {SPACELESS}]+")
+
 HIT_FIELDS = ("item_id", "start", "end", "edits")
 HIT = "array<struct<item_id:long,start:int,end:int,edits:int>>"
 
@@ -136,10 +146,25 @@ class ShortItems:
             not (e < hi and in_word(char_before(raw, e)) and in_word(char_at(raw, e)))
 
 
+def runs(item: bytes, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every run of ``words`` words of a folded item that has more.
+
+    In scripts without blanks each character is a word.
+    """
+    text = item.decode("utf-8", "replace")
+    at = [m.span() for m in WORD.finditer(text)] if words else []
+    if len(at) <= words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    point = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    byte = np.concatenate(([0], np.cumsum(1 + (point >= 0x80) + (point >= 0x800) + (point >= 0x10000))))
+    starts, ends = byte[np.array(at)].T
+    return starts[:len(at) - words + 1], ends[words - 1:]
+
+
 class ItemIndex:
     """Q-grams of a block of items: where each occurs, and each item's budget and bound."""
 
-    def __init__(self, items: list[tuple[int | None, str]], edit_rate: float = EDIT_RATE):
+    def __init__(self, items: list[tuple[int | None, str]], edit_rate: float = EDIT_RATE, segment_words: int = 0):
         held = [(i, folded(np.frombuffer(t.encode("utf-8"), np.uint8))) for i, t in items]
         self.short = ShortItems([(i, t) for i, b in held if len(b) < MIN_BYTES and (t := b.tobytes().strip(b" "))])
         held = [(i, b) for i, b in held if len(b) >= MIN_BYTES]
@@ -162,6 +187,20 @@ class ItemIndex:
         self.sieve[slot(self.code)] = True
         self.reach = int((m + self.budget).max(initial=0))
         self.least = int(self.bound.min(initial=1 << 30))
+        # runs of words: their range in the item, budget and bound; those of item i are seg_first[i] to seg_first[i + 1]
+        segs = [runs(t, segment_words) for t in self.texts]
+        self.seg_first = np.concatenate(([0], np.cumsum([len(a) for a, _ in segs]))).astype(np.int64)
+        self.seg_start, self.seg_end = (np.concatenate([x[k] for x in segs]) if segs else np.zeros(0, np.int64) for k in (0, 1))
+        size = self.seg_end - self.seg_start
+        self.seg_budget = np.maximum(np.minimum((size * edit_rate).astype(np.int64), size // Q - 1), 0)
+        self.seg_bound = np.maximum(size + 1 - Q * (self.seg_budget + 1), 1)
+        self.seg_reach, self.seg_least = int((size + self.seg_budget).max(initial=0)), int(self.seg_bound.min(initial=1 << 30))
+        # an item's bands for runs are as wide as its largest budget asks; a band needs its least bound
+        some = np.flatnonzero(np.diff(self.seg_first))
+        self.seg_step, self.item_least = np.ones(len(held), np.int64), np.full(len(held), 1 << 30)
+        if len(some):
+            self.seg_step[some] = np.maximum.reduceat(self.seg_budget, self.seg_first[some]) + 1
+            self.item_least[some] = np.minimum.reduceat(self.seg_bound, self.seg_first[some])
 
     def matches(self, data: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position, item, place in item) of shared q-grams that can be part of an occurrence."""
@@ -172,16 +211,42 @@ class ItemIndex:
         which = np.minimum(np.searchsorted(self.code, codes[at]), len(self.code) - 1)
         same = (self.code[which] == codes[at]) & (doc[at] == doc[at + Q - 1])
         at, which = at[same], which[same]
-        # an occurrence has `least` matching positions within `reach` bytes on one side or the other
-        right = np.searchsorted(at, at + self.reach, "right") - np.arange(len(at))
-        start = right >= self.least
-        ends = np.where(start, at + self.reach, -1)
-        live = at <= np.maximum.accumulate(ends) if len(at) else start
+        live = self.dense(at, self.reach, self.least) | self.dense(at, self.seg_reach, self.seg_least)
         at, which = at[live], which[live]
         per = self.first[which + 1] - self.first[which]
         entry = np.repeat(self.first[which], per) + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
         return np.repeat(at, per), self.item[entry], self.place[entry]
 
+    @staticmethod
+    def dense(at: np.ndarray, reach: int, least: int) -> np.ndarray:
+        """Matching positions that can be part of an occurrence: one has ``least`` of them within ``reach`` bytes on one side or the other."""
+        right = np.searchsorted(at, at + reach, "right") - np.arange(len(at))
+        return at <= np.maximum.accumulate(np.where(right >= least, at + reach, -1))
+
+    def run_bands(self, at: np.ndarray, item: np.ndarray, place: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
+        """(document, item, first diagonal, runs) of the diagonal bands in which runs of the item reach their bound."""
+        has = self.item_least[item] < 1 << 30
+        at, item, place = at[has], item[has], place[has]
+        if not len(at):
+            return
+        band = (at - place) // self.seg_step[item]
+        low = int(band.min()) - 1
+        wide = int(band.max()) - low + 1
+        key = (doc[at] * len(self.ids) + item) * wide + (band - low)
+        key, place = np.concatenate([key, key - 1]), np.concatenate([place, place])
+        order = np.argsort(key, kind="stable")
+        key, place = key[order], place[order]
+        new = np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key))
+        many = np.flatnonzero(np.diff(new) >= self.item_least[key[new[:-1]] // wide % len(self.ids)])
+        for x, y in zip(new[many].tolist(), new[many + 1].tolist(), strict=True):
+            di, b = divmod(int(key[x]), wide)
+            d, i = divmod(di, len(self.ids))
+            of = np.arange(self.seg_first[i], self.seg_first[i + 1])
+            own = np.sort(place[x:y])
+            count = np.searchsorted(own, self.seg_end[of] - Q, "right") - np.searchsorted(own, self.seg_start[of])
+            if len(full := of[count >= self.seg_bound[of]]):
+                yield d, i, (b + low) * int(self.seg_step[i]), full
+
     def bands(self, at: np.ndarray, item: np.ndarray, place: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, item, first diagonal) of the diagonal bands that reach the item's bound."""
         step = self.budget[item] + 1
@@ -221,6 +286,31 @@ def align(pattern: np.ndarray, text: np.ndarray, width: int, free: bool) -> tupl
     return int(row[best]), best + len(pattern)
 
 
+def likely(asked: list[tuple[bytes, bytes, int, int, int]], together: int = 256) -> Iterator[int]:
+    """Which of the questions to ``occurrence`` have an answer; ``align`` for many of them at once."""
+    order = sorted(range(len(asked)), key=lambda n: len(asked[n][0]))
+    for x in range(0, len(order), together):
+        some = order[x:x + together]
+        width = max(hi - lo + 2 * k + 1 for _, _, lo, hi, k in (asked[n] for n in some))
+        m = np.array([len(asked[n][0]) for n in some])
+        size = np.array([len(asked[n][1]) for n in some])[:, None]
+        pattern = np.full((len(some), m.max()), -1, np.int16)
+        padded = np.full((len(some), max(m.max() + width + 1, size.max())), 256, np.int16)
+        for r, n in enumerate(some):
+            pattern[r, :m[r]] = np.frombuffer(asked[n][0], np.uint8)
+            padded[r, :size[r, 0]] = np.frombuffer(asked[n][1], np.uint8)
+        cells, far = np.arange(width + 1, dtype=np.int32), np.int32(1 << 20)
+        row = np.where(cells <= size, np.int32(0), far)
+        for i in range(m.max()):
+            go = row + (padded[:, i:i + width + 1] != pattern[:, i:i + 1])
+            go[:, :-1] = np.minimum(go[:, :-1], row[:, 1:] + 1)
+            row = np.minimum.accumulate(go - cells, axis=1) + cells
+            row[cells + (i + 1) > size] = far
+            for r in np.flatnonzero(m == i + 1):
+                if row[r].min() <= asked[some[r]][4]:
+                    yield some[r]
+
+
 def occurrence(pattern: bytes, text: bytes, lo: int, hi: int, budget: int) -> tuple[int, int, int] | None:
     """(start, end, edits) of the pattern where its first byte lies about lo..hi of the text, or None."""
     a = max(0, lo - budget)
@@ -244,16 +334,39 @@ def scan(index: ItemIndex, arr: pa.Array) -> Iterator[list[tuple[int | None, int
         part = folded(data[offsets[lo]:offsets[hi]])
         starts = offsets[lo:hi + 1] - offsets[lo]
         found: list[list] = [[] for _ in range(hi - lo)]
+        pieces: list[set] = [set() for _ in range(hi - lo)]
         for a, b in windows(len(part), SCAN_BYTES * 2, index.reach * 4 + 64):
             doc = np.repeat(np.arange(hi - lo), np.diff(np.clip(starts, a, b)))
             at, item, place = index.matches(part[a:b], doc)
+
+            def around(d: int, a=a, b=b) -> tuple[bytes, int]:
+                """The text as far as the window has it, and where that part starts in the text."""
+                p = max(a, int(starts[d]))
+                return part[p:min(b, int(starts[d + 1]))].tobytes(), p - int(starts[d])
+
             for d, i, diag in zip(*index.bands(at, item, place, doc), strict=True):
-                text = part[starts[d]:starts[d + 1]].tobytes() if b - a == len(part) else part[max(a, starts[d]):min(b, starts[d + 1])].tobytes()
-                base = max(0, a - starts[d]) if b - a != len(part) else 0
+                text, base = around(d)
                 first = int(a + diag - starts[d] - base)
                 hit = occurrence(index.texts[i], text, first, first + 2 * int(index.budget[i]) + 2, int(index.budget[i]))
                 if hit:
                     found[d].append((int(i), base + hit[0], base + hit[1], hit[2]))
+            asked, told = [], []
+            for d, i, diag, of in index.run_bands(at, item, place, doc):
+                text, base = around(d)
+                step, held = int(index.seg_step[i]), [h for h in found[d] if h[0] == i]
+                for j in of.tolist():
+                    s, e, k = int(index.seg_start[j]), int(index.seg_end[j]), int(index.seg_budget[j])
+                    first = int(a + diag - starts[d] - base) + s
+                    if any(h[1] <= base + first + 2 * step and base + first + e - s <= h[2] + 2 * step for h in held):
+                        continue    # part of an occurrence of the whole item
+                    c = max(0, first - k)
+                    asked.append((index.texts[i][s:e], text[c:max(c, first + 2 * step + e - s + k)], first - c, first - c + 2 * step, k))
+                    told.append((d, i, base + c, s, e))
+            for at in likely(asked):
+                d, i, base, s, e = told[at]
+                hit = occurrence(*asked[at])
+                if hit:
+                    pieces[d].add((i, base + hit[0], base + hit[1], hit[2], s, e))
         brief: list[list] = [[] for _ in range(hi - lo)]
         ends: dict[tuple, int] = {}
         for d, ids, s, e in index.short.find(part, starts):
@@ -261,8 +374,11 @@ def scan(index: ItemIndex, arr: pa.Array) -> Iterator[list[tuple[int | None, int
                 if ends.get((d, i), 0) <= s:  # of overlapping occurrences of one item the first
                     ends[d, i] = e
                     brief[d].append((i, s, e, 0))
-        for hits, more in zip(found, brief, strict=True):
-            yield [(index.ids[i], s, e, k) for i, s, e, k in apart(hits)] + more
+        for d, (hits, runs_of, more) in enumerate(zip(found, pieces, brief, strict=True)):
+            hits = apart(hits)
+            if runs_of:
+                hits = passages(index, runs_of, hits, part[starts[d]:starts[d + 1]].tobytes()) + hits
+            yield [(index.ids[i], s, e, k) for i, s, e, k in sorted(hits, key=lambda h: (h[1], h[0]))] + more
 
 
 def windows(n: int, size: int, overlap: int) -> Iterator[tuple[int, int]]:
@@ -286,6 +402,30 @@ def apart(hits: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, in
     return sorted(out, key=lambda h: (h[1], h[0]))
 
 
+def passages(index: ItemIndex, pieces: set, wholes: list[tuple[int, int, int, int]], text: bytes) -> list[tuple[int, int, int, int]]:
+    """Regions made of runs that overlap along the text and the item; none that overlaps an occurrence of the whole item.
+
+    A region's edits are those of the part of the item that it quotes.
+    """
+    out: list[tuple[int, int, int, int]] = []
+    for i in sorted({x[0] for x in pieces}):
+        taken = [h for h in wholes if h[0] == i]
+        own = sorted(x for x in pieces if x[0] == i and not any(h[1] < x[2] and x[1] < h[2] for h in taken))
+        chains: list[list] = []
+        for x in own:
+            last = chains[-1][-1] if chains else None
+            if last and x[1] < last[2] and abs(x[1] - x[4] - last[1] + last[4]) <= 2 * index.seg_step[i]:
+                chains[-1].append(x)
+            else:
+                chains.append([x])
+        for chain in chains:
+            s, e = min(x[4] for x in chain), max(x[5] for x in chain)
+            pattern, budget = index.texts[i][s:e], min(sum(x[3] for x in chain), (e - s) // 4)
+            hit = occurrence(pattern, text, chain[0][1], chain[0][1], budget)
+            out += [(i, *hit)] if hit else apart([x[:4] for x in chain])
+    return apart(out)
+
+
 def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of at most ``block_bytes`` (one item at least), one block on the driver at a time.
 
@@ -315,11 +455,14 @@ def finder(held: Broadcast):
 
 
 def mark_occurrences(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", hits_col: str = "hits", item_col: str = "item_id",
-                     item_text: str = "text", edit_rate: float = EDIT_RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                     item_text: str = "text", edit_rate: float = EDIT_RATE, block_bytes: int = BLOCK_BYTES,
+                     segment_words: int = 0) -> DataFrame:
     """``docs`` plus an array of the benchmark items found in each whole text.
 
     Elements are struct(item_id, start, end, edits) with byte offsets in the
-    UTF-8 text. Null and empty texts have none. Items of fewer than 32 bytes,
+    UTF-8 text. With ``segment_words`` regions that quote a part of an item are
+    found as well: one for overlapping runs of so many words, each within the
+    edit rate; their edits are those of the part quoted. Null and empty texts have none. Items of fewer than 32 bytes,
     without white space at their ends, are found without edits and between
     word borders. Items with a null id are found as well; where an item with
     an id has the same text, only that one is reported. Repeated items are
@@ -329,7 +472,7 @@ def mark_occurrences(docs: DataFrame, benchmark: DataFrame, text_col: str = "tex
         raise ValueError(f"column {hits_col} exists")
     spark, parts, out = docs.sparkSession, [], docs
     for block in item_blocks(benchmark, item_col, item_text, block_bytes):
-        held = share(spark, ItemIndex(block, edit_rate))
+        held = share(spark, ItemIndex(block, edit_rate, segment_words))
 
         parts.append(fresh(out, f"_hits{len(parts)}"))
         out = out.withColumn(parts[-1], finder(held)(F.col(text_col).cast("string")))

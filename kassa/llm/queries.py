@@ -63,8 +63,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every occurrence of a benchmark item in a document, within the edit budget."""
-    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    """Every occurrence of a benchmark item, or of a passage of one, in a document, within the edit budget."""
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                                      segment_words=decontaminate.SEGMENT_WORDS)
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {

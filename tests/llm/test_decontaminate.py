@@ -98,3 +98,25 @@ def test_short_items_and_null_ids(spark, frame, monkeypatch):
     want = [(1, 1), (3, 3), (3, 3), (3, 4), (3, 4), (4, 5), (5, 6), (7, None), (8, None), *paris]
     assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=repr) == sorted(want, key=repr)
     assert sorted(r["doc_id"] for r in D.clean_documents(frame(rows), bench).collect()) == [2, 9, 10, 11, 12]
+
+
+def test_passages_of_items(spark, frame, prose, monkeypatch):
+    item = prose(59, seed=1)
+    other = " ".join(prose(40, seed=2))
+    body = lambda n, words: other + " " + " ".join(words) + " " + " ".join(prose(30, seed=n))
+    swapped = item[:20] + ["wxyz"] + item[21:40] + ["zyxw"] + item[41:59]
+    rows = [(1, body(11, item[5:50])), (2, body(12, [w.upper() for w in item[30:43]])), (3, body(13, item[10:18])), (4, body(14, item)), (5, body(15, swapped)),
+            (6, body(16, item[:20] + prose(60, seed=5) + item[25:45])), (7, body(17, prose(50, seed=6))), (8, "日本語の文章を十三文字以上引用した")]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "これは日本語の文章を十三文字以上引用したものです、たぶん")], "item_id long, text string")
+    plain = {r["doc_id"] for r in D.contaminated(frame(rows), bench).collect()}
+    assert plain <= {4, 5}
+    for scan_bytes in (2 << 20, 700):
+        monkeypatch.setattr(D, "SCAN_BYTES", scan_bytes)
+        got = D.contaminated(frame(rows), bench, segment_words=13).collect()
+        hits = sorted((r["doc_id"], r["item_id"], r["passage"].lower(), r["edits"]) for r in got)
+        assert [(d, i) for d, i, _, _ in hits] == [(1, 1), (2, 1), (4, 1), (5, 1), (6, 1), (6, 1), (8, 2)]
+        for d, quoted in ((1, item[5:50]), (2, item[30:43]), (4, item)):
+            (passage,) = (p for n, _, p, _ in hits if n == d)
+            assert " ".join(quoted) in passage and len(passage) <= len(" ".join(quoted)) + 30
+    left = D.clean_documents(frame(rows), bench, segment_words=13).collect()
+    assert sorted(r["doc_id"] for r in left) == [3, 7]
