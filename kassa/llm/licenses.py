@@ -8,11 +8,20 @@ a unit is compared only with templates of which 2 min(|A|, |B|) / (|A| + |B|)
 can reach the threshold, and units too small or too large for every template
 are left out before anything is compared.
 
+A notice that wraps over lines, or stands within a longer line, fills neither
+unit. With ``windows`` runs of consecutive words are compared too, across lines:
+those that begin and end with a bigram of the template and whose number of
+bigrams can reach the threshold. A window of coefficient c has at least
+c / (2 - c) of the template's bigrams, so only documents with so many are
+looked at closely.
+
 DataFrame functions only; no shuffle, each document is scanned where it lies.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,14 +68,70 @@ def template_bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, least: float = LEAST) -> DataFrame:
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value reckoned once for each row."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def dice_of(grams: Column, template: list[str], of: Column) -> Column:
+    return F.lit(2.0) * F.size(F.array_intersect(grams, of)) / (F.size(grams) + len(template))
+
+
+def placed_bigrams(raw: Column) -> Column:
+    """Every pair of adjacent words of the document, with the lines of both."""
+    words = F.flatten(F.transform(raw, lambda x, i: F.transform(F.filter(F.split(normalised(x), " "), lambda w: w != ""),
+                                                                lambda w: F.struct(w.alias("w"), (i + 1).alias("line")))))
+    n = lambda w: F.greatest(F.size(w) - 1, F.lit(0))
+    return let(words, lambda w: F.zip_with(F.slice(w, 1, n(w)), F.slice(w, 2, n(w)), lambda a, b: F.struct(
+        F.concat(a["w"], F.lit(" "), b["w"]).alias("gram"), a["line"].alias("first"), b["line"].alias("last"))))
+
+
+def window_hits(raw: Column, pairs: Column, name: str, template: list[str], least: float) -> Column:
+    """The template's windows of a document, of overlapping ones the best (then the first, then the shortest).
+
+    None that shares a line with one that reaches the threshold by itself, and
+    none where the whole document does.
+    """
+    t, of = len(template), F.array(*map(F.lit, template))
+    low, high = math.ceil(round(least / (2 - least) * t, 9)), math.floor(round((2 - least) / least * t, 9))
+
+    def scored(p: Column, s: Column, e: Column) -> Column:
+        grams = F.array_distinct(F.transform(F.slice(p, s, e - s + 1), lambda x: x["gram"]))
+        return let(grams, lambda g: F.struct((-dice_of(g, template, of)).alias("low"), s.alias("s"), e.alias("e"),
+                                             F.element_at(p, s)["first"].alias("first"), F.element_at(p, e)["last"].alias("last")))
+
+    def found(p: Column) -> Column:
+        own = F.filter(F.transform(p, lambda x, i: F.when(x["match"], i + 1)), lambda i: i.isNotNull())
+        ends = lambda s: F.filter(F.sequence(s + (low - 1), F.greatest(F.least(s + (high - 1), F.size(p)), s + (low - 1))),
+                                  lambda e: (e <= F.size(p)) & F.element_at(p, F.least(e, F.size(p)))["match"])
+        every = F.flatten(F.transform(own, lambda s: F.transform(ends(s), lambda e: scored(p, s, e))))
+        return F.filter(every, lambda x: x["low"] <= -least)
+
+    def units(lines: Column) -> Column:
+        """Lines that are hits by themselves; 0 is the whole."""
+        return F.filter(F.transform(lines, lambda x, i: F.when(let(bigrams(F.split(F.trim(normalised(x)), " +")), lambda g: dice_of(g, template, of)) >= least, i)),
+                        lambda i: i.isNotNull())
+
+    whole_and_lines = F.concat(F.array(F.array_join(raw, " ")), raw)
+    matched = F.transform(pairs, lambda x: x.withField("match", F.array_contains(of, x["gram"])))
+    free = let(units(whole_and_lines), lambda u: F.filter(let(matched, found), lambda x: ~F.exists(u, lambda i: (i == 0) | i.between(x["first"], x["last"]))))
+    best = let(F.array_sort(free), lambda c: F.aggregate(c, F.slice(c, 1, 0), lambda acc, x: F.when(
+        F.exists(acc, lambda y: (y["s"] <= x["e"]) & (x["s"] <= y["e"])), acc).otherwise(F.concat(acc, F.array(x)))))
+    return F.transform(best, lambda x: F.struct(x["first"].alias("line"), F.lit(name).alias("license"), (-x["low"]).alias("dice"),
+                                                F.array_join(F.slice(raw, x["first"], x["last"] - x["first"] + 1), "\n").alias("text")))
+
+
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, least: float = LEAST,
+                  windows: bool = False) -> DataFrame:
     """One row for each unit and template whose Dice coefficient is at least ``least``.
 
     Columns ``doc_id, line`` (from 1; 0 is the whole document, compared when it
     has several lines), ``license, dice, text`` (the line as it stands; null for
     the document). Null and empty texts have no units. Equal coefficients all
     return a row, and so does every repeated document row. Templates of fewer
-    than two words match nothing.
+    than two words match nothing. With ``windows`` a notice inside a line, or
+    over several, is a row as well: ``line`` is the one in which it begins,
+    ``text`` all lines that it touches.
     """
     grams = {name: g for name, text in templates if (g := template_bigrams(text))}
     if not grams:
@@ -80,13 +145,27 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # the number of words bounds the number of bigrams: too short for every template goes before anything else
     units = F.filter(F.transform(units, lambda u: F.struct(u["line"].alias("line"), F.split(F.trim(u["unit"]), " +").alias("words"))),
                      lambda u: F.size(u["words"]) - 1 >= low)
-    one = (lines.select("doc_id", "raw", F.explode(units).alias("u"))
-                .select("doc_id", "raw", F.col("u.line").alias("line"), bigrams(F.col("u.words")).alias("grams"))
-                .withColumn("n", F.size("grams")).where(F.col("n").between(low, high)))
+    # the unit that is the whole document also stands for its windows
+    pool = F.array(*map(F.lit, sorted({x for g in grams.values() for x in g})))
+
+    def wide(line: Column, g: Column) -> Column:
+        return ((line == 0) | (F.size("clean") == 1)) & (F.size(F.array_intersect(g, pool)) >= low) if windows else F.lit(False)
+
+    units = F.transform(units, lambda u: let(bigrams(u["words"]), lambda g: F.struct(
+        u["line"].alias("line"), g.alias("grams"), F.size(g).alias("n"), wide(u["line"], g).alias("wide"))))
+    units = F.filter(units, lambda u: u["n"].between(low, high) | u["wide"])
+    one = lines.select("doc_id", "raw", F.explode(units).alias("u")).select("doc_id", "raw", "u.*")
     scores = [F.when(F.lit(2.0) * F.least("n", F.lit(len(g))) >= least * (F.col("n") + len(g)),
                      F.struct(F.lit(name).alias("license"),
                               (F.lit(2.0) * F.size(F.array_intersect("grams", F.array(*map(F.lit, g)))) / (F.col("n") + len(g))).alias("dice")))
               for name, g in grams.items()]
-    hits = F.explode(F.filter(F.array(*scores), lambda s: s["dice"] >= least)).alias("hit")
-    return (one.select("doc_id", "line", F.when(F.col("line") > 0, F.element_at("raw", F.greatest("line", F.lit(1)))).alias("text"), hits)
-               .select("doc_id", "line", "hit.license", "hit.dice", "text"))
+    text = F.when(F.col("line") > 0, F.element_at("raw", F.greatest("line", F.lit(1))))
+    hits = F.transform(F.filter(F.array(*scores), lambda s: s["dice"] >= least),
+                       lambda s: F.struct(F.col("line").alias("line"), s["license"].alias("license"), s["dice"].alias("dice"), text.alias("text")))
+    if windows:
+        none = F.slice(hits, 1, 0)
+        inside = let(placed_bigrams(F.col("raw")), lambda p: F.flatten(F.array(*[
+            F.when(F.size(F.array_intersect("grams", F.array(*map(F.lit, g)))) >= least / (2 - least) * len(g) - 1e-9, window_hits(F.col("raw"), p, name, g, least)).otherwise(none)
+            for name, g in grams.items()])))
+        hits = F.when(F.col("wide"), F.concat(hits, inside)).otherwise(hits)
+    return one.select("doc_id", F.explode(hits).alias("hit")).select("doc_id", "hit.line", "hit.license", "hit.dice", "hit.text")

@@ -53,8 +53,8 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines and documents that state one of the licences."""
-    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+    """Lines, documents and notices within or across lines that state one of the licences."""
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"), windows=True)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

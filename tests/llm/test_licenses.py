@@ -54,3 +54,40 @@ def test_empty_table_and_plan(frame):
     assert scan_licenses(frame([])).count() == 0
     plan = scan_licenses(frame(ROWS))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def brute_windows(rows, templates=TEMPLATES, least=0.8):
+    units, out = brute(rows, templates, least), []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        w = [(x, k) for k, line in enumerate(lines, 1) for x in words(line)]
+        pairs = [((a, b), j, k) for (a, j), (b, k) in zip(w, w[1:], strict=False)]
+        for name, text in templates:
+            g = grams(words(text))
+            own = {k for d, k, n, _, _ in units if d == i and n == name}
+            found = []
+            for s in range(len(pairs)):
+                for e in range(s, min(len(pairs), s + int((2 - least) / least * len(g) + 1e-9))):
+                    if pairs[s][0] in g and pairs[e][0] in g and not own & {0, *range(pairs[s][1], pairs[e][2] + 1)}:
+                        a = {x for x, _, _ in pairs[s:e + 1]}
+                        if (dice := 2 * len(a & g) / (len(a) + len(g))) >= least:
+                            found.append((-dice, s, e))
+            taken = []
+            for d, s, e in sorted(found):
+                if not any(s <= y and x <= e for x, y in taken):
+                    taken.append((s, e))
+                    out.append((i, pairs[s][1], name, round(-d, 12), "\n".join(lines[pairs[s][1] - 1:pairs[e][2]])))
+    return sorted(units + out, key=repr)
+
+
+def test_notices_across_and_within_lines(frame):
+    import textwrap
+    body = "\n".join(f"line {k} of some code that is not about any of it" for k in range(30))
+    rows = [(1, "\n".join(textwrap.wrap(MIT, 78)) + "\n" + body), (2, body + "\n" + "\n".join("// " + x for x in textwrap.wrap(dict(TEMPLATES)["ISC-text"], 60))),
+            (3, "Copyright 2020 X. All code here is released under the MIT License, see the file.\n" + body), (4, "x\nReleased under the MIT License.\n" + body + "\nit is released under\nthe MIT License too"),
+            (5, body), (6, "Copyright 2020 X. All code here is released under the MIT License, see the file."), (7, None)]
+    got = found(scan_licenses(frame(rows), windows=True))
+    assert got == brute_windows(rows)
+    assert {(d, n) for d, _, n, _, _ in got} == {(1, "MIT-text"), (2, "ISC-text"), (3, "MIT"), (4, "MIT"), (6, "MIT")} and len(got) > len(brute(rows)) == 1
+    plan = scan_licenses(frame(rows), windows=True)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
