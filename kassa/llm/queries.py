@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kassa.llm import bpe, decontaminate, exact_dedup, langid, licenses, line_dedup, near_dedup, quality, suffix_dedup, url_reputation
+from kassa.llm import (bpe, decontaminate, exact_dedup, langid, licenses, line_dedup, merkle, near_dedup, quality, suffix_dedup,
+                       url_reputation)
 from kassa.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -68,6 +69,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       segment_words=decontaminate.SEGMENT_WORDS)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaf, roots and proof of every document, and which proofs later changes break."""
+    return merkle.manifest_report(read_table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_language": op2_language,
@@ -79,6 +85,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_merkle": op11_merkle,
 }
 
 def license_sql(least: float = licenses.LEAST) -> str:
@@ -144,6 +151,7 @@ def url_sql(max_bad: float = url_reputation.MAX_BAD, z: float = url_reputation.Z
 ORACLE: dict[str, str] = {
     "op4_url_filter": url_sql(),
     "op8_licenses": license_sql(),
+    "op11_merkle": merkle.manifest_sql(),
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
