@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kassa.llm import (bpe, decontaminate, exact_dedup, langid, licenses, line_dedup, merkle, near_dedup, quality, suffix_dedup,
+from kassa.llm import (bpe, decontaminate, exact_dedup, langid, licenses, line_dedup, merkle, near_dedup, quality, secret_scan, suffix_dedup,
                        url_reputation)
 from kassa.llm.common import read_table
 
@@ -74,6 +74,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(read_table(spark, sf_dir, "documents"))
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole document, found once for each different content."""
+    return secret_scan.secret_report(read_table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_language": op2_language,
@@ -86,6 +91,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
     "op11_merkle": op11_merkle,
+    "op13_secrets": op13_secrets,
 }
 
 def license_sql(least: float = licenses.LEAST) -> str:
@@ -152,6 +158,7 @@ ORACLE: dict[str, str] = {
     "op4_url_filter": url_sql(),
     "op8_licenses": license_sql(),
     "op11_merkle": merkle.manifest_sql(),
+    "op13_secrets": secret_scan.secret_sql(),
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
