@@ -6,16 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kassa.llm import (bpe, decontaminate, exact_dedup, langid, licenses, line_dedup, merkle, near_dedup, quality, secret_scan, suffix_dedup,
+from kassa.llm import (alignment, bpe, decontaminate, exact_dedup, langid, licenses, line_dedup, merkle, near_dedup, quality, secret_scan, suffix_dedup,
                        url_reputation)
 from kassa.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +75,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(read_table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies aligned in every whole document, with the corpus counts of their links."""
+    return alignment.align_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path(PIECES))
+
+
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole document, found once for each different content."""
     return secret_scan.secret_report(read_table(spark, sf_dir, "documents"))
@@ -91,6 +97,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
     "op11_merkle": op11_merkle,
+    "op12_alignment": op12_alignment,
     "op13_secrets": op13_secrets,
 }
 
