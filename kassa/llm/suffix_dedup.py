@@ -20,8 +20,12 @@ would be tens of times the input in every round:
   for them all and the starts of the others are repeated ones. What is first
   but shares its key with a different unit goes on to the next, finer round.
 
-Names are 64-bit hashes, used in pairs (128 bits) wherever they decide that
-strings are equal. Counting a key combines map-side; the joins on keys are
+Names are 64-bit hashes: a polynomial modulo 2**64 and, for all bytes that a
+unit covers, two polynomials of unrelated bases modulo the prime 2**31 - 1 side
+by side. The first alone would take some long strings for equal whatever its
+base (differences of the form D * prod(1 - BASE**e), e growing powers of two,
+vanish modulo 2**64); modulo a prime they do not. Units are equal when both
+names are. Counting a key combines map-side; the joins on keys are
 plain shuffle joins that AQE can split, so neither a string that a third of the
 documents has nor a text of one repeated byte gathers in a task.
 """
@@ -43,28 +47,57 @@ GRAM = 32
 CHUNK_BITS = 9
 GROUP = 8
 PIECE = 1 << 19                     # a power of two
-PLACE_BITS = 28                     # a text has at most 2**28 bytes
-MOST_ID = 1 << (63 - PLACE_BITS)
+ADDRESS_BITS = 63                   # of a document's number and a place in it together
 BROADCAST_BYTES = 64 << 20
+PRIME = np.uint64((1 << 31) - 1)
+PRIME_BASES = (1_318_699_271, 947_512_563)
 UNIT = "k long, m long, addr long, n int, o int"
 
 
+def folded(x: np.ndarray) -> np.ndarray:
+    """x modulo 2**31 - 1, for x < 2**62."""
+    x = (x & PRIME) + (x >> np.uint64(31))
+    x = (x & PRIME) + (x >> np.uint64(31))
+    return np.minimum(x, x - PRIME)  # x - PRIME wraps round when x is the smaller
+
+
+_TABLES: dict[int, np.ndarray] = {}
+
+
+def prime_powers(base: int, n: int) -> np.ndarray:
+    """Powers of ``base`` modulo the prime, at least ``n`` of them; kept between pieces."""
+    table = _TABLES.get(base)
+    if table is None or len(table) < n:
+        table = np.ones(1, np.uint64)
+        while len(table) < n:
+            table = np.concatenate([table, folded(table * np.uint64(pow(base, len(table), int(PRIME))))])
+        _TABLES[base] = table
+    return table[:n]
+
+
 class Ranges:
-    """Two independent hashes of any byte range of a piece of text."""
+    """Two hashes of unlike kinds of any byte range of a piece of text."""
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        forth, self.back = powers(BASE, n), powers(UNDO, n + 1)
-        self.sums = []
-        for salt in (1, 2):
+        self.back = powers(UNDO, n + 1)
+        self.sums = np.zeros(n + 1, np.uint64)
+        values = mix64(byte_values() + np.uint64(1))
+        np.cumsum(values[data] * powers(BASE, n), out=self.sums[1:])
+        self.prime_sums = []
+        for base in PRIME_BASES:
             s = np.zeros(n + 1, np.uint64)
-            values = mix64(byte_values() + np.uint64(salt))
-            np.cumsum(values[data] * forth, out=s[1:])
-            self.sums.append(s)
+            small = mix64(byte_values() + np.uint64(base)) >> np.uint64(34)
+            np.cumsum(folded(small[data] * prime_powers(base, n)), out=s[1:])
+            self.prime_sums.append(s)
 
     def name(self, which: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        s = self.sums[which]
-        return mix64((s[end] - s[start]) * self.back[start] + mix64((end - start).astype(np.uint64) + np.uint64(which)))
+        size = mix64((end - start).astype(np.uint64) + np.uint64(which))
+        if not which:
+            return mix64((self.sums[end] - self.sums[start]) * self.back[start] + size)
+        two = [folded(folded(s[end] - s[start]) * prime_powers(pow(base, -1, int(PRIME)), len(s))[start])
+               for s, base in zip(self.prime_sums, PRIME_BASES, strict=True)]
+        return mix64((two[0] << np.uint64(32) | two[1]) + size)
 
 
 def sliding_least(v: np.ndarray, width: int) -> np.ndarray:
@@ -129,7 +162,7 @@ def anchor_units(data, offsets, length, gram, base, taken):
     return d[i], lo, n, grams[a[i]], r.name(1, lo, lo + n - 1 + length), a[i] - lo
 
 
-def mapped(units, length: int, gram: int):
+def mapped(units, length: int, gram: int, bits: int):
     """mapInArrow function: (id, text, ranges) -> units, leaving out the starts in ``ranges``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +173,7 @@ def mapped(units, length: int, gram: int):
                 got = units(part, off, length, gram, base, starts_in(spans, off, first, base))
                 if got:
                     d, lo, n, k, m, o = got
-                    addr = (ids[first + d].astype(np.int64) << PLACE_BITS) | (lo - off[d] + base)
+                    addr = (ids[first + d].astype(np.int64) << bits) | (lo - off[d] + base)
                     yield batch_of(k, m, addr, n, o)
     return run
 
@@ -171,7 +204,7 @@ def starts_in(spans, off, first, base):
     return lambda p: inside[p]
 
 
-def finer(groups: bool, length: int):
+def finer(groups: bool, length: int, bits: int):
     """mapInArrow function: (id, text, open units) -> groups of starts, or single starts.
 
     The units' bytes are cut out of the text first, so a long text costs what
@@ -194,14 +227,14 @@ def finer(groups: bool, length: int):
                 p = begin[unit] + step                      # start in the cut-out bytes
                 dist = oo[unit] - step                      # from the start to the anchor
                 if not groups:
-                    addr = (ids[rw[unit]] << PLACE_BITS) | (pl[unit] + step)
+                    addr = (ids[rw[unit]] << bits) | (pl[unit] + step)
                     yield batch_of(r.name(0, p, p + length), r.name(1, p, p + length), addr, np.ones(len(p)), dist)
                     continue
                 g = dist // GROUP
                 i = np.flatnonzero(np.concatenate(([True], (unit[1:] != unit[:-1]) | (g[1:] != g[:-1]))))
                 count = np.diff(np.append(i, len(p)))
                 core = p[i] + dist[i] - GROUP * g[i]        # what all strings of the group share
-                addr = (ids[rw[unit[i]]] << PLACE_BITS) | (pl[unit[i]] + step[i])
+                addr = (ids[rw[unit[i]]] << bits) | (pl[unit[i]] + step[i])
                 yield batch_of(r.name(0, core, core + length - GROUP + 1), r.name(1, p[i], p[i] + count - 1 + length), addr, count, dist[i])
     return run
 
@@ -245,46 +278,58 @@ def packed(merge: bool):
     return run
 
 
-def by_document(rows: DataFrame) -> DataFrame:
+def by_document(rows: DataFrame, bits: int) -> DataFrame:
     """``_id, spans``: the ranges (place, n, o) of each document; without ``o`` those that touch are one."""
     merge = "o" not in rows.columns
     o = F.lit(0).alias("o") if merge else F.col("o")
-    place = F.col("addr").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("place")
-    lists = rows.groupBy(F.shiftright("addr", PLACE_BITS).alias("_id")).agg(F.collect_list(F.struct(place, "n", o)).alias("spans"))
+    place = F.col("addr").bitwiseAND((1 << bits) - 1).cast("int").alias("place")
+    lists = rows.groupBy(F.shiftright("addr", bits).alias("_id")).agg(F.collect_list(F.struct(place, "n", o)).alias("spans"))
     return lists.mapInArrow(packed(merge), "_id long, spans binary")
 
 
-def beside(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+def beside(docs: DataFrame, rows: DataFrame, how: str, bits: int) -> DataFrame:
     """Documents with their ranges. The ranges are broadcast while small, else both sides shuffle."""
-    spans = stash(by_document(rows))
+    spans = stash(by_document(rows, bits))
     size = spans.agg(F.coalesce(F.sum(F.length("spans") + 64), F.lit(0))).first()[0]
     spans = F.broadcast(spans) if size <= BROADCAST_BYTES else spans
     return docs.join(spans, docs["id"] == spans["_id"], how).select("id", "text", "spans")
 
 
-def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``addr, n``: runs of starts of strings that also start earlier. ``docs``: id (unique, 0 <= id < 2**35), text."""
-    chunks, _ = resolve(docs.mapInArrow(mapped(chunk_units, length, gram), UNIT), chunks=True)
-    anchors, left = resolve(beside(docs, chunks, "left").mapInArrow(mapped(anchor_units, length, gram), UNIT))
-    groups, left = resolve(beside(docs, left, "inner").mapInArrow(finer(True, length), UNIT))
-    single, _ = resolve(beside(docs, left.drop("o"), "inner").mapInArrow(finer(False, length), UNIT), last=True)
+def repeated_starts(docs: DataFrame, bits: int, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """``addr, n``: runs of starts of strings that also start earlier. ``docs``: id (unique, not negative), text.
+
+    An address is the id, then ``bits`` bits for the place in the text.
+    """
+    chunks, _ = resolve(docs.mapInArrow(mapped(chunk_units, length, gram, bits), UNIT), chunks=True)
+    anchors, left = resolve(beside(docs, chunks, "left", bits).mapInArrow(mapped(anchor_units, length, gram, bits), UNIT))
+    groups, left = resolve(beside(docs, left, "inner", bits).mapInArrow(finer(True, length, bits), UNIT))
+    single, _ = resolve(beside(docs, left.drop("o"), "inner", bits).mapInArrow(finer(False, length, bits), UNIT), last=True)
     return chunks.union(anchors).union(groups).union(single)
 
 
-def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
-    """Documents as (id, text) with usable ids, and (id, doc_id) where they had to be given anew.
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None, int]:
+    """Documents as (id, text) with usable ids, (id, doc_id) where they had to be given anew, and the bits of a place.
 
-    Ids are used as they are when they are distinct, not null and in range;
-    else rows are numbered in the order of id and text (nulls first).
+    The longest text decides the bits of a place; ids have the others. Ids are
+    used as they are when they are distinct, not null and in range; else rows
+    are numbered in the order of id and text (nulls first).
     """
     src = docs.select(F.col(id_col).alias("doc_id"), whole(text_col).alias("text"))
     integer = dict(src.dtypes)["doc_id"] in ("bigint", "int", "smallint", "tinyint")
-    if integer:
+    number = F.col("doc_id").cast("long") if integer else F.lit(None).cast("long")
+    found = src.agg(F.max(F.octet_length("text")).alias("size"), F.count(F.lit(1)).alias("rows"), F.count(number).alias("ids"),
+                    F.min(number).alias("least"), F.max(number).alias("most")).first()
+    bits = max(1, int(found["size"] or 0).bit_length())
+    most = 1 << (ADDRESS_BITS - bits)
+    if integer and found["ids"] == found["rows"] and (not found["rows"] or found["least"] >= 0 and found["most"] < most):
         ids = src.select(F.col("doc_id").cast("long").alias("id"))
-        odd = ids.where(F.col("id").isNull() | (F.col("id") < 0) | (F.col("id") >= MOST_ID))
-        if odd.isEmpty() and ids.groupBy("id").count().where("count > 1").isEmpty():
-            return src.select(F.col("doc_id").cast("long").alias("id"), "text"), None
-    ordered = stash(src.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+        if ids.groupBy("id").count().where("count > 1").isEmpty():
+            return src.select(F.col("doc_id").cast("long").alias("id"), "text"), None, bits
+    if found["rows"] > most:
+        raise ValueError(f"{found['rows']} documents of up to {found['size']} bytes have more addresses than {ADDRESS_BITS} bits")
+    # equal rows are ordered too, so that a row repeated very often is dealt over several ranges
+    order = ["doc_id", F.xxhash64("text"), "tie"]
+    ordered = stash(src.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions("doc_id", F.xxhash64("text"), "text", "tie")
                        .withColumn("part", F.spark_partition_id()).withColumn("seq", F.monotonically_increasing_id()))
     sizes = {r["part"]: (r["first"], r["n"]) for r in ordered.groupBy("part").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n")).collect()}
     shift, total = {}, 0
@@ -293,7 +338,7 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
         total += sizes[part][1]
     lower = F.create_map(*[F.lit(x) for kv in shift.items() for x in kv])[F.col("part")] if shift else F.lit(0)
     given = stash(ordered.select((F.col("seq") - lower).cast("long").alias("id"), "doc_id", "text"))
-    return given.select("id", "text"), given.select("id", "doc_id")
+    return given.select("id", "text"), given.select("id", "doc_id"), bits
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -309,8 +354,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not GROUP < length - gram or gram > length:
         raise ValueError("length must exceed gram by more than a group of starts")
     bounded_batches(docs.sparkSession)
-    src, renamed = numbered(docs, id_col, text_col)
-    found = beside(src, repeated_starts(src, length, gram), "left")
+    src, renamed, bits = numbered(docs, id_col, text_col)
+    found = beside(src, repeated_starts(src, bits, length, gram), "left", bits)
 
     @F.arrow_udf("struct<spans:array<struct<start:int,end:int>>,kept:binary>")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:

@@ -63,3 +63,54 @@ def test_empty_and_bad_arguments(frame):
     assert repeat_digests(frame([])).count() == 0
     with pytest.raises(ValueError):
         cut_repeats(frame([]), length=30, gram=28)
+
+
+def colliding_pair():
+    """Texts that differ in 32 bytes in the way that a polynomial modulo 2**64 cannot see."""
+    rng = random.Random(1)
+    one = [rng.choice("abcdefgh ") for _ in range(16_072)]
+    two = list(one)
+    for k in range(32):
+        at = 100 + sum(512 << j for j in range(5) if k >> j & 1)
+        one[at], two[at] = ("x", "y") if bin(k).count("1") % 2 else ("y", "x")
+    return "".join(one), "".join(two)
+
+
+def test_names_that_collide_modulo_a_power_of_two():
+    import numpy as np
+    one, two = (suffix_dedup.Ranges(np.frombuffer(t.encode(), np.uint8)) for t in colliding_pair())
+    ends = np.array([0]), np.array([16_072])
+    assert one.name(0, *ends) == two.name(0, *ends)
+    assert one.name(1, *ends) != two.name(1, *ends)
+
+
+@pytest.mark.parametrize("filler", [None, "a"])
+def test_texts_that_collide_modulo_a_power_of_two(frame, filler):
+    one, two = colliding_pair()
+    if filler:
+        one, two = ("".join(c if c in "xy" else filler for c in t) for t in (one, two))
+    rows = [(1, one), (2, two), (3, one)]
+    assert sorted(map(tuple, repeat_digests(frame(rows)).collect()), key=repr) == brute(rows, 100)
+
+
+def test_names_do_not_depend_on_the_place():
+    import numpy as np
+    data = np.frombuffer(b"0123" * 50_000 + b"abc" * 3, np.uint8)
+    r = suffix_dedup.Ranges(data)
+    at = np.array([0, 4, 199_996])
+    for which in (0, 1):
+        assert len(set(r.name(which, at, at + 4).tolist())) == 1
+        assert len(set(r.name(which, np.arange(4), np.arange(4) + 7).tolist())) == 4
+
+
+def test_one_row_repeated_often(frame):
+    t = "".join(map(str, range(60)))
+    rows = [(5, t)] * 90 + [(6, t + "end")]
+    assert sorted(map(tuple, repeat_digests(frame(rows)).collect()), key=repr) == brute(rows, 100)
+
+
+def test_ids_as_large_as_the_texts_allow(frame):
+    t = "".join(map(str, range(60)))
+    for top in (2**62, 2**40, 2**55):
+        rows = [(top + k, t + str(k)) for k in range(3)] + [(1, t)]
+        assert sorted(map(tuple, repeat_digests(frame(rows)).collect()), key=repr) == brute(sorted(rows), 100)
