@@ -22,8 +22,7 @@ highest; no key needs to return.
 **Contributions.** A run's answers meet its document lists again and are added
 up for each document.
 
-Both encoders work on words (what lies between places that no token can span),
-whose ids are kept in a bounded cache.
+Long texts are taken in pieces, cut where no token of either kind can span.
 """
 
 from __future__ import annotations
@@ -43,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from kassa.llm.bpe import byte_alphabet, splitter
+from kassa.llm.bpe import byte_alphabet
 from kassa.llm.common import share, shared, stash, whole
 
 BUCKETS = 512                # radix of the A id
@@ -51,10 +50,11 @@ FAN = 256                    # runs that meet in one merge
 RUN_RECORDS = 2_000_000      # records (pair, document) of one run
 RUN_DOCS = 1 << 20
 BLOCK_KEYS = 1 << 15         # pairs of one zstd block
-PIECE_CHARS, PART_BYTES = 1 << 18, 1 << 20
+PIECE_CHARS, PART_TOKENS = 1 << 18, 1 << 18
 MOST_LINKS = 1 << 21         # links written out at once
-CACHE_WORDS = 60_000
 SPACE = "▁"
+# --- fixed value: the split pattern of byte-level BPE vocabularies, for engines whose \s is Unicode's white space
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -153,25 +153,6 @@ def highest(keys: np.ndarray, counts: np.ndarray, shift: int) -> np.ndarray:
 
 # --- the two tokenizers ---------------------------------------------------------
 
-class Cache(dict):
-    """Word -> ids as 32-bit numbers, reckoned when first asked for; one id -1 if its bytes are not the word's."""
-
-    def __init__(self, encode, token_bytes):
-        super().__init__()
-        self.encode, self.bytes = encode, token_bytes
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
-        if b"".join(self.bytes[i] for i in ids) != word.encode("utf-8"):
-            ids = [-1]
-        out = np.array(ids, np.int32).tobytes()
-        if len(word) <= 64:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = out
-        return out
-
-
 class Tokenizers:
     """Both vocabularies; the encoders are made where they are first used (Python workers)."""
 
@@ -186,47 +167,43 @@ class Tokenizers:
         if self.ready:
             return self
         import sentencepiece
-        import tokenizers
+        import tiktoken
 
         spec, alphabet = json.loads(self.json), byte_alphabet()
-        special = {t["content"] for t in spec["added_tokens"]}
-        bytes_a = {i: bytes(alphabet[c] for c in t) for t, i in spec["model"]["vocab"].items() if t not in special}
-        model_a = tokenizers.Tokenizer.from_str(self.json).model
-        letters = {b: c for c, b in alphabet.items()}
-        self.words = splitter()
-        self.cache_a = Cache(lambda w: [t.id for t in model_a.tokenize("".join(letters[b] for b in w.encode("utf-8")))], bytes_a)
-
-        model_b = sentencepiece.SentencePieceProcessor(model_proto=self.model)
-        pieces = [model_b.id_to_piece(i) for i in range(model_b.get_piece_size())]
-        bytes_b = {i: bytes([int(p[3:5], 16)]) if model_b.is_byte(i) else p.replace(SPACE, " ").encode("utf-8") for i, p in enumerate(pieces)}
-        lead = model_b.encode("\n")
-        if any(re.search(f"[^{SPACE}]{SPACE}", p) or "\n" in p for p in pieces) or [bytes_b[i] for i in lead] != [b" ", b"\n"]:
-            raise ValueError("pieces of the second vocabulary span the ends of words")
-        # no piece holds a line feed or a space after another character: what lies between is encoded by itself
-        self.parts = re.compile(r" +[^ \n]*|\n|[^ \n]+").findall
-        self.cache_b = Cache(lambda w: model_b.encode("\n" + w)[len(lead):], bytes_b)
+        vocab, special = spec["model"]["vocab"], {t["content"] for t in spec["added_tokens"]}
+        bytes_a = {i: bytes(alphabet[c] for c in t) for t, i in vocab.items() if t not in special}
+        made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
+        if made != sorted(made):
+            raise ValueError("ids of the first vocabulary are not in the order of its merges")
+        self.encoding = tiktoken.Encoding("bytes", pat_str=SPLIT, mergeable_ranks={b: i for i, b in bytes_a.items()}, special_tokens={})
+
+        self.pieces = sentencepiece.SentencePieceProcessor(model_proto=self.model)
+        pieces = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
+        bytes_b = {i: bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace(SPACE, " ").encode("utf-8") for i, p in enumerate(pieces)}
+        self.space = self.pieces.piece_to_id(SPACE)
+        if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces) or bytes_b[self.pieces.encode("a")[0]][:1] != b" ":
+            raise ValueError("pieces of the second vocabulary span the ends of words, or no space comes first")
         self.size_a, self.size_b = max(bytes_a) + 1, len(pieces)
-        self.len_a, self.len_b = np.zeros(self.size_a, np.int64), np.zeros(self.size_b, np.int64)
-        for table, of in ((self.len_a, bytes_a), (self.len_b, bytes_b)):
-            for i, b in of.items():
-                table[i] = len(b)
+        self.bytes_a, self.bytes_b = ([of.get(i, b"") for i in range(n)] for of, n in ((bytes_a, self.size_a), (bytes_b, self.size_b)))
+        self.len_a, self.len_b = (np.array([len(b) for b in of]) for of in (self.bytes_a, self.bytes_b))
         # decimal ids with the sign that follows them in the text of the groups
         self.said = [b"%d%c" % (i, c) for i in range(max(self.size_a, self.size_b)) for c in b",|;"]
         self.bits_b = max(1, int(self.size_b - 1).bit_length())
         self.ready = True
         return self
 
-    def encode(self, text: str) -> list[tuple[bytes, bytes]] | None:
+    def encode(self, text: str) -> list[tuple[np.ndarray, np.ndarray]] | None:
         """Ids of both, for each piece of ``" " + text``; None for texts without tokens."""
-        if not text or SPACE in text:
+        if not text:
             return None
         out = []
         for piece in pieces_of(" " + text):
-            a = b"".join(map(self.cache_a.__getitem__, self.words(piece)))
-            b = b"".join(map(self.cache_b.__getitem__, self.parts(piece)))
-            if np.frombuffer(a, np.int32).min() < 0 or np.frombuffer(b, np.int32).min() < 0:
+            a = self.encoding.encode_ordinary(piece)
+            b = self.pieces.encode(piece[1:]) or [self.space]  # puts its own space first
+            raw = piece.encode("utf-8")
+            if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
                 return None
-            out.append((a, b))
+            out.append((np.array(a, np.int64), np.array(b, np.int64)))
         return out
 
 
@@ -272,7 +249,7 @@ class Spiller:
         self.begun: list[bool] = []
         self.records: list[tuple[np.ndarray, np.ndarray]] = []
         self.n = 0
-        self.pieces: list[tuple[int, bytes, bytes]] = []
+        self.pieces: list[tuple[int, np.ndarray, np.ndarray]] = []
         self.waiting = 0
 
     def add(self, doc_id, text: str) -> None:
@@ -285,7 +262,7 @@ class Spiller:
         for a, b in pieces or ():
             self.pieces.append((at, a, b))
             self.waiting += len(a)
-            if self.waiting >= PART_BYTES:
+            if self.waiting >= PART_TOKENS:
                 self.align()
 
     def full(self) -> bool:
@@ -297,8 +274,8 @@ class Spiller:
             return
         tok = self.tok
         docs = np.array([d for d, _, _ in self.pieces])
-        na, nb = (np.array([len(p[k]) // 4 for p in self.pieces]) for k in (1, 2))
-        a, b = (np.frombuffer(b"".join(p[k] for p in self.pieces), np.int32).astype(np.int64) for k in (1, 2))
+        na, nb = (np.array([len(p[k]) for p in self.pieces]) for k in (1, 2))
+        a, b = (np.concatenate([p[k] for p in self.pieces]) for k in (1, 2))
         self.pieces, self.waiting = [], 0
         end_a, end_b = np.cumsum(tok.len_a[a]), np.cumsum(tok.len_b[b])
         ends = np.zeros((2, int(end_a[-1]) + 1), bool)

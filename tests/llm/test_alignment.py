@@ -103,7 +103,7 @@ def test_pieces_of_long_texts(frame, plain, prose, monkeypatch):
     want = plain(rows)
     assert aligned(frame(rows)) == want
     monkeypatch.setattr(A, "PIECE_CHARS", 50)
-    monkeypatch.setattr(A, "PART_BYTES", 700)
+    monkeypatch.setattr(A, "PART_TOKENS", 180)
     monkeypatch.setattr(A, "MOST_LINKS", 20)
     assert aligned(frame(rows)) == want
 
