@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def zsum(c) -> Column:
@@ -15,16 +16,26 @@ def zsum(c) -> Column:
     return F.coalesce(F.sum(col), F.lit(0.0))
 
 
+#: types whose values an aggregation buffer holds in place, so that Spark aggregates by hash
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+
+
 def first_line_per_transaction(df: DataFrame, cols: Sequence[str], key: str = "transaction_id") -> DataFrame:
     """``drop_duplicates(key)`` keeping the first line in ingestion order.
 
-    One hash aggregation on the key with ``min_by(..., _seq)``; partial
-    aggregation runs map-side, so even a huge transaction is reduced to one
-    row per partition before the shuffle.
+    One aggregation on the key; partial aggregation runs map-side, so even a
+    huge transaction is reduced to one row per partition before the shuffle.
+    Where ``_seq`` numbers the lines (a long, all different) and all columns
+    are of fixed width, each is taken by the least number and Spark aggregates
+    by hash; else the columns go together as a struct.
     """
     keep = [c for c in cols if c != key]
-    # ties on _seq (copies from a duplicated dimension key) are broken by the values themselves
-    order = F.struct(F.col("_seq"), *[F.col(c) for c in keep])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    numbered = isinstance(types["_seq"], T.LongType)
+    if numbered and all(isinstance(types[c], FIXED_WIDTH) for c in keep):
+        return df.groupBy(key).agg(*[F.min_by(c, "_seq").alias(c) for c in keep], F.min("_seq").alias("_seq"))
+    # ties on _seq (lines that are not numbered) are broken by the values themselves
+    order = F.col("_seq") if numbered else F.struct(F.col("_seq"), *[F.col(c) for c in keep])
     return (df.groupBy(key)
               .agg(F.min_by(F.struct(*[F.col(c) for c in keep], F.col("_seq")), order).alias("_f"))
               .select(key, *[F.col(f"_f.{c}").alias(c) for c in keep], F.col("_f._seq").alias("_seq")))

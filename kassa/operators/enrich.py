@@ -3,14 +3,20 @@
 pandas-merge semantics: left outer joins, duplicates fan out, clashing
 non-key columns get ``_x``/``_y``. Keys are normalised on both sides first, so
 the empty "missing" key matches an empty dimension key like any other value.
+
+Where lines are numbered (``_seq`` is a long), the copies of a line that a
+repeated dimension key makes are numbered too, in the order of the dimension's
+rows, so that ``_seq`` stays unique and keeps the order of a pandas merge.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kassa.functions.clean import normalise_identifier
-from kassa.operators.joins import hot_keys, left_join_skew_safe, size_bound_ok, suffix_clashes
+from kassa.operators.joins import hot_keys, left_join_skew_safe, most_copies, size_bound_ok, suffix_clashes
 
 FACT_KEYS = ("Contact_ID", "Item_ID", "Promotion_ID", "Store_transaction_ID")
 
@@ -22,20 +28,33 @@ def strip_headers(df: DataFrame) -> DataFrame:
 
 def _dim(df: DataFrame, key: str, rename: dict[str, str] | None = None) -> DataFrame:
     df = strip_headers(df)
-    if "_seq" in df.columns:
-        df = df.drop("_seq")
     for a, b in (rename or {}).items():
         if a in df.columns:
             df = df.withColumnRenamed(a, b)
     return df.withColumn(key, normalise_identifier(key))
 
 
+#: names of the copy numbers of each dimension's rows
+COPY = "__copy_{}"
+
+
+def _numbered_copies(dim: DataFrame, key: str, copy: str) -> tuple[DataFrame, int]:
+    """``dim`` with each row's number among the rows of its key, and the largest number of such rows."""
+    copies = most_copies(dim, key)
+    if copies > 1:
+        order = [F.col("_seq")] if "_seq" in dim.columns else []
+        same = Window.partitionBy(key).orderBy(*order, *[F.col(f"`{c}`") for c in dim.columns if c != "_seq"])
+        dim = dim.withColumn(copy, F.row_number().over(same) - 1)
+    return dim, copies
+
+
 def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame],
                                 known_small: dict[str, bool] | None = None) -> DataFrame:
     """J1-J4. ``known_small`` passes broadcast bounds already checked upstream
     (True = proven small, False = proven large); others are checked here."""
     df = strip_headers(sales).withColumns({k: normalise_identifier(k) for k in FACT_KEYS})
     salt = ["_seq"] if "_seq" in df.columns else None
+    numbered = salt and isinstance(df.schema["_seq"].dataType, T.LongType)
     plan = (
         ("contact", "Contact_ID", "Contact_ID", None),
         ("item", "Item_ID", "SKU", None),
@@ -43,6 +62,11 @@ def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame],
         ("store", "Store_transaction_ID", "STORE_ID", {"LIBELLE": "LIBELLE_y"}),
     )
     ready = {name: _dim(dims[name], dkey, rename) for name, _, dkey, rename in plan}
+    copies = {}
+    for name, _, dkey, _ in plan:
+        if numbered:
+            ready[name], copies[name] = _numbered_copies(ready[name], dkey, COPY.format(name))
+        ready[name] = ready[name].drop("_seq")
     is_small = dict(known_small or {})
     for name in ready:
         if name not in is_small:
@@ -54,4 +78,7 @@ def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame],
         df, dim = suffix_clashes(df, ready[name], keys)
         df = left_join_skew_safe(df, dim, fkey, dkey, salt_source=salt, assume_small=is_small[name],
                                  broadcast_max_bytes=-1, hot_values=hot.get(fkey))
-    return df
+    repeated = [name for name, n in copies.items() if n > 1]
+    for name in repeated:
+        df = df.withColumn("_seq", F.col("_seq") * copies[name] + F.coalesce(F.col(COPY.format(name)), F.lit(0)))
+    return df.drop(*[COPY.format(name) for name in repeated])

@@ -6,14 +6,15 @@
 * :func:`left_join_skew_safe` is a left outer equi-join whose hot key values
   are salted over ``buckets`` sub-keys on the fact side and replicated on the
   dimension side, so no single task receives a whole hot group. Hot keys are
-  found by counting the fact's keys.
+  found by frequent-items sketches and a recount of their few candidates.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +40,11 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0))).first()[0])
 
 
+def most_copies(df: DataFrame, key: str) -> int:
+    """Rows of the key that most rows share (0 for an empty frame)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+
+
 def size_bound_ok(df: DataFrame, max_bytes: int | None = None) -> bool:
     """True when the measured bytes of ``df`` stay under ``max_bytes``."""
     return measured_bytes(df) <= (DEFAULT_BROADCAST_BYTES if max_bytes is None else max_bytes)
@@ -52,14 +58,27 @@ def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
 def hot_keys(df: DataFrame, columns: Sequence[str], share: float = HOT_SHARE) -> dict[str, list]:
     """For each column its values that more than ``share`` of all rows have.
 
-    One pass over ``df``, counted map-side; at most 1 / ``share`` values of a
-    column reach the driver.
+    Each task keeps a frequent-items sketch of every column (Misra-Gries
+    counters, some thousand entries whatever the number of different keys);
+    sketches merge in two steps. A value above ``share`` is never missing from
+    the merged sketch, whose few candidates are then counted exactly.
     """
-    keys = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])).alias("k")
-    counts = df.select(keys).groupBy("k.c", "k.v").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.withColumn("rows", F.sum("n").over(Window.partitionBy("c")))
     out: dict[str, list] = {c: [] for c in columns}
-    for r in total.where((F.col("n") > F.col("rows") * share) & F.col("v").isNotNull()).collect():
+    if df.isEmpty():  # sketches of no rows do not combine
+        return out
+    most = math.ceil(1 / share)
+    tracked = max(1000, 16 * most)
+    own = [f"s{i}" for i in range(len(columns))]
+    text = [f"CAST(`{c}` AS STRING)" for c in columns]
+    sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(256)).alias("g")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.expr(f"approx_top_k_accumulate({t}, {tracked})").alias(s) for t, s in zip(text, own, strict=True)])
+    top = sketches.agg(F.sum("n").alias("n"), *[F.expr(f"approx_top_k_estimate(approx_top_k_combine({s}, {tracked}), {2 * most})").alias(s) for s in own]).first()
+    found = {c: [t["item"] for t in top[s] if t["item"] is not None and t["count"] > top["n"] * share] for c, s in zip(columns, own, strict=True)}
+    if not any(found.values()):
+        return out
+    keys = [F.when(F.col(c).cast("string").isin(found[c]), F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))) for c in columns if found[c]]
+    counts = df.select(F.explode(F.array_compact(F.array(*keys))).alias("k")).groupBy("k.c", "k.v").agg(F.count(F.lit(1)).alias("n"))
+    for r in counts.where(F.col("n") > top["n"] * share).collect():
         out[r["c"]].append(r["v"])
     return out
 

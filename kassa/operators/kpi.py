@@ -62,10 +62,10 @@ def monthly_sales_series(df: DataFrame) -> DataFrame:
     sides = F.explode(F.array(F.struct(F.col("transaction_id").alias("tx"), F.lit(None).cast("date").alias("m"), F.lit(True).alias("by_tx")),
                               F.struct(F.lit(None).cast("string").alias("tx"), month.alias("m"), F.lit(False).alias("by_tx")))).alias("k")
     g = (df.select(sides, month.alias("_m"), "transaction_value", "quantity_item", "_seq").groupBy("k.by_tx", "k.tx", "k.m")
-           .agg(F.min_by(F.struct("_m", "transaction_value"), "_seq").alias("_first"), zsum("quantity_item").alias("_units")))
+           .agg(F.min_by("_m", "_seq").alias("_first_m"), F.min_by("transaction_value", "_seq").alias("_first_value"), zsum("quantity_item").alias("_units")))
     tx = F.col("by_tx")
-    out = g.groupBy(F.when(tx, F.col("_first._m")).otherwise(F.col("m")).alias("month")).agg(
-        zsum(F.when(tx, F.col("_first.transaction_value"))).alias("revenue"), F.count_if(tx).cast("long").alias("orders"),
+    out = g.groupBy(F.when(tx, F.col("_first_m")).otherwise(F.col("m")).alias("month")).agg(
+        zsum(F.when(tx, F.col("_first_value"))).alias("revenue"), F.count_if(tx).cast("long").alias("orders"),
         zsum(F.when(~tx, F.col("_units"))).alias("units"))
     return out.where(F.col("orders") > 0)
 

@@ -6,18 +6,22 @@ Everything is a lazy projection/join of the parquet inputs, so the work grows
 with the tables. The mapping injects missing contacts, categories, quantities,
 a few unparseable dates and online stores so every cleaning rule runs.
 
-``_seq`` carries ingestion order (the fact has no file row order here):
-struct(order key, line number, part, supplier, price, discount, quantity).
+``_seq`` carries ingestion order (the fact has no file row order here): a long
+made of the order key and the line's rank in its order, by line number, part,
+supplier, price, discount and quantity.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+LINES_PER_ORDER = 1 << 16
+
+
 @dataclass
 class RawTables:
     sales: DataFrame
@@ -43,6 +47,8 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     # (sort-merge) join on the order key, never a broadcast of orders
     j = li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey, "inner")
     okey = F.col("l_orderkey")
+    # the join has dealt the lines by order already; no further shuffle
+    in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_quantity")
     unit = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     contact = (F.when(okey % 97 == 0, F.lit(""))
                 .when(okey % 89 == 0, F.lit(" null "))
@@ -65,9 +71,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         (unit * (F.lit(1.0) - F.col("l_discount"))).alias("Unit_sale_price"),
         F.col("o_totalprice").alias("Transaction_value"),
         qty.alias("Quantity_item"),
-        F.struct(okey.alias("o"), F.col("l_linenumber").alias("l"), F.col("l_partkey").alias("p"),
-                 F.col("l_suppkey").alias("s"), F.col("l_extendedprice").alias("x"),
-                 F.col("l_discount").alias("d"), F.col("l_quantity").alias("q")).alias("_seq"),
+        (okey.cast("long") * LINES_PER_ORDER + F.row_number().over(in_order)).alias("_seq"),
     )
 
 
@@ -138,7 +142,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
 
 def write_month_files(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
     """The raw tables as the files the reference reads: one CSV a month under
-    year folders, and four dimension files. Returns the root and the folders.
+    year folders, and four dimension files, each a folder of parts. Returns the root and the folders.
 
     Prices have decimal commas and spaces, missing cells are written as ``NA``,
     and a remark holds commas, quotes and a line break.
@@ -154,22 +158,19 @@ def write_month_files(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]
     month = F.substring("Date_transaction", 1, 6)
     staged = f"{root}/staged"
     options = {"header": True, "nullValue": "NA", "quote": '"', "escape": '"', "emptyValue": "", "quoteAll": True}
-    sales.withColumn("m", month).repartition("m").write.partitionBy("m").options(**options).csv(f"{staged}/sales")
+    # a month is a folder of part files, so that a large one is written and read by many tasks
+    sales.withColumn("m", month).repartition("m", F.pmod(F.xxhash64("Transaction_ID"), F.lit(4))).write.partitionBy("m").options(**options).csv(staged)
     for name, df in (("contact", t.contact), ("item", t.item), ("promotions", t.promotion), ("stores", t.store.orderBy("_seq").drop("_seq"))):
-        df.coalesce(1).write.options(**options).csv(f"{staged}/m={name}")
-    # the layout wants single files with given names: move the part files there
+        df.write.options(**options).csv(f"{root}/base/Base_{name}.csv")
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(conf)
     years = set()
-    for part in [*(fs.globStatus(path(f"{staged}/sales/m=*/part-*.csv")) or []), *(fs.globStatus(path(f"{staged}/m=*/part-*.csv")) or [])]:
-        key = part.getPath().getParent().getName().split("=")[1]
-        if key.isdigit():
-            years.add(key[:4])
-            target = f"{root}/{key[:4]}/Base_sales_{key}.csv"
-        else:
-            target = f"{root}/base/Base_{key}.csv"
-        fs.mkdirs(path(target).getParent())
-        if not fs.rename(part.getPath(), path(target)):
-            raise OSError(f"cannot move {part.getPath()} to {target}")
+    for folder in fs.globStatus(path(f"{staged}/m=*")) or []:  # one entry for each month
+        key = folder.getPath().getName().split("=")[1]
+        years.add(key[:4])
+        target = path(f"{root}/{key[:4]}/Base_sales_{key}.csv")
+        fs.mkdirs(target.getParent())
+        if not fs.rename(folder.getPath(), target):
+            raise OSError(f"cannot move {folder.getPath()} to {target}")
     return root, sorted(years)

@@ -97,3 +97,13 @@ def test_shuffle_partition_sizing(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old_adv)
+
+
+def test_hot_keys_without_gathering_the_keys(spark):
+    """Sketches, not keys, cross the shuffle; candidates below the share are recounted and left out."""
+    fact = spark.range(0, 60_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, "").when(F.col("id") % 40 == 1, "warm").when(F.col("id") % 100 == 2, "cool").otherwise(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise((F.col("id") % 70).cast("int")).alias("j"))
+    assert {c: sorted(v) for c, v in hot_keys(fact, ["k", "j"]).items()} == {"k": ["", "warm"], "j": []}
+    assert hot_keys(fact.where("false"), ["k", "j"]) == {"k": [], "j": []}
+    assert hot_keys(fact, ["j"], share=1 / 69)["j"] == [] and len(hot_keys(fact, ["j"], share=1 / 71)["j"]) == 35
