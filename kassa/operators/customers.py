@@ -82,13 +82,14 @@ def cohort_retention(df: DataFrame, exclude_missing: bool = False) -> DataFrame:
 def cohort_retention_matrix(df: DataFrame, indexes: Sequence[int] | None = None) -> DataFrame:
     """C1 (wide form, R2): one column per cohort index, like the unstacked table.
 
-    ``indexes`` names the columns; by default 1 up to the number of months
-    between the first and the last date. An index nobody reached is null.
+    ``indexes`` names the columns; by default every index that some customer
+    reached. An index nobody reached is null.
     """
+    cells = cohort_retention(df)
     if indexes is None:
-        r = df.agg(F.min("date_transaction").alias("a"), F.max("date_transaction").alias("b")).first()
-        indexes = range(1, (r["b"].year - r["a"].year) * 12 + r["b"].month - r["a"].month + 2) if r["a"] else []
-    return cohort_retention(df).groupBy("cohort_month").pivot("cohort_index", list(indexes)).agg(F.first("retention"))
+        cells = stored(cells, "retention")  # at most the square of the data's months
+        indexes = [r[0] for r in cells.select("cohort_index").distinct().orderBy("cohort_index").collect()]
+    return cells.groupBy("cohort_month").pivot("cohort_index", list(indexes)).agg(F.first("retention"))
 
 
 def retention_curve(df: DataFrame, horizon: int = 6) -> DataFrame:

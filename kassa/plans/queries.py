@@ -208,14 +208,10 @@ def _q_cohort(df):
     return C.cohort_retention(df)
 
 
-#: cohort indexes of the wide matrix: the seven years that the test orders span
-MATRIX_INDEXES = range(1, 85)
-
-
-@register("cohort_retention_matrix")
+@register("cohort_retention_matrix", round_output=False)
 def _q_cohort_matrix(df):
-    """R2 wide matrix over the named indexes."""
-    return C.cohort_retention_matrix(df, MATRIX_INDEXES)
+    """R2 wide matrix over all observed indexes (a retention has three places; nothing is left to round)."""
+    return C.cohort_retention_matrix(df)
 
 
 @register("cohort_sizes")
@@ -336,8 +332,8 @@ def _q_filtered(df):
     return K.compute_highlights(apply_filters(dash(df), FILTER_EXAMPLE))
 
 
-ITEM_FILTER = FilterSpec(months=[1, 2, 3, 7, 11], categories=["ECONOMY ANODIZED STEEL", "STANDARD POLISHED TIN", "PROMO BURNISHED COPPER", "SMALL PLATED BRASS"],
-                         stores=["AB Store 001 - Calgary", "AB Store 002 - Edmonton", "AB Store 003 - Red Deer", "Alberta Online Store 01"])
+ITEM_FILTER = FilterSpec(months=[1, 2, 3, 7, 11], categories=["ECONOMY", "STANDARD", "PROMO", "SMALL"],
+                         stores=["AB Store 002 - Edmonton", "AB Store 004 - Lethbridge", "AB Store 008 - Airdrie", "Alberta Online Store 01"])
 
 
 @register("filtered_lines")
@@ -391,16 +387,59 @@ def _q_web(spark, sf_dir):
     return K.web_account_share(TD.raw_contact(spark, sf_dir))
 
 
+_MONTH_FILES: dict[tuple, tuple] = {}
+
+
+def _month_files(spark, sf_dir):
+    """The raw tables as month files and dimension files in the shared folder, written once per session."""
+    from kassa.sources.testdata import write_month_files
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MONTH_FILES:
+        _MONTH_FILES[key] = write_month_files(spark, sf_dir)
+    return _MONTH_FILES[key]
+
+
 @register_raw("curated_from_month_files")
 def _q_month_files(spark, sf_dir):
-    """S1-S6 over files: the raw tables written as CSV month files and dimension
-    files in the shared folder, then discovered, read and curated."""
+    """S1-S6 over files: the month files and dimension files discovered, read in splits and curated."""
     from kassa.sources.files import load_and_prepare_data
-    from kassa.sources.testdata import write_month_files
-    root, years = write_month_files(spark, sf_dir)
+    root, years = _month_files(spark, sf_dir)
     return load_and_prepare_data(spark, root, sales_dirs=years)
 
 
+@register_raw("available_months")
+def _q_months(spark, sf_dir):
+    """The months that the sales folders offer."""
+    from kassa.sources.files import list_available_months
+    root, years = _month_files(spark, sf_dir)
+    return list_available_months(spark, root, years)
+
+
+CHOSEN_MONTHS = ("199601", "199602", "199607", "199711")
+
+
+@register_raw("pipeline_chosen_months")
+def _q_pipeline(spark, sf_dir):
+    """The pipeline object over chosen months of the files, then its monthly sales."""
+    from kassa.plans.facade import RetailDataPipeline
+    root, years = _month_files(spark, sf_dir)
+    pipeline = RetailDataPipeline(spark, root, years, CHOSEN_MONTHS)
+    return pipeline.monthly_sales(pipeline.run())
+
+
+@register_raw("sample_extract")
+def _q_extract(spark, sf_dir):
+    """S8 as a whole: the keys and rows of the sampled sales and of every dimension cut to them."""
+    from kassa.sources.sample import extract_sample
+    raw = TD.raw_tables(spark, sf_dir)
+    out = None
+    for name, df in extract_sample(raw.sales, raw.dims(), 20).items():
+        key = {"sales": "Transaction_ID", "contact": "Contact_ID", "item": "SKU", "promotion": "PROMO_ID", "store": "STORE_ID"}[name]
+        rows = df.groupBy(F.lit(name).alias("table_name"), F.col(key).alias("key")).agg(F.count(F.lit(1)).cast("long").alias("n_rows"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register_raw("promotion_timeline")
 def _q_timeline(spark, sf_dir):
     return P.promotion_timeline(TD.raw_promotion(spark, sf_dir), as_of="2000-01-01")

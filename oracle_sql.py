@@ -760,13 +760,25 @@ O["promotion_timeline"] = q("""SELECT CAST(m AS DATE) AS month, count(DISTINCT P
       SELECT PROMO_ID, CAST(date_trunc('month', TRY_CAST(START_DATE AS DATE)) AS DATE) AS s,
              CAST(date_trunc('month', coalesce(TRY_CAST(END_DATE AS DATE), DATE '2000-01-01')) AS DATE) AS e
       FROM raw_promo) WHERE s IS NOT NULL AND s <= e) GROUP BY 1""")
-O["cohort_retention_matrix"] = q("SELECT cohort_month, " + ", ".join(
-    f"max(CASE WHEN cohort_index = {i} THEN {R('retention')} END) AS \"{i}\"" for i in range(1, 85)) + " FROM ret GROUP BY 1", COHORT)
+O["cohort_retention_matrix"] = q(f"SELECT * FROM (PIVOT (SELECT cohort_month, cohort_index, {R('retention')} AS r FROM ret) "
+                                 "ON cohort_index USING max(r) GROUP BY cohort_month)", COHORT)
 O["curated_from_month_files"] = O["curated_sales"]
+O["available_months"] = q("SELECT DISTINCT substr(Date_transaction, 1, 6) AS month FROM raw_sales")
+O["pipeline_chosen_months"] = O["monthly_sales_series"].replace(
+    F1, "f1 AS (SELECT * FROM curated WHERE year * 100 + month IN (199601, 199602, 199607, 199711))")
+_DIM_KEYS = (("contact", "raw_contact", "Contact_ID", "Contact_ID"), ("item", "raw_item", "SKU", "Item_ID"),
+             ("promotion", "raw_promo", "PROMO_ID", "Promotion_ID"), ("store", "raw_store", "STORE_ID", "Store_transaction_ID"))
+O["sample_extract"] = q(
+    "SELECT 'sales' AS table_name, Transaction_ID AS key, count(*) AS n_rows FROM sampled GROUP BY 2" + "".join(
+        f" UNION ALL SELECT '{n}', {k}, count(*) FROM {t} WHERE {_norm(k)} IN (SELECT {_norm(f)} FROM sampled) GROUP BY 2" for n, t, k, f in _DIM_KEYS),
+    """dated AS (SELECT *, try_strptime(Date_transaction, '%Y%m%d') AS day FROM raw_sales),
+    sampled AS (SELECT * FROM dated WHERE day IS NOT NULL AND Transaction_ID IN (SELECT Transaction_ID FROM (
+      SELECT Transaction_ID, row_number() OVER (PARTITION BY m ORDER BY sha1(Transaction_ID), Transaction_ID) AS rn
+      FROM (SELECT DISTINCT date_trunc('month', day) AS m, Transaction_ID FROM dated WHERE day IS NOT NULL)) WHERE rn <= 20))""")
 O["filtered_lines"] = q(sel("transaction_id, item_id, month, category, store_name, quantity_item*", """(SELECT * FROM f1
     WHERE month IN (1, 2, 3, 7, 11)
-      AND category IN ('ECONOMY ANODIZED STEEL', 'STANDARD POLISHED TIN', 'PROMO BURNISHED COPPER', 'SMALL PLATED BRASS')
-      AND store_name IN ('AB Store 001 - Calgary', 'AB Store 002 - Edmonton', 'AB Store 003 - Red Deer', 'Alberta Online Store 01'))"""), F1)
+      AND category IN ('ECONOMY', 'STANDARD', 'PROMO', 'SMALL')
+      AND store_name IN ('AB Store 002 - Edmonton', 'AB Store 004 - Lethbridge', 'AB Store 008 - Airdrie', 'Alberta Online Store 01'))"""), F1)
 O["filtered_items"] = q(sel("item_id, year, month, units*, lines", f"""(SELECT item_id, year, month, {zs('quantity_item')} AS units, count(*) AS lines
     FROM f1 WHERE item_id IN (SELECT 'ITEM' || upper(sha1(CAST(i AS VARCHAR))) FROM (VALUES (1), (5), (17), (42), (99), (150)) t(i)) GROUP BY 1, 2, 3)"""), F1)
 _STEPS = [("year", "year IN (1996, 1997)"), ("quarter", "quarter IN (1, 2, 4)"), ("month", None), ("days", "days_since_epoch BETWEEN 9500 AND 10100"),
