@@ -27,6 +27,11 @@ def compute_highlights(df: DataFrame) -> DataFrame:
     one = g.agg(zsum(F.when(tx, F.col("_first"))).alias("total_revenue"), F.count_if(tx).cast("long").alias("total_orders"),
                 zsum(F.when(city, F.col("_units"))).alias("total_units"),
                 zsum(F.when(city & (F.lower("city") == "online"), F.col("_rev"))).alias("_online"), F.min(best).alias("_top"))
+    return highlight_row(one)
+
+
+def highlight_row(one: DataFrame) -> DataFrame:
+    """G1 from its sums: ``total_revenue, total_units, total_orders, _online`` and ``_top`` = (-revenue, city)."""
     rev = F.col("total_revenue")
     return one.select(
         rev, "total_units", "total_orders",

@@ -19,11 +19,16 @@ def store_profitability(df: DataFrame) -> DataFrame:
     g = df.groupBy("store_name", "city").agg(
         zsum("transaction_value").alias("revenue"), zsum("quantity_item").alias("units"),
         zsum("line_discount").alias("discount"))
+    return rank_profitability(g)
+
+
+def rank_profitability(g: DataFrame) -> DataFrame:
+    """G14 from its sums per (store name, city)."""
     g = g.withColumn("avg_discount_per_unit", safe_ratio("discount", "units"))
     return global_order(g, [F.col("revenue").desc(), F.col("store_name"), F.col("city")], rank_col="row_rank")
 
 
-def _perf(g: DataFrame, keys: list[str]) -> DataFrame:
+def rank_performance(g: DataFrame, keys: list[str]) -> DataFrame:
     """Ratios, share of the total, and ``row_rank`` by GMV, largest first."""
     g = g.withColumns({
         "aov": safe_ratio("gmv", "orders"),
@@ -40,22 +45,33 @@ def _measures(grouped) -> DataFrame:
                        F.countDistinct("transaction_id").cast("long").alias("orders"))
 
 
-def store_deep_dive(df: DataFrame) -> DataFrame:
-    """Per (store id, name, city, province) with label defaults."""
-    base = df.withColumns({
+STORE_KEYS = ["store_id", "store_name", "store_city", "store_province"]
+CITY_KEYS = ["province", "city"]
+
+
+def store_labels(df: DataFrame) -> DataFrame:
+    """Label defaults of G15."""
+    return df.withColumns({
         "store_name": F.coalesce("store_name", "store_id"),
         "store_city": F.coalesce("city", F.lit(UNKNOWN_LABEL)),
         "store_province": F.coalesce("province", F.lit(UNKNOWN_LABEL)),
     })
-    keys = ["store_id", "store_name", "store_city", "store_province"]
-    return _perf(_measures(base.groupBy(*keys)), keys)
+
+
+def city_labels(df: DataFrame) -> DataFrame:
+    """Label defaults of G16."""
+    return df.withColumns({"province": F.coalesce("province", F.lit(UNKNOWN_LABEL)),
+                           "city": F.coalesce("city", F.lit(UNKNOWN_LABEL))})
+
+
+def store_deep_dive(df: DataFrame) -> DataFrame:
+    """Per (store id, name, city, province) with label defaults."""
+    return rank_performance(_measures(store_labels(df).groupBy(*STORE_KEYS)), STORE_KEYS)
 
 
 def city_performance(df: DataFrame) -> DataFrame:
     """Per (province, city) with 'Unknown' defaults."""
-    base = df.withColumns({"province": F.coalesce("province", F.lit(UNKNOWN_LABEL)),
-                           "city": F.coalesce("city", F.lit(UNKNOWN_LABEL))})
-    return _perf(_measures(base.groupBy("province", "city")), ["province", "city"])
+    return rank_performance(_measures(city_labels(df).groupBy(*CITY_KEYS)), CITY_KEYS)
 
 
 def city_category_mix(df: DataFrame, k: int = 5) -> DataFrame:

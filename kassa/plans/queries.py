@@ -427,6 +427,48 @@ def _q_pipeline(spark, sf_dir):
     return pipeline.monthly_sales(pipeline.run())
 
 
+_PARTIALS: dict[tuple, object] = {}
+
+
+def _partials(spark, sf_dir):
+    """The store of monthly partials over the curated table, built once per session; one month is then refreshed."""
+    from kassa.plans.partials import MonthlyPartials
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PARTIALS:
+        store, curated = MonthlyPartials(spark), curated_from_testdata(spark, sf_dir)
+        store.refresh(curated)
+        store.refresh(curated, [(1996, 2)])
+        _PARTIALS[key] = store
+    return _PARTIALS[key]
+
+
+PARTIAL_MONTHS = [(1996, 1), (1996, 2), (1997, 11)]
+
+
+@register_raw("partials_highlights")
+def _q_partials_highlights(spark, sf_dir):
+    """G1 of three months, merged from their partials."""
+    return _partials(spark, sf_dir).highlights(PARTIAL_MONTHS)
+
+
+@register_raw("partials_monthly_kpi")
+def _q_partials_kpi(spark, sf_dir):
+    """G2 of all months from partials."""
+    return _partials(spark, sf_dir).monthly_kpi_summary()
+
+
+@register_raw("partials_sales_series")
+def _q_partials_series(spark, sf_dir):
+    """G3 of all months from partials."""
+    return _partials(spark, sf_dir).monthly_sales_series()
+
+
+@register_raw("partials_store_deep_dive")
+def _q_partials_stores(spark, sf_dir):
+    """G15 of three months from partials."""
+    return _partials(spark, sf_dir).store_deep_dive(PARTIAL_MONTHS)
+
+
 @register_raw("sample_extract")
 def _q_extract(spark, sf_dir):
     """S8 as a whole: the keys and rows of the sampled sales and of every dimension cut to them."""

@@ -766,6 +766,12 @@ O["curated_from_month_files"] = O["curated_sales"]
 O["available_months"] = q("SELECT DISTINCT substr(Date_transaction, 1, 6) AS month FROM raw_sales")
 O["pipeline_chosen_months"] = O["monthly_sales_series"].replace(
     F1, "f1 AS (SELECT * FROM curated WHERE year * 100 + month IN (199601, 199602, 199607, 199711))")
+_CHOSEN = "year * 100 + month IN (199601, 199602, 199711)"
+O["partials_highlights"] = O["highlights"].replace(F1, F1.replace("WHERE ", f"WHERE {_CHOSEN} AND "))
+O["partials_monthly_kpi"] = O["monthly_kpi_summary"]
+O["partials_sales_series"] = O["monthly_sales_series"]
+O["partials_store_deep_dive"] = O["store_deep_dive"].replace("FROM typed WHERE d IS NOT NULL)",
+                                                             "FROM typed WHERE d IS NOT NULL AND year(d) * 100 + month(d) IN (199601, 199602, 199711))")
 _DIM_KEYS = (("contact", "raw_contact", "Contact_ID", "Contact_ID"), ("item", "raw_item", "SKU", "Item_ID"),
              ("promotion", "raw_promo", "PROMO_ID", "Promotion_ID"), ("store", "raw_store", "STORE_ID", "Store_transaction_ID"))
 O["sample_extract"] = q(
