@@ -9,6 +9,13 @@ kept; so no occurrence within the edit budget is lost. A banded alignment then
 decides: an item is reported where its edit distance to a part of the document
 is at most k.
 
+Source code repeats itself. A run of white space, of whatever length, counts as
+one blank, so indentation neither matches indentation nor costs edits. Each
+place of an item, and each position of the document, counts once in a band,
+however many partners it has there (rulers). And q-grams that the items hold several times each on average are left out of an item as long as its
+bound, less by as many, stays a third of what it was (the lemma holds for any
+subset of the places: k edits spoil at most Q k of them).
+
 Items of fewer than ``MIN_BYTES`` bytes have no budget: each is found where its
 folded bytes stand between word borders, in the same scan.
 
@@ -17,8 +24,8 @@ of its words is searched like an item, with its own budget and bound, and
 occurrences that overlap along the item become one region. A run's matches are
 counted in the item's own bands, so the items' q-grams are looked up once.
 
-Edits are counted in UTF-8 bytes; the case of Latin letters and the kind of white
-space do not count. The items are a stated
+Edits are counted in UTF-8 bytes; the case of Latin letters and the kind and
+amount of white space do not count. The items are a stated
 query set: they are broadcast in blocks of ``BLOCK_BYTES``, one scan of the
 documents for each block.
 """
@@ -43,6 +50,8 @@ SEGMENT_WORDS = 13
 BLOCK_BYTES = 4 << 20
 SCAN_BYTES = 2 << 20
 FILTER_BITS = 20
+COMMON = 64             # places of a q-gram in a block of items, and twice as many as items, that make it common
+MOST_PAIRS = 1 << 22    # matches (position, place) of a window; one that has more is cut
 
 # scripts without blanks between words (Thai to Myanmar, Khmer, Chinese, Japanese): every place is a border
 UNSPACED = ((0x0E00, 0x109F), (0x1780, 0x17FF), (0x2E80, 0xA4CF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
@@ -67,6 +76,20 @@ def folded(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def single_blanks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which bytes of folded texts stay when runs of blanks become one blank; runs end with their text."""
+    blank = data == 32
+    stay = np.ones(len(data), bool)
+    stay[1:] = ~(blank[1:] & blank[:-1])
+    stay[starts[:-1][np.diff(starts) > 0]] = True
+    return stay
+
+
+def prepared(item: str) -> np.ndarray:
+    data = folded(np.frombuffer(item.encode("utf-8"), np.uint8))
+    return data[single_blanks(data, np.array([0, len(data)]))]
+
+
 def codes_at(data: np.ndarray) -> np.ndarray:
     """The q-gram at every position as one 64-bit number."""
     n = len(data) - Q + 1
@@ -165,7 +188,7 @@ class ItemIndex:
     """Q-grams of a block of items: where each occurs, and each item's budget and bound."""
 
     def __init__(self, items: list[tuple[int | None, str]], edit_rate: float = EDIT_RATE, segment_words: int = 0):
-        held = [(i, folded(np.frombuffer(t.encode("utf-8"), np.uint8))) for i, t in items]
+        held = [(i, prepared(t)) for i, t in items]
         self.short = ShortItems([(i, t) for i, b in held if len(b) < MIN_BYTES and (t := b.tobytes().strip(b" "))])
         held = [(i, b) for i, b in held if len(b) >= MIN_BYTES]
         self.ids = [i for i, _ in held]
@@ -179,6 +202,15 @@ class ItemIndex:
         code = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
         place = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.zeros(0, np.int64)
+        # runs of words: their range in the item, budget and bound; those of item i are seg_first[i] to seg_first[i + 1]
+        segs = [runs(t, segment_words) for t in self.texts]
+        self.seg_first = np.concatenate(([0], np.cumsum([len(a) for a, _ in segs]))).astype(np.int64)
+        self.seg_start, self.seg_end = (np.concatenate([x[k] for x in segs]) if segs else np.zeros(0, np.int64) for k in (0, 1))
+        size = self.seg_end - self.seg_start
+        self.seg_budget = np.maximum(np.minimum((size * edit_rate).astype(np.int64), size // Q - 1), 0)
+        self.seg_bound = np.maximum(size + 1 - Q * (self.seg_budget + 1), 1)
+        kept = self._without_common(code, item, place)
+        code, item, place = code[kept], item[kept], place[kept]
         order = np.argsort(code, kind="stable")
         self.code, self.first = np.unique(code[order], return_index=True)
         self.first = np.append(self.first, len(code))
@@ -187,13 +219,6 @@ class ItemIndex:
         self.sieve[slot(self.code)] = True
         self.reach = int((m + self.budget).max(initial=0))
         self.least = int(self.bound.min(initial=1 << 30))
-        # runs of words: their range in the item, budget and bound; those of item i are seg_first[i] to seg_first[i + 1]
-        segs = [runs(t, segment_words) for t in self.texts]
-        self.seg_first = np.concatenate(([0], np.cumsum([len(a) for a, _ in segs]))).astype(np.int64)
-        self.seg_start, self.seg_end = (np.concatenate([x[k] for x in segs]) if segs else np.zeros(0, np.int64) for k in (0, 1))
-        size = self.seg_end - self.seg_start
-        self.seg_budget = np.maximum(np.minimum((size * edit_rate).astype(np.int64), size // Q - 1), 0)
-        self.seg_bound = np.maximum(size + 1 - Q * (self.seg_budget + 1), 1)
         self.seg_reach, self.seg_least = int((size + self.seg_budget).max(initial=0)), int(self.seg_bound.min(initial=1 << 30))
         # an item's bands for runs are as wide as its largest budget asks; a band needs its least bound
         some = np.flatnonzero(np.diff(self.seg_first))
@@ -202,8 +227,31 @@ class ItemIndex:
             self.seg_step[some] = np.maximum.reduceat(self.seg_budget, self.seg_first[some]) + 1
             self.item_least[some] = np.minimum.reduceat(self.seg_bound, self.seg_first[some])
 
-    def matches(self, data: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(position, item, place in item) of shared q-grams that can be part of an occurrence."""
+    def _without_common(self, code: np.ndarray, item: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Which (q-gram, item, place) to search by: common q-grams go where the bounds of the item and of all
+        its runs, which become less by the places that went, allow it."""
+        kept = np.ones(len(code), bool)
+        each, at, n = np.unique(code, return_inverse=True, return_counts=True)
+        common = np.flatnonzero(n > max(COMMON, 2 * len(self.ids)))
+        if not len(common):
+            return kept
+        start = np.concatenate(([0], np.cumsum(np.bincount(item, minlength=len(self.ids)))))  # an item's places follow each other
+        left, seg_left = np.maximum(1, self.bound // 3), np.maximum(1, self.seg_bound // 3)
+        for c in common[np.argsort(-n[common], kind="stable")]:
+            of = np.flatnonzero(at == c)
+            for i, own in zip(*runs_of_equal(item[of]), strict=True):
+                go = of[own]
+                bound = self.bound[i] - len(go)
+                seg = slice(self.seg_first[i], self.seg_first[i + 1])
+                lost = np.searchsorted(place[go], self.seg_end[seg] - Q, "right") - np.searchsorted(place[go], self.seg_start[seg])
+                if bound >= left[i] and (self.seg_bound[seg] - lost >= seg_left[seg]).all():
+                    kept[go] = False
+                    self.bound[i] = bound
+                    self.seg_bound[seg] -= lost
+        return kept
+
+    def matches(self, data: np.ndarray, doc: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """(position, item, place in item) of shared q-grams that can be part of an occurrence; None if more than ``most``."""
         codes = codes_at(data)
         at = np.flatnonzero(self.sieve[slot(codes)])
         if not len(at) or not len(self.code):
@@ -214,6 +262,8 @@ class ItemIndex:
         live = self.dense(at, self.reach, self.least) | self.dense(at, self.seg_reach, self.seg_least)
         at, which = at[live], which[live]
         per = self.first[which + 1] - self.first[which]
+        if most is not None and per.sum() > most:
+            return None
         entry = np.repeat(self.first[which], per) + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
         return np.repeat(at, per), self.item[entry], self.place[entry]
 
@@ -242,7 +292,7 @@ class ItemIndex:
             di, b = divmod(int(key[x]), wide)
             d, i = divmod(di, len(self.ids))
             of = np.arange(self.seg_first[i], self.seg_first[i + 1])
-            own = np.sort(place[x:y])
+            own = np.unique(place[x:y])
             count = np.searchsorted(own, self.seg_end[of] - Q, "right") - np.searchsorted(own, self.seg_start[of])
             if len(full := of[count >= self.seg_bound[of]]):
                 yield d, i, (b + low) * int(self.seg_step[i]), full
@@ -257,15 +307,37 @@ class ItemIndex:
         wide = int(band.max()) - low + 1
         # document, item and band in one number: at most 2**23 * 2**17 * 2**23 for a scanned piece
         key = (doc[at] * len(self.ids) + item) * wide + (band - low)
-        key = np.sort(np.concatenate([key, key - 1]))
-        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        count, key = np.diff(np.append(new, len(key))), key[new]
-        di, b = np.divmod(key, wide)
+        key, at, place = np.concatenate([key, key - 1]), np.concatenate([at, at]), np.concatenate([place, place])
+        order = np.argsort(key, kind="stable")
+        key, at, place = key[order], at[order], place[order]
+
+        def counted(full: np.ndarray | None, value: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+            """Bands, and how many matches, or different values, each has."""
+            k = key if full is None else key[full]
+            if value is not None:
+                v = value[full]
+                o = np.lexsort((v, k))
+                k, v = k[o], v[o]
+                k = k[np.concatenate(([True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])))] if len(k) else k
+            new = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.zeros(0, np.int64)
+            return k[new], np.diff(np.append(new, len(k)))
+
+        bands, count = counted(None, None)
+        for value in (place, at):  # each place, and each position, is a match once
+            bands = bands[count >= self.bound[bands // wide % len(self.ids)]]
+            bands, count = counted(np.isin(key, bands), value)
+        di, b = np.divmod(bands, wide)
         d, i = np.divmod(di, len(self.ids))
         full = count >= self.bound[i]
         return d[full], i[full], (b[full] + low) * (self.budget[i[full]] + 1)
 
 
+def runs_of_equal(x: np.ndarray) -> tuple[list[int], list[slice]]:
+    """The values of a sorted array and where each stands."""
+    new = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+    return x[new].tolist(), [slice(a, b) for a, b in zip(new.tolist(), [*new[1:].tolist(), len(x)], strict=True)]
+
+
 def align(pattern: np.ndarray, text: np.ndarray, width: int, free: bool) -> tuple[int, int]:
     """Least edits of the pattern against a part of ``text``, and where that part ends.
 
@@ -332,12 +404,21 @@ def scan(index: ItemIndex, arr: pa.Array) -> Iterator[list[tuple[int | None, int
     data, offsets = text_bytes(arr)
     for lo, hi in row_blocks(offsets, SCAN_BYTES):
         part = folded(data[offsets[lo]:offsets[hi]])
-        starts = offsets[lo:hi + 1] - offsets[lo]
+        whole_starts = offsets[lo:hi + 1] - offsets[lo]
+        source = np.flatnonzero(single_blanks(part, whole_starts))
+        part, starts = part[source], np.searchsorted(source, whole_starts)
         found: list[list] = [[] for _ in range(hi - lo)]
         pieces: list[set] = [set() for _ in range(hi - lo)]
-        for a, b in windows(len(part), SCAN_BYTES * 2, index.reach * 4 + 64):
+        overlap = index.reach * 4 + 64
+        todo = list(windows(len(part), SCAN_BYTES * 2, overlap))[::-1]
+        while todo:
+            a, b = todo.pop()
             doc = np.repeat(np.arange(hi - lo), np.diff(np.clip(starts, a, b)))
-            at, item, place = index.matches(part[a:b], doc)
+            found_here = index.matches(part[a:b], doc, MOST_PAIRS if b - a > 4 * overlap else None)
+            if found_here is None:  # too many matches to hold: the halves share what the windows share
+                todo += [(a + x, a + y) for x, y in windows(b - a, (b - a + overlap) // 2 + 1, overlap)][::-1]
+                continue
+            at, item, place = found_here
 
             def around(d: int, a=a, b=b) -> tuple[bytes, int]:
                 """The text as far as the window has it, and where that part starts in the text."""
@@ -378,7 +459,9 @@ def scan(index: ItemIndex, arr: pa.Array) -> Iterator[list[tuple[int | None, int
             hits = apart(hits)
             if runs_of:
                 hits = passages(index, runs_of, hits, part[starts[d]:starts[d + 1]].tobytes()) + hits
-            yield [(index.ids[i], s, e, k) for i, s, e, k in sorted(hits, key=lambda h: (h[1], h[0]))] + more
+            hits = [(index.ids[i], s, e, k) for i, s, e, k in sorted(hits, key=lambda h: (h[1], h[0]))] + more
+            # back to places in the text as it stands
+            yield [(i, int(source[starts[d] + s] - whole_starts[d]), int(source[starts[d] + e - 1] + 1 - whole_starts[d]), k) for i, s, e, k in hits]
 
 
 def windows(n: int, size: int, overlap: int) -> Iterator[tuple[int, int]]:

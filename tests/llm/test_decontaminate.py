@@ -120,3 +120,107 @@ def test_passages_of_items(spark, frame, prose, monkeypatch):
             assert " ".join(quoted) in passage and len(passage) <= len(" ".join(quoted)) + 30
     left = D.clean_documents(frame(rows), bench, segment_words=13).collect()
     assert sorted(r["doc_id"] for r in left) == [3, 7]
+
+
+def flat(text):
+    """Folded as the operator documents it, for ASCII texts: lower case, a run of white space is one blank."""
+    import re
+    return re.sub(r"[ \t-\r]+", " ", text.lower())
+
+
+def least_edits(pattern, text):
+    """Least edits of the pattern against any part of the text, by rows."""
+    import numpy as np
+    t = np.frombuffer(text.encode(), np.uint8)
+    cells = np.arange(len(t) + 1)
+    row = np.zeros(len(t) + 1, np.int64)
+    for i, p in enumerate(pattern.encode(), 1):
+        new = np.concatenate([[i], np.minimum(row[:-1] + (t != p), row[1:] + 1)])
+        row = np.minimum.accumulate(new - cells) + cells
+    return int(row.min())
+
+
+def budget(size):
+    return max(min(int(size * D.EDIT_RATE), size // D.Q - 1), 0)
+
+
+def quoted(item, text, words):
+    """Whether the item, or any run of so many of its words, is in the text within its edit budget."""
+    item, text = flat(item), flat(text)
+    if least_edits(item, text) <= budget(len(item)):
+        return True
+    w = item.split(" ")
+    return any(least_edits(r, text) <= budget(len(r)) for r in (" ".join(w[i:i + words]) for i in range(len(w) - words + 1)))
+
+
+@pytest.mark.parametrize("scan_bytes", [2 << 20, 900])
+def test_passages_with_edits_by_brute_force(spark, frame, prose, monkeypatch, scan_bytes):
+    """The registered mode against edit distance for every run of words."""
+    monkeypatch.setattr(D, "SCAN_BYTES", scan_bytes)
+    rng = random.Random(8)
+    bench = [(i, " ".join(prose(rng.randint(14, 45), seed=900 + i))) for i in range(6)]
+    rows = []
+    for n in range(36):
+        i, t = rng.choice(bench)
+        w = t.split(" ")
+        a = rng.randrange(max(1, len(w) - 12))
+        part = " ".join(w[a:a + rng.choice([8, 12, 13, 14, 20, 45])])
+        part = edited(part, rng.choice([0, 0, 1, 2, 4, 6, 9, 14]), rng)
+        rows.append((n, " ".join(prose(12, seed=n)) + " " + part + " \n " + " ".join(prose(12, seed=n + 300))))
+    want = {(n, i) for n, text in rows for i, t in bench if quoted(t, text, 13)}
+    got = D.contaminated(frame(rows), spark.createDataFrame(bench, "item_id long, text string"), segment_words=13).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and 8 < len(want) < 36
+
+
+def code(n, seed):
+    """Indented source code with rulers, much of it alike."""
+    rng = random.Random(seed)
+    lines = []
+    for _ in range(n):
+        depth = "    " * rng.randint(0, 6)
+        lines.append(depth + rng.choice(["return None", "for i in range(10):", "if x is not None:", f"value_{rng.randint(0, 999)} = self.read({rng.randint(0, 99)})",
+                                         "# " + "-" * rng.randint(20, 60), f"raise ValueError('bad {rng.randint(0, 999)}')", "self.items.append(i)", f"total += {rng.randint(0, 9999)}"]))
+    return "\n".join(lines)
+
+
+@pytest.mark.parametrize("words", [0, 13])
+def test_source_code(spark, frame, words, monkeypatch):
+    """Runs of blanks and rulers match each other everywhere; the result is that of plain edit distance."""
+    monkeypatch.setattr(D, "MOST_PAIRS", 5000)
+    monkeypatch.setattr(D, "COMMON", 8)
+    rng = random.Random(5)
+    bench = [(i, code(14, 50 + i)) for i in range(25)]
+    rows = [(n, code(30, n) + "\n" + code(1, 999)) for n in range(12)]
+    rows += [(100 + n, code(10, 200 + n) + "\n" + edited(bench[n][1], rng.choice([0, 3, 12, 40]), rng) + "\n" + code(10, 300 + n)) for n in range(10)]
+    rows += [(200, bench[3][1].replace("    ", "\t")), (201, " " * 3000), (202, "# " + "-" * 3000)]
+    limit = words or 10**9
+    want = {(n, i) for n, text in rows for i, t in bench if quoted(t, text, limit)}
+    got = D.contaminated(frame(rows), spark.createDataFrame(bench, "item_id long, text string"), segment_words=words).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and (200, 3) in want
+    texts = dict(rows)
+    for r in got:
+        assert texts[r["doc_id"]].encode()[r["start"]:r["end"]].decode() == r["passage"]
+
+
+def test_code_against_code_in_bounded_time_and_memory():
+    """Snippets of the standard library against its files: quick, and the matches held stay few."""
+    import glob
+    import os
+    import time
+
+    import pyarrow as pa
+    files = [open(f, errors="replace").read() for f in sorted(glob.glob(os.path.dirname(os.__file__) + "/*.py"))[:80]]
+    files = [f for f in files if len(f) > 5000]
+    rng = random.Random(1)
+    bench = []
+    for k in range(164):
+        f = rng.choice(files)
+        a = rng.randrange(len(f) - 600)
+        bench.append((k, f[a:a + 600]))
+    index = D.ItemIndex(bench, segment_words=13)
+    text = "".join(files)[:300_000]
+    began = time.process_time()
+    (hits,) = D.scan(index, pa.array([text]))
+    assert time.process_time() - began < 30
+    inside = {k for k, t in bench if t in text}
+    assert inside and inside <= {h[0] for h in hits}
