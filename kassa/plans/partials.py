@@ -74,13 +74,13 @@ class MonthlyPartials:
             (df.hint("rebalance", *month).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*month).parquet(f"{self.path}/{name}"))
         if months is not None:
-            self._drop_missing(months)
+            here = {tuple(r) for r in lines.select(*month).distinct().collect()}  # of the months asked for
+            self._drop(set(months) - here)
 
-    def _drop_missing(self, months: list[Month]) -> None:
+    def _drop(self, months: set[Month]) -> None:
         """A refreshed month without lines leaves no rows behind."""
-        left = {tuple(r) for r in self._table("lines", months, False).select("year", "month").distinct().collect()}
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for y, m in set(months) - left:
+        for y, m in months:
             for name in self.TABLES:
                 folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/year={y}/month={m}")
                 folder.getFileSystem(conf).delete(folder, True)
