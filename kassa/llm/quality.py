@@ -2,14 +2,19 @@
 
 A text is read as UTF-8 bytes and cut into overlapping chunks of ``WIDTH``
 bytes, one every ``STRIDE`` bytes, so that the chunks cover the whole text
-(the last is padded). Each byte has a learned vector; learned filters look at
-every chunk; each filter keeps its largest answer over all chunks (max
+(the last is padded). Each byte has a learned vector. A chunk also shows how its
+text repeats itself: for each distance up to ``LAGS``, which share of the next
+16 and of the next 64 bytes equals the byte so far before it, and the largest of
+these shares; so words that no labelled text had can be seen to come again and
+again. Learned filters look at
+both in every chunk; each filter keeps its largest answer over all chunks (max
 pooling), and a logistic layer combines these into one probability.
 
 The model is fitted on the driver with a bounded sample of labelled rows:
 ``SAMPLE_ROWS`` rows in the order of a hash of their id, of at most
 ``SAMPLE_BYTES`` bytes each. Scoring reads every whole text, in slices of
-``SLICE`` chunks, so memory does not grow with the length of a text.
+``SLICE`` chunks; what it holds besides is some ten bytes for each byte of the
+longest text.
 """
 
 from __future__ import annotations
@@ -23,6 +28,8 @@ from pyspark.sql.types import DoubleType
 from kassa.llm.common import fresh, row_blocks, share, shared, stash, text_bytes, whole
 
 WIDTH, STRIDE, EMBED, FILTERS = 16, 8, 8, 32
+LAGS, SPANS = 24, (16, 64)
+GAP = max(LAGS, WIDTH, *SPANS)  # padding between texts, so that none sees another
 PAD = 256
 SLICE = 4096
 BLOCK_BYTES = 1 << 20
@@ -40,34 +47,65 @@ def chunk_starts(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     lengths = np.diff(offsets)
     per = 1 + np.maximum(0, -(-(lengths - WIDTH) // STRIDE))
     first = np.concatenate(([0], np.cumsum(per)))
-    place = offsets[:-1] + WIDTH * np.arange(len(lengths))
+    place = offsets[:-1] + GAP * np.arange(1, len(lengths) + 1)
     within = np.arange(first[-1]) - np.repeat(first[:-1], per)
     return np.repeat(place, per) + STRIDE * within, first, place
 
 
 def padded(data: np.ndarray, offsets: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """The texts one after another, each followed by WIDTH pad symbols."""
+    """The texts one after another, with GAP pad symbols before, between and after them."""
     n = len(offsets) - 1
-    out = np.full(len(data) + WIDTH * n, PAD, np.uint16)
+    out = np.full(len(data) + GAP * (n + 1), PAD, np.uint16)
     for i, p in enumerate(place.tolist()):
         out[p:p + offsets[i + 1] - offsets[i]] = data[offsets[i]:offsets[i + 1]]
     return out
 
 
+def repeats(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each start (ascending), distance and span the share of the span's bytes that equal the byte so far before
+    them; first the largest share of each span."""
+    a, n = int(starts[0]), int(starts[-1] - starts[0]) + max(SPANS)
+    part = buf[a - LAGS:a + n]
+    here, at = part[LAGS:], starts - a
+    real = here != PAD
+    out = np.empty((len(starts), LAGS + 1, len(SPANS)), np.float32)
+    sums = np.zeros(n + 1, np.int32)
+    for lag in range(1, LAGS + 1):
+        np.cumsum((here == part[LAGS - lag:LAGS - lag + n]) & real, out=sums[1:])
+        for k, span in enumerate(SPANS):
+            out[:, lag, k] = (sums[at + span] - sums[at]) * np.float32(1 / span)
+    out[:, 0] = out[:, 1:].max(1)
+    return out.reshape(len(starts), -1)
+
+
+def repeats_at(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The same for starts in any order."""
+    near = buf[starts[:, None] + np.arange(-LAGS, max(SPANS))]
+    here = near[:, LAGS:]
+    real = here != PAD
+    out = np.empty((len(starts), LAGS + 1, len(SPANS)), np.float32)
+    for lag in range(1, LAGS + 1):
+        same = (here == near[:, LAGS - lag:near.shape[1] - lag]) & real
+        for k, span in enumerate(SPANS):
+            out[:, lag, k] = same[:, :span].sum(1) * np.float32(1 / span)
+    out[:, 0] = out[:, 1:].max(1)
+    return out.reshape(len(starts), -1)
+
+
 class ByteConvNet:
-    """embedding -> filters over chunks -> ReLU -> max over chunks -> logistic."""
+    """embedding and repetition -> filters over chunks -> ReLU -> max over chunks -> logistic."""
 
     def __init__(self, seed: int = 7):
         rng = np.random.default_rng(seed)
         f = np.float32
         self.p = [rng.normal(0, 0.5, (257, EMBED)).astype(f),
-                  rng.normal(0, 1 / np.sqrt(WIDTH * EMBED), (WIDTH * EMBED, FILTERS)).astype(f),
+                  rng.normal(0, 1 / np.sqrt(WIDTH * EMBED), (WIDTH * EMBED + (LAGS + 1) * len(SPANS), FILTERS)).astype(f),
                   np.zeros(FILTERS, f), rng.normal(0, 0.3, FILTERS).astype(f), np.zeros(1, f)]
         self.p[0][PAD] = 0
         self.constant: float | None = None
 
     def pooled(self, data: np.ndarray, offsets: np.ndarray, where: bool = False):
-        """Max of each filter over each text's chunks; with ``where`` also the chunks' bytes there."""
+        """Max of each filter over each text's chunks; with ``where`` also the chunks' bytes and repetition there."""
         emb, w, b, _, _ = self.p
         starts, first, place = chunk_starts(offsets)
         buf = padded(data, offsets, place)
@@ -77,7 +115,8 @@ class ByteConvNet:
         span = np.arange(WIDTH)
         for lo in range(0, len(starts), SLICE):
             hi = min(lo + SLICE, len(starts))
-            x = emb[buf[starts[lo:hi, None] + span]].reshape(hi - lo, -1) @ w
+            x = emb[buf[starts[lo:hi, None] + span]].reshape(hi - lo, -1) @ w[:WIDTH * EMBED]
+            x += repeats(buf, starts[lo:hi]) @ w[WIDTH * EMBED:]
             d0, d1 = np.searchsorted(first, lo, "right") - 1, np.searchsorted(first, hi - 1, "right")
             cuts = np.maximum(first[d0:d1], lo) - lo
             best = np.maximum.reduceat(x, cuts, axis=0)
@@ -88,7 +127,7 @@ class ByteConvNet:
                     at[d0 + k][better] = starts[lo + arg[better]]
             top[d0:d1] = np.maximum(top[d0:d1], best)
         top += b
-        return (top, buf[at[..., None] + span]) if where else top
+        return (top, buf[at[..., None] + span], repeats_at(buf, at.reshape(-1)).reshape(n, FILTERS, -1)) if where else top
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.constant is not None:
@@ -123,14 +162,14 @@ class ByteConvNet:
     def _gradients(self, texts: list[bytes], y: np.ndarray) -> list[np.ndarray]:
         emb, w, _, u, c = self.p
         offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-        top, seen = self.pooled(np.frombuffer(b"".join(texts), np.uint8), offsets, where=True)
+        top, seen, again = self.pooled(np.frombuffer(b"".join(texts), np.uint8), offsets, where=True)
         act = np.maximum(top, 0)
         score = 1 / (1 + np.exp(-np.clip(act @ u + c, -30, 30)))
         err = ((score - y) / len(y)).astype(np.float32)
         back = err[:, None] * u * (top > 0)                       # text x filter
-        x = emb[seen].reshape(len(y), FILTERS, -1)                # text x filter x (WIDTH*EMBED)
+        x = np.concatenate([emb[seen].reshape(len(y), FILTERS, -1), again], axis=2)  # text x filter x inputs
         dw = np.einsum("nfk,nf->kf", x, back)
-        dx = (back[..., None] * w.T).reshape(-1, EMBED)
+        dx = (back[..., None] * w[:WIDTH * EMBED].T).reshape(-1, EMBED)
         de = np.zeros_like(emb)
         np.add.at(de, seen.reshape(-1), dx)
         de[PAD] = 0
