@@ -225,13 +225,13 @@ def drop_shared_lines(docs: DataFrame, text_col: str = "text", min_docs: int = M
     if size <= broadcast_bytes:
         marked = docs.withColumn(drop, probe_broadcast(index, shards)(line_hashes(text_col, min_chars)))
     else:
-        row, hit = fresh(docs, "_row"), "hit"
+        row, own, hits_of = fresh(docs, "_row"), fresh(docs, "_hit_row"), fresh(docs, "_hit")
         numbered = stash(docs.withColumn(row, F.monotonically_increasing_id()))
         hashed = numbered.select(row, line_hashes(text_col, min_chars).alias("_h"))
-        hits = found_by_shards(hashed, "_h", row, index, shards).withColumnRenamed(hit, "_hit").withColumnRenamed(row, "_hit_row")
-        marked = numbered.join(hits, F.col(row) == F.col("_hit_row"), "left")
-        marked = marked.withColumn(drop, F.transform(lines_of(text_col), lambda _, i: F.coalesce(F.array_contains("_hit", i), F.lit(False))))
-        marked = marked.drop(row, "_hit", "_hit_row")
+        hits = found_by_shards(hashed, "_h", row, index, shards).select(F.col(row).alias(own), F.col("hit").alias(hits_of))
+        marked = numbered.join(hits, F.col(row) == F.col(own), "left")
+        marked = marked.withColumn(drop, F.transform(lines_of(text_col), lambda _, i: F.coalesce(F.array_contains(hits_of, i), F.lit(False))))
+        marked = marked.drop(row, own, hits_of)
     kept = F.filter(lines_of(text_col), lambda _, i: ~F.element_at(drop, i + 1))
     # counts before the text is replaced: the lines come from the text column itself
     return (marked.withColumn(n_lines, F.size(drop).cast("long"))

@@ -9,7 +9,7 @@
    to their weighted Jaccard similarity. Equal texts are one class from here.
 3. The draws are banded. Classes that share a band are candidates; those whose
    sketches agree in fewer than ``LEAST_AGREE`` draws are not (a pair of
-   similarity 0.8 passes both with a probability of about 0.998).
+   similarity 0.8 passes both with a probability of about 0.9998).
 4. Candidates are verified by their exact weighted Jaccard similarity, in
    rounds: first each class's most alike candidate, then, where two blocks of
    a bucket meet, all pairs whose classes the links found so far have not
@@ -39,7 +39,7 @@ LEAST = 0.8
 DF_BITS = 18
 ROWS, BANDS = 4, 16
 SAMPLES = ROWS * BANDS
-LEAST_AGREE = 42
+LEAST_AGREE = 36
 BLOCK = 256
 STEP = 16384
 ROUNDS = 2
@@ -342,7 +342,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Of repeated rows (equal id and text) one stays.
     """
     found = stash(near_duplicates(docs, id_col, text_col, least, words))
-    h, g, n = fresh(docs, "_sha"), "_gone_sha", "_gone_id"
+    h, g, n = fresh(docs, "_sha"), fresh(docs, "_gone_sha"), fresh(docs, "_gone_id")
     marked = docs.withColumn(h, F.sha2(whole(text_col), 256))
     gone = found.where(~F.col("kept")).select(F.col("text_sha256").alias(g), F.col("doc_id").alias(n))
     on = (F.col(h) == F.col(g)) & F.col(id_col).eqNullSafe(F.col(n))

@@ -107,13 +107,13 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", u
     clash = [c for c in ("host", "path", "rule", "verdict") if c in pages.columns]
     if clash:
         raise ValueError(f"columns {clash} exist")
-    blocked = stash(host_reputation(pages, outcomes, id_col, url_col).where(F.col("lower") > max_bad).select(F.col("host").alias("_blocked")))
-    r = fresh(pages, "_rule")
+    r, b = fresh(pages, "_rule"), fresh(pages, "_blocked")
+    blocked = stash(host_reputation(pages, outcomes, id_col, url_col).where(F.col("lower") > max_bad).select(F.col("host").alias(b)))
     out = pages.withColumn("host", url_host(F.col(url_col))).withColumn("path", url_path(F.col(url_col)))
-    out = out.withColumn(r, rule_of(F.col("host"), F.col("path"), rules)).join(blocked, F.col("host") == F.col("_blocked"), "left")
-    by_method = F.when(F.col("_blocked").isNotNull(), "block").otherwise("allow")
+    out = out.withColumn(r, rule_of(F.col("host"), F.col("path"), rules)).join(blocked, F.col("host") == F.col(b), "left")
+    by_method = F.when(F.col(b).isNotNull(), "block").otherwise("allow")
     return (out.withColumn("rule", F.col(f"{r}.rule")).withColumn("verdict", F.coalesce(F.col(f"{r}.verdict"), by_method))
-               .drop(r, "_blocked"))
+               .drop(r, b))
 
 
 def page_outcomes(labels: DataFrame) -> DataFrame:

@@ -131,3 +131,21 @@ def test_components(spark):
     want = {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100, 200: 200, 201: 200, **dict.fromkeys(range(300, 351), 300)}
     assert got == want
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_columns_named_like_its_own(spark, frame, corpus):
+    """A table may have columns of the names that the operators use for joins."""
+    from pyspark.sql import functions as F
+
+    from kassa.llm.line_dedup import drop_shared_lines
+    from kassa.llm.url_reputation import judge_urls
+    df = frame([(1, "one two three four five six\nshared line"), (2, "one two three four five six\nshared line"), (3, "other\nshared line")])
+    taken = df.withColumns({c: F.lit("x") for c in ("_gone_sha", "_gone_id", "_sha", "_hit", "_hit_row", "_row", "_drop", "_blocked", "_rule")})
+    out = N.drop_near_duplicates(taken)
+    assert out.columns == taken.columns and sorted(r["doc_id"] for r in out.collect()) == [1, 3]
+    for most in (1 << 26, 0):
+        lines = drop_shared_lines(taken, min_docs=3, n_lines="lines_before", n_dropped="lines_gone", broadcast_bytes=most)
+        assert [r["lines_gone"] for r in lines.collect()] == [1, 1, 1] and set(taken.columns) <= set(lines.columns)
+    pages = taken.select(F.col("doc_id").alias("page_id"), F.lit("http://a.net/x").alias("url"), "_blocked", "_rule")
+    judged = judge_urls(pages, spark.createDataFrame([(1, 0)], "page_id long, bad int"))
+    assert judged.columns[:4] == pages.columns and {r["verdict"] for r in judged.collect()} == {"block"}
