@@ -12,7 +12,7 @@ from kassa.constants import DASHBOARD_SEGMENTS, RECENCY_BUCKETS, REPORT_SEGMENTS
 from kassa.functions.clean import month_start, safe_ratio
 from kassa.operators.common import first_line_per_transaction, share_pct, stored, top_k, zsum
 from kassa.operators.joins import left_join_skew_safe
-from kassa.operators.rank import exact_quantiles, quantile_rank_score
+from kassa.operators.selection import quantile_rank_scores, quantile_values
 
 
 # ---------------------------------------------------------------- G22 / G23
@@ -125,11 +125,9 @@ def rfm_dashboard(df: DataFrame, fix_recency: bool = False, exclude_missing: boo
     rfm = stored(rfm, "rfm")  # one row a customer; the cuts below read three narrow columns of it
     current = F.date_add(rfm.agg(F.max("_last")).scalar(), 1)
     rfm = rfm.select("contact_id", F.datediff(current, "_last").alias("recency"), "frequency", "monetary", "latitude", "longitude", "city")
-    rfm = quantile_rank_score(rfm, "recency", "contact_id", "r_score", reverse=True)
+    rfm = quantile_rank_scores(rfm, [("recency", "r_score", True), ("frequency", "f_score", False), ("monetary", "m_score", False)], "contact_id")
     if fix_recency:
         rfm = rfm.withColumn("r_score", (F.lit(6) - F.col("r_score")).cast("int"))
-    rfm = quantile_rank_score(rfm, "frequency", "contact_id", "f_score")
-    rfm = quantile_rank_score(rfm, "monetary", "contact_id", "m_score")
     return rfm.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
 
 
@@ -213,7 +211,7 @@ def rfm_report(df: DataFrame) -> DataFrame:
     digit string, and segment by R+F+M (>=12, >=9, >=6, else)."""
     base = rfm_base(df)
     probs = [0.2, 0.4, 0.6, 0.8]
-    cuts = {c: list(exact_quantiles(base, c, probs).first()) for c in ("recency", "frequency", "monetary")}  # four numbers each
+    cuts = quantile_values(base, ["recency", "frequency", "monetary"], probs)  # four numbers each
     out = base.withColumns({
         "r": _score("recency", cuts["recency"], ascending=False),
         "f": _score("frequency", cuts["frequency"], ascending=True),

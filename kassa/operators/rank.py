@@ -12,9 +12,8 @@ proven broadcast bound). The position inside a partition comes from
 in the lower 33 bits) evaluated right after the sort and stored with the row,
 so that the counting pass and the numbering pass see the same positions.
 
-Quantiles and cut points order narrow frames only: values with their counts
-(ties are one row), or (value, key) pairs where ties are split by the key, so
-a value that most rows share does not gather in a task.
+Quantiles order the distinct values with their counts (ties are one row). The
+cut points of scores are found without ordering (:mod:`kassa.operators.selection`).
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kassa.functions.clean import ceil_div
 from kassa.operators.common import stored
 
 _LOW_BITS = (1 << 33) - 1
@@ -79,15 +77,6 @@ def global_order(df: DataFrame, order: Sequence[Column], rank_col: str = "_rank"
     return out.drop(*drop)
 
 
-def keys_at_ranks(df: DataFrame, order: Sequence[Column], columns: Sequence[str], ranks: Sequence[int]) -> list:
-    """The rows of ``columns`` at the given 1-based ranks (as many rows as ranks, on the driver)."""
-    wanted = sorted(set(ranks))
-    if not wanted:
-        return []
-    found = {r["_r"]: r for r in global_order(df.select(*columns), order, rank_col="_r").where(F.col("_r").isin(wanted)).collect()}
-    return [found[r] for r in ranks]
-
-
 def quantile_rank_score(df: DataFrame, value: str, key: str, out: str,
                         desired_bins: int = 5, reverse: bool = False) -> DataFrame:
     """Quantile score 1..desired_bins of rank(method='first') — qcut on ranks.
@@ -98,22 +87,8 @@ def quantile_rank_score(df: DataFrame, value: str, key: str, out: str,
     stretched by ``ceil(s*desired/q)``; n <= 1 gives the middle score;
     ``reverse`` ranks descending and then flips (score -> desired+1-score).
     """
-    n = df.count()
-    q = min(desired_bins, n)
-    if n <= 1:
-        return df.withColumn(out, F.lit(desired_bins // 2 + 1).cast("int"))
-    # rank r is in bin s + 1 or a later one exactly when r > s (n - 1) / q + 1
-    ranks = [s * (n - 1) // q + 1 for s in range(1, q)]
-    order = [F.col(value).desc() if reverse else F.col(value).asc(), F.col(key).asc()]
-    score = F.lit(1).cast("long")
-    for cut in keys_at_ranks(df, order, [value, key], ranks):
-        beyond = (F.col(value) < cut[value]) if reverse else (F.col(value) > cut[value])
-        score = score + F.when(beyond | ((F.col(value) == cut[value]) & (F.col(key) > cut[key])), 1).otherwise(0)
-    if q < desired_bins:
-        score = ceil_div(score * desired_bins, F.lit(q))
-    if reverse:
-        score = F.lit(desired_bins + 1) - score
-    return df.withColumn(out, score.cast("int"))
+    from kassa.operators.selection import quantile_rank_scores
+    return quantile_rank_scores(df, [(value, out, reverse)], key, desired_bins)
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],

@@ -45,9 +45,10 @@ def test_write_read_curated_prunes_months(spark, cur):
     from kassa.operators import customers as C
     from kassa.operators import kpi as K
     from kassa.operators import stats as S
+    from kassa.functions.rounding import round_doubles  # sums of doubles follow the order of files in their last bits
     again = read_curated(spark, path)
     for op in (K.compute_highlights, K.monthly_sales_series, C.rfm_dashboard, C.rfm_segment_category, S.transaction_value_histogram):
-        assert sorted(map(repr, op(again).select(*op(cur).columns).collect())) == sorted(map(repr, op(cur).collect()))
+        assert sorted(map(repr, round_doubles(op(again).select(*op(cur).columns)).collect())) == sorted(map(repr, round_doubles(op(cur)).collect()))
 
 
 def test_recency_and_segment_options(cur):
