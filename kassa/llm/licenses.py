@@ -140,10 +140,12 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     low, high = least / (2 - least) * min(sizes), (2 - least) / least * max(sizes)
     lines = docs.select(F.col(id_col).alias("doc_id"), F.split(whole(text_col), "\n", -1).alias("raw"),
                         F.split(normalised(whole(text_col)), "\n", -1).alias("clean"))
-    units = F.transform("clean", lambda x, i: F.struct((i + 1).alias("line"), x.alias("unit")))
-    units = F.when(F.size("clean") > 1, F.concat(F.array(F.struct(F.lit(0).alias("line"), F.array_join("clean", " ").alias("unit"))), units)).otherwise(units)
+    # a unit takes its own text along, so that no row made of it carries the document
+    units = F.transform("clean", lambda x, i: F.struct((i + 1).alias("line"), x.alias("unit"), F.element_at("raw", i + 1).alias("text")))
+    both = F.struct(F.lit(0).alias("line"), F.array_join("clean", " ").alias("unit"), F.lit(None).cast("string").alias("text"))
+    units = F.when(F.size("clean") > 1, F.concat(F.array(both), units)).otherwise(units)
     # the number of words bounds the number of bigrams: too short for every template goes before anything else
-    units = F.filter(F.transform(units, lambda u: F.struct(u["line"].alias("line"), F.split(F.trim(u["unit"]), " +").alias("words"))),
+    units = F.filter(F.transform(units, lambda u: F.struct(u["line"].alias("line"), F.split(F.trim(u["unit"]), " +").alias("words"), u["text"].alias("text"))),
                      lambda u: F.size(u["words"]) - 1 >= low)
     # the unit that is the whole document also stands for its windows
     pool = F.array(*map(F.lit, sorted({x for g in grams.values() for x in g})))
@@ -152,14 +154,16 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return ((line == 0) | (F.size("clean") == 1)) & (F.size(F.array_intersect(g, pool)) >= low) if windows else F.lit(False)
 
     units = F.transform(units, lambda u: let(bigrams(u["words"]), lambda g: F.struct(
-        u["line"].alias("line"), g.alias("grams"), F.size(g).alias("n"), wide(u["line"], g).alias("wide"))))
+        u["line"].alias("line"), g.alias("grams"), F.size(g).alias("n"), wide(u["line"], g).alias("wide"), u["text"].alias("text"))))
     units = F.filter(units, lambda u: u["n"].between(low, high) | u["wide"])
-    one = lines.select("doc_id", "raw", F.explode(units).alias("u")).select("doc_id", "raw", "u.*")
+    # of a document's units one at most is wide and needs all lines
+    units = F.transform(units, lambda u: u.withField("raw", F.when(u["wide"], F.col("raw"))))
+    one = lines.select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.*")
     scores = [F.when(F.lit(2.0) * F.least("n", F.lit(len(g))) >= least * (F.col("n") + len(g)),
                      F.struct(F.lit(name).alias("license"),
                               (F.lit(2.0) * F.size(F.array_intersect("grams", F.array(*map(F.lit, g)))) / (F.col("n") + len(g))).alias("dice")))
               for name, g in grams.items()]
-    text = F.when(F.col("line") > 0, F.element_at("raw", F.greatest("line", F.lit(1))))
+    text = F.col("text")
     hits = F.transform(F.filter(F.array(*scores), lambda s: s["dice"] >= least),
                        lambda s: F.struct(F.col("line").alias("line"), s["license"].alias("license"), s["dice"].alias("dice"), text.alias("text")))
     if windows:

@@ -91,3 +91,13 @@ def test_notices_across_and_within_lines(frame):
     assert {(d, n) for d, _, n, _, _ in got} == {(1, "MIT-text"), (2, "ISC-text"), (3, "MIT"), (4, "MIT"), (6, "MIT")} and len(got) > len(brute(rows)) == 1
     plan = scan_licenses(frame(rows), windows=True)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_lines_take_time_in_proportion(frame):
+    """A row made of a line carries that line, not the document."""
+    from kassa.llm.licenses import scan_licenses
+    notice = "Released under the MIT License."
+    rows = [(1, "\n".join(f"line {i} of a very long file" if i % 1000 else notice for i in range(30_000)))]
+    for windows in (False, True):
+        got = scan_licenses(frame(rows), windows=windows).where("license = 'MIT' and line > 0").collect()
+        assert sorted(r["line"] for r in got) == list(range(1, 30_001, 1000)) and {r["text"] for r in got} == {notice}
