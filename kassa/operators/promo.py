@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kassa.constants import PROMO_LABELS, UNKNOWN_LABEL, UNSPECIFIED_PROMO_LABEL
-from kassa.functions.clean import clip_at_zero, month_start, parse_iso_date, safe_ratio
+from kassa.functions.clean import clip_at_zero, parse_iso_date, safe_ratio
 from kassa.operators.common import share_pct, top_k, zsum
 from kassa.operators.rank import global_order
 
@@ -126,13 +126,35 @@ def promotion_timeline(promotions: DataFrame, as_of: str | None = None) -> DataF
 
     A promotion is active in every month from its start month to its end month
     (null end -> ``as_of``, default today); null start is skipped; start after
-    end yields no month unless both fall in the same month (then one).
+    end yields no month unless both fall in the same month (then one). Rows
+    without an id make their months appear and are not counted.
+
+    A sweep: a promotion's overlapping intervals become one, each leaves +1
+    where it begins and -1 after its end, and running sums over the months with
+    such events give the level up to the next. The work follows the number of
+    intervals, however long they are.
     """
     t = {f.name: f.dataType for f in promotions.schema.fields}
-    start = month_start(parse_iso_date("START_DATE", t.get("START_DATE")))
+    start = parse_iso_date("START_DATE", t.get("START_DATE"))
     fill = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    end = month_start(F.coalesce(parse_iso_date("END_DATE", t.get("END_DATE")), fill))
-    p = promotions.select(F.col("PROMO_ID").alias("promo_id"), start.alias("_s"), end.alias("_e")) \
-                  .where(F.col("_s").isNotNull() & (F.col("_s") <= F.col("_e")))
-    months = p.select("promo_id", F.explode(F.sequence("_s", "_e", F.expr("INTERVAL 1 MONTH"))).alias("month"))
-    return months.groupBy("month").agg(F.countDistinct("promo_id").cast("long").alias("active_promotions"))
+    end = F.coalesce(parse_iso_date("END_DATE", t.get("END_DATE")), fill)
+
+    def month(d: Column) -> Column:
+        return F.year(d) * 12 + F.month(d) - 1
+
+    p = promotions.select(F.col("PROMO_ID").alias("promo_id"), month(start).alias("s"), month(end).alias("e")).where("s <= e")
+    p = p.groupBy("promo_id", "s").agg(F.max("e").alias("e"))  # at most one row a month for each promotion
+    before = Window.partitionBy("promo_id").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("promo_id").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
+    p = p.withColumn("new", F.when(F.max("e").over(before) >= F.col("s"), 0).otherwise(1)).withColumn("run", F.sum("new").over(upto))
+    runs = p.groupBy("promo_id", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    known = F.col("promo_id").isNotNull().cast("long")
+    events = runs.select(F.explode(F.array(F.struct(F.col("s").alias("m"), F.lit(1).alias("all"), known.alias("n")),
+                                           F.struct((F.col("e") + 1).alias("m"), F.lit(-1).alias("all"), (-known).alias("n")))).alias("x"))
+    steps = events.groupBy("x.m").agg(F.sum("x.all").alias("all"), F.sum("x.n").alias("n"))
+    w = Window.orderBy("m")  # one row for each month with an event
+    sofar = w.rowsBetween(Window.unboundedPreceding, 0)
+    levels = steps.select("m", F.sum("all").over(sofar).alias("all"), F.sum("n").over(sofar).alias("n"), F.lead("m").over(w).alias("next"))
+    months = levels.where("all > 0").select(F.explode(F.sequence("m", F.col("next") - 1)).alias("m"), "n")
+    first = F.make_date(F.floor(F.col("m") / 12).cast("int"), (F.col("m") % 12 + 1).cast("int"), F.lit(1))
+    return months.select(first.alias("month"), F.col("n").cast("long").alias("active_promotions"))

@@ -86,3 +86,24 @@ def test_options(spark):
     assert cohort_sizes(df, exclude_missing=True).agg(F.sum("cohort_size")).first()[0] == 2
     promos = spark.createDataFrame([("P1", "2023-01-01", None)], "PROMO_ID string, START_DATE string, END_DATE string")
     assert promotion_timeline(promos).count() >= 12  # open-ended: runs to today
+
+
+def test_promotion_timeline_by_brute_force(spark):
+    """Overlapping, nested, touching and repeated intervals, over centuries too."""
+    import datetime as dt
+    import random
+    rng = random.Random(4)
+    rows, active = [], {}
+    for i in range(300):
+        a = dt.date(rng.randint(2018, 2021), rng.randint(1, 12), rng.randint(1, 28))
+        b = a + dt.timedelta(days=rng.choice([-40, -3, 0, 20, 31, 200, 900]))
+        rows.append((rng.choice([None, "", *(f"P{k}" for k in range(25))]), str(a), None if i % 17 == 0 else str(b)))
+    rows += [("old", "1203-05-09", "2950-01-31"), ("old", "1800-01-01", "1900-01-01"), (None, "1100-01-01", "1100-03-01"), ("x", None, "2020-01-01")]
+    for k, a, b in rows:
+        if a:
+            (y, m), (ye, me) = (tuple(map(int, d.split("-")[:2])) for d in (a, b or "2021-06-30"))
+            for t in range(y * 12 + m - 1, ye * 12 + me):
+                active.setdefault(dt.date(t // 12, t % 12 + 1, 1), set()).add(k)
+    df = spark.createDataFrame(rows, "PROMO_ID string, START_DATE string, END_DATE string").repartition(4)
+    got = {r["month"]: r["active_promotions"] for r in promotion_timeline(df, as_of="2021-06-30").collect()}
+    assert got == {m: len(ids - {None}) for m, ids in active.items()} and len(got) > 20_000
