@@ -18,7 +18,7 @@ from kassa.constants import (ALBERTA_CITIES, DEFAULT_COUNTRY, DEFAULT_PROVINCE,
                              STORE_FALLBACK_PREFIX, STORE_ID_FORMAT, STORE_NAME_FALLBACK_PREFIX,
                              STORE_NAME_FALLBACK_SEED, STORE_NAME_FORMAT)
 from kassa.functions.clean import normalise_identifier, strip
-from kassa.functions.privacy import hashed_postal, hashed_token
+from kassa.functions.privacy import DIGEST_DIGITS, DISPLAY_DIGITS, hashed_postal, hashed_token
 from kassa.operators.joins import left_join_skew_safe, size_bound_ok, sized_broadcast
 from kassa.operators.rank import global_order
 
@@ -153,3 +153,36 @@ def apply_identifier_hashing(df: DataFrame, prefixes: Sequence[tuple[str, str]]
     from kassa.functions.privacy import pseudonymise
     todo = {c: pseudonymise(c, p) for c, p in (prefixes or ID_HASH_PREFIXES) if c in df.columns}
     return df.withColumns(todo)
+
+
+def _common_prefix(a: Column, b: Column) -> Column:
+    """Number of characters that two texts begin with alike (0 if either is null)."""
+    same = F.filter(F.sequence(F.lit(1), F.greatest(F.least(F.length(a), F.length(b)), F.lit(1))), lambda n: F.substring(a, F.lit(1), n) == F.substring(b, F.lit(1), n))
+    return F.coalesce(F.array_max(same), F.lit(0))
+
+
+def short_identifiers(df: DataFrame, column: str, prefix: str, known: DataFrame | None = None) -> DataFrame:
+    """``identifier, short``: a short form for each different pseudonym, no two alike.
+
+    It is the display form (8 digits) where no other identifier begins so, else
+    as many digits as tell it from its neighbours in the order of the digests;
+    only identifiers that share the display form meet, a few at a time. ``known``
+    is an earlier result: its identifiers keep their forms, and later ones get
+    forms that none of them has. Texts that are no pseudonym stay as they are;
+    null is left out.
+    """
+    head, whole = len(prefix) + DISPLAY_DIGITS, len(prefix) + DIGEST_DIGITS
+    ids = df.select(F.col(column).cast("string").alias("identifier"), F.lit(None).cast("string").alias("short")).where("identifier is not null")
+    if known is not None:
+        ids = ids.unionByName(known.select("identifier", "short"))
+    ids = ids.groupBy("identifier").agg(F.max("short").alias("short"))
+    alike = ids.groupBy(F.substring("identifier", 1, head).alias("head")).agg(F.array_sort(F.collect_list(F.struct("identifier", "short"))).alias("g"))
+
+    def form(x: Column, i: Column) -> Column:
+        own = x["identifier"]
+        beside = [_common_prefix(own, F.get("g", i + d)["identifier"]) for d in (-1, 1)]
+        digits = F.when(F.size("g") == 1, F.lit(head)).otherwise(F.greatest(F.lit(head), *[n + 1 for n in beside]))
+        pseudonym = (F.length(own) == whole) & own.startswith(prefix)
+        return F.struct(own.alias("identifier"), F.coalesce(x["short"], F.when(pseudonym, F.substring(own, F.lit(1), digits)).otherwise(own)).alias("short"))
+
+    return alike.select(F.explode(F.transform("g", form)).alias("x")).select("x.identifier", "x.short")

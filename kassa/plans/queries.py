@@ -322,6 +322,13 @@ def _q_quality_all(df):
     return Q.data_quality_report(df.drop("_seq"))
 
 
+@register("short_transaction_ids")
+def _q_short_ids(df):
+    """A1: short forms of the transaction pseudonyms, no two alike (beside the whole digests)."""
+    from kassa.operators.privacy import short_identifiers
+    return short_identifiers(df, "transaction_id", "TRX")
+
+
 FILTER_EXAMPLE = FilterSpec(years=[1996, 1997], quarters=[1, 2, 4], cities=["Calgary", "Edmonton", "Online", "Leduc"],
                             day_range=(9500, 10100))
 

@@ -763,6 +763,10 @@ O["promotion_timeline"] = q("""SELECT CAST(m AS DATE) AS month, count(DISTINCT P
 O["cohort_retention_matrix"] = q(f"SELECT * FROM (PIVOT (SELECT cohort_month, cohort_index, {R('retention')} AS r FROM ret) "
                                  "ON cohort_index USING max(r) GROUP BY cohort_month)", COHORT)
 O["curated_from_month_files"] = O["curated_sales"]
+O["short_transaction_ids"] = q("""SELECT a.d AS identifier,
+    substr(a.d, 1, coalesce(max(list_max(list_filter(range(1, 44), lambda n: a.d[1:n] = b.d[1:n]))) + 1, 11)) AS short
+    FROM ids a LEFT JOIN ids b ON substr(a.d, 1, 11) = substr(b.d, 1, 11) AND a.d <> b.d GROUP BY a.d""",
+                                "ids AS (SELECT DISTINCT transaction_id AS d FROM curated)")
 O["available_months"] = q("SELECT DISTINCT substr(Date_transaction, 1, 6) AS month FROM raw_sales")
 O["pipeline_chosen_months"] = O["monthly_sales_series"].replace(
     F1, "f1 AS (SELECT * FROM curated WHERE year * 100 + month IN (199601, 199602, 199607, 199711))")

@@ -57,4 +57,4 @@ def test_import_without_the_text_operators(tmp_path):
     code = "import __spark_entry__ as E; q = E.queries(); print('N', len(q), set(q) == set(E.oracle_sql()), any(x.startswith('op') for x in q))"
     out = subprocess.run([_sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300,
                          env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
-    assert "N 67 True False" in out.stdout, out.stdout + out.stderr[-2000:]
+    assert "N 68 True False" in out.stdout, out.stdout + out.stderr[-2000:]

@@ -87,3 +87,20 @@ def test_identifiers_stay_distinct(spark):
     n = ids.count()
     assert whole.distinct().count() == n
     assert whole.select(display_id("p", "TRX")).distinct().count() < n
+
+
+def test_short_identifiers_are_one_to_one(spark):
+    """Digests that share the display form get more digits; forms once given stay."""
+    from kassa.operators.privacy import short_identifiers
+    made = ["ID" + "ABCDEF12" + x.ljust(32, "0") for x in ("A", "AB", "ABC1", "ABC2", "F")] + ["ID" + f"{i:08X}" + "7" * 32 for i in range(50)]
+    df = spark.createDataFrame([(x,) for x in [*made, *made[:3], "", "plain", None]], "k string").repartition(3)
+    first = short_identifiers(df, "k", "ID")
+    got = {r["identifier"]: r["short"] for r in first.collect()}
+    assert set(got) == {*made, "", "plain"} and len(set(got.values())) == len(got)
+    assert got["plain"] == "plain" and got[""] == "" and all(got[x] == x[:10] for x in made[5:])
+    assert all(x.startswith(got[x]) and sum(y.startswith(got[x]) for y in made) == 1 and len(got[x]) > 10 for x in made[:5])
+    assert got[made[4]] == made[4][:11] and got[made[2]] == made[2][:14]
+    later = made + ["ID" + "ABCDEF12" + "F1".ljust(32, "0"), "ID" + f"{7:08X}" + "8" * 32]
+    again = {r["identifier"]: r["short"] for r in short_identifiers(spark.createDataFrame([(x,) for x in later], "k string"), "k", "ID", first).collect()}
+    assert all(again[x] == got[x] for x in got) and len(set(again.values())) == len(again) == len(got) + 2
+    assert short_identifiers(df.where("false"), "k", "ID").count() == 0
