@@ -15,16 +15,21 @@ in Python, on Arrow batches. Whole records are parsed by ``from_csv``.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kassa.operators.common import stored
 
+# the functions below travel to Python workers by value, so executors need no copy of the repository
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUTSIDE, INSIDE, PLAIN = 2, 1, 0
 SUMMARY = "path string, block long, end0 boolean, end1 boolean, starts0 long, starts1 long"
 RECORD = "path string, owner long, block long, n long, whole boolean, text string"

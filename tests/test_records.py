@@ -126,3 +126,20 @@ def test_first_lines_by_hash(spark):
     for r in sorted(df.collect(), key=lambda r: r["_seq"]):
         want.setdefault(r["transaction_id"], tuple(r))
     assert {r["transaction_id"]: (r["transaction_id"], r["v"], r["k"], r["w"], r["_seq"]) for r in out.collect()} == want
+
+
+def test_workers_need_no_repository(tmp_path):
+    """A driver elsewhere, workers without the package on their path."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    write(tmp_path / "2023/Base_sales_202301.csv", [["Transaction_ID", "Remark"], ["T1", "a\nb"], ["T2", "c"]])
+    code = (f"import sys; sys.path.insert(0, {root!r})\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "from kassa.sources.files import load_sales\n"
+            f"print('ROWS', load_sales(s, {str(tmp_path)!r}).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS 2" in out.stdout, out.stderr[-2000:]
