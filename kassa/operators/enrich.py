@@ -26,7 +26,8 @@ def strip_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
 
-def _dim(df: DataFrame, key: str, rename: dict[str, str] | None = None) -> DataFrame:
+def prepared_dimension(df: DataFrame, key: str, rename: dict[str, str] | None = None) -> DataFrame:
+    """A dimension with clean headers and its key normalised."""
     df = strip_headers(df)
     for a, b in (rename or {}).items():
         if a in df.columns:
@@ -38,7 +39,7 @@ def _dim(df: DataFrame, key: str, rename: dict[str, str] | None = None) -> DataF
 COPY = "__copy_{}"
 
 
-def _numbered_copies(dim: DataFrame, key: str, copy: str) -> tuple[DataFrame, int]:
+def numbered_copies(dim: DataFrame, key: str, copy: str) -> tuple[DataFrame, int]:
     """``dim`` with each row's number among the rows of its key, and the largest number of such rows."""
     copies = most_copies(dim, key)
     if copies > 1:
@@ -61,11 +62,11 @@ def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame],
         ("promotion", "Promotion_ID", "PROMO_ID", {"LIBELLE": "LIBELLE_x"}),
         ("store", "Store_transaction_ID", "STORE_ID", {"LIBELLE": "LIBELLE_y"}),
     )
-    ready = {name: _dim(dims[name], dkey, rename) for name, _, dkey, rename in plan}
+    ready = {name: prepared_dimension(dims[name], dkey, rename) for name, _, dkey, rename in plan}
     copies = {}
     for name, _, dkey, _ in plan:
         if numbered:
-            ready[name], copies[name] = _numbered_copies(ready[name], dkey, COPY.format(name))
+            ready[name], copies[name] = numbered_copies(ready[name], dkey, COPY.format(name))
         ready[name] = ready[name].drop("_seq")
     is_small = dict(known_small or {})
     for name in ready:

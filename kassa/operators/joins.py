@@ -117,6 +117,39 @@ def left_join_skew_safe(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key:
     return joined.drop(dkey) if same else joined
 
 
+def left_join_one_row(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, small: bool,
+                      hot_values: Sequence[str] = (), copy: str | None = None, buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """``fact LEFT JOIN dim`` where ``dim`` has one row for each key (and number in the column ``copy``, which both have).
+
+    The dimension is grouped by that key, so Spark knows that the join neither
+    adds nor drops rows and leaves it out where no column of ``dim`` is asked
+    for. A large dimension is joined by shuffle: lines with a hot key are dealt
+    by texts that no stripped key equals, and get their values from the hot
+    keys' own rows (fewer than 1 / HOT_SHARE keys), which are broadcast.
+    """
+    keys = ["__key"] + (["__copy"] if copy else [])
+    own = {dim_key: "__key"} | ({copy: "__copy"} if copy else {})
+    values = [c for c in dim.columns if c not in own]
+    one = dim.groupBy(*[F.col(c).alias(k) for c, k in own.items()])
+    d = one.agg(*[F.first(f"`{c}`").alias(c) for c in values]) if values else one.count().drop("count")
+    d = d.withColumn(dim_key, F.col("__key")) if dim_key != fact_key else d
+    added = [c for c in d.columns if c not in keys]
+
+    def matches(key: Column) -> Column:
+        return (key == F.col("__key")) & (F.col(copy) == F.col("__copy")) if copy else key == F.col("__key")
+
+    if small:
+        return fact.join(F.broadcast(d), matches(F.col(fact_key)), "left").drop(*keys)
+    is_hot = F.col(fact_key).isin(list(hot_values)) if hot_values else F.lit(False)
+    dealt = F.when(is_hot, F.concat(F.lit("\t"), F.pmod(F.xxhash64("_seq"), F.lit(buckets)).cast("string"))).otherwise(F.col(fact_key))
+    out = fact.withColumn("__dealt", dealt).join(d, matches(F.col("__dealt")), "left").drop("__dealt", *keys)
+    if not hot_values:
+        return out
+    few = d.where(F.col("__key").isin(list(hot_values))).withColumnsRenamed({c: f"__hot_{c}" for c in added})
+    out = out.join(F.broadcast(few), matches(F.col(fact_key)), "left").drop(*keys)
+    return out.withColumns({c: F.when(is_hot, F.col(f"`__hot_{c}`")).otherwise(F.col(f"`{c}`")) for c in added}).drop(*[f"__hot_{c}" for c in added])
+
+
 def suffix_clashes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """pandas-merge naming: clashing non-key columns get ``_x`` / ``_y``."""
     clash = (set(left.columns) & set(right.columns)) - set(keys)

@@ -103,26 +103,42 @@ def apply_store_masking(df: DataFrame, lookup: DataFrame,
     the empty key otherwise). ``lookup_is_small`` passes a bound already
     proven upstream (the lookup has at most one narrower row per store).
     """
-    if "Store_Of_Creation" not in df.columns:
-        df = df.withColumn("Store_Of_Creation", F.lit(None).cast("string"))
-    if "PostalCode" not in df.columns:
-        df = df.withColumn("PostalCode", F.lit(None).cast("string"))
-    x = F.col("__sk")
-    y = F.col("__soc")
-    df = df.withColumn("__sk", F.coalesce(strip(F.col("STORE_ID").cast("string")), F.lit(""))) \
-           .withColumn("__soc", F.coalesce(strip(F.col("Store_Of_Creation").cast("string")), F.lit("")))
-    lk1 = lookup.select(F.col("store_key").alias("__k1"), F.col("new_id").alias("__id1"),
-                        F.col("new_name").alias("__name1"), F.col("new_city").alias("__city1"),
-                        F.col("latitude").alias("__lat1"), F.col("longitude").alias("__lon1"))
-    lk2 = lookup.select(F.col("store_key").alias("__k2"), F.col("new_id").alias("__id2"))
+    df = with_store_keys(df)
     salt = ["_seq"] if "_seq" in df.columns else None
     if lookup_is_small is None:
         lookup_is_small = size_bound_ok(lookup)
     bound = None if lookup_is_small else -1
-    df = left_join_skew_safe(df, lk1, "__sk", "__k1", salt_source=salt, broadcast_max_bytes=bound,
+    df = left_join_skew_safe(df, store_names(lookup), "__sk", "__k1", salt_source=salt, broadcast_max_bytes=bound,
                              assume_small=lookup_is_small)
-    df = left_join_skew_safe(df, lk2, "__soc", "__k2", salt_source=salt, broadcast_max_bytes=bound,
+    df = left_join_skew_safe(df, creation_stores(lookup), "__soc", "__k2", salt_source=salt, broadcast_max_bytes=bound,
                              assume_small=lookup_is_small)
+    return masked_store_columns(df, province, country)
+
+
+def with_store_keys(df: DataFrame) -> DataFrame:
+    """``df`` with the keys of its store (``__sk``) and of its customer's creation store (``__soc``)."""
+    for c in ("Store_Of_Creation", "PostalCode", "STORE_ID"):
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast("string"))
+    return df.withColumn("__sk", F.coalesce(strip(F.col("STORE_ID").cast("string")), F.lit(""))) \
+             .withColumn("__soc", F.coalesce(strip(F.col("Store_Of_Creation").cast("string")), F.lit("")))
+
+
+def store_names(lookup: DataFrame) -> DataFrame:
+    """What a line takes from the lookup by its store."""
+    return lookup.select(F.col("store_key").alias("__k1"), F.col("new_id").alias("__id1"),
+                         F.col("new_name").alias("__name1"), F.col("new_city").alias("__city1"),
+                         F.col("latitude").alias("__lat1"), F.col("longitude").alias("__lon1"))
+
+
+def creation_stores(lookup: DataFrame) -> DataFrame:
+    """What a line takes from the lookup by its customer's creation store."""
+    return lookup.select(F.col("store_key").alias("__k2"), F.col("new_id").alias("__id2"))
+
+
+def masked_store_columns(df: DataFrame, province: str = DEFAULT_PROVINCE, country: str = DEFAULT_COUNTRY) -> DataFrame:
+    """A5 of lines that have their keys and what the lookup holds for them."""
+    x, y = F.col("__sk"), F.col("__soc")
     masked_id = F.coalesce(F.col("__id1"), F.when(x != "", hashed_token(x, STORE_FALLBACK_PREFIX)).otherwise(F.lit("")))
     name = F.coalesce(F.col("__name1"),
                       hashed_token(F.when(x == "", F.lit(STORE_NAME_FALLBACK_SEED)).otherwise(x), STORE_NAME_FALLBACK_PREFIX))

@@ -18,9 +18,10 @@ from kassa.constants import ALBERTA_CITIES, DEFAULT_COUNTRY, DEFAULT_PROVINCE
 from kassa.functions.clean import (coerce_numeric, normalise_identifier, parse_yyyymmdd,
                                    to_number, truthy)
 from kassa.operators.common import stored
-from kassa.operators.joins import size_bound_ok
-from kassa.operators.enrich import merge_sales_with_references, strip_headers
-from kassa.operators.privacy import apply_identifier_hashing, apply_store_masking, build_store_lookup
+from kassa.operators.joins import hot_keys, left_join_one_row, left_join_skew_safe, size_bound_ok
+from kassa.operators.enrich import COPY, FACT_KEYS, merge_sales_with_references, numbered_copies, prepared_dimension, strip_headers
+from kassa.operators.privacy import (apply_identifier_hashing, apply_store_masking, build_store_lookup, creation_stores, masked_store_columns,
+                                     store_names, with_store_keys)
 from kassa.session import new_path
 
 # raw (reference) name -> curated name
@@ -72,19 +73,24 @@ CURATED_TYPES = {
 }
 
 
-def prepare_numeric_and_date_fields(df: DataFrame) -> DataFrame:
-    """Parse date (drop bad rows), numbers, line measures, flags, calendar."""
+def parse_numeric_and_date_fields(df: DataFrame) -> DataFrame:
+    """Parse date (drop bad rows) and numbers."""
     types = {f.name: f.dataType for f in df.schema.fields}
     df = df.withColumn("Date_transaction", parse_yyyymmdd("Date_transaction", types.get("Date_transaction"))) \
            .where(F.col("Date_transaction").isNotNull())
     qty_t = types.get("Quantity_item")
     qty = F.col("Quantity_item").cast("double") if isinstance(qty_t, T.NumericType) else to_number(F.col("Quantity_item"))
-    df = df.withColumns({
+    return df.withColumns({
         "Unit_original_price": coerce_numeric("Unit_original_price", types.get("Unit_original_price")),
         "Unit_sale_price": coerce_numeric("Unit_sale_price", types.get("Unit_sale_price")),
         "Transaction_value": coerce_numeric("Transaction_value", types.get("Transaction_value")),
         "Quantity_item": qty,
     })
+
+
+def derive_fields(df: DataFrame) -> DataFrame:
+    """Line measures, flags and calendar of parsed fields."""
+    types = {f.name: f.dataType for f in df.schema.fields}
     q0 = F.coalesce(F.col("Quantity_item"), F.lit(0.0))
     d = F.col("Date_transaction")
     yob_t = types.get("YearOfBirth")
@@ -110,6 +116,11 @@ def prepare_numeric_and_date_fields(df: DataFrame) -> DataFrame:
     })
 
 
+def prepare_numeric_and_date_fields(df: DataFrame) -> DataFrame:
+    """Parse date (drop bad rows), numbers, line measures, flags, calendar."""
+    return derive_fields(parse_numeric_and_date_fields(df))
+
+
 def to_curated_schema(df: DataFrame) -> DataFrame:
     cols = []
     for raw, name in CURATED_COLUMNS:
@@ -175,6 +186,97 @@ def materialise(df: DataFrame, name: str = "curated", partition_by: Sequence[str
     return back.select(*[F.col(f"`{c}`").cast(df.schema[c].dataType).alias(c) for c in df.columns])
 
 
+#: a dimension's name, the fact's key and its own, and what the curated table takes from it
+DIMENSIONS = (
+    ("contact", "Contact_ID", "Contact_ID", ("YearOfBirth", "Has_Web_Account", "Store_Of_Creation", "PostalCode")),
+    ("item", "Item_ID", "SKU", ("EAN", "Catégorie", "Style - Description FR")),
+    ("promotion", "Promotion_ID", "PROMO_ID", ("LIBELLE_x",)),
+    ("store", "Store_transaction_ID", "STORE_ID", ()),
+)
+#: what a fact row is stored with: its keys and numbers, and the place found by its store
+FACT_COLUMNS = ("Transaction_ID", "Contact_ID", "Item_ID", "Promotion_ID", "Store_transaction_ID", "Date_transaction",
+                "Unit_original_price", "Unit_sale_price", "Transaction_value", "Quantity_item", "_seq")
+PLACE_COLUMNS = ("city", "latitude", "longitude")
+
+
+def _dimension_tables(dims: dict[str, DataFrame], facts: DataFrame) -> tuple[dict[str, DataFrame], dict[str, int], DataFrame]:
+    """The dimensions with numbered copies of a repeated key, the most copies of each, and the fact with a row for each copy.
+
+    The fact's ``_seq`` numbers its copies as :func:`merge_sales_with_references` does.
+    """
+    tables, copies = {}, {}
+    for name, fkey, dkey, columns in DIMENSIONS:
+        dim = prepared_dimension(dims[name], dkey, {"LIBELLE": "LIBELLE_x" if name == "promotion" else "LIBELLE_y"})
+        dim, copies[name] = numbered_copies(dim, dkey, COPY.format(name))
+        number = COPY.format(name)
+        if copies[name] > 1:
+            many = dim.groupBy(F.col(dkey).alias("__many")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+            facts = left_join_skew_safe(facts, many, fkey, "__many", salt_source=["_seq"]).drop("__many")
+            facts = facts.withColumn(number, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__n"), F.lit(1)).cast("int") - 1))).drop("__n")
+            facts = facts.withColumn("_seq", F.col("_seq") * copies[name] + F.col(number))
+        keep = [c for c in columns if c in dim.columns] + ([number] if copies[name] > 1 else [])
+        tables[name] = dim.select(dkey, *[F.col(f"`{c}`") for c in keep])
+    return tables, copies, facts
+
+
+def curated_star(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple] = ALBERTA_CITIES,
+                 province: str = DEFAULT_PROVINCE, country: str = DEFAULT_COUNTRY) -> DataFrame:
+    """What :func:`curate` gives, over a stored narrow fact and stored dimensions (``_seq`` is a long).
+
+    A line is shuffled once, by its year and month, and stored with its keys and
+    numbers and its place; pseudonyms, labels and measures are made when they
+    are read. A dimension has one row for each key (and copy), so that Spark
+    leaves out the joins of those whose columns a question does not ask for.
+    """
+    sales = strip_headers(sales)
+    stores = strip_headers(dims["store"]).withColumnRenamed("LIBELLE", "LIBELLE_y")
+    if "_seq" not in stores.columns:
+        stores = stores.withColumn("_seq", F.monotonically_increasing_id())
+    lookup = stored(build_store_lookup(stores, cities), "stores")
+    lookup_small = size_bound_ok(lookup)
+    facts = sales.select(*[normalise_identifier(c).alias(c) if c in FACT_KEYS else F.col(c) for c in FACT_COLUMNS])
+    tables, copies, facts = _dimension_tables(dims, parse_numeric_and_date_fields(facts))
+    facts = facts.withColumns({"year": F.year("Date_transaction"), "month": F.month("Date_transaction")})
+    place = lookup.select(F.col("store_key").alias("__place"), F.col("new_city").alias("city"), "latitude", "longitude")
+    # stores and customers take their masks here, once a row of theirs and not once a line
+    tables["store"] = left_join_skew_safe(with_store_keys(tables["store"]).drop("__soc"), store_names(lookup), "__sk", "__k1") \
+        .drop("__sk", "__k1", "__city1", "__lat1", "__lon1", "Store_Of_Creation", "PostalCode")
+    tables["contact"] = left_join_skew_safe(with_store_keys(tables["contact"]).drop("__sk"), creation_stores(lookup), "__soc", "__k2") \
+        .drop("__soc", "__k2", "STORE_ID")
+    # a small lookup is joined after the shuffle, so that lines travel without it
+    facts = facts.hint("rebalance", "year", "month") if lookup_small else facts
+    facts = left_join_skew_safe(facts, place, "Store_transaction_ID", "__place", salt_source=["_seq"], assume_small=lookup_small,
+                                broadcast_max_bytes=-1).drop("__place").withColumn("city", F.coalesce("city", F.lit("")))
+    facts = facts if lookup_small else facts.hint("rebalance", "year", "month")
+    final = {raw: name for raw, name in CURATED_COLUMNS if raw in FACT_COLUMNS and name in CURATED_TYPES}  # stored as the curated table has them
+    path, facts = new_path(sales.sparkSession, "facts"), facts.withColumnsRenamed(final)
+    facts = facts.select(*[c for c in facts.columns if c in PLACE_COLUMNS], *[c for c in facts.columns if c not in PLACE_COLUMNS])
+    facts.write.partitionBy("year", "month").parquet(path)
+    facts = sales.sparkSession.read.schema(facts.schema).parquet(path)
+    tables = {n: stored(t, n) for n, t in tables.items()}
+    small = {n: size_bound_ok(t) for n, t in tables.items()}
+    large = {fkey: n for n, fkey, _, _ in DIMENSIONS if not small[n]}
+    if large:  # one scan tells how many of a large dimension's keys occur at all
+        some = facts.agg(*[F.approx_count_distinct(k).alias(n) for k, n in large.items()]).first()
+        for name, fkey, dkey, _ in DIMENSIONS:
+            if not small[name] and some[name] * 4 < tables[name].count():
+                keys = facts.select(F.col(fkey).alias(dkey)).distinct()
+                tables[name] = stored(tables[name].join(keys, dkey, "left_semi"), name)
+                small[name] = size_bound_ok(tables[name])
+    large = [fkey for n, fkey, _, _ in DIMENSIONS if not small[n]]
+    hot = hot_keys(facts, large) if large else {}
+    df = facts.withColumnsRenamed({c: f"__{c}" for c in ("year", "month", *PLACE_COLUMNS)} | {name: raw for raw, name in final.items()})
+    for name, fkey, dkey, _ in DIMENSIONS:
+        number = COPY.format(name)
+        df = left_join_one_row(df, tables[name], fkey, dkey, small[name], hot.get(fkey, ()), copy=number if copies[name] > 1 else None)
+    df = with_store_keys(df).withColumns({"__city1": F.col("__city"), "__lat1": F.col("__latitude"), "__lon1": F.col("__longitude"),
+                                          "__k1": F.lit(None), "__k2": F.lit(None)})
+    df = masked_store_columns(df, province, country)
+    df = derive_fields(apply_identifier_hashing(df))
+    return to_curated_schema(df.withColumns({"Year": F.col("__year"), "Month": F.col("__month"), "CITY": F.col("__city"),
+                                             "Latitude": F.col("__latitude"), "Longitude": F.col("__longitude")}))
+
+
 _CACHE: dict[tuple, DataFrame] = {}
 
 
@@ -185,8 +287,7 @@ def curated_from_testdata(spark: SparkSession, sf_dir: str, cache: bool = True)
     if cache and key in _CACHE:
         return _CACHE[key]
     t = raw_tables(spark, sf_dir)
-    df = curate(t.sales, t.dims())
-    if cache:
-        df = materialise(df)
-        _CACHE[key] = df
-    return df
+    if not cache:
+        return curate(t.sales, t.dims())
+    _CACHE[key] = curated_star(t.sales, t.dims())
+    return _CACHE[key]
