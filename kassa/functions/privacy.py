@@ -68,3 +68,11 @@ def hashed_postal(text: Column) -> Column:
 
     masked = F.concat(F.lit(POSTAL_PREFIX), digit(1), letter(2), digit(3), letter(4), digit(5))
     return F.when(F.coalesce(text, F.lit("")) == "", F.lit("")).otherwise(masked)
+
+
+def packed(c: str) -> Column:
+    """An identifier as bytes, no two alike: a text of a prefix and 40 upper-case hex digits as prefix, 0xFF and 20 bytes."""
+    col = F.col(f"`{c}`")
+    prefix, digits = F.expr(f"left(`{c}`, length(`{c}`) - 40)"), F.right(col, F.lit(40))
+    return F.when(col.rlike("^[A-Z]{1,8}[0-9A-F]{40}$"), F.concat(F.encode(prefix, "UTF-8"), F.lit(b"\xff"), F.unhex(digits))) \
+            .otherwise(F.encode(col, "UTF-8"))

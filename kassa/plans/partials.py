@@ -4,11 +4,14 @@ A dashboard asks the same questions of ever other month sets. Instead of
 reading lines again, or keeping one result for each set, the store holds for
 each month what its answers are made of:
 
-``lines``      sums per day and place (store, city, province)
+``lines``      sums per day and place
 ``orders``     one row per transaction and place: its first line's number and value
 ``customers``  the month's distinct customers
+``places``     the number of each place (store, city, province) that any line had
 
-All are partitioned by year and month. Sums add up over months; the first line
+All but the places are partitioned by year and month. Lines and orders hold a
+place's number, and identifiers are held as bytes (a pseudonym's 40 hex digits
+are 20), so that a line's share of what is shuffled and stored stays small. Sums add up over months; the first line
 of a transaction is the least of its months' first lines; distinct orders of
 several months are counted over the transactions, which a month has fewer of
 than lines. A month that is ingested again, or late, replaces its own
@@ -24,15 +27,20 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from kassa.functions.clean import month_start, safe_ratio
+from kassa.functions.privacy import packed
 from kassa.operators.common import zsum
+from kassa.operators.joins import sized_broadcast
 from kassa.operators.kpi import highlight_row
+from kassa.operators.rank import global_order
 from kassa.operators.stores import CITY_KEYS, STORE_KEYS, city_labels, rank_performance, rank_profitability, store_labels
 from kassa.session import new_path
 
 PLACE = ["store_id", "store_name", "city", "province"]
 Month = tuple[int, int]  # year, month
+ROWS_A_FILE = 2_000_000
 
 
 def chosen(months: Iterable[Month] | None) -> Column:
@@ -63,20 +71,49 @@ class MonthlyPartials:
         months = None if months is None else list(months)
         lines = curated.where(chosen(months)).withColumn("counted", F.coalesce(F.col("quantity_item") >= 0, F.lit(False)))
         month = ["year", "month"]
+        self._add_places(lines)
+        lines = self._joined(lines, self._places(), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PLACE])
+        most = lines.groupBy(*month).count().agg(F.max("count")).first()[0] or 0
+        # an order's lines are dealt once, by month and order, and lie so in files: no second shuffle
+        part = F.pmod(F.xxhash64("transaction"), F.lit(most // ROWS_A_FILE + 1)).alias("part")
+        dealt = lines.select(*month, packed("transaction_id").alias("transaction"), "counted", "place", "_seq", "transaction_value").select("*", part)
         tables = {
-            "lines": lines.groupBy(*month, "date_transaction", "counted", *PLACE).agg(
-                F.sum("transaction_value").alias("value"), F.sum("quantity_item").alias("units"), F.sum("line_discount").alias("discount")),
-            "orders": lines.groupBy(*month, "transaction_id", "counted", *PLACE).agg(
-                F.min("_seq").alias("first"), F.min_by("transaction_value", "_seq").alias("value")),
-            "customers": lines.select(*month, "counted", "contact_id").distinct(),
+            "lines": lines.groupBy(*month, "date_transaction", "counted", "place").agg(
+                F.sum("transaction_value").alias("value"), F.sum("quantity_item").alias("units"), F.sum("line_discount").alias("discount"))
+                .hint("rebalance", *month),
+            "orders": dealt.repartition(*month, "part").groupBy(*month, "part", "transaction", "counted", "place").agg(
+                F.min("_seq").alias("first"), F.min_by("transaction_value", "_seq").alias("value")).drop("part"),
+            "customers": lines.select(*month, "counted", packed("contact_id").alias("customer")).distinct().hint("rebalance", *month),
         }
         for name, df in tables.items():
-            (df.hint("rebalance", *month).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*month).parquet(f"{self.path}/{name}"))
         if months is not None:
             here = {tuple(r) for r in lines.select(*month).distinct().collect()}  # of the months asked for
             self._drop(set(months) - here)
 
+    def _places(self) -> DataFrame:
+        """``place`` and the columns of each place, named ``_``."""
+        schema = "place long, " + ", ".join(f"_{c} string" for c in PLACE)
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.path}/places")
+        except AnalysisException:  # nothing ingested yet
+            return self.spark.createDataFrame([], schema)
+
+    def _add_places(self, lines: DataFrame) -> None:
+        """Places not seen before get the next numbers; numbers once given stay."""
+        known = self._places()
+        new = lines.select(*[F.col(c).alias(f"_{c}") for c in PLACE]).distinct()
+        new = new.alias("n").join(known.alias("k"), [F.col(f"n._{c}").eqNullSafe(F.col(f"k._{c}")) for c in PLACE], "left_anti")
+        last = known.agg(F.coalesce(F.max("place"), F.lit(0)).alias("n")).first()[0]
+        numbered = global_order(new, [F.col(f"_{c}").asc_nulls_first() for c in PLACE], rank_col="place")
+        numbered.withColumn("place", F.col("place") + F.lit(last)).select("place", *[f"_{c}" for c in PLACE]).write.mode("append").parquet(f"{self.path}/places")
+
+    @staticmethod
+    def _joined(df: DataFrame, places: DataFrame, same: list[Column]) -> DataFrame:
+        """Places are as many as stores and their names: broadcast under the checked bound."""
+        return df.join(sized_broadcast(places), same)
+
     def _drop(self, months: set[Month]) -> None:
         """A refreshed month without lines leaves no rows behind."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
@@ -89,15 +126,21 @@ class MonthlyPartials:
         df = self.spark.read.parquet(f"{self.path}/{name}").where(chosen(months))
         return df.where("counted") if counted else df
 
+    def _placed(self, df: DataFrame) -> DataFrame:
+        """``df`` with the columns of its place."""
+        named = self._places().select(F.col("place").alias("_place"), *[F.col(f"_{c}").alias(c) for c in PLACE])
+        return self._joined(df, named, [F.col("place") == F.col("_place")]).drop("_place", "place")
+
     # ------------------------------------------------------------ answers
     def _first_lines(self, months, counted: bool) -> DataFrame:
         """One row per transaction: its first line's month and value."""
         orders = self._table("orders", months, counted).withColumn("m", F.make_date("year", "month", F.lit(1)))
-        return orders.groupBy("transaction_id").agg(F.min_by("value", "first").alias("value"), F.min_by("m", "first").alias("month"))
+        return orders.groupBy("transaction").agg(F.min_by("value", "first").alias("value"), F.min_by("m", "first").alias("month"))
 
     def highlights(self, months: Iterable[Month] | None = None, counted: bool = True) -> DataFrame:
         """G1."""
-        cities = self._table("lines", months, counted).groupBy("city").agg(zsum("value").alias("rev"), zsum("units").alias("units"))
+        by_place = self._table("lines", months, counted).groupBy("place").agg(F.sum("value").alias("value"), F.sum("units").alias("units"))
+        cities = self._placed(by_place).groupBy("city").agg(zsum("value").alias("rev"), zsum("units").alias("units"))
         best = F.when(F.col("city").isNotNull(), F.struct(-F.col("rev"), "city"))
         sums = cities.agg(zsum("units").alias("total_units"), zsum(F.when(F.lower("city") == "online", F.col("rev"))).alias("_online"), F.min(best).alias("_top"))
         orders = self._first_lines(months, counted).agg(zsum("value").alias("total_revenue"), F.count(F.lit(1)).cast("long").alias("total_orders"))
@@ -107,10 +150,10 @@ class MonthlyPartials:
         """Months do not share rows, so each partition answers for itself."""
         month = F.make_date("year", "month", F.lit(1)).alias("month")
         sums = self._table("lines", months, counted).groupBy(month).agg(zsum("value").alias("revenue"), zsum("units").alias("units"))
-        orders = (self._table("orders", months, counted).select(month, "transaction_id").distinct()
-                      .groupBy("month").agg(F.count("transaction_id").cast("long").alias("orders")))
-        customers = (self._table("customers", months, counted).select(month, "contact_id").distinct()
-                         .groupBy("month").agg(F.count("contact_id").cast("long").alias("unique_customers")))
+        orders = (self._table("orders", months, counted).select(month, "transaction").distinct()
+                      .groupBy("month").agg(F.count("transaction").cast("long").alias("orders")))
+        customers = (self._table("customers", months, counted).select(month, "customer").distinct()
+                         .groupBy("month").agg(F.count("customer").cast("long").alias("unique_customers")))
         out = sums.join(orders, "month", "left").join(customers, "month", "left")  # one row a month
         return out.withColumn("avg_order_value", safe_ratio("revenue", "orders"))
 
@@ -127,14 +170,19 @@ class MonthlyPartials:
 
     def store_profitability(self, months: Iterable[Month] | None = None, counted: bool = False) -> DataFrame:
         """G14."""
-        g = self._table("lines", months, counted).groupBy("store_name", "city").agg(
+        g = self._placed(self._table("lines", months, counted)).groupBy("store_name", "city").agg(
             zsum("value").alias("revenue"), zsum("units").alias("units"), zsum("discount").alias("discount"))
         return rank_profitability(g)
 
     def _performance(self, labels, keys: list[str], months, counted: bool) -> DataFrame:
-        sums = labels(self._table("lines", months, counted)).groupBy(*keys).agg(zsum("value").alias("gmv"), zsum("units").alias("units"))
-        orders = (labels(self._table("orders", months, counted)).select(*keys, "transaction_id").distinct()
-                      .groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count("transaction_id").cast("long").alias("orders")))
+        sums = labels(self._placed(self._table("lines", months, counted))).groupBy(*keys).agg(zsum("value").alias("gmv"), zsum("units").alias("units"))
+        # places with the same labels are numbered as one, so that orders meet by numbers
+        every = labels(self._places().select(F.col("place").alias("_place"), *[F.col(f"_{c}").alias(c) for c in PLACE]))
+        alike = every.groupBy(*keys).agg(F.min("_place").alias("group"))
+        member = every.alias("a").join(alike.alias("b"), [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]).select("_place", "group")
+        orders = self._joined(self._table("orders", months, counted), member, [F.col("place") == F.col("_place")])
+        met = orders.select("group", "transaction").distinct().groupBy("group").agg(F.count("transaction").cast("long").alias("orders"))
+        orders = alike.join(met, "group").select(*[F.col(k).alias(f"_{k}") for k in keys], "orders")
         same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
         met = sums.join(orders, same, "left").drop(*[f"_{k}" for k in keys])  # one row a place
         return rank_performance(met.withColumn("orders", F.coalesce("orders", F.lit(0).cast("long"))), keys)
