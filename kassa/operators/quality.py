@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kassa.functions.privacy import packed
+
+
 def pandas_dtype(dt: T.DataType) -> str:
     """The dtype label pandas shows for the same column in the reference."""
     if isinstance(dt, (T.StringType, T.StructType, T.ArrayType, T.MapType, T.BinaryType)):
@@ -29,11 +32,25 @@ DASHBOARD_QUALITY_COLUMNS = ("transaction_id", "contact_id", "promotion_id", "tr
                              "latitude", "longitude", "city", "category")
 
 
-def _canonical_text(col, dt: T.DataType):
-    """Value as text, one text per distinct value (-0.0 folded into 0.0)."""
-    if isinstance(dt, (T.DoubleType, T.FloatType)):
-        col = col + F.lit(0.0)
-    return col.cast("string")
+#: types whose values a double tells apart
+AS_NUMBER = (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)
+
+
+def _canonical_value(c: str, dt: T.DataType) -> list:
+    """Value as a number (-0.0 folded into 0.0) or as bytes, one for each distinct value; the other is null.
+
+    Both are shorter than texts: eight bytes for a double, 20 for the 40 digits of a pseudonym.
+    """
+    col, number, text = F.col(f"`{c}`"), F.lit(None).cast("double"), F.lit(None).cast("binary")
+    if isinstance(dt, AS_NUMBER):
+        number = col.cast("double") + F.lit(0.0)
+    elif isinstance(dt, T.DateType):
+        number = F.unix_date(col).cast("double")
+    elif isinstance(dt, T.StringType):
+        text = packed(c)
+    else:
+        text = F.encode(col.cast("string"), "UTF-8")
+    return [number.alias("_d"), text.alias("_v")]
 
 
 def data_quality_report(df: DataFrame, focus_columns: Sequence[str] | None = None,
@@ -71,14 +88,15 @@ def data_quality_report(df: DataFrame, focus_columns: Sequence[str] | None = Non
         out = df.agg(*aggs).where(F.col("_n") > 0).select("_n", cells).select("_n", "r.*")
     else:
         cells = F.explode(F.array(*[
-            F.struct(F.lit(i).alias("_i"), _canonical_text(F.col(f"`{c}`"), types[c]).alias("_v"),
+            F.struct(F.lit(i).cast("short").alias("_i"), *_canonical_value(c, types[c]),
                      (F.coalesce(is_zero(c), F.lit(False)) if numeric[i] else F.lit(False)).alias("_z")) for i, c in enumerate(cols)])).alias("p")
-        counted = df.select(cells).groupBy("p._i", "p._v", "p._z").agg(F.count(F.lit(1)).alias("_c"))
-        out = counted.groupBy("_i").agg(
+        counted = df.select(cells).groupBy("p._i", "p._d", "p._v", "p._z").agg(F.count(F.lit(1)).alias("_c"))
+        missing = F.col("_d").isNull() & F.col("_v").isNull()
+        out = counted.groupBy(F.col("_i").cast("int").alias("_i")).agg(
             F.sum("_c").cast("long").alias("_n"),
-            F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0)).cast("long").alias("missing_count"),
+            F.coalesce(F.sum(F.when(missing, F.col("_c"))), F.lit(0)).cast("long").alias("missing_count"),
             F.coalesce(F.sum(F.when(F.col("_z"), F.col("_c"))), F.lit(0)).cast("long").alias("zero_count"),
-            F.count("_v").cast("long").alias("unique_values"))
+            F.count_if(~missing).cast("long").alias("unique_values"))
     named = out.withColumn("_c", F.element_at(names, F.col("_i") + 1))
     named = named.withColumn("zero_count", F.when(F.col("_c.numeric"), F.col("zero_count")))
     pct = F.bround(F.col("missing_count") / F.col("_n") * 100.0, 2)

@@ -63,3 +63,36 @@ def test_stored_fact_is_narrow(spark):
     stored = spark.read.parquet(*[p for p in star.inputFiles() if "kassa-facts" in p])
     assert set(stored.columns) & {"EAN", "Catégorie", "Line_Sales_Value", "store_name", "promo_label", "SKU"} == set()
     assert stored.where(F.col("Transaction_ID").startswith("TRX")).isEmpty() and len(stored.columns) <= 20
+
+
+def test_packed_identifiers_are_short_and_differ(spark):
+    from kassa.functions.privacy import hashed_token, packed
+    ids = spark.range(50).select(hashed_token(F.col("id").cast("string"), "TRX").alias("k")).union(
+        spark.createDataFrame([("",), ("TRX",), ("trx" + "0" * 40,), ("TRX" + "0" * 40,), ("CUST" + "0" * 40,), ("0" * 40,), (None,)], "k string"))
+    assert ids.select(packed("k").alias("p")).distinct().count() == 57
+    assert ids.limit(50).agg(F.max(F.octet_length(packed("k")))).first()[0] == 24
+
+
+def test_partials_hold_places_by_number(spark):
+    """A line's partials do not repeat the names of its place, and places keep their numbers."""
+    from kassa.plans.partials import MonthlyPartials
+    curated = curate(*raw(spark))
+    store = MonthlyPartials(spark)
+    store.refresh(curated)
+    first = rows(spark.read.parquet(f"{store.path}/places"))
+    assert len(first) == len({r[0] for r in first}) == curated.select("store_id", "store_name", "city", "province").distinct().count()
+    store.refresh(curated, [(2023, 2)])
+    assert rows(spark.read.parquet(f"{store.path}/places")) == first
+    for name in ("lines", "orders"):
+        assert not {"store_id", "store_name", "city", "transaction_id"} & set(spark.read.parquet(f"{store.path}/{name}").columns)
+
+
+def test_quality_cells_are_numbers_and_bytes(spark):
+    """What is shuffled for distinct counts: doubles as eight bytes, not as text."""
+    from kassa.operators.quality import data_quality_report
+    df = spark.createDataFrame([(0.0, 1, True, None), (-0.0, 1, None, "a"), (float("nan"), 2, False, "b"), (None, None, False, "a"), (float("nan"), 1 << 60, True, "")],
+                               "d double, n long, b boolean, s string").withColumn("m", F.col("n") + 1)
+    got = {r["column"]: (r["missing_count"], r["zero_count"], r["unique_values"]) for r in data_quality_report(df).collect()}
+    assert got == {"d": (1, 2, 2), "n": (1, 0, 3), "b": (1, 2, 2), "s": (1, None, 3), "m": (1, 0, 3)}
+    plan = data_quality_report(df.select("d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(d" not in plan
