@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kassa.functions.clean import normalise_identifier
+from kassa.operators.common import stored
 from kassa.operators.joins import hot_keys, left_join_skew_safe, most_copies, size_bound_ok, suffix_clashes
 
 FACT_KEYS = ("Contact_ID", "Item_ID", "Promotion_ID", "Store_transaction_ID")
@@ -49,6 +50,23 @@ def numbered_copies(dim: DataFrame, key: str, copy: str) -> tuple[DataFrame, int
     return dim, copies
 
 
+def needed_rows(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str]]) -> dict[str, DataFrame]:
+    """Of large dimensions (each with the fact's key and its own) those of which the fact has few keys, cut to these and stored.
+
+    One scan of the fact estimates how many of each dimension's keys occur at
+    all; the rows left out match no line.
+    """
+    if not dims:
+        return {}
+    some = fact.agg(*[F.approx_count_distinct(fkey).alias(name) for name, (_, fkey, _) in dims.items()]).first()
+    out = {}
+    for name, (dim, fkey, dkey) in dims.items():
+        if some[name] * 4 < dim.count():
+            keys = fact.select(F.col(fkey).alias(dkey)).distinct()
+            out[name] = stored(dim.join(keys, dkey, "left_semi").select(*[F.col(f"`{c}`") for c in dim.columns]), name)
+    return out
+
+
 def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame],
                                 known_small: dict[str, bool] | None = None) -> DataFrame:
     """J1-J4. ``known_small`` passes broadcast bounds already checked upstream
@@ -72,6 +90,8 @@ def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame],
     for name in ready:
         if name not in is_small:
             is_small[name] = size_bound_ok(ready[name])
+    ready |= needed_rows(df, {name: (ready[name], fkey, dkey) for name, fkey, dkey, _ in plan if not is_small[name]})
+    is_small |= {name: size_bound_ok(ready[name]) for name in is_small if not is_small[name] and name not in (known_small or {})}
     large = [fkey for name, fkey, _, _ in plan if not is_small[name]]
     hot = hot_keys(df, large) if large else {}  # one pass for all shuffled joins
     for name, fkey, dkey, _ in plan:

@@ -19,7 +19,7 @@ from kassa.functions.clean import (coerce_numeric, normalise_identifier, parse_y
                                    to_number, truthy)
 from kassa.operators.common import stored
 from kassa.operators.joins import hot_keys, left_join_one_row, left_join_skew_safe, size_bound_ok
-from kassa.operators.enrich import COPY, FACT_KEYS, merge_sales_with_references, numbered_copies, prepared_dimension, strip_headers
+from kassa.operators.enrich import COPY, FACT_KEYS, merge_sales_with_references, needed_rows, numbered_copies, prepared_dimension, strip_headers
 from kassa.operators.privacy import (apply_identifier_hashing, apply_store_masking, build_store_lookup, creation_stores, masked_store_columns,
                                      store_names, with_store_keys)
 from kassa.session import new_path
@@ -146,12 +146,12 @@ def curate(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple]
     if "_seq" not in stores.columns:
         stores = stores.withColumn("_seq", F.monotonically_increasing_id())
     stores_small = size_bound_ok(stores)  # checked once: store join and both lookup joins
-    merged = merge_sales_with_references(sales, dims, known_small={"store": stores_small})
+    # numbers are shorter than their texts, and lines without a date need no joins
+    merged = merge_sales_with_references(parse_numeric_and_date_fields(sales), dims, known_small={"store": stores_small})
     lookup = stored(build_store_lookup(stores, cities), "stores")  # at most one (narrower) row per store
     masked = apply_store_masking(merged, lookup, province, country, lookup_is_small=stores_small)
     hashed = apply_identifier_hashing(masked)
-    typed = prepare_numeric_and_date_fields(hashed)
-    return to_curated_schema(typed)
+    return to_curated_schema(derive_fields(hashed))
 
 
 def materialise(df: DataFrame, name: str = "curated", partition_by: Sequence[str] = ("year", "month"),
@@ -255,14 +255,8 @@ def curated_star(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[
     facts = sales.sparkSession.read.schema(facts.schema).parquet(path)
     tables = {n: stored(t, n) for n, t in tables.items()}
     small = {n: size_bound_ok(t) for n, t in tables.items()}
-    large = {fkey: n for n, fkey, _, _ in DIMENSIONS if not small[n]}
-    if large:  # one scan tells how many of a large dimension's keys occur at all
-        some = facts.agg(*[F.approx_count_distinct(k).alias(n) for k, n in large.items()]).first()
-        for name, fkey, dkey, _ in DIMENSIONS:
-            if not small[name] and some[name] * 4 < tables[name].count():
-                keys = facts.select(F.col(fkey).alias(dkey)).distinct()
-                tables[name] = stored(tables[name].join(keys, dkey, "left_semi"), name)
-                small[name] = size_bound_ok(tables[name])
+    tables |= needed_rows(facts, {n: (tables[n], fkey, dkey) for n, fkey, dkey, _ in DIMENSIONS if not small[n]})
+    small |= {n: size_bound_ok(tables[n]) for n in small if not small[n]}
     large = [fkey for n, fkey, _, _ in DIMENSIONS if not small[n]]
     hot = hot_keys(facts, large) if large else {}
     df = facts.withColumnsRenamed({c: f"__{c}" for c in ("year", "month", *PLACE_COLUMNS)} | {name: raw for raw, name in final.items()})
