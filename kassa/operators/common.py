@@ -72,10 +72,11 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     Later reads start from the stored columns instead of re-running the whole
     upstream job, and a lost executor costs a re-read only.
     """
-    from kassa.session import new_path
+    from kassa.session import new_path, shuffles_dropped
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

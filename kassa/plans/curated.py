@@ -22,7 +22,7 @@ from kassa.operators.joins import hot_keys, left_join_one_row, left_join_skew_sa
 from kassa.operators.enrich import COPY, FACT_KEYS, merge_sales_with_references, needed_rows, numbered_copies, prepared_dimension, strip_headers
 from kassa.operators.privacy import (apply_identifier_hashing, apply_store_masking, build_store_lookup, creation_stores, masked_store_columns,
                                      store_names, with_store_keys)
-from kassa.session import new_path
+from kassa.session import new_path, shuffles_dropped
 
 # raw (reference) name -> curated name
 CURATED_COLUMNS = (
@@ -251,7 +251,8 @@ def curated_star(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[
     final = {raw: name for raw, name in CURATED_COLUMNS if raw in FACT_COLUMNS and name in CURATED_TYPES}  # stored as the curated table has them
     path, facts = new_path(sales.sparkSession, "facts"), facts.withColumnsRenamed(final)
     facts = facts.select(*[c for c in facts.columns if c in PLACE_COLUMNS], *[c for c in facts.columns if c not in PLACE_COLUMNS])
-    facts.write.partitionBy("year", "month").parquet(path)
+    with shuffles_dropped(sales.sparkSession):
+        facts.write.partitionBy("year", "month").parquet(path)
     facts = sales.sparkSession.read.schema(facts.schema).parquet(path)
     tables = {n: stored(t, n) for n, t in tables.items()}
     small = {n: size_bound_ok(t) for n, t in tables.items()}

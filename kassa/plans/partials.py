@@ -36,11 +36,12 @@ from kassa.operators.joins import sized_broadcast
 from kassa.operators.kpi import highlight_row
 from kassa.operators.rank import global_order
 from kassa.operators.stores import CITY_KEYS, STORE_KEYS, city_labels, rank_performance, rank_profitability, store_labels
-from kassa.session import new_path
+from kassa.session import new_path, shuffles_dropped
 
 PLACE = ["store_id", "store_name", "city", "province"]
 Month = tuple[int, int]  # year, month
 ROWS_A_FILE = 2_000_000
+DAYS_A_MONTH, LINES_A_CELL = 31, 4  # a day and place with fewer lines is not worth a map-side sum
 
 
 def chosen(months: Iterable[Month] | None) -> Column:
@@ -74,23 +75,43 @@ class MonthlyPartials:
         self._add_places(lines)
         lines = self._joined(lines, self._places(), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PLACE])
         most = lines.groupBy(*month).count().agg(F.max("count")).first()[0] or 0
-        # an order's lines are dealt once, by month and order, and lie so in files: no second shuffle
-        part = F.pmod(F.xxhash64("transaction"), F.lit(most // ROWS_A_FILE + 1)).alias("part")
-        dealt = lines.select(*month, packed("transaction_id").alias("transaction"), "counted", "place", "_seq", "transaction_value").select("*", part)
-        tables = {
-            "lines": lines.groupBy(*month, "date_transaction", "counted", "place").agg(
+        for name, df in self._tables(lines, most, self._places().count()).items():
+            self._write(df, name)
+        if months is not None:
+            here = {tuple(r) for r in lines.select(*month).distinct().collect()}  # of the months asked for
+            self._drop(set(months) - here)
+
+    def _write(self, df: DataFrame, name: str) -> None:
+        with shuffles_dropped(self.spark):
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("year", "month").parquet(f"{self.path}/{name}"))
+
+    @staticmethod
+    def _tables(lines: DataFrame, most: int, places: int) -> dict[str, DataFrame]:
+        """The tables of ``lines`` with their places, of which the largest month has ``most``.
+
+        Rows that grouping makes few are combined map-side and shuffled again
+        by month. Orders, and sums of so many places that each line has nearly
+        a row of its own, are dealt once, by month and key, and lie so in files.
+        """
+        month = ["year", "month"]
+
+        def dealt(df: DataFrame, *key: str) -> DataFrame:
+            return df.withColumn("part", F.pmod(F.xxhash64(*key), F.lit(most // ROWS_A_FILE + 1))).repartition(*month, "part")
+
+        def sums(df: DataFrame, *part: str) -> DataFrame:
+            return df.groupBy(*month, *part, "date_transaction", "counted", "place").agg(
                 F.sum("transaction_value").alias("value"), F.sum("quantity_item").alias("units"), F.sum("line_discount").alias("discount"))
-                .hint("rebalance", *month),
-            "orders": dealt.repartition(*month, "part").groupBy(*month, "part", "transaction", "counted", "place").agg(
+
+        by_order = lines.select(*month, packed("transaction_id").alias("transaction"), "counted", "place", "_seq", "transaction_value")
+        by_place = lines.select(*month, "date_transaction", "counted", "place", "transaction_value", "quantity_item", "line_discount")
+        few = places * DAYS_A_MONTH * LINES_A_CELL <= most
+        return {
+            "lines": sums(by_place).hint("rebalance", *month) if few else sums(dealt(by_place, "date_transaction", "place"), "part").drop("part"),
+            "orders": dealt(by_order, "transaction").groupBy(*month, "part", "transaction", "counted", "place").agg(
                 F.min("_seq").alias("first"), F.min_by("transaction_value", "_seq").alias("value")).drop("part"),
             "customers": lines.select(*month, "counted", packed("contact_id").alias("customer")).distinct().hint("rebalance", *month),
         }
-        for name, df in tables.items():
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(*month).parquet(f"{self.path}/{name}"))
-        if months is not None:
-            here = {tuple(r) for r in lines.select(*month).distinct().collect()}  # of the months asked for
-            self._drop(set(months) - here)
 
     def _places(self) -> DataFrame:
         """``place`` and the columns of each place, named ``_``."""
@@ -107,7 +128,8 @@ class MonthlyPartials:
         new = new.alias("n").join(known.alias("k"), [F.col(f"n._{c}").eqNullSafe(F.col(f"k._{c}")) for c in PLACE], "left_anti")
         last = known.agg(F.coalesce(F.max("place"), F.lit(0)).alias("n")).first()[0]
         numbered = global_order(new, [F.col(f"_{c}").asc_nulls_first() for c in PLACE], rank_col="place")
-        numbered.withColumn("place", F.col("place") + F.lit(last)).select("place", *[f"_{c}" for c in PLACE]).write.mode("append").parquet(f"{self.path}/places")
+        with shuffles_dropped(self.spark):
+            numbered.withColumn("place", F.col("place") + F.lit(last)).select("place", *[f"_{c}" for c in PLACE]).write.mode("append").parquet(f"{self.path}/places")
 
     @staticmethod
     def _joined(df: DataFrame, places: DataFrame, same: list[Column]) -> DataFrame:

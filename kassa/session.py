@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,6 +78,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes in this block remove their shuffle files when they end.
+
+    The rows are stored then and nobody reads these files again; they would
+    otherwise lie on the executors' disks until the driver collects its garbage.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def release(spark: SparkSession) -> int:
     """Remove the intermediate tables this application wrote (results that read them are then invalid)."""
     jvm, conf, gone = spark._jvm, spark._jsc.hadoopConfiguration(), 0

@@ -75,3 +75,30 @@ def test_only_chosen_months_are_read(spark):
     store.refresh(lines(spark))
     plan = store.daily_units([(2023, 2)])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1][:200]
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_many_places_are_dealt_once_and_few_combined(spark):
+    """Lines of many places shuffle once, those of few are summed map-side first; both give the same sums."""
+    df = lines(spark).withColumns({"counted": F.coalesce(F.col("quantity_item") >= 0, F.lit(False)), "place": F.col("_seq") % 7})
+    many, few = (MonthlyPartials._tables(df, most, 7) for most in (300, 300_000_000))
+    assert exchanges(many["lines"]) == 1 and exchanges(many["orders"]) == 1 and exchanges(few["lines"]) == 2
+    for name in many:
+        assert rows(many[name]) == rows(few[name])
+
+
+def test_building_leaves_no_shuffle_files(spark):
+    """Shuffle files of the store's tables go when these are written, not when the driver collects its garbage."""
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    df, store, before = lines(spark), MonthlyPartials(spark), shuffled()
+    part = MonthlyPartials._tables(df.withColumns({"counted": F.lit(True), "place": F.lit(1)}), 300, 7)
+    store._write(part["lines"], "lines")
+    store._write(part["customers"], "customers")
+    assert not shuffled() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
