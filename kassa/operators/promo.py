@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kassa.constants import PROMO_LABELS, UNKNOWN_LABEL, UNSPECIFIED_PROMO_LABEL
 from kassa.functions.clean import clip_at_zero, parse_iso_date, safe_ratio
+from kassa.functions.privacy import packed
 from kassa.operators.common import share_pct, top_k, zsum
 from kassa.operators.rank import global_order
 
@@ -66,7 +67,7 @@ def analysis_base(df: DataFrame) -> DataFrame:
 def _promo_measures(grouped) -> DataFrame:
     return grouped.agg(
         zsum("gmv").alias("gmv"), zsum("quantity_item").alias("units"),
-        F.countDistinct("transaction_id").cast("long").alias("orders"),
+        F.countDistinct(packed("transaction_id")).cast("long").alias("orders"),
         zsum("discount_value").alias("discount_value"), zsum("original_value").alias("original_value"))
 
 
@@ -104,7 +105,7 @@ def top_promotions(df: DataFrame, k: int = 10, exclude_missing: bool = False) ->
         df = df.where(F.col("promotion_id") != "")
     g = (df.where(F.col("promotion_id").isNotNull()).groupBy("promotion_id")
            .agg(zsum("transaction_value").alias("revenue"),
-                F.countDistinct("transaction_id").cast("long").alias("orders"),
+                F.countDistinct(packed("transaction_id")).cast("long").alias("orders"),
                 zsum("quantity_item").alias("units")))
     return top_k(g, k, [F.col("revenue").desc(), F.col("promotion_id")])
 
