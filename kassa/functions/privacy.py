@@ -76,3 +76,10 @@ def packed(c: str) -> Column:
     prefix, digits = F.expr(f"left(`{c}`, length(`{c}`) - 40)"), F.right(col, F.lit(40))
     return F.when(col.rlike("^[A-Z]{1,8}[0-9A-F]{40}$"), F.concat(F.encode(prefix, "UTF-8"), F.lit(b"\xff"), F.unhex(digits))) \
             .otherwise(F.encode(col, "UTF-8"))
+
+
+def unpacked(c: str) -> Column:
+    """The identifier that :func:`packed` made the bytes of (0xFF is in no text)."""
+    prefix, mark, digits = (F.expr(f"substring(`{c}`, {span})") for span in (f"1, length(`{c}`) - 21", f"length(`{c}`) - 20, 1", f"length(`{c}`) - 19, 20"))
+    return F.when((F.octet_length(f"`{c}`") > 21) & (mark == F.lit(b"\xff")), F.concat(F.decode(prefix, "UTF-8"), F.hex(digits))) \
+            .otherwise(F.decode(F.col(f"`{c}`"), "UTF-8"))

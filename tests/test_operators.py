@@ -107,3 +107,25 @@ def test_promotion_timeline_by_brute_force(spark):
     df = spark.createDataFrame(rows, "PROMO_ID string, START_DATE string, END_DATE string").repartition(4)
     got = {r["month"]: r["active_promotions"] for r in promotion_timeline(df, as_of="2021-06-30").collect()}
     assert got == {m: len(ids - {None}) for m, ids in active.items()} and len(got) > 20_000
+
+
+def test_identifiers_are_grouped_as_bytes(spark):
+    """Whole pseudonyms are shuffled as 23 or 24 bytes, not as texts of 43 and more, and come back as texts."""
+    from pyspark.sql import functions as F
+
+    from kassa.functions.privacy import hashed_token, packed, unpacked
+    from kassa.operators import customers, kpi, promo
+    ids = spark.range(40).select(hashed_token(F.col("id").cast("string"), "CUST").alias("k")).union(
+        spark.createDataFrame([("",), ("C",), ("CUST" + "0" * 40,), ("0" * 40,), ("é" * 30,), (None,)], "k string"))
+    back = ids.withColumn("p", packed("k")).select("k", unpacked("p").alias("u")).collect()
+    assert all(r["k"] == r["u"] for r in back) and len(back) == 46
+    df = ids.select(F.col("k").alias("transaction_id"), F.col("k").alias("contact_id"), F.lit("c").alias("city"), F.lit("c").alias("category"), F.lit("p").alias("province"),
+                    F.lit("s").alias("store_id"), F.lit("s").alias("store_name"), F.lit("l").alias("promo_label"), F.lit(True).alias("promo_flag"),
+                    *[F.lit(2.0).alias(c) for c in ("quantity_item", "line_sales_value", "line_original_value", "line_discount", "transaction_value")],
+                    F.monotonically_increasing_id().alias("_seq"))
+    for out in (customers.top_customers(df, 50), promo.promo_effect(df, ["category"]), kpi.avg_transaction_value(df)):
+        assert out.count()
+    assert {r["contact_id"] for r in customers.top_customers(df, 50).collect()} == {r["k"] for r in back}
+    assert promo.promo_effect(df, ["category"]).first()["orders"] == 45  # null is no order
+    for plan in (customers.top_customers(df, 50), promo._promo_measures(promo.analysis_base(df).groupBy("category")), kpi.avg_transaction_value(df)):
+        assert "unhex" in plan._jdf.queryExecution().optimizedPlan().toString()
