@@ -57,7 +57,9 @@ def coerce_numeric(c, dtype: T.DataType | None = None) -> Column:
     col = _col(c)
     if dtype is not None and isinstance(dtype, T.NumericType):
         return col.cast("double")
-    cleaned = F.regexp_replace(F.regexp_replace(col.cast("string"), "[\\u00a0 ]", ""), ",", ".")
+    cleaned = col.cast("string")
+    for old, new in (("\u00a0", ""), (" ", ""), (",", ".")):
+        cleaned = F.replace(cleaned, F.lit(old), F.lit(new))
     return to_number(cleaned)
 
 
@@ -69,7 +71,8 @@ def parse_yyyymmdd(c, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return col.cast("date")
     s = strip(col)
-    return F.when(s.rlike(r"^\d{8}$"), F.try_to_timestamp(s, F.lit("yyyyMMdd")).cast("date"))
+    iso = F.concat_ws("-", F.substring(s, 1, 4), F.substring(s, 5, 2), F.substring(s, 7, 2))
+    return F.when(s.rlike(r"^\d{8}$") & ~s.startswith("0000"), iso.try_cast("date"))  # there is no year 0
 
 
 def parse_iso_date(c, dtype: T.DataType | None = None) -> Column:

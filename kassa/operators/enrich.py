@@ -11,6 +11,8 @@ rows, so that ``_seq`` stays unique and keeps the order of a pandas merge.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,9 +70,11 @@ def needed_rows(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str]]) ->
 
 
 def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame],
-                                known_small: dict[str, bool] | None = None) -> DataFrame:
+                                known_small: dict[str, bool] | None = None,
+                                prepare: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
     """J1-J4. ``known_small`` passes broadcast bounds already checked upstream
-    (True = proven small, False = proven large); others are checked here."""
+    (True = proven small, False = proven large); others are checked here.
+    ``prepare`` makes of a dimension (by its name) the rows to join, which are stored."""
     df = strip_headers(sales).withColumns({k: normalise_identifier(k) for k in FACT_KEYS})
     salt = ["_seq"] if "_seq" in df.columns else None
     numbered = salt and isinstance(df.schema["_seq"].dataType, T.LongType)
@@ -86,6 +90,8 @@ def merge_sales_with_references(sales: DataFrame, dims: dict[str, DataFrame],
         if numbered:
             ready[name], copies[name] = numbered_copies(ready[name], dkey, COPY.format(name))
         ready[name] = ready[name].drop("_seq")
+        if prepare:
+            ready[name] = stored(prepare(name, ready[name]), name)
     is_small = dict(known_small or {})
     for name in ready:
         if name not in is_small:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kassa.constants import (ALBERTA_CITIES, DEFAULT_COUNTRY, DEFAULT_PROVINCE, ONLINE_CITY,
@@ -102,7 +102,11 @@ def apply_store_masking(df: DataFrame, lookup: DataFrame,
     Both lookups are left joins (broadcast under a checked bound, salted on
     the empty key otherwise). ``lookup_is_small`` passes a bound already
     proven upstream (the lookup has at most one narrower row per store).
+    Where the dimensions' rows were masked before the joins
+    (:func:`masked_contacts`, :func:`masked_stores`) their masks are taken.
     """
+    if {"__creation", "__masked_id"} <= set(df.columns):
+        return masked_store_columns(df, province, country)
     df = with_store_keys(df)
     salt = ["_seq"] if "_seq" in df.columns else None
     if lookup_is_small is None:
@@ -136,39 +140,87 @@ def creation_stores(lookup: DataFrame) -> DataFrame:
     return lookup.select(F.col("store_key").alias("__k2"), F.col("new_id").alias("__id2"))
 
 
+def _masked_store(x: Column, found: str, name: str) -> tuple[Column, Column]:
+    """Masked id and name of a store by its key and what the lookup holds for it."""
+    fallback = hashed_token(F.when(x == "", F.lit(STORE_NAME_FALLBACK_SEED)).otherwise(x), STORE_NAME_FALLBACK_PREFIX)
+    return _masked_id(x, found), F.coalesce(F.col(name), fallback)
+
+
+def _masked_id(x: Column, found: str) -> Column:
+    return F.coalesce(F.col(found), F.when(x != "", hashed_token(x, STORE_FALLBACK_PREFIX)).otherwise(F.lit("")))
+
+
+def _masked_postal(c: Column) -> Column:
+    pc = F.coalesce(c.cast("string"), F.lit("nan"))
+    return F.when(strip(pc) == "", F.lit("")).otherwise(hashed_postal(pc))
+
+
+def masked_contacts(contact: DataFrame, lookup: DataFrame) -> DataFrame:
+    """A5 of customers: ``__creation`` and ``__postal`` instead of their creation store and postal code."""
+    df = left_join_skew_safe(with_store_keys(contact).drop("__sk"), creation_stores(lookup), "__soc", "__k2")
+    return df.withColumns({"__creation": _masked_id(F.col("__soc"), "__id2"), "__postal": _masked_postal(F.col("PostalCode"))}) \
+             .drop("__soc", "__k2", "__id2", "STORE_ID", "Store_Of_Creation", "PostalCode")
+
+
+def masked_stores(store: DataFrame, lookup: DataFrame) -> DataFrame:
+    """A5 of stores: ``__masked_id``, ``__masked_name`` and their places."""
+    df = left_join_skew_safe(with_store_keys(store).drop("__soc"), store_names(lookup), "__sk", "__k1")
+    masked_id, name = _masked_store(F.col("__sk"), "__id1", "__name1")
+    return df.withColumns({"__masked_id": masked_id, "__masked_name": name}) \
+             .drop("__sk", "__k1", "__id1", "__name1", "Store_Of_Creation", "PostalCode")
+
+
 def masked_store_columns(df: DataFrame, province: str = DEFAULT_PROVINCE, country: str = DEFAULT_COUNTRY) -> DataFrame:
-    """A5 of lines that have their keys and what the lookup holds for them."""
-    x, y = F.col("__sk"), F.col("__soc")
-    masked_id = F.coalesce(F.col("__id1"), F.when(x != "", hashed_token(x, STORE_FALLBACK_PREFIX)).otherwise(F.lit("")))
-    name = F.coalesce(F.col("__name1"),
-                      hashed_token(F.when(x == "", F.lit(STORE_NAME_FALLBACK_SEED)).otherwise(x), STORE_NAME_FALLBACK_PREFIX))
-    pc = F.coalesce(F.col("PostalCode").cast("string"), F.lit("nan"))
+    """A5 of lines that have their keys and what the lookup holds for them, or the masks of their store and customer."""
+    if "__masked_id" in df.columns:
+        masked_id = F.coalesce(F.col("__masked_id"), F.lit(""))
+        name = F.coalesce(F.col("__masked_name"), hashed_token(F.lit(STORE_NAME_FALLBACK_SEED), STORE_NAME_FALLBACK_PREFIX))
+        creation, postal = F.coalesce(F.col("__creation"), F.lit("")), F.coalesce(F.col("__postal"), hashed_postal(F.lit("nan")))
+    else:
+        masked_id, name = _masked_store(F.col("__sk"), "__id1", "__name1")
+        creation, postal = _masked_id(F.col("__soc"), "__id2"), _masked_postal(F.col("PostalCode"))
     df = df.withColumns({
         "STORE_ID": masked_id,
         "Store_transaction_ID": masked_id,
         "LIBELLE_y": name,
-        "Store_Of_Creation": F.coalesce(F.col("__id2"),
-                                        F.when(y != "", hashed_token(y, STORE_FALLBACK_PREFIX)).otherwise(F.lit(""))),
+        "Store_Of_Creation": creation,
         "CITY": F.coalesce(F.col("__city1"), F.lit("")),
         "PROVINCE": F.lit(province),
         "COUNTRY": F.lit(country),
         "Latitude": F.col("__lat1"),
         "Longitude": F.col("__lon1"),
-        "PostalCode": F.when(strip(pc) == "", F.lit("")).otherwise(hashed_postal(pc)),
+        "PostalCode": postal,
     })
-    return df.drop("__sk", "__soc", "__k1", "__id1", "__name1", "__city1", "__lat1", "__lon1", "__k2", "__id2")
+    return df.drop("__sk", "__soc", "__k1", "__id1", "__name1", "__city1", "__lat1", "__lon1", "__k2", "__id2",
+                   "__masked_id", "__masked_name", "__creation", "__postal")
 
 
-def apply_identifier_hashing(df: DataFrame, prefixes: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+def apply_identifier_hashing(df: DataFrame, prefixes: Sequence[tuple[str, str]] | None = None, digests: Sequence[str] = (),
+                             clean: Sequence[str] = (), joined: dict[str, str] | None = None) -> DataFrame:
     """A1: pseudonymise the identifier columns that exist (others skipped).
 
     The whole sha1 is kept, so different identifiers stay different; reports
     show its first 8 digits (:func:`kassa.functions.privacy.display_id`).
+    ``digests`` hold :func:`kassa.functions.privacy.digest` already; ``clean``
+    are normalised keys of the lines; ``joined`` are the keys of dimensions by
+    the clean key that found them, whose text (and digest) they share.
     """
     from kassa.constants import ID_HASH_PREFIXES
-    from kassa.functions.privacy import pseudonymise
-    todo = {c: pseudonymise(c, p) for c, p in (prefixes or ID_HASH_PREFIXES) if c in df.columns}
-    return df.withColumns(todo)
+    from kassa.functions.privacy import pseudonymise, shown_digest
+    clean, joined = [c for c in clean if c in df.columns], {c: k for c, k in (joined or {}).items() if c in df.columns}
+    df = df.withColumns({f"__sha_{c}": F.upper(F.sha1(F.col(c))) for c in clean})
+
+    def pseudonym(c: str, p: str) -> Column:
+        if c in digests:
+            return shown_digest(c, p)
+        key = joined.get(c, c)
+        if key not in clean:
+            return pseudonymise(c, p)
+        shown = F.when(F.col(key) == "", F.lit("")).otherwise(F.concat(F.lit(p), F.col(f"__sha_{key}")))
+        return shown if key == c else F.when(F.col(c).isNull(), hashed_token(F.lit("nan"), p)).otherwise(shown)
+
+    return df.withColumns({c: pseudonym(c, p) for c, p in (prefixes or ID_HASH_PREFIXES) if c in df.columns}) \
+             .drop(*[f"__sha_{c}" for c in clean])
 
 
 def _common_prefix(a: Column, b: Column) -> Column:

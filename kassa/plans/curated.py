@@ -17,11 +17,12 @@ from pyspark.sql import types as T
 from kassa.constants import ALBERTA_CITIES, DEFAULT_COUNTRY, DEFAULT_PROVINCE
 from kassa.functions.clean import (coerce_numeric, normalise_identifier, parse_yyyymmdd,
                                    to_number, truthy)
+from kassa.functions.privacy import digest
 from kassa.operators.common import stored
 from kassa.operators.joins import hot_keys, left_join_one_row, left_join_skew_safe, size_bound_ok
 from kassa.operators.enrich import COPY, FACT_KEYS, merge_sales_with_references, needed_rows, numbered_copies, prepared_dimension, strip_headers
-from kassa.operators.privacy import (apply_identifier_hashing, apply_store_masking, build_store_lookup, creation_stores, masked_store_columns,
-                                     store_names, with_store_keys)
+from kassa.operators.privacy import (apply_identifier_hashing, apply_store_masking, build_store_lookup, masked_contacts, masked_store_columns,
+                                     masked_stores)
 from kassa.session import new_path, shuffles_dropped
 
 # raw (reference) name -> curated name
@@ -88,8 +89,8 @@ def parse_numeric_and_date_fields(df: DataFrame) -> DataFrame:
     })
 
 
-def derive_fields(df: DataFrame) -> DataFrame:
-    """Line measures, flags and calendar of parsed fields."""
+def derive_fields(df: DataFrame, clean_keys: bool = False) -> DataFrame:
+    """Line measures, flags and calendar of parsed fields (``clean_keys``: the keys are normalised)."""
     types = {f.name: f.dataType for f in df.schema.fields}
     q0 = F.coalesce(F.col("Quantity_item"), F.lit(0.0))
     d = F.col("Date_transaction")
@@ -101,7 +102,7 @@ def derive_fields(df: DataFrame) -> DataFrame:
         "Line_Original_Value": F.col("Unit_original_price") * q0,
     }).withColumns({
         "Line_Discount": F.col("Line_Original_Value") - F.col("Line_Sales_Value"),
-        "Promo_Flag": normalise_identifier("Promotion_ID") != "",
+        "Promo_Flag": (F.col("Promotion_ID") if clean_keys else normalise_identifier("Promotion_ID")) != "",
         "Year": F.year(d),
         "Quarter": F.quarter(d),
         "Month": F.month(d),
@@ -109,7 +110,9 @@ def derive_fields(df: DataFrame) -> DataFrame:
         "YearOfBirth": yob,
     })
     age = F.year(d).cast("double") - F.col("YearOfBirth")
-    has_web = truthy("Has_Web_Account") if "Has_Web_Account" in types else F.lit(False)
+    web_t = types.get("Has_Web_Account")
+    has_web = (F.coalesce("Has_Web_Account", F.lit(False)) if isinstance(web_t, T.BooleanType)
+               else truthy("Has_Web_Account") if web_t else F.lit(False))
     return df.withColumns({
         "Customer_Age": F.when(age < 0, F.lit(None).cast("double")).otherwise(age),
         "Has_Web_Account": has_web,
@@ -147,11 +150,11 @@ def curate(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple]
         stores = stores.withColumn("_seq", F.monotonically_increasing_id())
     stores_small = size_bound_ok(stores)  # checked once: store join and both lookup joins
     # numbers are shorter than their texts, and lines without a date need no joins
-    merged = merge_sales_with_references(parse_numeric_and_date_fields(sales), dims, known_small={"store": stores_small})
     lookup = stored(build_store_lookup(stores, cities), "stores")  # at most one (narrower) row per store
+    merged = merge_sales_with_references(parse_numeric_and_date_fields(sales), dims, known_small={"store": stores_small},
+                                         prepare=lambda name, dim: joined_columns(name, dim, lookup))
     masked = apply_store_masking(merged, lookup, province, country, lookup_is_small=stores_small)
-    hashed = apply_identifier_hashing(masked)
-    return to_curated_schema(derive_fields(hashed))
+    return to_curated_schema(derive_fields(hashed_lines(masked), clean_keys=True))
 
 
 def materialise(df: DataFrame, name: str = "curated", partition_by: Sequence[str] = ("year", "month"),
@@ -193,6 +196,30 @@ DIMENSIONS = (
     ("promotion", "Promotion_ID", "PROMO_ID", ("LIBELLE_x",)),
     ("store", "Store_transaction_ID", "STORE_ID", ()),
 )
+#: columns that :func:`joined_columns` turns into digests
+DIGESTS = ("EAN", "LIBELLE_x")
+
+
+def joined_columns(name: str, dim: DataFrame, lookup: DataFrame) -> DataFrame:
+    """What the curated table takes from a dimension: parsed, masked and hashed once a row of it and not once a line."""
+    _, _, dkey, columns = next(d for d in DIMENSIONS if d[0] == name)
+    own = [c for c in (dkey, *columns, COPY.format(name)) if c in dim.columns]
+    types = {f.name: f.dataType for f in dim.schema.fields}
+    dim = dim.select(*[F.col(f"`{c}`") for c in own])
+    if name == "contact":
+        parsed = {"YearOfBirth": F.col("YearOfBirth").cast("double") if isinstance(types.get("YearOfBirth"), T.NumericType) else to_number(F.col("YearOfBirth")),
+                  "Has_Web_Account": truthy("Has_Web_Account")}
+        return masked_contacts(dim.withColumns({c: x for c, x in parsed.items() if c in own}), lookup)
+    if name == "store":
+        return masked_stores(dim, lookup)
+    return dim.withColumns({c: digest(c) for c in DIGESTS if c in own})
+
+
+def hashed_lines(df: DataFrame) -> DataFrame:
+    """A1 of lines with normalised keys and what :func:`joined_columns` gave them."""
+    return apply_identifier_hashing(df, digests=DIGESTS, clean=FACT_KEYS, joined={"SKU": "Item_ID", "PROMO_ID": "Promotion_ID"})
+
+
 #: what a fact row is stored with: its keys and numbers, and the place found by its store
 FACT_COLUMNS = ("Transaction_ID", "Contact_ID", "Item_ID", "Promotion_ID", "Store_transaction_ID", "Date_transaction",
                 "Unit_original_price", "Unit_sale_price", "Transaction_value", "Quantity_item", "_seq")
@@ -238,11 +265,7 @@ def curated_star(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[
     tables, copies, facts = _dimension_tables(dims, parse_numeric_and_date_fields(facts))
     facts = facts.withColumns({"year": F.year("Date_transaction"), "month": F.month("Date_transaction")})
     place = lookup.select(F.col("store_key").alias("__place"), F.col("new_city").alias("city"), "latitude", "longitude")
-    # stores and customers take their masks here, once a row of theirs and not once a line
-    tables["store"] = left_join_skew_safe(with_store_keys(tables["store"]).drop("__soc"), store_names(lookup), "__sk", "__k1") \
-        .drop("__sk", "__k1", "__city1", "__lat1", "__lon1", "Store_Of_Creation", "PostalCode")
-    tables["contact"] = left_join_skew_safe(with_store_keys(tables["contact"]).drop("__sk"), creation_stores(lookup), "__soc", "__k2") \
-        .drop("__soc", "__k2", "STORE_ID")
+    tables = {n: joined_columns(n, t, lookup).drop("__city1", "__lat1", "__lon1") for n, t in tables.items()}
     # a small lookup is joined after the shuffle, so that lines travel without it
     facts = facts.hint("rebalance", "year", "month") if lookup_small else facts
     facts = left_join_skew_safe(facts, place, "Store_transaction_ID", "__place", salt_source=["_seq"], assume_small=lookup_small,
@@ -264,10 +287,9 @@ def curated_star(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[
     for name, fkey, dkey, _ in DIMENSIONS:
         number = COPY.format(name)
         df = left_join_one_row(df, tables[name], fkey, dkey, small[name], hot.get(fkey, ()), copy=number if copies[name] > 1 else None)
-    df = with_store_keys(df).withColumns({"__city1": F.col("__city"), "__lat1": F.col("__latitude"), "__lon1": F.col("__longitude"),
-                                          "__k1": F.lit(None), "__k2": F.lit(None)})
+    df = df.withColumns({"__city1": F.col("__city"), "__lat1": F.col("__latitude"), "__lon1": F.col("__longitude")})
     df = masked_store_columns(df, province, country)
-    df = derive_fields(apply_identifier_hashing(df))
+    df = derive_fields(hashed_lines(df), clean_keys=True)
     return to_curated_schema(df.withColumns({"Year": F.col("__year"), "Month": F.col("__month"), "CITY": F.col("__city"),
                                              "Latitude": F.col("__latitude"), "Longitude": F.col("__longitude")}))
 

@@ -8,9 +8,9 @@ fixes where each split stands, and which number its first record has. Then all
 splits assemble their records in parallel; a record that crosses the end of its
 split is put together from the fragments of the splits it touches.
 
-The text reader delivers a split's lines in order, and a line's effect (its end
-for both cases) is a column expression; only the walk over a split's lines runs
-in Python, on Arrow batches. Whole records are parsed by ``from_csv``.
+The text reader delivers a split's lines in order; a line's effect (its end for
+both cases) and the walk over a split's lines run in Python, on whole Arrow
+batches. Whole records are parsed by ``from_csv``.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kassa.operators.common import stored
@@ -30,36 +30,54 @@ from kassa.operators.common import stored
 # the functions below travel to Python workers by value, so executors need no copy of the repository
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-OUTSIDE, INSIDE, PLAIN = 2, 1, 0
+PLAIN, INSIDE, OUTSIDE = 0, 1, 2
+#: what a quote does to the three states: after a comma, after another quote or at the line's begin, after other text
+AFTER_COMMA, AFTER_QUOTE, AFTER_TEXT = (INSIDE, OUTSIDE, INSIDE), (PLAIN, OUTSIDE, INSIDE), (PLAIN, OUTSIDE, PLAIN)
 SUMMARY = "path string, block long, end0 boolean, end1 boolean, starts0 long, starts1 long"
 RECORD = "path string, owner long, block long, n long, whole boolean, text string"
 CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
 
 
-def ends_inside(line: Column, start: int) -> Column:
-    """Whether a line ends inside quotes.
+def line_ends(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """For each line whether it ends inside quotes, if it begins outside and if it begins inside.
 
     A quote opens a field at the field's beginning, and a doubled quote stays
-    inside; any other quote of an unquoted field is text (``PLAIN``).
+    inside; any other quote of an unquoted field is text (``PLAIN``). What a
+    quote does is a map of states; the maps of a line's quotes are composed in
+    pairs until one is left.
     """
-    pieces = F.split(line, '"', -1)
-    before = F.slice(pieces, 1, F.size(pieces) - 1)  # what stands before each quote
-
-    def after(state: Column, x: Column) -> Column:
-        opens = x.endswith(",") | ((x == "") & (state == OUTSIDE))
-        return F.when(state == INSIDE, F.lit(OUTSIDE)).when(opens, F.lit(INSIDE)).otherwise(F.lit(PLAIN))
-
-    return F.aggregate(before, F.lit(start), after) == INSIDE
+    lines = lines.cast(pa.large_string())
+    at = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset:lines.offset + len(lines) + 1]
+    text = np.frombuffer(lines.buffers()[2] or b"", np.uint8)[at[0]:at[-1]]
+    at = at - at[0]
+    quotes = np.flatnonzero(text == ord('"'))
+    line = np.searchsorted(at, quotes, "right") - 1
+    before = np.where(quotes == at[line], ord('"'), text[quotes - 1])
+    maps = np.array([AFTER_TEXT, AFTER_QUOTE, AFTER_COMMA], np.int8)[(before == ord('"')) + 2 * (before == ord(","))]
+    while len(line):
+        first = np.concatenate([[True], line[1:] != line[:-1]])
+        place = np.arange(len(line)) - np.maximum.accumulate(np.where(first, np.arange(len(line)), 0))
+        left = np.flatnonzero(place % 2 == 0)
+        if len(left) == len(line):  # one map a line
+            break
+        paired = left + 1 < len(line)
+        paired[paired] = place[left[paired] + 1] % 2 == 1
+        maps[left[paired]] = np.take_along_axis(maps[left[paired] + 1], maps[left[paired]], 1)
+        maps, line = maps[left], line[left]
+    end0, end1 = np.zeros(len(lines), bool), np.ones(len(lines), bool)
+    end0[line], end1[line] = maps[:, OUTSIDE] == INSIDE, maps[:, INSIDE] == INSIDE
+    return end0, end1
+
+
+def line_flags(lines: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``line_ends`` and whether a line is blank."""
+    return *line_ends(lines), pc.is_in(lines, pa.array(["", "\r"], lines.type)).to_numpy(zero_copy_only=False)
 
 
 def file_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``path, block, line, end0, end1, blank``: the lines of each split in order."""
+    """``path, block, line``: the lines of each split in order."""
     text = spark.read.option("lineSep", "\n").text(list(paths))
-    line, quoted = F.col("value"), F.instr("value", '"') > 0
-    return text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), line.alias("line"),
-                       F.when(quoted, ends_inside(line, OUTSIDE)).otherwise(F.lit(False)).alias("end0"),
-                       F.when(quoted, ends_inside(line, INSIDE)).otherwise(F.lit(True)).alias("end1"),
-                       line.isin("", "\r").alias("blank"))
+    return text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
 
 
 def states(end0: np.ndarray, end1: np.ndarray, start: bool) -> np.ndarray:
@@ -84,16 +102,12 @@ def split_runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.RecordBatch
         yield path[i].as_py(), block[i].as_py(), batch.slice(i, j - i)
 
 
-def flags(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
-    return [batch.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in names]
-
-
 def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each split: its end and the records that begin in it, for both states at its start."""
     done: dict[tuple[str, int], list] = {}
     for batch in batches:
         for path, block, rows in split_runs(batch):
-            end0, end1, blank = flags(rows, "end0", "end1", "blank")
+            end0, end1, blank = line_flags(rows.column("line"))
             now = done.setdefault((path, block), [False, True, 0, 0])
             for case in (0, 1):
                 after = states(end0, end1, now[case])
@@ -106,10 +120,10 @@ def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def split_states(summary: DataFrame) -> DataFrame:
-    """``path, block, inside, owner, first``: the prefix scan over each file's splits.
+    """``path, block, inside, leaves, owner, first``: the prefix scan over each file's splits.
 
     ``inside``: the split begins inside quotes, in a record that began in the
-    split ``owner``; ``first`` is the number in the file of the first record
+    split ``owner``; ``leaves``: it ends inside quotes; ``first`` is the number in the file of the first record
     that begins in it. One row for each split, so a file's rows are few.
     """
     w = Window.partitionBy("path").orderBy("block")
@@ -121,7 +135,8 @@ def split_states(summary: DataFrame) -> DataFrame:
     turned = (F.col("_turns") - F.coalesce("_reset.turns", F.lit(0))) % 2 == 1
     out = out.withColumn("inside", F.coalesce("_reset.end0", F.lit(False)) != turned)
     out = out.withColumn("starts", F.when(F.col("inside"), F.col("starts1")).otherwise(F.col("starts0")))
-    return out.select("path", "block", "inside", F.last(F.when(F.col("starts") > 0, F.col("block")), ignorenulls=True).over(earlier).alias("owner"),
+    leaves = F.when(F.col("inside"), F.col("end1")).otherwise(F.col("end0")).alias("leaves")
+    return out.select("path", "block", "inside", leaves, F.last(F.when(F.col("starts") > 0, F.col("block")), ignorenulls=True).over(earlier).alias("owner"),
                       F.coalesce(F.sum("starts").over(earlier), F.lit(0)).alias("first"), "starts")
 
 
@@ -133,7 +148,8 @@ class Assembler:
         self.open = [owner, None, []] if inside else None  # split of the record's begin, its number, its lines
 
     def feed(self, rows: pa.RecordBatch) -> list[tuple]:
-        end0, end1, blank = flags(rows, "end0", "end1", "blank")
+        line = rows.column("line")
+        end0, end1, blank = line_flags(line)
         after = states(end0, end1, self.state)
         before = np.concatenate([[self.state], after[:-1]])
         self.state = bool(after[-1])
@@ -141,7 +157,6 @@ class Assembler:
         number = self.n + np.cumsum(starts) - 1
         self.n += int(starts.sum())
         single = starts & ~after
-        line = rows.column("line")
         out = [(self.block, int(n), True, t) for n, t in zip(number[single].tolist(), line.filter(pa.array(single)).to_pylist(), strict=True)]
         rest = before | (starts & after)
         for begins, ends, n, t in zip(starts[rest].tolist(), (~after[rest]).tolist(), number[rest].tolist(), line.filter(pa.array(rest)).to_pylist(), strict=True):
@@ -187,13 +202,12 @@ def read_records(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame,
     file is one task, wherever it begins. ``splits`` has a row for each split.
     """
     lines = file_lines(spark, paths)
-    splits = stored(split_states(lines.select("path", "block", "end0", "end1", "blank").mapInArrow(summarise, SUMMARY)), "splits")
+    splits = stored(split_states(lines.mapInArrow(summarise, SUMMARY)), "splits")
     # one row for each split of some 100 MB: small beside what one task reads
-    placed = lines.join(F.broadcast(splits.drop("starts")), ["path", "block"])
+    placed = lines.join(F.broadcast(splits.drop("starts", "leaves")), ["path", "block"])
     found = placed.mapInArrow(assemble, RECORD)
     # fragments come only from splits that a record crosses into or out of; no other split passes through Python for them
-    w = Window.partitionBy("path").orderBy("block")
-    crossed = splits.withColumn("leaves", F.coalesce(F.lead("inside").over(w), F.lit(True))).where("inside or leaves").select("path", "block")
+    crossed = splits.where("inside or leaves").select("path", "block")
     fragments = placed.join(F.broadcast(crossed), ["path", "block"], "left_semi").mapInArrow(assemble, RECORD).where(~F.col("whole"))
     joined = (fragments.groupBy("path", "owner").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("block", "text"))).alias("parts"))
                        .select("path", "n", F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text")))

@@ -143,3 +143,27 @@ def test_workers_need_no_repository(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 2" in out.stdout, out.stderr[-2000:]
+
+
+def test_line_ends_equal_a_plain_walk():
+    import pyarrow as pa
+    rng = random.Random(5)
+    lines = ["", '"', '""'] + ["".join(rng.choices(['"', '"', ",", "a", "é"], k=rng.randint(0, 25))) for _ in range(3000)]
+
+    def walk(line, state):
+        for x in line.split('"')[:-1]:
+            state = R.OUTSIDE if state == R.INSIDE else R.INSIDE if x.endswith(",") or (x == "" and state == R.OUTSIDE) else R.PLAIN
+        return state == R.INSIDE
+
+    for part in (pa.array(lines), pa.array(lines)[7:900], pa.array([""])):
+        end0, end1 = R.line_ends(part)
+        assert end0.tolist() == [walk(x, R.OUTSIDE) for x in part.to_pylist()]
+        assert end1.tolist() == [walk(x, R.INSIDE) for x in part.to_pylist()]
+
+
+def test_whole_files_are_not_read_for_fragments(spark, tmp_path):
+    """A file in one split leaves no record open at its end, unless a quote stays open."""
+    write(tmp_path / "f.csv", [["a", "b", "c"], ["1", "x\ny", "z"]])
+    (tmp_path / "g.csv").write_text('a,b,c\n1,"open', encoding="utf-8")
+    _, splits = R.read_records(spark, [str(tmp_path / f) for f in ("f.csv", "g.csv")])
+    assert sorted((r["path"][-5:], r["leaves"]) for r in splits.collect()) == [("f.csv", False), ("g.csv", True)]

@@ -96,3 +96,12 @@ def test_quality_cells_are_numbers_and_bytes(spark):
     assert got == {"d": (1, 2, 2), "n": (1, 0, 3), "b": (1, 2, 2), "s": (1, None, 3), "m": (1, 0, 3)}
     plan = data_quality_report(df.select("d"))._jdf.queryExecution().optimizedPlan().toString()
     assert "cast(d" not in plan
+
+
+@pytest.mark.parametrize("build", [curate, curated_star])
+def test_dimensions_are_masked_once_a_row_of_theirs(spark, build):
+    """Lines take masks, pseudonyms and parsed values of customers, items and stores as they are stored."""
+    df = build(*raw(spark))
+    for c in ("postal_code", "store_of_creation", "ean", "promo_label", "year_of_birth", "has_web_account", "store_id"):
+        plan = df.select(c)._jdf.queryExecution().optimizedPlan().toString()
+        assert not {"sha1", "rlike", "RLIKE", "lower("} & {w for w in ("sha1", "rlike", "RLIKE", "lower(") if w in plan.split("Join")[0]}, c
