@@ -27,9 +27,12 @@ def _col(c) -> Column:
 def strip(c) -> Column:
     """Python ``str.strip`` on text: leading/trailing whitespace incl. NBSP.
 
-    A character-set trim (``btrim``), not a regex, so it stays cheap per row.
+    A character-set trim (``btrim``), not a regex, so it stays cheap per row;
+    a text with visible ASCII characters at both ends is taken as it is.
     """
-    return F.btrim(_col(c).cast("string"), F.lit(_STRIP_CHARS))
+    col = _col(c).cast("string")
+    visible = F.ascii(col).between(33, 126) & F.ascii(F.right(col, F.lit(1))).between(33, 126)
+    return F.when(visible, col).otherwise(F.btrim(col, F.lit(_STRIP_CHARS)))
 
 
 def normalise_identifier(c) -> Column:

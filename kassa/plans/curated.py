@@ -23,7 +23,7 @@ from kassa.operators.joins import hot_keys, left_join_one_row, left_join_skew_sa
 from kassa.operators.enrich import COPY, FACT_KEYS, merge_sales_with_references, needed_rows, numbered_copies, prepared_dimension, strip_headers
 from kassa.operators.privacy import (apply_identifier_hashing, apply_store_masking, build_store_lookup, masked_contacts, masked_store_columns,
                                      masked_stores)
-from kassa.session import new_path, shuffles_dropped
+from kassa.session import compiled_methods, new_path, shuffles_dropped
 
 # raw (reference) name -> curated name
 CURATED_COLUMNS = (
@@ -142,6 +142,7 @@ def curate(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple]
 
     Identifiers are whole digests; ``display_ids`` gives their short forms.
     """
+    compiled_methods(sales.sparkSession)
     sales = strip_headers(sales)
     if "Source_File" in sales.columns:
         sales = sales.drop("Source_File")
@@ -255,6 +256,7 @@ def curated_star(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[
     are read. A dimension has one row for each key (and copy), so that Spark
     leaves out the joins of those whose columns a question does not ask for.
     """
+    compiled_methods(sales.sparkSession)
     sales = strip_headers(sales)
     stores = strip_headers(dims["store"]).withColumnRenamed("LIBELLE", "LIBELLE_y")
     if "_seq" not in stores.columns:

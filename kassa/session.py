@@ -25,6 +25,13 @@ DEFAULT_CONF = {
 }
 
 
+def compiled_methods(spark: SparkSession) -> None:
+    """Lower ``spark.sql.codegen.hugeMethodLimit`` (a session setting) to what HotSpot compiles, in sessions built elsewhere too."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(key, "65535")) > int(DEFAULT_CONF[key]):
+        spark.conf.set(key, DEFAULT_CONF[key])
+
+
 def build_session(master: str | None = None, app: str = "kassa",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:

@@ -105,3 +105,20 @@ def test_dimensions_are_masked_once_a_row_of_theirs(spark, build):
     for c in ("postal_code", "store_of_creation", "ean", "promo_label", "year_of_birth", "has_web_account", "store_id"):
         plan = df.select(c)._jdf.queryExecution().optimizedPlan().toString()
         assert not {"sha1", "rlike", "RLIKE", "lower("} & {w for w in ("sha1", "rlike", "RLIKE", "lower(") if w in plan.split("Join")[0]}, c
+
+
+def test_quality_counts_chunks_of_rows(spark):
+    """Values are counted in chunks before they meet, not one cell at a time; packed bytes are those of the column expression."""
+    import pyarrow as pa
+    from kassa.functions.privacy import packed
+    from kassa.operators.quality import data_quality_report, packed_values
+    df = spark.range(0, 50000, 1, 4).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 5 != 0, F.concat(F.lit("TRX"), F.upper(F.sha1((F.col("id") % 7).cast("string"))))).alias("s"),
+                                            (F.col("id") % 2).cast("decimal(12,2)").alias("m"), F.expr("date'2024-01-01' + cast(id % 9 as int)").alias("t"))
+    report = data_quality_report(df)
+    assert "Generate" not in report._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["column"]: (r["missing_count"], r["zero_count"], r["unique_values"]) for r in report.collect()}
+    assert got == {"k": (0, 16667, 3), "s": (10000, None, 7), "m": (0, 25000, 2), "t": (0, None, 9)}
+    texts = ["", "TRX", "TRX" + "0F" * 20, "CUST" + "A9" * 20, "trx" + "0" * 40, "0" * 40, "A" + "f" * 40, "é" * 22, "ABCDEFGH" + "1" * 40, "ABCDEFGHI" + "1" * 40]
+    want = [bytes(r[0]) for r in spark.createDataFrame([(t,) for t in texts], "k string").select(packed("k")).collect()]
+    found = {int(p): v for places, short in packed_values(pa.array(["x", *texts]).slice(1)) for p, v in zip(places, short.to_pylist(), strict=True)}
+    assert [found[i] for i in range(len(texts))] == want
