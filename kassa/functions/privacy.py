@@ -49,19 +49,6 @@ def pseudonymise(c, prefix: str) -> Column:
     return F.when(t == "", F.lit("")).otherwise(hashed_token(t, prefix))
 
 
-def digest(c) -> Column:
-    """The 20 bytes behind :func:`pseudonymise` (none for an empty text), a third of the text's length."""
-    t = strip(F.coalesce(_col(c).cast("string"), F.lit("nan")))
-    return F.when(t == "", F.lit(b"")).otherwise(F.unhex(F.sha1(t)))
-
-
-def shown_digest(c, prefix: str) -> Column:
-    """The pseudonym of a :func:`digest`; a null (no match in a left join) is that of 'nan'."""
-    col = _col(c)
-    return F.when(col.isNull(), hashed_token(F.lit("nan"), prefix)).when(F.octet_length(col) == 0, F.lit("")) \
-            .otherwise(F.concat(F.lit(prefix), F.hex(col)))
-
-
 def hashed_postal(text: Column) -> Column:
     """Masked postal code 'T d L d L d' from the first five sha1 hex digits.
 

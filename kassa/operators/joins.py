@@ -140,11 +140,11 @@ def left_join_one_row(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: s
 
     if small:
         return fact.join(F.broadcast(d), matches(F.col(fact_key)), "left").drop(*keys)
-    is_hot = F.col(fact_key).isin(list(hot_values)) if hot_values else F.lit(False)
+    if not hot_values:
+        return fact.join(d, matches(F.col(fact_key)), "left").drop(*keys)
+    is_hot = F.col(fact_key).isin(list(hot_values))
     dealt = F.when(is_hot, F.concat(F.lit("\t"), F.pmod(F.xxhash64("_seq"), F.lit(buckets)).cast("string"))).otherwise(F.col(fact_key))
     out = fact.withColumn("__dealt", dealt).join(d, matches(F.col("__dealt")), "left").drop("__dealt", *keys)
-    if not hot_values:
-        return out
     few = d.where(F.col("__key").isin(list(hot_values))).withColumnsRenamed({c: f"__hot_{c}" for c in added})
     out = out.join(F.broadcast(few), matches(F.col(fact_key)), "left").drop(*keys)
     return out.withColumns({c: F.when(is_hot, F.col(f"`__hot_{c}`")).otherwise(F.col(f"`{c}`")) for c in added}).drop(*[f"__hot_{c}" for c in added])

@@ -195,29 +195,30 @@ def masked_store_columns(df: DataFrame, province: str = DEFAULT_PROVINCE, countr
                    "__masked_id", "__masked_name", "__creation", "__postal")
 
 
-def apply_identifier_hashing(df: DataFrame, prefixes: Sequence[tuple[str, str]] | None = None, digests: Sequence[str] = (),
+def apply_identifier_hashing(df: DataFrame, prefixes: Sequence[tuple[str, str]] | None = None, stripped: Sequence[str] = (),
                              clean: Sequence[str] = (), joined: dict[str, str] | None = None) -> DataFrame:
     """A1: pseudonymise the identifier columns that exist (others skipped).
 
     The whole sha1 is kept, so different identifiers stay different; reports
     show its first 8 digits (:func:`kassa.functions.privacy.display_id`).
-    ``digests`` hold :func:`kassa.functions.privacy.digest` already; ``clean``
-    are normalised keys of the lines; ``joined`` are the keys of dimensions by
-    the clean key that found them, whose text (and digest) they share.
+    ``stripped`` are texts of dimensions (null: no match); ``clean`` are
+    normalised keys of the lines; ``joined`` are the keys of dimensions by the
+    clean key that found them, whose text (and digest) they share.
     """
     from kassa.constants import ID_HASH_PREFIXES
-    from kassa.functions.privacy import pseudonymise, shown_digest
+    from kassa.functions.privacy import pseudonymise
     clean, joined = [c for c in clean if c in df.columns], {c: k for c, k in (joined or {}).items() if c in df.columns}
     df = df.withColumns({f"__sha_{c}": F.upper(F.sha1(F.col(c))) for c in clean})
 
     def pseudonym(c: str, p: str) -> Column:
-        if c in digests:
-            return shown_digest(c, p)
+        unmatched = F.when(F.col(c).isNull(), hashed_token(F.lit("nan"), p))
+        if c in stripped:
+            return unmatched.when(F.col(c) == "", F.lit("")).otherwise(hashed_token(F.col(c), p))
         key = joined.get(c, c)
         if key not in clean:
             return pseudonymise(c, p)
         shown = F.when(F.col(key) == "", F.lit("")).otherwise(F.concat(F.lit(p), F.col(f"__sha_{key}")))
-        return shown if key == c else F.when(F.col(c).isNull(), hashed_token(F.lit("nan"), p)).otherwise(shown)
+        return shown if key == c else unmatched.otherwise(shown)
 
     return df.withColumns({c: pseudonym(c, p) for c, p in (prefixes or ID_HASH_PREFIXES) if c in df.columns}) \
              .drop(*[f"__sha_{c}" for c in clean])

@@ -9,6 +9,7 @@ checked row bound, and the fact is never collected.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,7 @@ from pyspark.sql import types as T
 
 from kassa.constants import ALBERTA_CITIES, DEFAULT_COUNTRY, DEFAULT_PROVINCE
 from kassa.functions.clean import (coerce_numeric, normalise_identifier, parse_yyyymmdd,
-                                   to_number, truthy)
-from kassa.functions.privacy import digest
+                                   strip, to_number, truthy)
 from kassa.operators.common import stored
 from kassa.operators.joins import hot_keys, left_join_one_row, left_join_skew_safe, size_bound_ok
 from kassa.operators.enrich import COPY, FACT_KEYS, merge_sales_with_references, needed_rows, numbered_copies, prepared_dimension, strip_headers
@@ -197,12 +197,12 @@ DIMENSIONS = (
     ("promotion", "Promotion_ID", "PROMO_ID", ("LIBELLE_x",)),
     ("store", "Store_transaction_ID", "STORE_ID", ()),
 )
-#: columns that :func:`joined_columns` turns into digests
-DIGESTS = ("EAN", "LIBELLE_x")
+#: identifiers that the curated table takes from dimensions beside their keys
+DIMENSION_IDS = ("EAN", "LIBELLE_x")
 
 
 def joined_columns(name: str, dim: DataFrame, lookup: DataFrame) -> DataFrame:
-    """What the curated table takes from a dimension: parsed, masked and hashed once a row of it and not once a line."""
+    """What the curated table takes from a dimension: parsed and masked once a row of it and not once a line."""
     _, _, dkey, columns = next(d for d in DIMENSIONS if d[0] == name)
     own = [c for c in (dkey, *columns, COPY.format(name)) if c in dim.columns]
     types = {f.name: f.dataType for f in dim.schema.fields}
@@ -213,18 +213,20 @@ def joined_columns(name: str, dim: DataFrame, lookup: DataFrame) -> DataFrame:
         return masked_contacts(dim.withColumns({c: x for c, x in parsed.items() if c in own}), lookup)
     if name == "store":
         return masked_stores(dim, lookup)
-    return dim.withColumns({c: digest(c) for c in DIGESTS if c in own})
+    return dim.withColumns({c: strip(F.coalesce(F.col(c).cast("string"), F.lit("nan"))) for c in DIMENSION_IDS if c in own})
 
 
 def hashed_lines(df: DataFrame) -> DataFrame:
     """A1 of lines with normalised keys and what :func:`joined_columns` gave them."""
-    return apply_identifier_hashing(df, digests=DIGESTS, clean=FACT_KEYS, joined={"SKU": "Item_ID", "PROMO_ID": "Promotion_ID"})
+    return apply_identifier_hashing(df, stripped=DIMENSION_IDS, clean=FACT_KEYS, joined={"SKU": "Item_ID", "PROMO_ID": "Promotion_ID"})
 
 
 #: what a fact row is stored with: its keys and numbers, and the place found by its store
 FACT_COLUMNS = ("Transaction_ID", "Contact_ID", "Item_ID", "Promotion_ID", "Store_transaction_ID", "Date_transaction",
                 "Unit_original_price", "Unit_sale_price", "Transaction_value", "Quantity_item", "_seq")
 PLACE_COLUMNS = ("city", "latitude", "longitude")
+#: numbers and dates that are stored as the curated table has them
+FINAL = {raw: name for raw, name in CURATED_COLUMNS if raw in FACT_COLUMNS and name in CURATED_TYPES}
 
 
 def _dimension_tables(dims: dict[str, DataFrame], facts: DataFrame) -> tuple[dict[str, DataFrame], dict[str, int], DataFrame]:
@@ -247,9 +249,25 @@ def _dimension_tables(dims: dict[str, DataFrame], facts: DataFrame) -> tuple[dic
     return tables, copies, facts
 
 
+@dataclass
+class Star:
+    """A stored narrow fact and the stored dimensions it is joined with: which are small, the fact's hot keys, the most copies of a key."""
+
+    facts: DataFrame
+    tables: dict[str, DataFrame]
+    small: dict[str, bool]
+    hot: dict[str, list]
+    copies: dict[str, int]
+
+
 def curated_star(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple] = ALBERTA_CITIES,
                  province: str = DEFAULT_PROVINCE, country: str = DEFAULT_COUNTRY) -> DataFrame:
-    """What :func:`curate` gives, over a stored narrow fact and stored dimensions (``_seq`` is a long).
+    """What :func:`curate` gives, over a stored narrow fact and stored dimensions (``_seq`` is a long)."""
+    return star_frame(stored_star(sales, dims, cities), province, country)
+
+
+def stored_star(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[tuple] = ALBERTA_CITIES) -> Star:
+    """The fact and the dimensions of :func:`curated_star`.
 
     A line is shuffled once, by its year and month, and stored with its keys and
     numbers and its place; pseudonyms, labels and measures are made when they
@@ -267,14 +285,13 @@ def curated_star(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[
     tables, copies, facts = _dimension_tables(dims, parse_numeric_and_date_fields(facts))
     facts = facts.withColumns({"year": F.year("Date_transaction"), "month": F.month("Date_transaction")})
     place = lookup.select(F.col("store_key").alias("__place"), F.col("new_city").alias("city"), "latitude", "longitude")
-    tables = {n: joined_columns(n, t, lookup).drop("__city1", "__lat1", "__lon1") for n, t in tables.items()}
+    tables = {n: joined_columns(n, t, lookup) for n, t in tables.items()}
     # a small lookup is joined after the shuffle, so that lines travel without it
     facts = facts.hint("rebalance", "year", "month") if lookup_small else facts
     facts = left_join_skew_safe(facts, place, "Store_transaction_ID", "__place", salt_source=["_seq"], assume_small=lookup_small,
                                 broadcast_max_bytes=-1).drop("__place").withColumn("city", F.coalesce("city", F.lit("")))
     facts = facts if lookup_small else facts.hint("rebalance", "year", "month")
-    final = {raw: name for raw, name in CURATED_COLUMNS if raw in FACT_COLUMNS and name in CURATED_TYPES}  # stored as the curated table has them
-    path, facts = new_path(sales.sparkSession, "facts"), facts.withColumnsRenamed(final)
+    path, facts = new_path(sales.sparkSession, "facts"), facts.withColumnsRenamed(FINAL)
     facts = facts.select(*[c for c in facts.columns if c in PLACE_COLUMNS], *[c for c in facts.columns if c not in PLACE_COLUMNS])
     with shuffles_dropped(sales.sparkSession):
         facts.write.partitionBy("year", "month").parquet(path)
@@ -284,29 +301,43 @@ def curated_star(sales: DataFrame, dims: dict[str, DataFrame], cities: Sequence[
     tables |= needed_rows(facts, {n: (tables[n], fkey, dkey) for n, fkey, dkey, _ in DIMENSIONS if not small[n]})
     small |= {n: size_bound_ok(tables[n]) for n in small if not small[n]}
     large = [fkey for n, fkey, _, _ in DIMENSIONS if not small[n]]
-    hot = hot_keys(facts, large) if large else {}
-    df = facts.withColumnsRenamed({c: f"__{c}" for c in ("year", "month", *PLACE_COLUMNS)} | {name: raw for raw, name in final.items()})
+    return Star(facts, tables, small, hot_keys(facts, large) if large else {}, copies)
+
+
+def star_frame(star: Star, province: str = DEFAULT_PROVINCE, country: str = DEFAULT_COUNTRY, whole_rows: bool = False) -> DataFrame:
+    """The curated table of a stored star.
+
+    ``whole_rows`` is the same table for questions that ask for all columns:
+    lines then travel to large dimensions without what their date and their
+    store tell (month and place), which they take afterwards.
+    """
+    place = {"__city1": "__city", "__lat1": "__latitude", "__lon1": "__longitude"}
+    df = star.facts.withColumnsRenamed({c: f"__{c}" for c in ("year", "month", *PLACE_COLUMNS)} | {name: raw for raw, name in FINAL.items()})
+    if whole_rows:
+        df = df.drop("__year", "__month", *place.values())
     for name, fkey, dkey, _ in DIMENSIONS:
-        number = COPY.format(name)
-        df = left_join_one_row(df, tables[name], fkey, dkey, small[name], hot.get(fkey, ()), copy=number if copies[name] > 1 else None)
-    df = df.withColumns({"__city1": F.col("__city"), "__lat1": F.col("__latitude"), "__lon1": F.col("__longitude")})
+        number, table = COPY.format(name), star.tables[name]
+        table = table if whole_rows else table.drop(*place)
+        df = left_join_one_row(df, table, fkey, dkey, star.small[name], star.hot.get(fkey, ()), copy=number if star.copies[name] > 1 else None)
+    if not whole_rows:
+        df = df.withColumns({c: F.col(own) for c, own in place.items()})
     df = masked_store_columns(df, province, country)
     df = derive_fields(hashed_lines(df), clean_keys=True)
-    return to_curated_schema(df.withColumns({"Year": F.col("__year"), "Month": F.col("__month"), "CITY": F.col("__city"),
-                                             "Latitude": F.col("__latitude"), "Longitude": F.col("__longitude")}))
+    stored_columns = {"Year": "__year", "Month": "__month", "CITY": "__city", "Latitude": "__latitude", "Longitude": "__longitude"}
+    return to_curated_schema(df if whole_rows else df.withColumns({c: F.col(own) for c, own in stored_columns.items()}))
 
 
-_CACHE: dict[tuple, DataFrame] = {}
+_CACHE: dict[tuple, Star] = {}
 
 
-def curated_from_testdata(spark: SparkSession, sf_dir: str, cache: bool = True) -> DataFrame:
-    """Curated table of the driver test tables, built once per session."""
+def curated_from_testdata(spark: SparkSession, sf_dir: str, cache: bool = True, whole_rows: bool = False) -> DataFrame:
+    """Curated table of the driver test tables, built once per session (``whole_rows``: see :func:`star_frame`)."""
     from kassa.sources.testdata import raw_tables
     key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if cache and key in _CACHE:
-        return _CACHE[key]
-    t = raw_tables(spark, sf_dir)
-    if not cache:
-        return curate(t.sales, t.dims())
-    _CACHE[key] = curated_star(t.sales, t.dims())
-    return _CACHE[key]
+    if not cache or key not in _CACHE:
+        t = raw_tables(spark, sf_dir)
+        if not cache:
+            return curate(t.sales, t.dims())
+        _CACHE[key] = stored_star(t.sales, t.dims())
+    star = _CACHE[key]
+    return star_frame(star, whole_rows=whole_rows and not all(star.small.values()))

@@ -27,10 +27,10 @@ def _finish(df: DataFrame, round_output: bool = True) -> DataFrame:
     return round_doubles(df) if round_output else df
 
 
-def register(name: str, round_output: bool = True):
+def register(name: str, round_output: bool = True, whole_rows: bool = False):
     def deco(fn: Callable[[DataFrame], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _finish(fn(curated_from_testdata(spark, sf_dir)), round_output)
+            return _finish(fn(curated_from_testdata(spark, sf_dir, whole_rows=whole_rows)), round_output)
         run.__name__ = name
         run.__doc__ = fn.__doc__
         REGISTRY[name] = run
@@ -50,7 +50,7 @@ def register_raw(name: str):
     return deco
 
 
-@register("curated_sales")
+@register("curated_sales", whole_rows=True)
 def _curated(df: DataFrame) -> DataFrame:
     """The whole curated table (cleaning, joins, masking, hashing, typing)."""
     return df
@@ -316,7 +316,7 @@ def _q_quality(df):
     return Q.data_quality_report(dash(df), Q.DASHBOARD_QUALITY_COLUMNS)
 
 
-@register("data_quality_all")
+@register("data_quality_all", whole_rows=True)
 def _q_quality_all(df):
     """D1 over every curated column (the profile's default form)."""
     return Q.data_quality_report(df.drop("_seq"))

@@ -102,7 +102,7 @@ def test_quality_cells_are_numbers_and_bytes(spark):
 def test_dimensions_are_masked_once_a_row_of_theirs(spark, build):
     """Lines take masks, pseudonyms and parsed values of customers, items and stores as they are stored."""
     df = build(*raw(spark))
-    for c in ("postal_code", "store_of_creation", "ean", "promo_label", "year_of_birth", "has_web_account", "store_id"):
+    for c in ("postal_code", "store_of_creation", "year_of_birth", "has_web_account", "store_id"):
         plan = df.select(c)._jdf.queryExecution().optimizedPlan().toString()
         assert not {"sha1", "rlike", "RLIKE", "lower("} & {w for w in ("sha1", "rlike", "RLIKE", "lower(") if w in plan.split("Join")[0]}, c
 
@@ -122,3 +122,17 @@ def test_quality_counts_chunks_of_rows(spark):
     want = [bytes(r[0]) for r in spark.createDataFrame([(t,) for t in texts], "k string").select(packed("k")).collect()]
     found = {int(p): v for places, short in packed_values(pa.array(["x", *texts]).slice(1)) for p, v in zip(places, short.to_pylist(), strict=True)}
     assert [found[i] for i in range(len(texts))] == want
+
+
+@pytest.mark.parametrize("bound", [J.DEFAULT_BROADCAST_BYTES, -1])
+def test_whole_rows_travel_without_month_and_place(spark, monkeypatch, bound):
+    """Questions for all columns get the same rows; large dimensions meet lines that hold no more than keys and numbers."""
+    from kassa.plans.curated import star_frame, stored_star
+    sales, dims = raw(spark)
+    want = rows(curate(sales, dims))
+    monkeypatch.setattr(J, "DEFAULT_BROADCAST_BYTES", bound)
+    star = stored_star(sales, dims)
+    frame = star_frame(star, whole_rows=True)
+    assert rows(frame) == want
+    scans = [line for line in frame._jdf.queryExecution().sparkPlan().toString().splitlines() if "Scan" in line and "Transaction_ID" in line]
+    assert scans and not any("latitude" in line or "city" in line for line in scans)
